@@ -46,9 +46,10 @@ def parse_documents(records: DataFrame, body: str = "value") -> DataFrame:
     schema = f"{WEBHOOK}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     others = [name for name in records.columns if name != body]
-    return records.select(
-        *others, F.from_json(F.col(body), schema, options).alias("_document")
-    ).select(*others, "_document.*")
+    # A filter moved below a projection would parse the text again for its own use; it stays
+    # above a generator, so each body is parsed once.
+    document = F.array(F.from_json(F.col(body), schema, options))
+    return records.select(*others, F.inline(document))
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

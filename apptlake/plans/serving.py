@@ -16,7 +16,7 @@ from apptlake.functions.values import labelled_source, ratio_or_zero
 from apptlake.operators.filters import Selection, only_days, only_values, typed_days
 
 # A day before any data: with no batch yet, every live booking is newer.
-FIRST_DAY = date(1, 1, 1)
+FIRST_DAY = "0001-01-01"
 
 
 def monday_of(day: date) -> date:
@@ -42,7 +42,7 @@ def combined_daily(daily: DataFrame, live: DataFrame) -> DataFrame:
     ``daily`` is the labelled daily table. Its last day is a scalar subquery, so it reaches
     the live scan as a plain filter value.
     """
-    last_day = daily.agg(F.coalesce(F.max("booking_date"), F.lit(FIRST_DAY))).scalar()
+    last_day = daily.agg(F.coalesce(F.max("booking_date"), F.lit(FIRST_DAY).cast("date"))).scalar()
     newer = live_by_day(live.where(F.col("booking_date") > last_day))
     return daily.select("booking_date", "utm_source", "booking_count").unionByName(newer)
 

@@ -25,7 +25,8 @@ def get_session(app_name: str = "apptlake", master: str | None = None, **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Building a plan takes many small steps; noting the calling line of each costs time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake.functions.channels import channel_of, is_paid
@@ -20,6 +20,24 @@ from apptlake.plans import gold
 from apptlake.plans.serving import labelled
 from apptlake.session import pin_utc
 
+# Declared, so that no job has to read footers before the query starts.
+EVENTS = """
+    event_id bigint,
+    ts timestamp_ntz,
+    user_id bigint,
+    event_type string,
+    value double,
+    props string
+"""
+ORDERS = """
+    o_orderkey bigint,
+    o_custkey bigint,
+    o_orderstatus string,
+    o_totalprice double,
+    o_orderdate timestamp_ntz,
+    o_orderpriority string
+"""
+
 RULES = {
     "click": "facebook_paid_ads",
     "signup": "youtube_paid_ads",
@@ -35,64 +53,35 @@ CHOSEN = Selection(date(2024, 1, 1), date(2024, 1, 31), SOURCES, CHANNELS)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return pin_utc(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/orders.parquet")
-
-
-def booking_id() -> Column:
-    replay = F.when(F.col("event_id") % 10 == 9, 1).otherwise(0)
-    return F.concat(F.lit("inv/"), (F.col("event_id") - replay).cast("string"))
-
-
-def _hours() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
-def start_time() -> Column:
-    return F.col("ts").cast("timestamp") + F.make_dt_interval(hours=_hours())
-
-
-def end_time() -> Column:
-    return F.col("ts").cast("timestamp") + F.make_dt_interval(hours=_hours(), mins=F.lit(30))
-
-
-def host_email() -> Column:
-    number = F.col("user_id") % 20
-    return F.when(number != 0, F.concat(F.lit("host"), number.cast("string"), F.lit("@example.com")))
-
-
-def host_name() -> Column:
-    number = F.col("user_id") % 20
-    return F.when(number != 0, F.concat(F.lit("Host "), number.cast("string")))
-
-
-def utm_source() -> Column:
-    return F.when(_hours() >= 10, F.concat(F.lit("src"), (_hours() % 5).cast("string")))
-
-
-def event_kind() -> Column:
-    return F.when(F.col("event_id") % 7 == 0, "invitee.canceled").otherwise(CREATED)
+    return pin_utc(spark).read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
+
+
+# Columns of a booking event, by the rules of FIXTURES.md; ``k`` is the number in ``props``.
+# The number is taken out in a step of its own, so that the JSON is read once per row.
+WITH_NUMBER = ("*", "cast(get_json_object(props, '$.k') AS int) AS k")
+BOOKING = {
+    "booking_id": "concat('inv/', event_id - CASE WHEN event_id % 10 = 9 THEN 1 ELSE 0 END)",
+    "booking_date": "cast(ts AS timestamp)",
+    "invitee_email": "concat('user', user_id, '@example.com')",
+    "start_time": "cast(ts AS timestamp) + make_interval(0, 0, 0, 0, k)",
+    "end_time": "cast(ts AS timestamp) + make_interval(0, 0, 0, 0, k, 30)",
+    "host_email": "CASE WHEN user_id % 20 <> 0"
+    " THEN concat('host', user_id % 20, '@example.com') END",
+    "host_name": "CASE WHEN user_id % 20 <> 0 THEN concat('Host ', user_id % 20) END",
+    "utm_source": "CASE WHEN k >= 10 THEN concat('src', k % 5) END",
+    "event": f"CASE WHEN event_id % 7 = 0 THEN 'invitee.canceled' ELSE '{CREATED}' END",
+}
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat, typed booking events, ``event_id`` giving the order of arrival."""
-    return events(spark, sf_dir).select(
-        booking_id().alias("booking_id"),
-        F.col("ts").cast("timestamp").alias("booking_date"),
-        F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com")).alias(
-            "invitee_email"
-        ),
-        "event_type",
-        start_time().alias("start_time"),
-        end_time().alias("end_time"),
-        host_email().alias("host_email"),
-        host_name().alias("host_name"),
-        utm_source().alias("utm_source"),
-        event_kind().alias("event"),
-        "event_id",
+    columns = [f"{rule} AS {name}" for name, rule in BOOKING.items()]
+    return (
+        events(spark, sf_dir).selectExpr(*WITH_NUMBER).selectExpr("event_type", "event_id", *columns)
     )
 
 
@@ -101,17 +90,15 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spend records; one priority has no channel, some orders have no readable day."""
-    priority = F.col("o_orderpriority")
-    channel = (
-        F.when(priority == "1-URGENT", "facebook_paid_ads")
-        .when(priority == "2-HIGH", "youtube_paid_ads")
-        .when(priority == "4-NOT SPECIFIED", "linkedin_paid_ads")
-    )
-    return orders(spark, sf_dir).select(
-        channel.alias("channel"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
-        F.col("o_totalprice").alias("spend"),
+    """Spend records; some priorities have no channel."""
+    channel = """CASE o_orderpriority
+        WHEN '1-URGENT' THEN 'facebook_paid_ads'
+        WHEN '2-HIGH' THEN 'youtube_paid_ads'
+        WHEN '4-NOT SPECIFIED' THEN 'linkedin_paid_ads' END AS channel"""
+    return orders(spark, sf_dir).selectExpr(
+        channel,
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS date",
+        "o_totalprice AS spend",
         "o_orderkey",
         "o_orderstatus",
     )
@@ -173,46 +160,35 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records, arriving file by file."""
-    schema = events(spark, sf_dir).schema
-    return as_records(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+    return as_records(pin_utc(spark).readStream.schema(EVENTS).parquet(f"{sf_dir}/events*.parquet"))
+
+
+# A booking event as the JSON document a webhook sends.
+DOCUMENT = f"""to_json(struct(
+    {BOOKING["event"]} AS event,
+    date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS created_at,
+    struct(
+        {BOOKING["booking_id"]} AS uri,
+        {BOOKING["invitee_email"]} AS email,
+        CASE WHEN value >= 50 THEN 'true' WHEN value >= 10 THEN 'false' END AS rescheduled,
+        struct(
+            concat('https://booking.example/event_types/', event_type) AS event_type,
+            date_format({BOOKING["start_time"]}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS start_time,
+            date_format({BOOKING["end_time"]}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS end_time,
+            filter(
+                array(struct(
+                    {BOOKING["host_email"]} AS user_email,
+                    {BOOKING["host_name"]} AS user_name)),
+                host -> host.user_email IS NOT NULL) AS event_memberships) AS scheduled_event,
+        struct({BOOKING["utm_source"]} AS utm_source) AS tracking,
+        array(struct(
+            'amount' AS question,
+            cast(value AS string) AS answer,
+            0 AS position)) AS questions_and_answers) AS payload)) AS value"""
 
 
 def as_records(rows: DataFrame) -> DataFrame:
     """Events as webhook records: key, JSON body and arrival number."""
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-    member = F.struct(host_email().alias("user_email"), host_name().alias("user_name"))
-    no_members = F.array().cast("array<struct<user_email:string,user_name:string>>")
-    body = F.struct(
-        event_kind().alias("event"),
-        F.date_format("ts", iso).alias("created_at"),
-        F.struct(
-            booking_id().alias("uri"),
-            F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com")).alias(
-                "email"
-            ),
-            F.when(F.col("value") >= 50, "true").when(F.col("value") >= 10, "false").alias(
-                "rescheduled"
-            ),
-            F.struct(
-                F.concat(F.lit("https://booking.example/event_types/"), F.col("event_type")).alias(
-                    "event_type"
-                ),
-                F.date_format(start_time(), iso).alias("start_time"),
-                F.date_format(end_time(), iso).alias("end_time"),
-                F.when(host_email().isNull(), no_members)
-                .otherwise(F.array(member))
-                .alias("event_memberships"),
-            ).alias("scheduled_event"),
-            F.struct(utm_source().alias("utm_source")).alias("tracking"),
-            F.array(
-                F.struct(
-                    F.lit("amount").alias("question"),
-                    F.col("value").cast("string").alias("answer"),
-                    F.lit(0).alias("position"),
-                )
-            ).alias("questions_and_answers"),
-        ).alias("payload"),
-    )
-    return rows.select(
-        booking_id().alias("key"), F.to_json(body).alias("value"), F.col("event_id").alias("sequence")
+    return rows.selectExpr(*WITH_NUMBER).selectExpr(
+        f"{BOOKING['booking_id']} AS key", DOCUMENT, "event_id AS sequence"
     )
