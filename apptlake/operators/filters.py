@@ -42,5 +42,6 @@ def only_days(df: DataFrame, column: str, start: date | None, end: date | None)
 
 def typed_days(df: DataFrame, column: str, drop_bad: bool = True) -> DataFrame:
     """Make a column a date; unreadable values become null and, by default, lose their row."""
-    typed = df.withColumn(column, tolerant_day(F.col(column)))
+    is_date = df.schema[column].dataType.typeName() == "date"
+    typed = df if is_date else df.withColumn(column, tolerant_day(F.col(column)))
     return typed.dropna(subset=[column]) if drop_bad else typed

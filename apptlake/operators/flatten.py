@@ -41,7 +41,7 @@ MEMBERSHIPS = "payload.scheduled_event.event_memberships"
 def parse_documents(records: DataFrame, body: str = "value") -> DataFrame:
     """Parse JSON text into the webhook columns, keeping the other columns of the record.
 
-    A body that is no JSON object keeps its text in ``_corrupt_record`` and nulls elsewhere.
+    A body that cannot be read in full keeps its text in ``_corrupt_record``.
     """
     schema = f"{WEBHOOK}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -52,10 +52,10 @@ def parse_documents(records: DataFrame, body: str = "value") -> DataFrame:
     return records.select(*others, F.inline(document))
 
 
-def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good documents, quarantined records)."""
-    bad = F.col(CORRUPT).isNotNull()
-    return parsed.where(~bad).drop(CORRUPT), parsed.where(bad)
+def is_unreadable() -> Column:
+    """True of a body that gave no payload. A document with one misfit field is not lost for
+    it: the field is null and the rest is used."""
+    return F.col(CORRUPT).isNotNull() & F.col("payload").isNull()
 
 
 def _text(name: str) -> Column:

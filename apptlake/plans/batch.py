@@ -14,6 +14,8 @@ from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
 from apptlake.operators.changes import change_sets, compact, current, upsert
 from apptlake.operators.clean import clean_bookings, clean_spend
 from apptlake.plans import gold
+from apptlake.session import size_shuffles
+from apptlake.sources import files
 from apptlake.sources.documents import read_spend, yesterday
 from apptlake.sources.tables import load_or_empty, refresh
 from apptlake.streaming.ingest import start_bronze
@@ -111,6 +113,7 @@ def run_batch(
     """One batch run. Bookings are in place before spend is touched, so a failing spend file
     cannot hold them up."""
     ingest_bronze(spark, layout)
+    size_shuffles(spark, files.size_bytes(spark, layout.path("bronze")))
     refresh_silver_bookings(spark, layout, since)
     refresh_silver_spends(spark, layout, day)
     return refresh_gold(spark, layout)

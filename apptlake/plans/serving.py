@@ -131,8 +131,10 @@ def weekday_source_heatmap(distribution: DataFrame, sources: Sequence[str]) -> D
         .pivot("utm_source", list(sources))
         .agg(F.sum("booking_count"))
     )
-    spark = distribution.sparkSession
-    days = spark.createDataFrame(list(enumerate(WEEKDAYS)), "position int, day_of_week string")
+    names = F.array(*[F.lit(name) for name in WEEKDAYS])
+    days = distribution.sparkSession.range(1).select(
+        F.posexplode(names).alias("position", "day_of_week")
+    )
     # At most seven rows on either side: the weekdays are filtered above.
     return (
         days.join(F.broadcast(counts), "day_of_week", "left")

@@ -10,8 +10,9 @@ from pyspark.sql import SparkSession
 
 from apptlake.sources import files
 
-# One reducer should see about this much shuffled data before AQE merges or splits.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Input bytes per reducer, and the most reducers one shuffle is given.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MOST_PARTITIONS = 100_000
 
 
 def get_session(app_name: str = "apptlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,15 +42,17 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> int:
-    """Set the number of shuffle partitions from the bytes a job will move.
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to suit the bytes a job reads; never lower it.
 
     AQE merges small partitions but cannot raise the initial number, so a job over
     terabytes has to start high enough for a partition to fit in executor memory.
     """
-    wanted = max(1, -(-shuffled_bytes // TARGET_PARTITION_BYTES))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    setting = "spark.sql.shuffle.partitions"
+    wanted = min(MOST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION))
+    partitions = max(int(spark.conf.get(setting)), wanted)
+    spark.conf.set(setting, str(partitions))
+    return partitions
 
 
 @lru_cache(maxsize=None)

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def size_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path; zero if it is missing."""
+    fs, hadoop_path = _fs(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, not recursive; none if the folder is missing."""
     fs, hadoop_path = _fs(spark, path)

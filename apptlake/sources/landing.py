@@ -27,10 +27,10 @@ def landing_rows(records: DataFrame) -> DataFrame:
 def land(records: DataFrame, path: str) -> int:
     """Append records below ``date=``, many to a file; returns how many.
 
-    Rows are brought together by day first, so that a task writes few files rather than one
-    per day it saw. AQE splits a day that holds much of the batch over several tasks.
+    Bodies are the widest data there is, so they are not shuffled: records of a batch are of
+    one day or two, and a task writes one file for each.
     """
-    return append(landing_rows(records).hint("rebalance", F.col("date")), path, "date")
+    return append(landing_rows(records), path, "date")
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:

@@ -42,6 +42,12 @@ def append(df: DataFrame, path: str, partition_by: str, fmt: str = "parquet") ->
     return seen.get["rows"]
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and read it back: what several consumers share is then worked out once."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refresh(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Replace a whole table and return its new row count."""
     rows, seen = counted(df, f"refresh {path}")

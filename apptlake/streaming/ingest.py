@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
-from apptlake.operators.flatten import bronze_rows, parse_documents, split_corrupt, with_lineage
+from apptlake.operators.flatten import (
+    CORRUPT,
+    bronze_rows,
+    is_unreadable,
+    parse_documents,
+    with_lineage,
+)
 from apptlake.schemas import LANDING
 from apptlake.sources.landing import land
 from apptlake.sources.tables import append
@@ -53,7 +59,7 @@ def start_bronze(
     bronze: str,
     quarantine: str,
     checkpoint: str,
-    max_files_per_batch: int = 10_000,
+    max_files_per_batch: int = 1_000,
 ) -> StreamingQuery:
     """Append what landed since the last run to bronze, malformed bodies to the quarantine.
 
@@ -78,15 +84,21 @@ def start_bronze(
 
 
 def append_bronze(bodies: DataFrame, bronze: str, quarantine: str) -> int:
-    """Flatten bodies (``value``, ``source_file``) and append them; returns the rows appended."""
-    parsed = parse_documents(bodies.withColumn("raw", F.col("value"))).persist()
+    """Flatten bodies (``value``, ``source_file``) and append them; returns the rows appended.
+
+    The flat rows are kept for the second write, so that no body is parsed twice.
+    """
+    parsed = parse_documents(bodies).withColumn("unreadable", is_unreadable())
+    flat = bronze_rows(parsed, keep=("source_file", "unreadable", CORRUPT)).persist()
     try:
-        good, bad = split_corrupt(parsed)
-        flat = bronze_rows(good, keep=("source_file",))
-        rows = with_lineage(flat, F.col("source_file")).drop("source_file")
+        good = flat.where(~F.col("unreadable")).drop("unreadable", CORRUPT)
+        rows = with_lineage(good, F.col("source_file")).drop("source_file")
         written = append(rows, bronze, "ingest_date")
-        rejected = bad.select("raw", "source_file", F.current_date().alias("ingest_date"))
-        append(rejected, quarantine, "ingest_date")
+        bad = flat.where("unreadable").select(
+            F.col(CORRUPT).alias("value"), "source_file", F.current_date().alias("ingest_date")
+        )
+        if not bad.isEmpty():
+            append(bad, quarantine, "ingest_date")
         return written
     finally:
-        parsed.unpersist()
+        flat.unpersist()

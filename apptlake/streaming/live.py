@@ -13,7 +13,7 @@ from apptlake.functions.times import instant, written_day
 from apptlake.operators.changes import compact, current, upsert
 from apptlake.operators.conform import conform
 from apptlake.operators.dedup import latest_per_key, newest
-from apptlake.operators.flatten import CORRUPT, live_rows, parse_documents
+from apptlake.operators.flatten import live_rows, parse_documents
 from apptlake.schemas import LIVE_ITEMS, LIVE_SERVING
 
 # Fixed value: seconds between two pulls of the live stream.
@@ -26,9 +26,10 @@ LIVE_TABLE = f"{LIVE_ITEMS}, sequence bigint"
 def live_items(
     records: DataFrame, rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE
 ) -> DataFrame:
-    """Records to live items, on a static or streaming frame; malformed bodies give none."""
+    """Records to live items, on a static or streaming frame; unreadable bodies give none,
+    as they have no event kind."""
     parsed = parse_documents(records.select("value", "sequence"))
-    return live_rows(parsed.where(F.col(CORRUPT).isNull()), rules, keep=("sequence",))
+    return live_rows(parsed, rules, keep=("sequence",))
 
 
 def upsert_items(items: DataFrame, table: str, change_id: str) -> None:

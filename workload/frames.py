@@ -17,8 +17,9 @@ from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.filters import Selection
 from apptlake.operators.flatten import CREATED
 from apptlake.plans import gold
-from apptlake.plans.serving import labelled
-from apptlake.session import pin_utc
+from apptlake.plans.serving import labelled, meeting_load_combined
+from apptlake.session import pin_utc, scratch_path
+from apptlake.sources.tables import stored
 
 # Declared, so that no job has to read footers before the query starts.
 EVENTS = """
@@ -136,22 +137,29 @@ def _live_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch's bookings as a table, for views that draw on several gold tables."""
+    return stored(batch_silver(spark, sf_dir), scratch_path(spark, "silver"))
+
+
+def daily(silver_rows: DataFrame) -> DataFrame:
     """The batch's daily table, labelled for serving."""
-    return labelled(gold.bookings_by_source_daily(batch_silver(spark, sf_dir)))
+    return labelled(gold.bookings_by_source_daily(silver_rows))
 
 
-def distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = gold.bookings_by_source_daily(batch_silver(spark, sf_dir))
+def distribution(silver_rows: DataFrame) -> DataFrame:
+    days = gold.bookings_by_source_daily(silver_rows)
     return labelled(gold.booking_time_distribution(days))
 
 
-def cpb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.cpb_by_channel(batch_silver(spark, sf_dir), spends(spark, sf_dir))
+def cpb(spark: SparkSession, sf_dir: str, silver_rows: DataFrame) -> DataFrame:
+    return gold.cpb_by_channel(silver_rows, spends(spark, sf_dir))
 
 
-def batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.employee_meeting_load(batch_silver(spark, sf_dir))
+def meeting_load(spark: SparkSession, sf_dir: str, silver_rows: DataFrame) -> DataFrame:
+    return meeting_load_combined(
+        gold.employee_meeting_load(silver_rows), live(spark, sf_dir), TODAY
+    )
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,18 +171,22 @@ def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_records(pin_utc(spark).readStream.schema(EVENTS).parquet(f"{sf_dir}/events*.parquet"))
 
 
+def _iso(time: str) -> str:
+    return f"concat(replace(cast({time} AS string), ' ', 'T'), 'Z')"
+
+
 # A booking event as the JSON document a webhook sends.
 DOCUMENT = f"""to_json(struct(
     {BOOKING["event"]} AS event,
-    date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS created_at,
+    {_iso("ts")} AS created_at,
     struct(
         {BOOKING["booking_id"]} AS uri,
         {BOOKING["invitee_email"]} AS email,
         CASE WHEN value >= 50 THEN 'true' WHEN value >= 10 THEN 'false' END AS rescheduled,
         struct(
             concat('https://booking.example/event_types/', event_type) AS event_type,
-            date_format({BOOKING["start_time"]}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS start_time,
-            date_format({BOOKING["end_time"]}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS end_time,
+            {_iso(BOOKING["start_time"])} AS start_time,
+            {_iso(BOOKING["end_time"])} AS end_time,
             filter(
                 array(struct(
                     {BOOKING["host_email"]} AS user_email,

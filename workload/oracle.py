@@ -114,7 +114,6 @@ HEATMAP_COLUMNS = ", ".join(
 LIVE_ROWS = f"event = 'invitee.created' AND channel IN {PAID}"
 BY_ARRIVAL = "row_number() OVER (PARTITION BY booking_id ORDER BY event_id DESC)"
 URI = "'https://booking.example/event_types/' || event_type"
-ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
 
 ORACLE = {
     "silver_bookings": batch(
@@ -224,7 +223,8 @@ FROM events""",
     "live_transform": on(
         EVENTS,
         select=f"""SELECT booking_id, CAST({DAY} AS VARCHAR) AS booking_date, {URI} AS event_type,
-       strftime(start_time, {ISO}) AS start_time, strftime(end_time, {ISO}) AS end_time,
+       replace(CAST(start_time AS VARCHAR), ' ', 'T') || 'Z' AS start_time,
+       replace(CAST(end_time AS VARCHAR), ' ', 'T') || 'Z' AS end_time,
        host_email, host_name, utm_source, channel, event_id AS sequence
 FROM bk WHERE {LIVE_ROWS}""",
     ),

@@ -28,7 +28,7 @@ from apptlake.plans import gold, serving
 from apptlake.session import scratch_path
 from apptlake.sources import landing
 from apptlake.sources.documents import read_documents
-from apptlake.sources.tables import append, read_table
+from apptlake.sources.tables import append, read_table, stored
 from apptlake.streaming import live as live_layer
 from apptlake.streaming.ingest import start_tee
 from apptlake.streaming.live import live_items, start_dedup_append, start_live, typed_live
@@ -108,49 +108,55 @@ def _rounded(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.round(column, 6))
 
 
-def _combined(spark, sf_dir):
-    merged = serving.combined_daily(frames.daily(spark, sf_dir), frames.live(spark, sf_dir))
-    return serving.in_selection(merged, frames.CHOSEN)
+def _in_selection(df: DataFrame) -> DataFrame:
+    return serving.in_selection(df, frames.CHOSEN)
+
+
+def _batch_cpb(spark, sf_dir):
+    return frames.cpb(spark, sf_dir, frames.batch_silver(spark, sf_dir))
+
+
+def _batch_distribution(spark, sf_dir):
+    return _in_selection(frames.distribution(frames.batch_silver(spark, sf_dir)))
 
 
 def _meeting_load(spark, sf_dir):
-    return serving.meeting_load_combined(
-        frames.batch_load(spark, sf_dir), frames.live(spark, sf_dir), frames.TODAY
-    )
+    return frames.meeting_load(spark, sf_dir, frames.batch_silver(spark, sf_dir))
 
 
 @query
 def combined_daily(spark, sf_dir):
-    return serving.daily_trend(_combined(spark, sf_dir))
+    daily = stored(
+        frames.daily(frames.batch_silver(spark, sf_dir)), scratch_path(spark, "daily")
+    )
+    merged = serving.combined_daily(daily, frames.live(spark, sf_dir))
+    return serving.daily_trend(_in_selection(merged))
 
 
 @query
 def time_distribution_filtered(spark, sf_dir):
-    return serving.in_selection(frames.distribution(spark, sf_dir), frames.CHOSEN)
+    return _batch_distribution(spark, sf_dir)
 
 
 @query
 def cpb_filtered(spark, sf_dir):
-    return _rounded(
-        serving.channels_by_cost(frames.cpb(spark, sf_dir), frames.CHOSEN), "cost_per_booking"
-    )
+    chosen = serving.channels_by_cost(_batch_cpb(spark, sf_dir), frames.CHOSEN)
+    return _rounded(chosen, "cost_per_booking")
 
 
 @query
 def channel_leaderboard(spark, sf_dir):
-    return _rounded(
-        serving.channel_leaderboard(frames.cpb(spark, sf_dir), frames.CHOSEN), "cost_per_booking"
-    )
+    board = serving.channel_leaderboard(_batch_cpb(spark, sf_dir), frames.CHOSEN)
+    return _rounded(board, "cost_per_booking")
 
 
 @query
 def kpi_summary(spark, sf_dir):
-    cpb = only_values(frames.cpb(spark, sf_dir), "channel", frames.CHANNELS)
+    silver, live = frames.stored_silver(spark, sf_dir), frames.live(spark, sf_dir)
+    merged = serving.combined_daily(frames.daily(silver), live)
+    cpb = only_values(frames.cpb(spark, sf_dir, silver), "channel", frames.CHANNELS)
     figures = serving.kpi_summary(
-        _combined(spark, sf_dir),
-        frames.live(spark, sf_dir),
-        cpb,
-        frames.batch_load(spark, sf_dir),
+        _in_selection(merged), live, cpb, gold.employee_meeting_load(silver)
     )
     return _rounded(figures, "avg_cost_per_booking")
 
@@ -167,14 +173,12 @@ def recent_live_bookings(spark, sf_dir):
 
 @query
 def weekday_source_heatmap(spark, sf_dir):
-    chosen = serving.in_selection(frames.distribution(spark, sf_dir), frames.CHOSEN)
-    return serving.weekday_source_heatmap(chosen, frames.SOURCES)
+    return serving.weekday_source_heatmap(_batch_distribution(spark, sf_dir), frames.SOURCES)
 
 
 @query
 def weekday_source_totals(spark, sf_dir):
-    chosen = serving.in_selection(frames.distribution(spark, sf_dir), frames.CHOSEN)
-    return serving.weekday_source_totals(chosen)
+    return serving.weekday_source_totals(_batch_distribution(spark, sf_dir))
 
 
 @query
@@ -199,17 +203,18 @@ def host_weekly_trend(spark, sf_dir):
 
 @query
 def filter_domain(spark, sf_dir):
+    silver = frames.stored_silver(spark, sf_dir)
     return serving.filter_domain(
-        frames.daily(spark, sf_dir),
-        frames.cpb(spark, sf_dir),
-        _meeting_load(spark, sf_dir),
+        frames.daily(silver),
+        frames.cpb(spark, sf_dir, silver),
+        frames.meeting_load(spark, sf_dir, silver),
         frames.TODAY,
     )
 
 
 @query
 def batch_freshness(spark, sf_dir):
-    return serving.batch_freshness(frames.daily(spark, sf_dir))
+    return serving.batch_freshness(frames.daily(frames.batch_silver(spark, sf_dir)))
 
 
 # ---- documents ----
