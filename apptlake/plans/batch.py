@@ -17,7 +17,7 @@ from apptlake.plans import gold
 from apptlake.session import size_shuffles
 from apptlake.sources import files
 from apptlake.sources.documents import read_spend, yesterday
-from apptlake.sources.tables import load_or_empty, refresh
+from apptlake.sources.tables import load_if_present, refresh
 from apptlake.streaming.ingest import start_bronze
 
 BOOKING_KEY = ["booking_id"]
@@ -59,7 +59,7 @@ def refresh_silver_bookings(
     spark: SparkSession, layout: Layout, since: date | None = None, created_only: bool = False
 ) -> bool:
     """Upsert bookings from bronze; ``since`` reads only the days ingested from then on."""
-    bronze = load_or_empty(spark, layout.path("bronze"), schemas.BRONZE)
+    bronze = load_if_present(spark, layout.path("bronze"), schemas.BRONZE)
     if since is not None:
         bronze = bronze.where(F.col("ingest_date") >= F.lit(since))
     if bronze.isEmpty():
@@ -96,7 +96,7 @@ def refresh_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     rows = {}
     daily_path = layout.path("gold/bookings_by_source_daily")
     rows["bookings_by_source_daily"] = refresh(gold.bookings_by_source_daily(bookings), daily_path)
-    daily = load_or_empty(spark, daily_path, schemas.GOLD_BOOKINGS_BY_SOURCE_DAILY)
+    daily = load_if_present(spark, daily_path, schemas.GOLD_BOOKINGS_BY_SOURCE_DAILY)
     tables = {
         "booking_time_distribution": gold.booking_time_distribution(daily),
         "cpb_by_channel": gold.cpb_by_channel(bookings, silver_spends(spark, layout)),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +19,26 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge: bool
     return spark.read.format(fmt).option("mergeSchema", str(merge).lower()).load(path)
 
 
-def load_or_empty(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") -> DataFrame:
-    """Read a table in its expected shape, or an empty one of that shape if it cannot be read."""
+def load_if_present(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") -> DataFrame:
+    """Read a table in its expected shape; a missing or fileless one is empty.
+
+    For jobs: a table that is there but cannot be read is an error.
+    """
     try:
         return conform(spark.read.format(fmt).load(path), ddl)
-    except PySparkException as error:
-        log.warning("no table at %s, taken as empty: %s", path, error.getCondition())
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return empty_frame(spark, ddl)
+
+
+def load_or_empty(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") -> DataFrame:
+    """The same for serving views, which show what they can: any table that does not open is
+    empty, with a warning."""
+    try:
+        return load_if_present(spark, path, ddl, fmt)
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("table at %s cannot be read, taken as empty: %s", path, error)
         return empty_frame(spark, ddl)
 
 

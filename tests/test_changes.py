@@ -1,0 +1,156 @@
+from __future__ import annotations
+
+import tempfile
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+
+from apptlake.operators.changes import (
+    change_sets,
+    compact,
+    current,
+    merge_into_table,
+    upsert,
+)
+from apptlake.operators.dedup import newest
+from samples import values
+
+DDL = "k string, d int, v int"
+KEYS = ["k", "d"]
+
+
+def rows(spark, *data):
+    return spark.createDataFrame(list(data), DDL)
+
+
+def table(spark, folder, **options):
+    return values(current(spark, folder, DDL, KEYS, **options))
+
+
+def test_missing_table_is_empty_and_first_upsert_creates_it(spark, folder):
+    assert table(spark, folder) == []
+    upsert(rows(spark, ("a", 1, 1)), folder, KEYS)
+    assert table(spark, folder) == [("a", 1, 1)]
+
+
+def test_matches_are_replaced_others_kept_and_inserted(spark, folder):
+    upsert(rows(spark, ("a", 1, 1), ("b", 1, 1)), folder, KEYS)
+    upsert(rows(spark, ("b", 1, 2), ("c", 1, 2)), folder, KEYS)
+    assert table(spark, folder) == [("a", 1, 1), ("b", 1, 2), ("c", 1, 2)]
+
+
+def test_rows_with_a_null_key_are_inserted_anew_by_each_batch(spark, folder):
+    upsert(rows(spark, ("a", None, 1)), folder, KEYS)
+    upsert(rows(spark, ("a", None, 1)), folder, KEYS)
+    assert table(spark, folder) == [("a", None, 1), ("a", None, 1)]
+    assert table(spark, folder, null_safe=True) == [("a", None, 1)]
+
+
+def test_equal_and_unequal_rows_with_a_null_key_all_stay(spark, folder):
+    batch = [("a", None, 1), ("a", None, 1), ("a", None, 2)]
+    upsert(rows(spark, *batch), folder, KEYS)
+    assert table(spark, folder) == batch
+    upsert(rows(spark, ("z", 1, 1)), folder, KEYS)
+    assert table(spark, folder) == [*batch, ("z", 1, 1)]
+
+
+def test_a_replayed_batch_changes_nothing(spark, folder):
+    batch = rows(spark, ("a", 1, 1), ("b", None, 1), ("b", None, 1))
+    upsert(batch, folder, KEYS, change_id="day-1")
+    once = table(spark, folder)
+    upsert(batch, folder, KEYS, change_id="day-1")
+    assert table(spark, folder) == once
+
+
+def test_a_repeated_source_key_fails_and_leaves_the_table_alone(spark, folder):
+    upsert(rows(spark, ("a", 1, 1)), folder, KEYS)
+    with pytest.raises(PySparkException, match="several source rows"):
+        upsert(rows(spark, ("a", 1, 2), ("a", 1, 3)), folder, KEYS)
+    assert table(spark, folder) == [("a", 1, 1)]
+    upsert(rows(spark, ("a", 1, 4)), folder, KEYS)
+    assert table(spark, folder) == [("a", 1, 4)]
+
+
+def test_a_change_set_without_its_success_mark_is_not_read(spark, folder):
+    upsert(rows(spark, ("a", 1, 1)), folder, KEYS)
+    rows(spark, ("a", 1, 9)).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{folder}/change_seq=1")
+    assert change_sets(spark, folder) == [0]
+    assert table(spark, folder) == [("a", 1, 1)]
+    assert upsert(rows(spark, ("a", 1, 2)), folder, KEYS) == 2
+    assert table(spark, folder) == [("a", 1, 2)]
+
+
+def test_compaction_keeps_the_table(spark, folder):
+    upsert(rows(spark, ("a", 1, 1), ("n", None, 1), ("n", None, 1)), folder, KEYS)
+    upsert(rows(spark, ("a", 1, 2), ("n", None, 1)), folder, KEYS)
+    before = table(spark, folder)
+    assert compact(spark, folder, DDL, KEYS) == 2
+    assert change_sets(spark, folder) == [2]
+    assert table(spark, folder) == before
+    plan = current(spark, folder, DDL, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_old_sets_left_behind_by_a_crash_do_not_change_the_table(spark, folder):
+    upsert(rows(spark, ("a", 1, 1), ("n", None, 1)), folder, KEYS)
+    upsert(rows(spark, ("a", 1, 2)), folder, KEYS)
+    before = table(spark, folder)
+    both = spark.read.option("basePath", folder).parquet(f"{folder}/change_seq=0")
+    both = both.unionByName(spark.read.option("basePath", folder).parquet(f"{folder}/change_seq=1"))
+    kept = both.where("v = 2 or k = 'n'").drop("change_seq")
+    kept.write.parquet(f"{folder}/change_seq=2")
+    assert table(spark, folder) == before
+
+
+def test_compacting_a_missing_table_does_nothing(spark, folder):
+    assert compact(spark, folder, DDL, KEYS) is None
+
+
+def test_order_by_content_beats_arrival(spark, folder):
+    upsert(rows(spark, ("a", 1, 9)), folder, KEYS)
+    upsert(rows(spark, ("a", 1, 3)), folder, KEYS)
+    assert table(spark, folder) == [("a", 1, 3)]
+    assert table(spark, folder, order_by=newest("v")) == [("a", 1, 9)]
+
+
+def test_the_check_adds_no_shuffle_to_a_deduplicated_source(spark):
+    from apptlake.operators.changes import _identified
+    from apptlake.operators.dedup import latest_per_key
+
+    source = spark.range(10).selectExpr("string(id) k", "int(id) d", "int(id) v")
+    single = latest_per_key(source, KEYS, newest("v"))
+    plan = _identified(single, KEYS, "x")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_merge_into_needs_a_table_with_row_level_merge(spark, folder):
+    spark.sql(f"CREATE TABLE plain (k string, d int, v int) USING parquet LOCATION '{folder}/t'")
+    try:
+        with pytest.raises(PySparkException, match="MERGE"):
+            merge_into_table(rows(spark, ("a", 1, 1)), "plain", KEYS)
+    finally:
+        spark.sql("DROP TABLE plain")
+
+
+BATCH = st.dictionaries(
+    st.tuples(st.sampled_from("abc"), st.integers(0, 2)), st.integers(0, 99), min_size=1, max_size=6
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(batches=st.lists(BATCH, min_size=1, max_size=3), folding=st.booleans())
+def test_upserts_act_like_a_dictionary(spark, batches, folding):
+    folder, want = tempfile.mkdtemp(), {}
+    for batch in batches:
+        want |= batch
+        data = rows(spark, *[(*key, value) for key, value in batch.items()])
+        upsert(data, folder, KEYS)
+        if folding:
+            compact(spark, folder, DDL, KEYS)
+        assert table(spark, folder) == sorted(((*k, v) for k, v in want.items()), key=str)
+    upsert(data, folder, KEYS)
+    assert table(spark, folder) == sorted(((*k, v) for k, v in want.items()), key=str)

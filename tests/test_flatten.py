@@ -1,0 +1,156 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from apptlake.functions.channels import channel_of
+from apptlake.functions.times import instant, spend_day, week_start, weekday_name, written_day
+from apptlake.operators.flatten import (
+    CORRUPT,
+    bronze_rows,
+    is_unreadable,
+    item_documents,
+    live_rows,
+    parse_documents,
+    with_lineage,
+)
+from apptlake.schemas import BRONZE, FLAT_COLUMNS
+from apptlake.operators.conform import fields_of
+from samples import FACEBOOK, TIKTOK, YOUTUBE, document, records, values
+
+
+def flat(spark, *bodies):
+    return bronze_rows(parse_documents(records(spark, bodies)))
+
+
+def test_full_document_gives_typed_columns(spark):
+    rows = flat(spark, document())
+    assert tuple(rows.columns) == FLAT_COLUMNS
+    declared = {field.name: field.dataType for field in fields_of(BRONZE)}
+    assert {f.name: f.dataType for f in rows.schema} == {n: declared[n] for n in FLAT_COLUMNS}
+    row = rows.first()
+    assert row.booking_id == "https://api.example.com/inv/a1"
+    assert row.booking_date == datetime(2026, 3, 1, 9)
+    assert row.start_time == datetime(2026, 3, 2, 10)
+    assert (row.host_email, row.host_name) == ("host@example.com", "Host")
+    assert (row.utm_source, row.utm_medium, row.utm_term) == ("news", "mail", None)
+    assert row.was_rescheduled is False
+    assert row.questions_and_answers[0].answer == "Because"
+
+
+@pytest.mark.parametrize("memberships", [[], None])
+def test_no_members_gives_null_host(spark, memberships):
+    row = flat(spark, document(memberships=memberships)).first()
+    assert (row.host_email, row.host_name) == (None, None)
+
+
+def test_first_of_several_members_is_taken(spark):
+    members = [{"user_email": f"h{n}@x", "user_name": f"H{n}"} for n in range(3)]
+    assert flat(spark, document(memberships=members)).first().host_email == "h0@x"
+
+
+def test_bad_times_and_flags_become_null_and_keep_the_row(spark):
+    body = document(created_at="soon", start_time="", payload={"rescheduled": "perhaps"})
+    row = flat(spark, body).first()
+    assert (row.booking_date, row.start_time, row.was_rescheduled) == (None, None, None)
+    assert row.booking_id is not None
+
+
+def test_unknown_fields_are_ignored_and_missing_ones_null(spark):
+    body = document(payload={"extra": {"deep": 1}})
+    del body["payload"]["tracking"]
+    del body["payload"]["scheduled_event"]["name"]
+    row = flat(spark, body).first()
+    assert (row.utm_source, row.event_name) == (None, None)
+    assert row.event_type == FACEBOOK
+
+
+def test_unreadable_bodies_are_marked(spark):
+    parsed = parse_documents(records(spark, [document(), "{broken", "plain text"]))
+    marked = parsed.select("sequence", is_unreadable().alias("bad"), CORRUPT)
+    assert values(marked) == [(0, False, None), (1, True, "{broken"), (2, True, "plain text")]
+
+
+def test_one_misfit_field_does_not_lose_the_document(spark):
+    body = document()
+    body["payload"]["questions_and_answers"][0]["position"] = "first"
+    parsed = parse_documents(records(spark, [body]))
+    assert parsed.select(is_unreadable()).first()[0] is False
+    row = bronze_rows(parsed).first()
+    assert (row.booking_id, row.event_type) == ("https://api.example.com/inv/a1", FACEBOOK)
+
+
+def test_bodies_are_parsed_once_even_under_filters(spark):
+    items = live_rows(parse_documents(records(spark, [document()])))
+    plan = items._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+@pytest.mark.parametrize(
+    ("event_type", "channel"),
+    [
+        (FACEBOOK, "facebook_paid_ads"),
+        (YOUTUBE, "youtube_paid_ads"),
+        (f"x{TIKTOK}?ref=1", "tiktok_paid_ads"),
+        ("https://api.example.com/event_types/other", "other_event"),
+        ("", "other_event"),
+        (None, "other_event"),
+    ],
+)
+def test_channel_of_event_type(spark, event_type, channel):
+    df = spark.createDataFrame([(event_type,)], "event_type string")
+    assert df.select(channel_of(F.col("event_type"))).first()[0] == channel
+
+
+def test_first_matching_rule_wins(spark):
+    df = spark.createDataFrame([("ab",)], "t string")
+    assert df.select(channel_of(F.col("t"), {"b": "second", "a": "first"})).first()[0] == "second"
+
+
+def test_live_rows_keep_created_paid_events_as_text(spark):
+    bodies = [
+        document("u/1", created_at="2026-03-01T23:30:00-05:00"),
+        document("u/2", event="invitee.canceled"),
+        document("u/3", event_type="unknown"),
+        document(None, event_type=YOUTUBE),
+        "{broken",
+    ]
+    rows = live_rows(parse_documents(records(spark, bodies)))
+    assert {f.dataType.typeName() for f in rows.schema} == {"string"}
+    assert values(rows, "booking_id", "booking_date", "channel") == [
+        ("u/1", "2026-03-01", "facebook_paid_ads"),
+        (None, "2026-03-01", "youtube_paid_ads"),
+    ]
+    assert len(rows.first().ingested_at) == len("2026-03-01T00:00:00")
+
+
+def test_late_evening_with_offset_is_next_day_in_batch_and_written_day_live(spark):
+    row = flat(spark, document(created_at="2026-03-01T23:30:00-05:00")).first()
+    assert row.booking_date == datetime(2026, 3, 2, 4, 30)
+    df = spark.createDataFrame([("2026-03-01T23:30:00-05:00",)], "t string")
+    assert df.select(written_day(F.col("t"))).first()[0] == date(2026, 3, 1)
+
+
+def test_times_are_tolerant(spark):
+    df = spark.createDataFrame([("2026-03-01",), ("01/03/2026",), (None,)], "t string")
+    assert [r[0] for r in df.select(spend_day(F.col("t"))).collect()] == [date(2026, 3, 1), None, None]
+    assert df.select(instant(F.col("t"))).collect()[1][0] is None
+
+
+def test_sunday_belongs_to_the_week_of_the_monday_before(spark):
+    df = spark.createDataFrame([(datetime(2026, 3, 1, 23),)], "t timestamp")
+    row = df.select(week_start(F.col("t")), weekday_name(F.col("t"))).first()
+    assert tuple(row) == (date(2026, 2, 23), "Sunday")
+
+
+def test_lineage_columns(spark):
+    row = with_lineage(flat(spark, document()), F.lit("a.json")).first()
+    assert row._source_file == "a.json"
+    assert row._ingested_at is not None and row.ingest_date is not None
+
+
+def test_item_documents_leave_out_nulls(spark):
+    df = spark.createDataFrame([("a", None, "x")], "booking_id string, b string, c string")
+    assert item_documents(df).first().item == '{"booking_id":"a","c":"x"}'
