@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake.operators.conform import conform, empty_frame
+from apptlake.sources import files
 
 log = logging.getLogger(__name__)
 
@@ -24,10 +25,12 @@ def load_if_present(spark: SparkSession, path: str, ddl: str, fmt: str = "parque
 
     For jobs: a table that is there but cannot be read is an error.
     """
+    if not files.exists(spark, path):
+        return empty_frame(spark, ddl)
     try:
         return conform(spark.read.format(fmt).load(path), ddl)
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return empty_frame(spark, ddl)
 

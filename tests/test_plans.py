@@ -1,0 +1,79 @@
+"""Properties of the physical plans that matter at scale."""
+
+from __future__ import annotations
+
+import pytest
+
+from apptlake import schemas
+from apptlake.operators.changes import current, upsert
+from apptlake.operators.clean import clean_bookings
+from apptlake.plans import gold, serving
+from apptlake.sources.tables import load_or_empty
+from apptlake.streaming.ingest import append_bronze
+from samples import bronze, document, records
+from workload import frames
+from workload.queries import REGISTERED
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+LAZY = sorted(
+    set(REGISTERED)
+    - {
+        "scan_raw_json",
+        "land_raw",
+        "bronze_append_evolve",
+        "upsert_bookings",
+        "upsert_spend",
+        "stream_live_bookings",
+        "tee_landing_and_live",
+        "stream_dedup_append",
+    }
+)
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_python_and_no_cross_join(spark, name):
+    plan = plan_of(REGISTERED[name](spark, SF_DIR))
+    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
+
+
+def test_silver_takes_one_shuffle(spark):
+    plan = plan_of(frames.silver(spark, SF_DIR))
+    assert plan.count("Exchange") == 1
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_bronze_scan_is_pruned_and_filtered(spark, folder):
+    append_bronze(records(spark, [document()]).selectExpr("value", "'f' source_file"), folder, "")
+    table = spark.read.schema(schemas.BRONZE).parquet(folder)
+    plan = plan_of(clean_bookings(table.where("ingest_date >= date'2020-01-01'")))
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "IsNotNull(invitee_email)" in pushed and "IsNotNull(booking_id)" in pushed
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    for unread in ("questions_and_answers", "utm_medium", "invitee_first_name", "event_name"):
+        assert unread not in plan
+
+
+def test_gold_reads_only_its_columns(spark, folder):
+    upsert(clean_bookings(bronze(spark, [{}])), folder, ["booking_id"])
+    silver = current(spark, folder, schemas.SILVER_BOOKINGS, ["booking_id"])
+    plan = plan_of(gold.bookings_by_source_daily(silver))
+    assert "ReadSchema: struct<booking_id:string,booking_date:timestamp,utm_source:string>" in plan
+    assert "partial_count" in plan and plan.count("Exchange") == 1
+
+
+def test_last_batch_day_reaches_the_live_filter(spark, folder):
+    load_or_empty(spark, f"{folder}/none", schemas.LIVE_SERVING).write.parquet(f"{folder}/live")
+    live = spark.read.schema(schemas.LIVE_SERVING).parquet(f"{folder}/live")
+    daily = load_or_empty(spark, f"{folder}/none", schemas.GOLD_BOOKINGS_BY_SOURCE_DAILY)
+    daily.write.parquet(f"{folder}/daily")
+    daily = spark.read.schema(schemas.GOLD_BOOKINGS_BY_SOURCE_DAILY).parquet(f"{folder}/daily")
+    plan = plan_of(serving.combined_daily(daily, live))
+    assert "booking_date#" in plan and "> Subquery subquery" in plan
+    assert "Join" not in plan
