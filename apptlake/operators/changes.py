@@ -42,18 +42,24 @@ def change_sets(spark: SparkSession, path: str) -> list[int]:
     return [seq for seq in started if files.exists(spark, f"{_set_path(path, seq)}/_SUCCESS")]
 
 
-def _identified(source: DataFrame, keys: Sequence[str], change_id: str) -> DataFrame:
-    """Add the row identity, and fail the job on a full key that occurs twice.
+def _unkeyed(keys: Sequence[str]) -> Column:
+    return F.greatest(*[F.col(key).isNull() for key in keys], F.lit(False))
 
-    Costs no shuffle when the source already comes out of ``latest_per_key`` on these keys.
-    """
-    unkeyed = F.greatest(*[F.col(key).isNull() for key in keys], F.lit(False))
+
+def _identified_unique(source: DataFrame, keys: Sequence[str], change_id: str) -> DataFrame:
+    """Add the row identity to a source that has one row per key, null or not."""
+    row_id = F.concat_ws("/", F.lit(change_id), F.xxhash64(*source.columns), F.lit(1))
+    return source.withColumn(ROW_ID, F.when(_unkeyed(keys), row_id))
+
+
+def _identified(source: DataFrame, keys: Sequence[str], change_id: str) -> DataFrame:
+    """Add the row identity, and fail the job on a full key that occurs twice."""
     row_hash = F.when(F.col("_unkeyed"), F.xxhash64(*source.columns))
     window = Window.partitionBy(*keys, "_row_hash").orderBy("_row_hash")
     message = F.concat(F.lit("several source rows for one key: "), F.to_json(F.struct(*keys)))
     row_id = F.concat_ws("/", F.lit(change_id), F.col("_row_hash"), F.col("_nth"))
     return (
-        source.withColumn("_unkeyed", unkeyed)
+        source.withColumn("_unkeyed", _unkeyed(keys))
         .withColumn("_row_hash", row_hash)
         .withColumn("_nth", F.row_number().over(window))
         .select(
@@ -65,14 +71,23 @@ def _identified(source: DataFrame, keys: Sequence[str], change_id: str) -> DataF
     )
 
 
-def upsert(source: DataFrame, path: str, keys: Sequence[str], change_id: str | None = None) -> int:
+def upsert(
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    change_id: str | None = None,
+    unique: bool = False,
+) -> int:
     """Insert the source rows, replacing rows of equal keys; returns the change set's number.
 
     The first upsert creates the table. ``change_id`` names the batch: give a replay the
     same name as its first try, so that rows with a null key are not inserted a second time.
+    A key that occurs twice fails the job. That check shuffles the source by key; say
+    ``unique`` for a source that ``latest_per_key`` has just made one row per key.
     """
     seq = max(_started_sets(source.sparkSession, path), default=-1) + 1
-    rows = _identified(source, keys, change_id or f"change-{seq}")
+    identified = _identified_unique if unique else _identified
+    rows = identified(source, keys, change_id or f"change-{seq}")
     rows.write.mode("errorifexists").parquet(_set_path(path, seq))
     return seq
 

@@ -66,7 +66,7 @@ def refresh_silver_bookings(
         return False
     rows = clean_bookings(bronze, layout.rules, created_only=created_only)
     path = layout.path("silver/bookings")
-    upsert(rows, path, BOOKING_KEY)
+    upsert(rows, path, BOOKING_KEY, unique=True)
     _fold(spark, layout, path, schemas.SILVER_BOOKINGS, BOOKING_KEY)
     return True
 

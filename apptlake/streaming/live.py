@@ -41,7 +41,7 @@ def upsert_items(items: DataFrame, table: str, change_id: str) -> None:
     batch = latest_per_key(keyed, LIVE_KEY, newest("sequence", "ingested_at")).persist()
     try:
         if not batch.isEmpty():
-            upsert(batch, table, LIVE_KEY, change_id)
+            upsert(batch, table, LIVE_KEY, change_id, unique=True)
     finally:
         batch.unpersist()
 

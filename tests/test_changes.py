@@ -8,13 +8,14 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from apptlake.operators.changes import (
+    _identified_unique,
     change_sets,
     compact,
     current,
     merge_into_table,
     upsert,
 )
-from apptlake.operators.dedup import newest
+from apptlake.operators.dedup import latest_per_key, newest
 from samples import values
 
 DDL = "k string, d int, v int"
@@ -117,14 +118,13 @@ def test_order_by_content_beats_arrival(spark, folder):
     assert table(spark, folder, order_by=newest("v")) == [("a", 1, 9)]
 
 
-def test_the_check_adds_no_shuffle_to_a_deduplicated_source(spark):
-    from apptlake.operators.changes import _identified
-    from apptlake.operators.dedup import latest_per_key
-
-    source = spark.range(10).selectExpr("string(id) k", "int(id) d", "int(id) v")
-    single = latest_per_key(source, KEYS, newest("v"))
-    plan = _identified(single, KEYS, "x")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_a_source_known_to_be_unique_is_not_shuffled_again(spark, folder):
+    source = rows(spark, ("a", 1, 1), ("b", None, 1), ("c", None, 1))
+    upsert(latest_per_key(source, KEYS, newest("v")), folder, KEYS, "day-1", unique=True)
+    upsert(latest_per_key(source, KEYS, newest("v")), folder, KEYS, "day-1", unique=True)
+    assert table(spark, folder) == [("a", 1, 1), ("b", None, 1), ("c", None, 1)]
+    plan = _identified_unique(source, KEYS, "x")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_merge_into_needs_a_table_with_row_level_merge(spark, folder):

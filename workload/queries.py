@@ -355,7 +355,8 @@ def upsert_bookings(spark, sf_dir):
     rows = frames.bronze(spark, sf_dir)
     day = F.to_date("booking_date")
     for part in (rows.where(day <= F.lit(frames.CUTOFF)), rows.where(day >= F.lit(frames.CUTOFF))):
-        upsert(clean.clean_bookings(part, frames.RULES, frames.ORDER), folder, ["booking_id"])
+        silver = clean.clean_bookings(part, frames.RULES, frames.ORDER)
+        upsert(silver, folder, ["booking_id"], unique=True)
     return plain_times(current(spark, folder, schemas.SILVER_BOOKINGS, ["booking_id"]))
 
 
