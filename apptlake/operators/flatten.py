@@ -38,12 +38,12 @@ TEXT_FIELDS = {
 MEMBERSHIPS = "payload.scheduled_event.event_memberships"
 
 
-def parse_documents(records: DataFrame, body: str = "value") -> DataFrame:
-    """Parse JSON text into the webhook columns, keeping the other columns of the record.
+def parse_documents(records: DataFrame, ddl: str = WEBHOOK, body: str = "value") -> DataFrame:
+    """Parse JSON text into the declared columns, keeping the other columns of the record.
 
     A body that cannot be read in full keeps its text in ``_corrupt_record``.
     """
-    schema = f"{WEBHOOK}, {CORRUPT} string"
+    schema = f"{ddl}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     others = [name for name in records.columns if name != body]
     # A filter moved below a projection would parse the text again for its own use; it stays

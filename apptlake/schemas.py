@@ -31,6 +31,20 @@ WEBHOOK = """
         questions_and_answers: array<struct<question: string, answer: string, position: int>>>
 """
 
+# The part of the document the live layer uses; the parser skips the rest.
+LIVE_WEBHOOK = """
+    event string,
+    created_at string,
+    payload struct<
+        uri: string,
+        scheduled_event: struct<
+            event_type: string,
+            start_time: string,
+            end_time: string,
+            event_memberships: array<struct<user_email: string, user_name: string>>>,
+        tracking: struct<utm_source: string>>
+"""
+
 SPEND = "channel string, date string, spend double"
 
 BRONZE = """

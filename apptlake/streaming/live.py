@@ -14,7 +14,7 @@ from apptlake.operators.changes import compact, current, upsert
 from apptlake.operators.conform import conform
 from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.flatten import live_rows, parse_documents
-from apptlake.schemas import LIVE_ITEMS, LIVE_SERVING
+from apptlake.schemas import LIVE_ITEMS, LIVE_SERVING, LIVE_WEBHOOK
 
 # Fixed value: seconds between two pulls of the live stream.
 PULL_SECONDS = 120
@@ -28,7 +28,7 @@ def live_items(
 ) -> DataFrame:
     """Records to live items, on a static or streaming frame; unreadable bodies give none,
     as they have no event kind."""
-    parsed = parse_documents(records.select("value", "sequence"))
+    parsed = parse_documents(records.select("value", "sequence"), LIVE_WEBHOOK)
     return live_rows(parsed, rules, keep=("sequence",))
 
 
