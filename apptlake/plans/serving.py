@@ -73,12 +73,18 @@ def channel_leaderboard(cpb: DataFrame, chosen: Selection) -> DataFrame:
 
 
 def kpi_summary(
-    daily: DataFrame, live: DataFrame, cpb: DataFrame, meeting_load: DataFrame
+    daily: DataFrame,
+    live: DataFrame,
+    cpb: DataFrame,
+    meeting_load: DataFrame,
+    as_of: date | None = None,
 ) -> DataFrame:
     """One row of headline figures.
 
-    ``daily`` and ``cpb`` come filtered. Spend is of all dates, hosts are of the batch only.
+    ``daily`` and ``cpb`` come filtered. Spend is of all dates, hosts are of the batch only,
+    and every live row counts unless ``as_of`` names the day to count.
     """
+    counted = live if as_of is None else live.where(F.col("booking_date") == F.lit(as_of))
     bookings = daily.agg(
         F.coalesce(F.sum("booking_count"), F.lit(0)).cast("bigint").alias("total_bookings")
     )
@@ -86,7 +92,7 @@ def kpi_summary(
     hosts = meeting_load.agg(F.count_distinct("host_email"))
     figures = bookings.select(
         "total_bookings",
-        live.agg(F.count(F.lit(1))).scalar().alias("live_bookings"),
+        counted.agg(F.count(F.lit(1))).scalar().alias("live_bookings"),
         spent.scalar().alias("total_spend"),
         hosts.scalar().alias("active_hosts"),
     )

@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 
 from apptlake.sources import files
 
+# Keeps streaming state on disk, so that it may outgrow an executor's memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Input bytes per reducer, and the most reducers one shuffle is given.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
 MOST_PARTITIONS = 100_000
@@ -26,6 +29,7 @@ def get_session(app_name: str = "apptlake", master: str | None = None, **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         # Building a plan takes many small steps; noting the calling line of each costs time.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -29,12 +29,17 @@ def yesterday() -> date:
     return date.today() - timedelta(days=1)
 
 
+def read_spend_files(spark: SparkSession, path: str) -> DataFrame:
+    """Spend records of all files below a path; a file holds one object or a list of them."""
+    return spark.read.schema(SPEND).option("multiLine", "true").json(path)
+
+
 def read_spend(spark: SparkSession, folder: str, day: date | None = None) -> DataFrame:
-    """Spend records of one day's file, which holds one object or a list of them.
+    """Spend records of one day's file; a day without a file gives no rows.
 
-    A day without a file gives no rows. The day defaults to yesterday.
+    The day defaults to yesterday.
     """
     path = spend_file(folder, day or yesterday())
     if not files.exists(spark, path):
         return empty_frame(spark, SPEND)
-    return spark.read.schema(SPEND).option("multiLine", "true").json(path)
+    return read_spend_files(spark, path)

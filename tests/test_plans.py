@@ -25,6 +25,7 @@ LAZY = sorted(
     set(REGISTERED)
     - {
         "scan_raw_json",
+        "scan_spend",
         "land_raw",
         "bronze_append_evolve",
         "upsert_bookings",

@@ -126,6 +126,12 @@ def test_kpi_summary(spark):
     }
 
 
+def test_live_count_can_be_of_one_day(spark):
+    stream = live(spark, [{"booking_id": "x", "booking_date": D1}, {"booking_id": "y"}])
+    tables = no_daily(spark), stream, cpb(spark), load(spark)
+    assert serving.kpi_summary(*tables, as_of=D2).first().live_bookings == 1
+
+
 def test_kpi_summary_of_nothing_is_zero(spark):
     figures = serving.kpi_summary(no_daily(spark), no_live(spark), cpb(spark), load(spark))
     assert tuple(figures.first()) == (0, 0, 0.0, 0, 0.0)

@@ -209,7 +209,7 @@ FROM bk""",
 SELECT event_id,
        CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN ts + INTERVAL 5 HOUR ELSE ts END
          AS booked_at,
-       CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS written_day
+       CASE WHEN event_type <> 'error' THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS written_day
 FROM events""",
     "tolerant_dates": (
         "SELECT event_id, CAST(ts AS DATE) AS booking_date FROM events WHERE event_type <> 'error'"
@@ -241,7 +241,10 @@ FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1""",
     "scan_raw_json": on(
         EVENTS,
         select=f"SELECT booking_id, booking_date, {URI} AS event_type, host_email, utm_source,"
-        f" {DAY} AS landing_date FROM bk",
+        f" CAST({DAY} AS VARCHAR) AS landing_date FROM bk",
+    ),
+    "scan_spend": on(
+        SPEND, select="SELECT channel, CAST(date AS VARCHAR) AS date, spend FROM sp"
     ),
     "land_raw": on(
         EVENTS,
@@ -307,7 +310,7 @@ FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1 GRO
 
 ORACLE["live_snapshot"] = ORACLE["stream_live_bookings"] = on(
     EVENTS,
-    select=f"""SELECT booking_id, {DAY} AS booking_date, channel, utm_source, host_email, host_name,
-       start_time, end_time
+    select=f"""SELECT booking_id, CAST({DAY} AS VARCHAR) AS booking_date, channel, utm_source,
+       host_email, host_name, start_time, end_time
 FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1""",
 )

@@ -27,7 +27,7 @@ from apptlake.operators.flatten import (
 from apptlake.plans import gold, serving
 from apptlake.session import scratch_path
 from apptlake.sources import landing
-from apptlake.sources.documents import read_documents
+from apptlake.sources.documents import read_documents, read_spend_files
 from apptlake.sources.tables import append, read_table, stored
 from apptlake.streaming import live as live_layer
 from apptlake.streaming.ingest import start_tee
@@ -44,11 +44,16 @@ def query(run: Query) -> Query:
 
 
 def plain_times(df: DataFrame) -> DataFrame:
-    """Timestamps without a zone, as the comparison reads them; the session zone is UTC."""
+    """Timestamps without a zone, for comparison; the session zone is UTC."""
     zoned = [field.name for field in df.schema if field.dataType.typeName() == "timestamp"]
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
 
+def _as_text(df: DataFrame, day: str) -> DataFrame:
+    """A day as ISO text where timestamps stand beside it, for comparison."""
+    return plain_times(df).withColumn(day, F.col(day).cast("string"))
+
+
 # ---- silver ----
 
 
@@ -267,7 +272,7 @@ def typed_times(spark, sf_dir):
         texts.select(
             "event_id",
             instant(F.col("created_at")).alias("booked_at"),
-            written_day(F.col("created_at")).alias("written_day"),
+            written_day(F.col("created_at")).cast("string").alias("written_day"),
         )
     )
 
@@ -320,11 +325,25 @@ def scan_raw_json(spark, sf_dir):
             "event_type",
             "host_email",
             "utm_source",
-            F.col("date").cast("date").alias("landing_date"),
+            F.col("date").cast("string").alias("landing_date"),
         )
     )
 
 
+@query
+def scan_spend(spark, sf_dir):
+    """Spend delivered as files of one list each: a month of at most three channels a day."""
+    folder = scratch_path(spark, "spend")
+    record = F.struct("channel", F.col("date").cast("string").alias("date"), "spend")
+    months = (
+        frames.spends(spark, sf_dir)
+        .groupBy(F.date_format("date", "yyyy-MM").alias("month"))
+        .agg(F.to_json(F.collect_list(record)).alias("value"))
+    )
+    months.write.mode("overwrite").partitionBy("month").text(folder)
+    return read_spend_files(spark, folder).select("channel", "date", "spend")
+
+
 @query
 def land_raw(spark, sf_dir):
     folder = scratch_path(spark, "landing")
@@ -381,14 +400,14 @@ def stream_live_bookings(spark, sf_dir):
     table, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "checkpoint")
     stream = frames.record_stream(spark, sf_dir)
     start_live(stream, table, checkpoint, frames.RULES, pull_seconds=None).awaitTermination()
-    return plain_times(live_layer.live_snapshot(spark, table, by_sequence=True))
+    return _as_text(live_layer.live_snapshot(spark, table, by_sequence=True), "booking_date")
 
 
 @query
 def live_snapshot(spark, sf_dir):
     items = live_items(frames.records(spark, sf_dir), frames.RULES)
     stored = latest_per_key(items, ["booking_id"], newest("sequence"))
-    return plain_times(typed_live(stored))
+    return _as_text(typed_live(stored), "booking_date")
 
 
 @query
