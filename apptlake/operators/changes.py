@@ -5,7 +5,7 @@ the whole table per run. Here ``upsert`` writes only its own rows, below
 ``change_seq=<n>``, and ``current`` resolves them. Nothing is overwritten, so a job that
 dies at any point leaves the table as it was, and a replayed batch resolves to the same
 rows. ``compact`` folds the change sets into one; a table of one set is read without a
-shuffle. One writer per table at a time is assumed.
+shuffle. One writer per table at a time is assumed; readers need no coordination.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from apptlake.sources import files
 
 SEQ = "change_seq"
 
+# Files in a set's folder: written by Spark when the job is done, and by ``compact``.
+COMPLETE, FOLDED = "_SUCCESS", "_FOLDED"
+
 # Null on rows with a full key. A row with a null key matches nothing, so it gets an
 # identity of its own: the batch it came with, a hash of the row, and its number among equals.
 ROW_ID = "unkeyed_row_id"
@@ -37,9 +40,19 @@ def _started_sets(spark: SparkSession, path: str) -> list[int]:
 
 
 def change_sets(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete change sets, in order; a set whose job died does not count."""
-    started = _started_sets(spark, path)
-    return [seq for seq in started if files.exists(spark, f"{_set_path(path, seq)}/_SUCCESS")]
+    """Numbers of the change sets that make up the table, in order.
+
+    These are the last folded set and the complete ones after it; a set whose job died does
+    not count. Only their folders are looked into, from the newest back.
+    """
+    needed = []
+    for seq in reversed(_started_sets(spark, path)):
+        names = files.child_names(spark, _set_path(path, seq))
+        if COMPLETE in names:
+            needed.append(seq)
+            if FOLDED in names:
+                break
+    return needed[::-1]
 
 
 def _unkeyed(keys: Sequence[str]) -> Column:
@@ -137,20 +150,23 @@ def compact(
     order_by: Sequence[Column] = (),
     null_safe: bool = False,
 ) -> int | None:
-    """Fold all change sets into a new one, then remove the old ones.
+    """Fold the change sets into a new one; returns its number, or None if there is one at most.
 
-    The old sets go only once the new one is complete, and until then both together resolve
-    to the same rows, so a crash in between does no harm. A reader that is still scanning
-    the old files fails and has to read again.
+    The sets just folded stay until the next call, for readers that are scanning them, so
+    the table takes up to twice its size. Before the new set is marked as folded, it and the
+    old ones together resolve to the same rows, so a crash in between does no harm.
     """
-    old = _started_sets(spark, path)
-    if not change_sets(spark, path):
+    folding = change_sets(spark, path)
+    if len(folding) <= 1:
         return None
-    seq = old[-1] + 1
+    started = _started_sets(spark, path)
+    seq = started[-1] + 1
     rows = _resolved(spark, path, ddl, keys, order_by, null_safe).drop(SEQ)
     rows.write.mode("errorifexists").parquet(_set_path(path, seq))
-    for number in old:
-        files.delete(spark, _set_path(path, number))
+    files.touch(spark, f"{_set_path(path, seq)}/{FOLDED}")
+    for number in started:
+        if number < folding[0]:
+            files.delete(spark, _set_path(path, number))
     return seq
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
 from apptlake.functions.times import instant, written_day
-from apptlake.operators.changes import compact, current, upsert
+from apptlake.operators.changes import change_sets, compact, current, upsert
 from apptlake.operators.conform import conform
 from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.flatten import live_rows, parse_documents
@@ -52,14 +52,21 @@ def start_live(
     checkpoint: str,
     rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     pull_seconds: int | None = PULL_SECONDS,
+    by_sequence: bool = False,
+    max_change_sets: int = 100,
 ) -> StreamingQuery:
     """Keep the live table up to date; ``pull_seconds=None`` takes what is there and stops.
 
     A restart goes on from the checkpoint. A batch that runs twice resolves to the same rows.
+    When micro-batches have left more than ``max_change_sets``, they are folded into one;
+    ``by_sequence`` has to be the same here as for the readers of the table.
     """
 
     def write(items: DataFrame, batch_id: int) -> None:
         upsert_items(items, table, f"live-{batch_id}")
+        spark = items.sparkSession
+        if len(change_sets(spark, table)) > max_change_sets:
+            compact_live(spark, table, by_sequence)
 
     writer = live_items(records, rules).writeStream.foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint)
@@ -91,7 +98,7 @@ def typed_live(items: DataFrame) -> DataFrame:
 
 
 def compact_live(spark: SparkSession, table: str, by_sequence: bool = False) -> int | None:
-    """Fold the micro-batches of the live table together; run between two live runs."""
+    """Fold the micro-batches of the live table together."""
     order = newest("sequence") if by_sequence else []
     return compact(spark, table, LIVE_TABLE, LIVE_KEY, order)
 

@@ -16,6 +16,7 @@ from apptlake.operators.changes import (
     upsert,
 )
 from apptlake.operators.dedup import latest_per_key, newest
+from apptlake.sources import files
 from samples import values
 
 DDL = "k string, d int, v int"
@@ -92,6 +93,7 @@ def test_compaction_keeps_the_table(spark, folder):
     assert compact(spark, folder, DDL, KEYS) == 2
     assert change_sets(spark, folder) == [2]
     assert table(spark, folder) == before
+    assert compact(spark, folder, DDL, KEYS) is None
     plan = current(spark, folder, DDL, KEYS)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
@@ -107,6 +109,19 @@ def test_old_sets_left_behind_by_a_crash_do_not_change_the_table(spark, folder):
     assert table(spark, folder) == before
 
 
+def test_folded_sets_stay_until_the_next_compaction(spark, folder):
+    for value in (1, 2):
+        upsert(rows(spark, ("a", 1, value)), folder, KEYS)
+    scanning = current(spark, folder, DDL, KEYS)
+    compact(spark, folder, DDL, KEYS)
+    assert values(scanning) == [("a", 1, 2)]
+    upsert(rows(spark, ("a", 1, 3)), folder, KEYS)
+    assert change_sets(spark, folder) == [2, 3]
+    assert compact(spark, folder, DDL, KEYS) == 4
+    assert sorted(files.child_names(spark, folder)) == [f"change_seq={n}" for n in (2, 3, 4)]
+    assert table(spark, folder) == [("a", 1, 3)]
+
+
 def test_compacting_a_missing_table_does_nothing(spark, folder):
     assert compact(spark, folder, DDL, KEYS) is None
 

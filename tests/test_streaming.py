@@ -77,6 +77,19 @@ def test_a_restart_goes_on_from_the_checkpoint(spark, folder):
     assert len(change_sets(spark, f"{folder}/live")) == 2
 
 
+def test_micro_batches_are_folded_when_there_are_many(spark, folder):
+    inbox = f"{folder}/in"
+    for number in range(4):
+        arrive(spark, inbox, [document("u/1", **source(f"s{number}"))], first=number)
+    stream = file_records(spark, inbox, max_files_per_batch=1)
+    table = f"{folder}/live"
+    start_live(
+        stream, table, f"{folder}/cp", pull_seconds=None, max_change_sets=2
+    ).awaitTermination()
+    assert len(change_sets(spark, table)) == 2
+    assert values(live_snapshot(spark, table), "booking_id", "utm_source") == [("u/1", "s3")]
+
+
 def test_a_replayed_batch_gives_the_same_table(spark, folder):
     items = live_items(records(spark, [document("u/1"), document("u/2")]))
     upsert_items(items, folder, "live-0")

@@ -399,7 +399,9 @@ def upsert_spend(spark, sf_dir):
 def stream_live_bookings(spark, sf_dir):
     table, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "checkpoint")
     stream = frames.record_stream(spark, sf_dir)
-    start_live(stream, table, checkpoint, frames.RULES, pull_seconds=None).awaitTermination()
+    start_live(
+        stream, table, checkpoint, frames.RULES, pull_seconds=None, by_sequence=True
+    ).awaitTermination()
     return _as_text(live_layer.live_snapshot(spark, table, by_sequence=True), "booking_date")
 
 
