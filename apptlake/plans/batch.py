@@ -6,13 +6,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake import schemas
 from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
 from apptlake.operators.changes import change_sets, compact, current, upsert
 from apptlake.operators.clean import clean_bookings, clean_spend
+from apptlake.operators.dedup import newest
 from apptlake.plans import gold
 from apptlake.session import size_shuffles
 from apptlake.sources import files
@@ -48,26 +49,69 @@ def ingest_bronze(spark: SparkSession, layout: Layout) -> None:
 
 
 def silver_bookings(spark: SparkSession, layout: Layout) -> DataFrame:
-    return current(spark, layout.path("silver/bookings"), schemas.SILVER_BOOKINGS, BOOKING_KEY)
+    """Current bookings. The latest event of a booking wins, in whatever order runs saw them."""
+    path = layout.path("silver/bookings")
+    return current(spark, path, schemas.SILVER_BOOKINGS, BOOKING_KEY, _booking_order())
 
 
 def silver_spends(spark: SparkSession, layout: Layout) -> DataFrame:
     return current(spark, layout.path("silver/spends"), schemas.SILVER_SPENDS, SPEND_KEY)
 
 
-def refresh_silver_bookings(
-    spark: SparkSession, layout: Layout, since: date | None = None, created_only: bool = False
-) -> bool:
-    """Upsert bookings from bronze; ``since`` reads only the days ingested from then on."""
+def _booking_order() -> list[Column]:
+    return newest("booking_date")
+
+
+def _upsert_bookings(layout: Layout, bronze: DataFrame, change_id: str | None = None) -> None:
+    rows, path = clean_bookings(bronze, layout.rules), layout.path("silver/bookings")
+    upsert(rows, path, BOOKING_KEY, change_id, unique=True)
+    _fold(layout, bronze.sparkSession, path, schemas.SILVER_BOOKINGS, BOOKING_KEY, _booking_order())
+
+
+def extend_silver_bookings(
+    spark: SparkSession, layout: Layout, max_files_per_batch: int = 10_000
+) -> None:
+    """Upsert bookings from the bronze files that came since the last run.
+
+    A checkpointed file stream knows which these are, so neither bronze nor silver is read
+    or written again from the start.
+    """
+    if not files.exists(spark, layout.path("bronze")):
+        return
+    bronze = (
+        spark.readStream.schema(schemas.BRONZE)
+        .option("maxFilesPerTrigger", max_files_per_batch)
+        .parquet(layout.path("bronze"))
+    )
+
+    # A checkpoint restores the shuffle partitions of the stream's first run, however much the
+    # data has grown since; the session's present number is what counts.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.sparkSession.conf.set("spark.sql.shuffle.partitions", partitions)
+        _upsert_bookings(layout, batch, f"bronze-{batch_id}")
+
+    (
+        bronze.writeStream.foreachBatch(write)
+        .option("checkpointLocation", layout.path("checkpoints/silver"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def refresh_silver_bookings(spark: SparkSession, layout: Layout, since: date | None = None) -> bool:
+    """Upsert bookings from all of bronze, or from the days ingested from ``since`` on.
+
+    For backfills and repairs; daily runs use ``extend_silver_bookings``.
+    """
     bronze = load_if_present(spark, layout.path("bronze"), schemas.BRONZE)
     if since is not None:
         bronze = bronze.where(F.col("ingest_date") >= F.lit(since))
     if bronze.isEmpty():
         return False
-    rows = clean_bookings(bronze, layout.rules, created_only=created_only)
-    path = layout.path("silver/bookings")
-    upsert(rows, path, BOOKING_KEY, unique=True)
-    _fold(spark, layout, path, schemas.SILVER_BOOKINGS, BOOKING_KEY)
+    _upsert_bookings(layout, bronze)
     return True
 
 
@@ -78,13 +122,20 @@ def refresh_silver_spends(spark: SparkSession, layout: Layout, day: date | None
         return False
     path = layout.path("silver/spends")
     upsert(clean_spend(spend), path, SPEND_KEY, f"spend-{(day or yesterday()).isoformat()}")
-    _fold(spark, layout, path, schemas.SILVER_SPENDS, SPEND_KEY)
+    _fold(layout, spark, path, schemas.SILVER_SPENDS, SPEND_KEY, [])
     return True
 
 
-def _fold(spark: SparkSession, layout: Layout, path: str, ddl: str, keys: list[str]) -> None:
+def _fold(
+    layout: Layout,
+    spark: SparkSession,
+    path: str,
+    ddl: str,
+    keys: list[str],
+    order_by: list[Column],
+) -> None:
     if len(change_sets(spark, path)) > layout.max_change_sets:
-        compact(spark, path, ddl, keys)
+        compact(spark, path, ddl, keys, order_by)
 
 
 def refresh_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
@@ -107,13 +158,13 @@ def refresh_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     return rows
 
 
-def run_batch(
-    spark: SparkSession, layout: Layout, day: date | None = None, since: date | None = None
-) -> dict[str, int]:
-    """One batch run. Bookings are in place before spend is touched, so a failing spend file
-    cannot hold them up."""
+def run_batch(spark: SparkSession, layout: Layout, day: date | None = None) -> dict[str, int]:
+    """One batch run over what is new; returns the rows of each gold table.
+
+    Bookings are in place before spend is touched, so a failing spend file cannot hold them up.
+    """
     ingest_bronze(spark, layout)
     size_shuffles(spark, files.size_bytes(spark, layout.path("bronze")))
-    refresh_silver_bookings(spark, layout, since)
+    extend_silver_bookings(spark, layout)
     refresh_silver_spends(spark, layout, day)
     return refresh_gold(spark, layout)

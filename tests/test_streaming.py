@@ -241,6 +241,22 @@ def test_a_broken_spend_file_does_not_hold_up_bookings(spark, folder):
     assert values(batch.silver_bookings(spark, layout), "booking_id") == [("u/1",)]
 
 
+def test_silver_reads_only_new_bronze_and_keeps_the_latest_event(spark, folder):
+    layout = Layout(folder)
+    newer = document("u/1", created_at="2026-03-05T09:00:00Z", **source("newer"))
+    older = document("u/1", created_at="2026-03-04T09:00:00Z", **source("older"))
+    for body in (newer, older):
+        landing.land(records(spark, [body]), layout.path("landing"))
+        batch.ingest_bronze(spark, layout)
+        batch.extend_silver_bookings(spark, layout)
+    batch.extend_silver_bookings(spark, layout)
+    assert len(change_sets(spark, layout.path("silver/bookings"))) == 2
+    step_by_step = values(batch.silver_bookings(spark, layout))
+    assert values(batch.silver_bookings(spark, layout), "utm_source") == [("newer",)]
+    assert batch.refresh_silver_bookings(spark, layout)
+    assert values(batch.silver_bookings(spark, layout)) == step_by_step
+
+
 def test_spend_of_the_same_day_is_replaced_by_a_rerun(spark, folder):
     layout, day = Layout(folder), date(2026, 3, 1)
     first = [{"channel": "fb", "date": "2026-03-01", "spend": 1}, {"channel": "fb", "spend": 2}]
