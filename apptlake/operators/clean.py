@@ -43,7 +43,8 @@ def clean_bookings(
         identified = identified.where(F.col("event") == CREATED)
     carried = [name for name in SILVER_COLUMNS if name != "channel"]
     carried += [name for name in order_by if name not in carried]
-    classified = identified.select(*carried, channel_of(F.col("event_type"), rules).alias("channel"))
+    channel = channel_of(F.col("event_type"), rules)
+    classified = identified.select(*carried, channel.alias("channel"))
     return (
         latest_per_key(classified, ["booking_id"], newest(*order_by))
         .where(is_paid(F.col("channel")))

@@ -49,5 +49,7 @@ def kafka_records(
         .load()
     )
     return stream.select(
-        F.col("key").cast("string"), F.col("value").cast("string"), F.col("offset").alias("sequence")
+        F.col("key").cast("string"),
+        F.col("value").cast("string"),
+        F.col("offset").alias("sequence"),
     )

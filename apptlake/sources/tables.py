@@ -15,7 +15,9 @@ from apptlake.sources import files
 log = logging.getLogger(__name__)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False
+) -> DataFrame:
     """Read a whole table; ``merge`` unites the columns of files written over time."""
     return spark.read.format(fmt).option("mergeSchema", str(merge).lower()).load(path)
 

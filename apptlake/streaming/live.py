@@ -20,6 +20,7 @@ from apptlake.schemas import LIVE_ITEMS, LIVE_SERVING, LIVE_WEBHOOK
 PULL_SECONDS = 120
 
 LIVE_KEY = ["booking_id"]
+REPLAY_SHARES = 32
 LIVE_TABLE = f"{LIVE_ITEMS}, sequence bigint"
 
 
@@ -108,11 +109,18 @@ def start_dedup_append(
 ) -> StreamingQuery:
     """Append-only variant: replays of a booking within ``delay`` are dropped by the stream.
 
-    State is kept per booking until the watermark passes, so it is bounded by the delay.
+    State is kept per booking until the watermark passes, so it is bounded by the delay. A
+    stream cannot drop replays before its shuffle. So a first step drops them per booking and
+    share of the sequence numbers, which spreads a booking with much of the traffic over
+    several tasks, and the second step meets at most one row of each share.
     """
+    share = F.pmod("sequence", F.lit(REPLAY_SHARES))
     return (
         items.withWatermark(time_column, delay)
+        .withColumn("_share", share)
+        .dropDuplicatesWithinWatermark([*LIVE_KEY, "_share"])
         .dropDuplicatesWithinWatermark(LIVE_KEY)
+        .drop("_share")
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

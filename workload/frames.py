@@ -81,9 +81,8 @@ BOOKING = {
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat, typed booking events, ``event_id`` giving the order of arrival."""
     columns = [f"{rule} AS {name}" for name, rule in BOOKING.items()]
-    return (
-        events(spark, sf_dir).selectExpr(*WITH_NUMBER).selectExpr("event_type", "event_id", *columns)
-    )
+    numbered = events(spark, sf_dir).selectExpr(*WITH_NUMBER)
+    return numbered.selectExpr("event_type", "event_id", *columns)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
