@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from apptlake.llm.multiset_hash import edited_fingerprints
 from apptlake.llm.quality_rules import line_first
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +24,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_line_first(spark, sf_dir):
     return line_first(documents(spark, sf_dir)).drop("clean_text")
+
+
+@query
+def op9_multiset_hash(spark, sf_dir):
+    return edited_fingerprints(documents(spark, sf_dir))
