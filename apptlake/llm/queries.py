@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from apptlake.llm.bpe import round_trip
 from apptlake.llm.multiset_hash import edited_fingerprints
 from apptlake.llm.quality_rules import line_first
 
@@ -29,3 +32,14 @@ def op7_line_first(spark, sf_dir):
 @query
 def op9_multiset_hash(spark, sf_dir):
     return edited_fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op6_pair_index_bpe(spark, sf_dir):
+    rows = round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
