@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from apptlake.llm.bpe import round_trip
 from apptlake.llm.multiset_hash import edited_fingerprints
 from apptlake.llm.quality_rules import line_first
+from apptlake.llm.token_files import read_token_files, write_token_files
+from apptlake.session import scratch_path
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,3 +45,11 @@ def op6_pair_index_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
+    rows = read_token_files(spark, path)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
