@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake.llm.bpe import round_trip
+from apptlake.llm.licenses import license_scan
 from apptlake.llm.multiset_hash import edited_fingerprints
+from apptlake.llm.pu_quality import quality_scores
 from apptlake.llm.quality_rules import line_first
 from apptlake.llm.token_files import read_token_files, write_token_files
 from apptlake.session import scratch_path
@@ -53,3 +55,13 @@ def op3_token_files(spark, sf_dir):
     write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
     rows = read_token_files(spark, path)
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_pu_quality(spark, sf_dir):
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    return license_scan(documents(spark, sf_dir))
