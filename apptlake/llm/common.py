@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -71,3 +71,28 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         end = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, end - start)
         start, base = end, ends[end - 1]
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``_key``, ``_text`` and ``_carried`` (a struct of other columns) of every row.
+
+    The key is the id where ids are unique. Where some are missing or stand on several rows, it
+    is the id with a hash of the text, so that only rows alike in both are taken for one.
+    """
+    ids = docs.select(F.col(id_col).alias("_id"))
+    odd = ids.groupBy("_id").count().where("count > 1 OR _id IS NULL").limit(1)
+    key = F.col(id_col)
+    if odd.collect():
+        key = F.struct(key.alias("doc_id"), F.xxhash64(text_of(text_col)).alias("_hash"))
+    also = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("int")
+    return docs.select(key.alias("_key"), text_of(text_col).alias("_text"), also.alias("_carried"))
+
+
+def id_of(rows: DataFrame) -> Column:
+    """The id in a ``_key``."""
+    plain = not rows.schema["_key"].dataType.simpleString().startswith("struct")
+    return F.col("_key") if plain else F.col("_key")["doc_id"]
+
+
+def kind_of(rows: DataFrame, column: str = "_key") -> str:
+    return rows.schema[column].dataType.simpleString()

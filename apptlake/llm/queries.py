@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake.llm.bpe import round_trip
+from apptlake.llm.chunk_dedup import dedup_substrings
 from apptlake.llm.licenses import license_scan
 from apptlake.llm.multiset_hash import edited_fingerprints
 from apptlake.llm.pu_quality import quality_scores
@@ -65,3 +66,8 @@ def op8_pu_quality(spark, sf_dir):
 @query
 def op10_license_scan(spark, sf_dir):
     return license_scan(documents(spark, sf_dir))
+
+
+@query
+def op4_chunk_dedup(spark, sf_dir):
+    return dedup_substrings(documents(spark, sf_dir))
