@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 from apptlake.llm.bpe import round_trip
 from apptlake.llm.chunk_dedup import dedup_substrings
 from apptlake.llm.licenses import license_scan
+from apptlake.llm.mixing import Mix, mix_sources
 from apptlake.llm.multiset_hash import edited_fingerprints
 from apptlake.llm.pu_quality import quality_scores
 from apptlake.llm.quality_rules import line_first
 from apptlake.llm.token_files import read_token_files, write_token_files
 from apptlake.session import scratch_path
 
+#: Large sources, languages and topics give way to small ones.
+PRODUCTION_MIX = Mix(temper={"source": 0.7, "lang": 0.7, "topic": 0.8})
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -71,3 +75,8 @@ def op10_license_scan(spark, sf_dir):
 @query
 def op4_chunk_dedup(spark, sf_dir):
     return dedup_substrings(documents(spark, sf_dir))
+
+
+@query
+def op2_raked_mix(spark, sf_dir):
+    return mix_sources(documents(spark, sf_dir), PRODUCTION_MIX)
