@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from apptlake.llm.bpe import round_trip
 from apptlake.llm.chunk_dedup import dedup_substrings
+from apptlake.llm.jaccard_join import Rule, similarity_classes
 from apptlake.llm.licenses import license_scan
 from apptlake.llm.mixing import Mix, mix_sources
 from apptlake.llm.multiset_hash import edited_fingerprints
@@ -80,3 +81,8 @@ def op4_chunk_dedup(spark, sf_dir):
 @query
 def op2_raked_mix(spark, sf_dir):
     return mix_sources(documents(spark, sf_dir), PRODUCTION_MIX)
+
+
+@query
+def op1_jaccard_join(spark, sf_dir):
+    return similarity_classes(documents(spark, sf_dir), Rule(width=3, percent=90))
