@@ -16,6 +16,7 @@ from apptlake.llm.mixing import Mix, mix_sources
 from apptlake.llm.multiset_hash import edited_fingerprints
 from apptlake.llm.pu_quality import quality_scores
 from apptlake.llm.quality_rules import line_first
+from apptlake.llm.suffix_dedup import repeated_passages
 from apptlake.llm.token_files import read_token_files, write_token_files
 from apptlake.session import scratch_path
 
@@ -86,3 +87,8 @@ def op2_raked_mix(spark, sf_dir):
 @query
 def op1_jaccard_join(spark, sf_dir):
     return similarity_classes(documents(spark, sf_dir), Rule(width=3, percent=90))
+
+
+@query
+def op5_sparse_suffixes(spark, sf_dir):
+    return repeated_passages(documents(spark, sf_dir))
