@@ -14,7 +14,6 @@ CHANNEL_BY_EVENT_TYPE = {
     "event_types/bb339e98-7a67-4af2-b584-8dbf95564312": "tiktok_paid_ads",
 }
 OTHER_CHANNEL = "other_event"
-PAID_CHANNELS = ("facebook_paid_ads", "youtube_paid_ads", "tiktok_paid_ads")
 
 
 def channel_of(event_type: Column, rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE) -> Column:
@@ -23,5 +22,6 @@ def channel_of(event_type: Column, rules: Mapping[str, str] = CHANNEL_BY_EVENT_T
     return F.coalesce(*hits, F.lit(OTHER_CHANNEL))
 
 
-def is_paid(channel: Column) -> Column:
-    return channel.isin(*PAID_CHANNELS)
+def is_paid(channel: Column, rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE) -> Column:
+    """A channel that some rule stands for."""
+    return channel.isin(*dict.fromkeys(rules.values()))

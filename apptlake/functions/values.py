@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Fixed value: label of bookings without a source in the batch views.
 NO_SOURCE = "(no utm_source)"
 
-# Sums of spend run in decimal, so that they do not depend on row order.
+# Sums of spend run in decimal, so that they do not depend on row order. Amounts are taken to
+# six places, the nearest; smaller parts do not count.
 MONEY = "decimal(28,6)"
 
 
@@ -26,7 +27,13 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
 
 
 def money_sum(amount: Column) -> Column:
-    return F.sum(amount.try_cast(MONEY)).cast("double")
+    """Total of the amounts. One too large for the type fails the job rather than drop out; what
+    is no number (null, NaN) is left out."""
+    exact = amount.try_cast(MONEY)
+    number = amount.isNotNull() & ~F.isnan(amount.cast("double"))
+    message = F.concat(F.lit("amount out of range: "), amount.cast("string"))
+    too_large = number & exact.isNull()
+    return F.sum(F.when(too_large, F.raise_error(message).cast(MONEY)).otherwise(exact)).cast("double")
 
 
 def last_segment(uri: Column) -> Column:

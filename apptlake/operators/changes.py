@@ -1,11 +1,12 @@
-"""Keyed tables kept as change sets: an upsert appends, a read takes the latest per key.
-
-Plain Parquet has no MERGE, and rewriting every file that a batch of keys touches costs
-the whole table per run. Here ``upsert`` writes only its own rows, below
-``change_seq=<n>``, and ``current`` resolves them. Nothing is overwritten, so a job that
-dies at any point leaves the table as it was, and a replayed batch resolves to the same
-rows. ``compact`` folds the change sets into one; a table of one set is read without a
-shuffle. One writer per table at a time is assumed; readers need no coordination.
+"""Keyed tables as change rows: an upsert adds a batch, a read takes the latest row per key.
+
+Plain Parquet has no MERGE, and rewriting every file that a batch of keys touches costs the whole
+table per run. Here a batch of rows becomes the partition of its number, written under dynamic
+partition overwrite: a batch that runs twice replaces itself, and no other rows are touched. Which
+row of a key counts is decided on read by one fixed order per table, so it does not matter in which
+batches or order the rows came. Where a table format with row-level MERGE is at hand,
+``merge_into_table`` keeps one row per key instead; on stores whose rename is not atomic (most object
+stores) such a format is needed.
 """
 
 from __future__ import annotations
@@ -15,114 +16,48 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from apptlake.operators.conform import empty_frame
 from apptlake.operators.dedup import latest_per_key, newest
-from apptlake.sources import files
+from apptlake.sources.tables import counted, load_if_present
 
-SEQ = "change_seq"
+CHANGE = "change"
 
-# Files in a set's folder: written by Spark when the job is done, and by ``compact``.
-COMPLETE, FOLDED = "_SUCCESS", "_FOLDED"
 
-# Null on rows with a full key. A row with a null key matches nothing, so it gets an
-# identity of its own: the batch it came with, a hash of the row, and its number among equals.
-ROW_ID = "unkeyed_row_id"
-
-
-def _set_path(path: str, seq: int) -> str:
-    return f"{path}/{SEQ}={seq}"
-
-
-def _started_sets(spark: SparkSession, path: str) -> list[int]:
-    prefix = f"{SEQ}="
-    names = files.child_names(spark, path)
-    return sorted(int(name[len(prefix) :]) for name in names if name.startswith(prefix))
-
-
-def change_sets(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the change sets that make up the table, in order.
-
-    These are the last folded set and the complete ones after it; a set whose job died does
-    not count. Only their folders are looked into, from the newest back.
-    """
-    needed = []
-    for seq in reversed(_started_sets(spark, path)):
-        names = files.child_names(spark, _set_path(path, seq))
-        if COMPLETE in names:
-            needed.append(seq)
-            if FOLDED in names:
-                break
-    return needed[::-1]
-
-
-def _unkeyed(keys: Sequence[str]) -> Column:
+def _keyless(keys: Sequence[str]) -> Column:
     return F.greatest(*[F.col(key).isNull() for key in keys], F.lit(False))
 
 
-def _identified_unique(source: DataFrame, keys: Sequence[str], change_id: str) -> DataFrame:
-    """Add the row identity to a source that has one row per key, null or not."""
-    row_id = F.concat_ws("/", F.lit(change_id), F.xxhash64(*source.columns), F.lit(1))
-    return source.withColumn(ROW_ID, F.when(_unkeyed(keys), row_id))
-
-
-def _identified(source: DataFrame, keys: Sequence[str], change_id: str) -> DataFrame:
-    """Add the row identity, and fail the job on a full key that occurs twice."""
-    row_hash = F.when(F.col("_unkeyed"), F.xxhash64(*source.columns))
+def _checked(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fail the job on a full key that occurs twice, as MERGE does."""
+    hashed = F.when(_keyless(keys), F.xxhash64(*source.columns))
     window = Window.partitionBy(*keys, "_row_hash").orderBy("_row_hash")
     message = F.concat(F.lit("several source rows for one key: "), F.to_json(F.struct(*keys)))
-    row_id = F.concat_ws("/", F.lit(change_id), F.col("_row_hash"), F.col("_nth"))
+    repeated = (F.col("_nth") > 1) & F.col("_row_hash").isNull()
     return (
-        source.withColumn("_unkeyed", _unkeyed(keys))
-        .withColumn("_row_hash", row_hash)
+        source.withColumn("_row_hash", hashed)
         .withColumn("_nth", F.row_number().over(window))
-        .select(
-            *source.columns,
-            F.when(F.col("_unkeyed"), row_id)
-            .when(F.col("_nth") > 1, F.raise_error(message).cast("string"))
-            .alias(ROW_ID),
-        )
+        .where(F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        .select(*source.columns)
     )
 
 
 def upsert(
-    source: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    change_id: str | None = None,
-    unique: bool = False,
+    source: DataFrame, path: str, keys: Sequence[str], change: int, unique: bool = False
 ) -> int:
-    """Insert the source rows, replacing rows of equal keys; returns the change set's number.
+    """Add the source rows as batch ``change``; returns how many.
 
-    The first upsert creates the table. ``change_id`` names the batch: give a replay the
-    same name as its first try, so that rows with a null key are not inserted a second time.
-    A key that occurs twice fails the job. That check shuffles the source by key; say
-    ``unique`` for a source that ``latest_per_key`` has just made one row per key.
+    The first upsert creates the table. Give a replay the number of its first try: it replaces
+    what that wrote. A key that occurs twice fails the job; say ``unique`` for a source that
+    ``latest_per_key`` has just made one row per key, which saves the check its shuffle.
     """
-    seq = max(_started_sets(source.sparkSession, path), default=-1) + 1
-    identified = _identified_unique if unique else _identified
-    rows = identified(source, keys, change_id or f"change-{seq}")
-    rows.write.mode("errorifexists").parquet(_set_path(path, seq))
-    return seq
-
-
-def _resolved(
-    spark: SparkSession,
-    path: str,
-    ddl: str,
-    keys: Sequence[str],
-    order_by: Sequence[Column],
-    null_safe: bool,
-) -> DataFrame:
-    schema = f"{ddl}, {ROW_ID} string, {SEQ} bigint"
-    complete = change_sets(spark, path)
-    if not complete:
-        return empty_frame(spark, schema)
-    reader = spark.read.schema(schema).option("basePath", path)
-    changes = reader.parquet(*[_set_path(path, seq) for seq in complete])
-    if len(complete) == 1 and not null_safe:
-        return changes
-    identity = [*keys] if null_safe else [*keys, ROW_ID]
-    return latest_per_key(changes, identity, [*order_by, *newest(SEQ)])
+    rows = source if unique else _checked(source, keys)
+    rows, seen = counted(rows.withColumn(CHANGE, F.lit(change).cast("bigint")), f"upsert {path}")
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(CHANGE)
+        .parquet(path)
+    )
+    return seen.get["rows"]
 
 
 def current(
@@ -131,43 +66,15 @@ def current(
     ddl: str,
     keys: Sequence[str],
     order_by: Sequence[Column] = (),
-    null_safe: bool = False,
 ) -> DataFrame:
     """The table after all upserts; a missing table is empty.
 
-    By default the last upsert of a key wins. ``order_by`` ranks rows by content first, for
-    streams whose batches may arrive out of order. Rows with a null key all stay, unless
-    ``null_safe`` lets null match null.
-    """
-    return _resolved(spark, path, ddl, keys, order_by, null_safe).drop(ROW_ID, SEQ)
-
-
-def compact(
-    spark: SparkSession,
-    path: str,
-    ddl: str,
-    keys: Sequence[str],
-    order_by: Sequence[Column] = (),
-    null_safe: bool = False,
-) -> int | None:
-    """Fold the change sets into a new one; returns its number, or None if there is one at most.
-
-    The sets just folded stay until the next call, for readers that are scanning them, so
-    the table takes up to twice its size. Before the new set is marked as folded, it and the
-    old ones together resolve to the same rows, so a crash in between does no harm.
+    ``order_by`` ranks rows by content; batches of a higher number win where that ties, and by
+    default. A null key matches nothing, so such rows all stay.
     """
-    folding = change_sets(spark, path)
-    if len(folding) <= 1:
-        return None
-    started = _started_sets(spark, path)
-    seq = started[-1] + 1
-    rows = _resolved(spark, path, ddl, keys, order_by, null_safe).drop(SEQ)
-    rows.write.mode("errorifexists").parquet(_set_path(path, seq))
-    files.touch(spark, f"{_set_path(path, seq)}/{FOLDED}")
-    for number in started:
-        if number < folding[0]:
-            files.delete(spark, _set_path(path, number))
-    return seq
+    changes = load_if_present(spark, path, f"{ddl}, {CHANGE} bigint")
+    keyed = latest_per_key(changes.where(~_keyless(keys)), keys, [*order_by, *newest(CHANGE)])
+    return keyed.unionByName(changes.where(_keyless(keys))).drop(CHANGE)
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:

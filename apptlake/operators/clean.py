@@ -11,32 +11,24 @@ from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE, channel_of, is_pa
 from apptlake.functions.times import spend_day
 from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.flatten import CREATED
+from apptlake.schemas import SILVER_COLUMNS
 
-SILVER_COLUMNS = (
-    "booking_id",
-    "booking_date",
-    "channel",
-    "start_time",
-    "end_time",
-    "host_email",
-    "host_name",
-    "utm_source",
-)
-BOOKING_ORDER = ("booking_date", "_ingested_at", "_source_file")
+# The latest event of a booking: by its own time, then by arrival. When a run happened to read it
+# comes last, so that silver does not depend on how events fall into runs.
+BOOKING_ORDER = ("booking_date", "sequence", "_source_file", "_ingested_at")
 
 
-def clean_bookings(
+def latest_events(
     bronze: DataFrame,
     rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     order_by: Sequence[str] = BOOKING_ORDER,
     created_only: bool = False,
 ) -> DataFrame:
-    """Silver bookings: the latest event of each booking, if that event is of a paid channel.
+    """The latest event of each booking, of any channel, with the columns that order events.
 
-    The channel filter stays after the choice of the latest event, since a later event may
-    move a booking to another channel. The channel itself is worked out before the shuffle,
-    which then carries it in place of the longer event type. Event kinds are not looked at
-    unless ``created_only`` is set (the frame then needs an ``event`` column).
+    The channel is worked out before the shuffle, which then carries it in place of the longer
+    event type. Event kinds are not looked at unless ``created_only`` is set (the frame then
+    needs an ``event`` column).
     """
     identified = bronze.where(F.col("invitee_email").isNotNull() & F.col("booking_id").isNotNull())
     if created_only:
@@ -45,11 +37,22 @@ def clean_bookings(
     carried += [name for name in order_by if name not in carried]
     channel = channel_of(F.col("event_type"), rules)
     classified = identified.select(*carried, channel.alias("channel"))
-    return (
-        latest_per_key(classified, ["booking_id"], newest(*order_by))
-        .where(is_paid(F.col("channel")))
-        .select(*SILVER_COLUMNS)
-    )
+    return latest_per_key(classified, ["booking_id"], newest(*order_by))
+
+
+def clean_bookings(
+    bronze: DataFrame,
+    rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
+    order_by: Sequence[str] = BOOKING_ORDER,
+    created_only: bool = False,
+) -> DataFrame:
+    """Silver bookings: the latest event of each booking, if that event is of a paid channel.
+
+    The channel filter stays after the choice of the latest event, since a later event may
+    move a booking to another channel.
+    """
+    latest = latest_events(bronze, rules, order_by, created_only)
+    return latest.where(is_paid(F.col("channel"), rules)).select(*SILVER_COLUMNS)
 
 
 def clean_spend(spend: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:

@@ -115,7 +115,7 @@ def live_rows(
             clock_stamp().alias("ingested_at"),
             *keep,
         )
-        .where(is_paid(F.col("channel")))
+        .where(is_paid(F.col("channel"), rules))
     )
 
 

@@ -6,82 +6,134 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake import schemas
-from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
-from apptlake.operators.changes import change_sets, compact, current, upsert
-from apptlake.operators.clean import clean_bookings, clean_spend
-from apptlake.operators.dedup import newest
+from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE, is_paid
+from apptlake.operators.changes import current, merge_into_table, upsert
+from apptlake.operators.clean import BOOKING_ORDER, SILVER_COLUMNS, clean_spend, latest_events
+from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.plans import gold
-from apptlake.session import size_shuffles
+from apptlake.plans.serving import labelled
+from apptlake.session import scratch_path, sized_shuffles
 from apptlake.sources import files
 from apptlake.sources.documents import read_spend, yesterday
-from apptlake.sources.tables import load_if_present, refresh
+from apptlake.sources.records import MAX_FILE_AGE
+from apptlake.sources.tables import load_if_present, load_or_empty, refresh, stored
 from apptlake.streaming.ingest import start_bronze
+from apptlake.streaming.live import live_snapshot
 
 BOOKING_KEY = ["booking_id"]
 SPEND_KEY = ["date", "channel"]
+# Number of the batch that repairs write; they replace one another, and the order of events counts.
+REPAIR = -1
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables of one deployment live, all below one root."""
+    """Where the tables of one deployment live, all below one root.
+
+    ``landing_format`` is "json" where the landing is a folder of JSON documents that others
+    deliver, one per file. ``merge_tables`` names catalog tables for "silver/bookings" and
+    "silver/spends" whose format has MERGE; they hold one row per key, and the path tables are
+    then not used.
+    """
 
     root: str
     rules: Mapping[str, str] = field(default_factory=lambda: dict(CHANNEL_BY_EVENT_TYPE))
-    # Change sets a silver table may gather before they are folded into one.
-    max_change_sets: int = 8
+    landing_format: str = "parquet"
+    merge_tables: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def ingest_bronze(spark: SparkSession, layout: Layout) -> None:
-    start_bronze(
+def ingest_bronze(spark: SparkSession, layout: Layout) -> int:
+    """Append what landed to bronze; returns how many bodies. Without a landing, nothing happens."""
+    if not files.exists(spark, layout.path("landing")):
+        return 0
+    query = start_bronze(
         spark,
         layout.path("landing"),
         layout.path("bronze"),
-        layout.path("quarantine"),
         layout.path("checkpoints/bronze"),
-    ).awaitTermination()
+        layout.landing_format,
+    )
+    query.awaitTermination()
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
-def silver_bookings(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Current bookings. The latest event of a booking wins, in whatever order runs saw them."""
-    path = layout.path("silver/bookings")
-    return current(spark, path, schemas.SILVER_BOOKINGS, BOOKING_KEY, _booking_order())
+def bronze(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Flat events of all readable bodies."""
+    rows = load_if_present(spark, layout.path("bronze"), schemas.BRONZE_STORED)
+    return rows.where("readable").drop("readable", "_corrupt_record")
 
 
-def silver_spends(spark: SparkSession, layout: Layout) -> DataFrame:
-    return current(spark, layout.path("silver/spends"), schemas.SILVER_SPENDS, SPEND_KEY)
+def quarantine(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Bodies that gave no payload, as text, with the file and day they came by."""
+    rows = load_if_present(spark, layout.path("bronze"), schemas.BRONZE_STORED).where("NOT readable")
+    return rows.select(F.col("_corrupt_record").alias("value"), "_source_file", "ingest_date")
+
 
+def _upsert(layout: Layout, name: str, rows: DataFrame, keys: list[str], change: int) -> int:
+    if name in layout.merge_tables:
+        merge_into_table(rows, layout.merge_tables[name], keys)
+        return -1
+    return upsert(rows, layout.path(name), keys, change, unique=True)
 
-def _booking_order() -> list[Column]:
-    return newest("booking_date")
 
+def booking_changes(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The latest known event of each booking, of any channel."""
+    name = "silver/bookings"
+    if name in layout.merge_tables:
+        return spark.table(layout.merge_tables[name])
+    return current(
+        spark, layout.path(name), schemas.BOOKING_CHANGES, BOOKING_KEY, newest(*BOOKING_ORDER)
+    )
 
-def _upsert_bookings(layout: Layout, bronze: DataFrame, change_id: str | None = None) -> None:
-    rows, path = clean_bookings(bronze, layout.rules), layout.path("silver/bookings")
-    upsert(rows, path, BOOKING_KEY, change_id, unique=True)
-    _fold(layout, bronze.sparkSession, path, schemas.SILVER_BOOKINGS, BOOKING_KEY, _booking_order())
+
+def silver_bookings(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Current bookings. The latest event of a booking wins, in whatever order runs saw them;
+    whether its channel is a paid one is asked last, so a booking can move out of silver."""
+    latest = booking_changes(spark, layout)
+    return latest.where(is_paid(F.col("channel"), layout.rules)).select(*SILVER_COLUMNS)
+
+
+def silver_spends(spark: SparkSession, layout: Layout) -> DataFrame:
+    name = "silver/spends"
+    if name in layout.merge_tables:
+        return spark.table(layout.merge_tables[name])
+    return current(spark, layout.path(name), schemas.SILVER_SPENDS, SPEND_KEY)
+
+
+def _upsert_bookings(layout: Layout, rows: DataFrame, change: int) -> int:
+    latest = latest_events(rows, layout.rules)
+    if "silver/bookings" in layout.merge_tables:
+        # MERGE replaces whatever is there, so an event that came late must not get so far.
+        known = booking_changes(rows.sparkSession, layout)
+        both = known.unionByName(latest.select(*known.columns))
+        latest = both.join(latest.select("booking_id"), "booking_id", "left_semi")
+        latest = latest_per_key(latest, BOOKING_KEY, newest(*BOOKING_ORDER))
+    return _upsert(layout, "silver/bookings", latest, BOOKING_KEY, change)
 
 
 def extend_silver_bookings(
     spark: SparkSession, layout: Layout, max_files_per_batch: int = 10_000
-) -> None:
-    """Upsert bookings from the bronze files that came since the last run.
+) -> int:
+    """Upsert bookings from the bronze files that came since the last run; returns how many events.
 
     A checkpointed file stream knows which these are, so neither bronze nor silver is read
     or written again from the start.
     """
     if not files.exists(spark, layout.path("bronze")):
-        return
-    bronze = (
-        spark.readStream.schema(schemas.BRONZE)
+        return 0
+    events = (
+        spark.readStream.schema(schemas.BRONZE_STORED)
         .option("maxFilesPerTrigger", max_files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
         .parquet(layout.path("bronze"))
+        .where("readable")
     )
 
     # A checkpoint restores the shuffle partitions of the stream's first run, however much the
@@ -90,15 +142,16 @@ def extend_silver_bookings(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.sparkSession.conf.set("spark.sql.shuffle.partitions", partitions)
-        _upsert_bookings(layout, batch, f"bronze-{batch_id}")
+        _upsert_bookings(layout, batch, batch_id)
 
-    (
-        bronze.writeStream.foreachBatch(write)
+    query = (
+        events.writeStream.foreachBatch(write)
         .option("checkpointLocation", layout.path("checkpoints/silver"))
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    query.awaitTermination()
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
 def refresh_silver_bookings(spark: SparkSession, layout: Layout, since: date | None = None) -> bool:
@@ -106,44 +159,36 @@ def refresh_silver_bookings(spark: SparkSession, layout: Layout, since: date | N
 
     For backfills and repairs; daily runs use ``extend_silver_bookings``.
     """
-    bronze = load_if_present(spark, layout.path("bronze"), schemas.BRONZE)
+    events = bronze(spark, layout)
     if since is not None:
-        bronze = bronze.where(F.col("ingest_date") >= F.lit(since))
-    if bronze.isEmpty():
+        events = events.where(F.col("ingest_date") >= F.lit(since))
+    if events.isEmpty():
         return False
-    _upsert_bookings(layout, bronze)
+    _upsert_bookings(layout, events, REPAIR)
     return True
 
 
-def refresh_silver_spends(spark: SparkSession, layout: Layout, day: date | None = None) -> bool:
-    """Upsert one day's spend file, yesterday's by default; a missing file changes nothing."""
+def refresh_silver_spends(spark: SparkSession, layout: Layout, day: date | None = None) -> int:
+    """Upsert one day's spend file, yesterday's by default; returns how many rows.
+
+    A missing file changes nothing. The day numbers the batch, so a rerun replaces its rows.
+    """
     spend = read_spend(spark, layout.path("spend"), day)
+    rows = clean_spend(spend)
     if spend.isEmpty():
-        return False
-    path = layout.path("silver/spends")
-    upsert(clean_spend(spend), path, SPEND_KEY, f"spend-{(day or yesterday()).isoformat()}")
-    _fold(layout, spark, path, schemas.SILVER_SPENDS, SPEND_KEY, [])
-    return True
-
-
-def _fold(
-    layout: Layout,
-    spark: SparkSession,
-    path: str,
-    ddl: str,
-    keys: list[str],
-    order_by: list[Column],
-) -> None:
-    if len(change_sets(spark, path)) > layout.max_change_sets:
-        compact(spark, path, ddl, keys, order_by)
+        return 0
+    return _upsert(layout, "silver/spends", rows, SPEND_KEY, (day or yesterday()).toordinal())
 
 
 def refresh_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Recompute the gold tables whole; returns the rows of each.
 
-    The time distribution is made from the daily table just written, not from the bookings.
+    Silver is resolved once and kept as a scratch table of its few columns, which the aggregates
+    scan; the time distribution is made from the daily table just written.
     """
-    bookings = silver_bookings(spark, layout)
+    with sized_shuffles(spark, files.size_bytes(spark, layout.path("silver/bookings"))):
+        scratch = scratch_path(spark, "silver")
+        bookings = stored(silver_bookings(spark, layout), scratch)
     rows = {}
     daily_path = layout.path("gold/bookings_by_source_daily")
     rows["bookings_by_source_daily"] = refresh(gold.bookings_by_source_daily(bookings), daily_path)
@@ -155,16 +200,42 @@ def refresh_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     }
     for name, table in tables.items():
         rows[name] = refresh(table, layout.path(f"gold/{name}"))
+    files.delete(spark, scratch)
     return rows
 
 
 def run_batch(spark: SparkSession, layout: Layout, day: date | None = None) -> dict[str, int]:
-    """One batch run over what is new; returns the rows of each gold table.
+    """One batch run over what is new; returns how many rows each step took or wrote.
 
     Bookings are in place before spend is touched, so a failing spend file cannot hold them up.
     """
-    ingest_bronze(spark, layout)
-    size_shuffles(spark, files.size_bytes(spark, layout.path("bronze")))
-    extend_silver_bookings(spark, layout)
-    refresh_silver_spends(spark, layout, day)
-    return refresh_gold(spark, layout)
+    counts = {"bronze": ingest_bronze(spark, layout)}
+    counts["silver_events"] = extend_silver_bookings(spark, layout)
+    counts["silver_spends"] = refresh_silver_spends(spark, layout, day)
+    return counts | refresh_gold(spark, layout)
+
+
+@dataclass(frozen=True)
+class ServingInputs:
+    """What the serving views take: gold tables typed and labelled, and the live bookings."""
+
+    daily: DataFrame
+    distribution: DataFrame
+    cpb: DataFrame
+    meeting_load: DataFrame
+    live: DataFrame
+
+
+def serving_inputs(spark: SparkSession, layout: Layout) -> ServingInputs:
+    """Open the gold and live tables; one that is missing or does not open is empty."""
+
+    def table(name: str, ddl: str) -> DataFrame:
+        return load_or_empty(spark, layout.path(f"gold/{name}"), ddl)
+
+    return ServingInputs(
+        labelled(table("bookings_by_source_daily", schemas.GOLD_BOOKINGS_BY_SOURCE_DAILY)),
+        labelled(table("booking_time_distribution", schemas.GOLD_BOOKING_TIME_DISTRIBUTION)),
+        table("cpb_by_channel", schemas.GOLD_CPB_BY_CHANNEL),
+        table("employee_meeting_load", schemas.GOLD_EMPLOYEE_MEETING_LOAD),
+        live_snapshot(spark, layout.path("live")),
+    )

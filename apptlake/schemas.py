@@ -70,13 +70,17 @@ BRONZE = """
     utm_term string,
     was_rescheduled boolean,
     questions_and_answers array<struct<question: string, answer: string, position: int>>,
+    sequence bigint,
     _ingested_at timestamp,
     _source_file string,
     ingest_date date
 """
 
 # The bronze columns that come from the document itself, in order.
-FLAT_COLUMNS = tuple(line.split()[0] for line in BRONZE.strip().splitlines()[:-3])
+FLAT_COLUMNS = tuple(line.split()[0] for line in BRONZE.strip().splitlines()[:-4])
+
+# Bronze as stored: bodies that gave no payload are kept beside the readable ones.
+BRONZE_STORED = f"{BRONZE}, _corrupt_record string, readable boolean"
 
 SILVER_BOOKINGS = """
     booking_id string,
@@ -89,6 +93,11 @@ SILVER_BOOKINGS = """
     utm_source string
 """
 
+SILVER_COLUMNS = tuple(line.split()[0] for line in SILVER_BOOKINGS.strip().splitlines())
+
+# Change rows of the bookings: of any channel, with what orders the events of a booking.
+BOOKING_CHANGES = f"{SILVER_BOOKINGS}, sequence bigint, _source_file string, _ingested_at timestamp"
+
 SILVER_SPENDS = "channel string, date date, spend double"
 
 GOLD_BOOKINGS_BY_SOURCE_DAILY = "booking_date date, utm_source string, booking_count bigint"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -13,9 +15,8 @@ from apptlake.sources import files
 # Keeps streaming state on disk, so that it may outgrow an executor's memory.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# Input bytes per reducer, and the most reducers one shuffle is given.
+# Input bytes per reducer.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 
 def get_session(app_name: str = "apptlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,17 +47,22 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the number of shuffle partitions to suit the bytes a job reads; never lower it.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """For the jobs within, raise the shuffle partitions to suit the bytes they read; never lower.
 
     AQE merges small partitions but cannot raise the initial number, so a job over
-    terabytes has to start high enough for a partition to fit in executor memory.
+    terabytes has to start high enough for a partition to fit in executor memory. The session
+    is left as it was.
     """
     setting = "spark.sql.shuffle.partitions"
-    wanted = min(MOST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION))
-    partitions = max(int(spark.conf.get(setting)), wanted)
+    before = spark.conf.get(setting)
+    partitions = max(int(before), -(-input_bytes // BYTES_PER_PARTITION))
     spark.conf.set(setting, str(partitions))
-    return partitions
+    try:
+        yield partitions
+    finally:
+        spark.conf.set(setting, before)
 
 
 @lru_cache(maxsize=None)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from apptlake.operators.conform import empty_frame
 from apptlake.schemas import SPEND, WEBHOOK
@@ -30,8 +31,23 @@ def yesterday() -> date:
 
 
 def read_spend_files(spark: SparkSession, path: str) -> DataFrame:
-    """Spend records of all files below a path; a file holds one object or a list of them."""
-    return spark.read.schema(SPEND).option("multiLine", "true").json(path)
+    """Spend records of all files below a path; a file holds one object or a list of them.
+
+    Amounts may be written as numbers or as text. A file that cannot be read, a record of another
+    shape and an amount that is no number fail the job, so that no spend is lost unseen.
+    """
+    schema = "channel string, date string, spend string, _corrupt_record string"
+    rows = spark.read.schema(schema).option("multiLine", "true").json(path)
+    amount = F.col("spend").try_cast("double")
+    unknown = F.coalesce("channel", "date", "spend").isNull()
+    unread = F.col("spend").isNotNull() & amount.isNull()
+    faulty = F.col("_corrupt_record").isNotNull() | unknown | unread
+    text = F.coalesce("_corrupt_record", F.to_json(F.struct("channel", "date", "spend")))
+    message = F.concat(F.lit("spend record that cannot be read: "), F.substring(text, 1, 200))
+    checked = rows.where(
+        F.when(faulty, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    )
+    return checked.select("channel", "date", amount.alias("spend"))
 
 
 def read_spend(spark: SparkSession, folder: str, day: date | None = None) -> DataFrame:

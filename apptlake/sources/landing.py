@@ -38,5 +38,10 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_bodies(landed: DataFrame) -> DataFrame:
-    """A body landed twice for the same day and id counts once, as the later."""
-    return latest_per_key(landed, ["date", "invitee_id"], newest("sequence"))
+    """A body landed twice for the same day and id counts once, as the later.
+
+    Bodies without a day or an id cannot be told to be the same, so each one stays.
+    """
+    unknown = F.col("date").isNull() | F.col("invitee_id").isNull()
+    known = latest_per_key(landed.where(~unknown), ["date", "invitee_id"], newest("sequence"))
+    return known.unionByName(landed.where(unknown))

@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from apptlake.functions.times import instant
+
 RECORD = "key string, value string, sequence bigint"
 
+# Age beyond which a file stream forgets files, measured against the newest it has seen. Spark's
+# week would pass over files that arrive late; a hundred years covers any backlog.
+MAX_FILE_AGE = "36500d"
+
 
 def file_records(
     spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_batch: int = 1000
@@ -16,21 +22,31 @@ def file_records(
         spark.readStream.format(fmt)
         .schema(RECORD)
         .option("maxFilesPerTrigger", max_files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(path)
     )
 
 
 def body_lines(spark: SparkSession, path: str, max_files_per_batch: int = 1000) -> DataFrame:
-    """Bare JSON bodies, one per line: keyed by the booking's URI, ordered by file time."""
+    """Bare JSON bodies, one per line, keyed by the booking's URI.
+
+    Lines have no arrival number. Their order is the body's own ``created_at``, in microseconds;
+    of equal ones a booking's last has no order here, so where that matters, take records with a
+    sequence number.
+    """
     lines = (
         spark.readStream.format("text")
         .option("maxFilesPerTrigger", max_files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(path)
     )
     return lines.select(
         F.get_json_object("value", "$.payload.uri").alias("key"),
         "value",
-        F.unix_micros("_metadata.file_modification_time").alias("sequence"),
+        F.coalesce(
+            F.unix_micros(instant(F.get_json_object("value", "$.created_at"))),
+            F.unix_micros("_metadata.file_modification_time"),
+        ).alias("sequence"),
     )
 
 

@@ -14,6 +14,9 @@ from apptlake.sources import files
 
 log = logging.getLogger(__name__)
 
+# How Spark says that a folder has no files, and that a file sink's log has none.
+NO_FILES = ("UNABLE_TO_INFER_SCHEMA", "_LEGACY_ERROR_TEMP_1134")
+
 
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False
@@ -32,7 +35,7 @@ def load_if_present(spark: SparkSession, path: str, ddl: str, fmt: str = "parque
     try:
         return conform(spark.read.format(fmt).load(path), ddl)
     except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+        if error.getCondition() not in NO_FILES:
             raise
         return empty_frame(spark, ddl)
 

@@ -1,4 +1,8 @@
-"""Streams that land raw records, feed the live table, and fill bronze from the landing."""
+"""Streams that land raw records, feed the live table, and fill bronze from the landing.
+
+All append through Spark's file sink, whose log makes each batch count once however often it runs.
+Only the sink writes to its folder: readers go by its log and would not see other files.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
 from apptlake.operators.flatten import (
@@ -17,9 +22,33 @@ from apptlake.operators.flatten import (
     with_lineage,
 )
 from apptlake.schemas import LANDING
-from apptlake.sources.landing import land
-from apptlake.sources.tables import append
-from apptlake.streaming.live import live_items, upsert_items
+from apptlake.sources.landing import landing_rows
+from apptlake.sources.records import MAX_FILE_AGE
+from apptlake.streaming.live import start_live
+
+
+def started(writer: DataStreamWriter, pull_seconds: int | None) -> StreamingQuery:
+    """Start a query that pulls at an interval, or with None takes what is there and stops."""
+    if pull_seconds is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{pull_seconds} seconds").start()
+
+
+def start_landing(
+    records: DataFrame, landing: str, checkpoint: str, pull_seconds: int | None = None
+) -> StreamingQuery:
+    """Land every record as received, below the day its body was created.
+
+    Bodies are the widest data there is, so they are not shuffled.
+    """
+    writer = (
+        landing_rows(records)
+        .writeStream.format("parquet")
+        .option("path", landing)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("date")
+    )
+    return started(writer, pull_seconds)
 
 
 def start_tee(
@@ -28,77 +57,64 @@ def start_tee(
     live_table: str,
     checkpoint: str,
     rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
-) -> StreamingQuery:
+    pull_seconds: int | None = None,
+) -> list[StreamingQuery]:
     """Send every record both to the landing and to the live table.
 
-    The batch is read from the source once and kept for the two writes. Records are not
-    regrouped by key: both sinks order a key's records by their sequence number, so a key
-    with much of the traffic does not pile up in one task.
+    Two queries, each with a checkpoint of its own: one that fails goes on from where it was
+    without the other writing anything twice.
     """
+    return [
+        start_landing(records, landing, f"{checkpoint}/landing", pull_seconds),
+        start_live(records, live_table, f"{checkpoint}/live", rules, pull_seconds),
+    ]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                land(batch, landing)
-                upsert_items(live_items(batch, rules), live_table, f"tee-{batch_id}")
-        finally:
-            batch.unpersist()
-
-    return (
-        records.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def landed_bodies(
+    spark: SparkSession, landing: str, fmt: str = "parquet", max_files_per_batch: int = 1_000
+) -> DataFrame:
+    """A stream of ``value``, ``sequence`` and ``source_file`` of a landing folder.
+
+    ``fmt`` is "parquet" for what ``start_landing`` or ``land`` wrote, or "json" for a folder of
+    files that each hold one document, over several lines or not.
+    """
+    reader = (
+        spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
+    )
+    source_file = F.col("_metadata.file_path").alias("source_file")
+    if fmt == "json":
+        texts = reader.text(landing, wholetext=True, recursiveFileLookup=True)
+        return texts.select("value", F.lit(None).cast("bigint").alias("sequence"), source_file)
+    return reader.schema(LANDING).parquet(landing).select("value", "sequence", source_file)
+
+
+def bronze_of(bodies: DataFrame) -> DataFrame:
+    """Flat rows of bodies, static or streaming. Those without a readable payload are marked and
+    keep their text; of the others a misfit field is null and the rest is used."""
+    parsed = parse_documents(bodies).withColumn("readable", ~is_unreadable())
+    flat = bronze_rows(parsed, keep=("sequence", "source_file", CORRUPT, "readable"))
+    kept = F.when(~F.col("readable"), F.col(CORRUPT))
+    return with_lineage(flat, F.col("source_file")).drop("source_file").withColumn(CORRUPT, kept)
 
 
 def start_bronze(
     spark: SparkSession,
     landing: str,
     bronze: str,
-    quarantine: str,
     checkpoint: str,
+    fmt: str = "parquet",
     max_files_per_batch: int = 1_000,
 ) -> StreamingQuery:
-    """Append what landed since the last run to bronze, malformed bodies to the quarantine.
+    """Append what landed since the last run to bronze, readable bodies apart from others.
 
     The checkpoint remembers the files taken, so landing is not read again from the start.
     """
-    landed = (
-        spark.readStream.schema(LANDING)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .parquet(landing)
-        .select("value", F.col("_metadata.file_path").alias("source_file"))
-    )
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        append_bronze(batch, bronze, quarantine)
-
-    return (
-        landed.writeStream.foreachBatch(write)
+    rows = bronze_of(landed_bodies(spark, landing, fmt, max_files_per_batch))
+    writer = (
+        rows.writeStream.format("parquet")
+        .option("path", bronze)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        .partitionBy("readable", "ingest_date")
     )
-
-
-def append_bronze(bodies: DataFrame, bronze: str, quarantine: str) -> int:
-    """Flatten bodies (``value``, ``source_file``) and append them; returns the rows appended.
-
-    The flat rows are kept for the second write, so that no body is parsed twice.
-    """
-    parsed = parse_documents(bodies).withColumn("unreadable", is_unreadable())
-    flat = bronze_rows(parsed, keep=("source_file", "unreadable", CORRUPT)).persist()
-    try:
-        good = flat.where(~F.col("unreadable")).drop("unreadable", CORRUPT)
-        rows = with_lineage(good, F.col("source_file")).drop("source_file")
-        written = append(rows, bronze, "ingest_date")
-        bad = flat.where("unreadable").select(
-            F.col(CORRUPT).alias("value"), "source_file", F.current_date().alias("ingest_date")
-        )
-        if not bad.isEmpty():
-            append(bad, quarantine, "ingest_date")
-        return written
-    finally:
-        flat.unpersist()
+    return started(writer, None)

@@ -1,8 +1,9 @@
-"""The live layer: records as they arrive, upserted into the keyed live table."""
+"""The live layer: records as they arrive, appended as items, read as one row per booking."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,17 +11,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
 from apptlake.functions.times import instant, written_day
-from apptlake.operators.changes import change_sets, compact, current, upsert
 from apptlake.operators.conform import conform
 from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.flatten import live_rows, parse_documents
 from apptlake.schemas import LIVE_ITEMS, LIVE_SERVING, LIVE_WEBHOOK
+from apptlake.sources.tables import load_if_present
 
 # Fixed value: seconds between two pulls of the live stream.
 PULL_SECONDS = 120
 
 LIVE_KEY = ["booking_id"]
-REPLAY_SHARES = 32
+# What orders the items of a booking, for every reader of the table.
+LIVE_ORDER = ("sequence", "ingested_at")
 LIVE_TABLE = f"{LIVE_ITEMS}, sequence bigint"
 
 
@@ -33,58 +35,48 @@ def live_items(
     return live_rows(parsed, rules, keep=("sequence",))
 
 
-def upsert_items(items: DataFrame, table: str, change_id: str) -> None:
-    """Upsert one micro-batch: the last record of each booking wins, nothing means no write.
-
-    A keyed table cannot hold an item without a key, so those are left out here.
-    """
-    keyed = items.where(F.col("booking_id").isNotNull())
-    batch = latest_per_key(keyed, LIVE_KEY, newest("sequence", "ingested_at")).persist()
-    try:
-        if not batch.isEmpty():
-            upsert(batch, table, LIVE_KEY, change_id, unique=True)
-    finally:
-        batch.unpersist()
-
-
 def start_live(
     records: DataFrame,
     table: str,
     checkpoint: str,
     rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     pull_seconds: int | None = PULL_SECONDS,
-    by_sequence: bool = False,
-    max_change_sets: int = 100,
 ) -> StreamingQuery:
     """Keep the live table up to date; ``pull_seconds=None`` takes what is there and stops.
 
-    A restart goes on from the checkpoint. A batch that runs twice resolves to the same rows.
-    When micro-batches have left more than ``max_change_sets``, they are folded into one;
-    ``by_sequence`` has to be the same here as for the readers of the table.
+    Items are appended by Spark's file sink, below the day they were booked; nothing is shuffled
+    or rewritten, and its log counts a batch once however often it runs. A restart goes on from
+    the checkpoint.
     """
-
-    def write(items: DataFrame, batch_id: int) -> None:
-        upsert_items(items, table, f"live-{batch_id}")
-        spark = items.sparkSession
-        if len(change_sets(spark, table)) > max_change_sets:
-            compact_live(spark, table, by_sequence)
-
-    writer = live_items(records, rules).writeStream.foreachBatch(write)
-    writer = writer.option("checkpointLocation", checkpoint)
+    writer = (
+        live_items(records, rules)
+        .withColumn("day", F.col("booking_date"))
+        .writeStream.format("parquet")
+        .option("path", table)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("day")
+    )
     if pull_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{pull_seconds} seconds").start()
 
 
-def live_table(spark: SparkSession, table: str, by_sequence: bool = False) -> DataFrame:
-    """Live items as stored. The last arrival wins; ``by_sequence`` goes by record order."""
-    order = newest("sequence") if by_sequence else []
-    return current(spark, table, LIVE_TABLE, LIVE_KEY, order)
+def latest_items(items: DataFrame) -> DataFrame:
+    """The last item of each booking. A table by booking cannot hold items without an id."""
+    return latest_per_key(items.where(F.col("booking_id").isNotNull()), LIVE_KEY, newest(*LIVE_ORDER))
+
+
+def live_table(spark: SparkSession, table: str, since: date | None = None) -> DataFrame:
+    """Live items, one per booking; empty if missing. ``since`` reads no items booked before."""
+    items = load_if_present(spark, table, f"{LIVE_TABLE}, day string")
+    if since is not None:
+        items = items.where(F.col("day") >= F.lit(since.isoformat()))
+    return latest_items(items).drop("day")
 
 
-def live_snapshot(spark: SparkSession, table: str, by_sequence: bool = False) -> DataFrame:
+def live_snapshot(spark: SparkSession, table: str, since: date | None = None) -> DataFrame:
     """The live table as the serving views want it, with its times typed; empty if missing."""
-    return typed_live(live_table(spark, table, by_sequence))
+    return typed_live(live_table(spark, table, since))
 
 
 def typed_live(items: DataFrame) -> DataFrame:
@@ -98,29 +90,33 @@ def typed_live(items: DataFrame) -> DataFrame:
     return conform(typed, LIVE_SERVING)
 
 
-def compact_live(spark: SparkSession, table: str, by_sequence: bool = False) -> int | None:
-    """Fold the micro-batches of the live table together."""
-    order = newest("sequence") if by_sequence else []
-    return compact(spark, table, LIVE_TABLE, LIVE_KEY, order)
-
-
 def start_dedup_append(
-    items: DataFrame, path: str, checkpoint: str, time_column: str, delay: str
+    items: DataFrame, path: str, checkpoint: str, time_column: str, delay: str | None
 ) -> StreamingQuery:
-    """Append-only variant: replays of a booking within ``delay`` are dropped by the stream.
+    """Append-only variant: of each booking the stream keeps the first record.
+
+    With a ``delay``, state is kept per booking until the watermark passes, so it is bounded; the
+    price is that the stream takes no item more than the delay behind the newest, first or not.
+    Choose it longer than any backlog, or None to keep state of every booking and lose nothing.
+    Items without an id are not known to be replays of one another and all stay.
 
-    State is kept per booking until the watermark passes, so it is bounded by the delay. A
-    stream cannot drop replays before its shuffle. So a first step drops them per booking and
-    share of the sequence numbers, which spreads a booking with much of the traffic over
-    several tasks, and the second step meets at most one row of each share.
+    A stream cannot drop replays before its shuffle. So a first step drops them per booking and
+    share of the sequence numbers, which spreads a booking with much of the traffic over as many
+    tasks as a shuffle has, and the second step meets at most one row of each share.
     """
-    share = F.pmod("sequence", F.lit(REPLAY_SHARES))
+    shares = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = F.coalesce("booking_id", F.concat(F.lit("no id/"), F.xxhash64(*items.columns)))
+    rows = items.withColumn("_known", known).withColumn("_share", F.pmod("sequence", F.lit(shares)))
+    if delay is None:
+        rows = rows.dropDuplicates(["_known", "_share"]).dropDuplicates(["_known"])
+    else:
+        rows = (
+            rows.withWatermark(time_column, delay)
+            .dropDuplicatesWithinWatermark(["_known", "_share"])
+            .dropDuplicatesWithinWatermark(["_known"])
+        )
     return (
-        items.withWatermark(time_column, delay)
-        .withColumn("_share", share)
-        .dropDuplicatesWithinWatermark([*LIVE_KEY, "_share"])
-        .dropDuplicatesWithinWatermark(LIVE_KEY)
-        .drop("_share")
+        rows.drop("_known", "_share")
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

@@ -12,7 +12,8 @@ FACEBOOK, YOUTUBE, TIKTOK = (f"https://api.example.com/{path}" for path in CHANN
 BRONZE_SHORT = (
     "booking_id string, booking_date timestamp, invitee_email string, event_type string,"
     " start_time timestamp, end_time timestamp, host_email string, host_name string,"
-    " utm_source string, event string, _ingested_at timestamp, _source_file string"
+    " utm_source string, event string, _ingested_at timestamp, _source_file string,"
+    " sequence bigint"
 )
 
 
@@ -72,6 +73,7 @@ def bronze(spark, rows):
         "event": "invitee.created",
         "_ingested_at": datetime(2026, 3, 1, 12),
         "_source_file": "f",
+        "sequence": None,
     }
     return spark.createDataFrame([tuple({**default, **row}.values()) for row in rows], BRONZE_SHORT)
 

@@ -7,16 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
-from apptlake.operators.changes import (
-    _identified_unique,
-    change_sets,
-    compact,
-    current,
-    merge_into_table,
-    upsert,
-)
-from apptlake.operators.dedup import latest_per_key, newest
-from apptlake.sources import files
+from apptlake.operators.changes import current, merge_into_table, upsert
+from apptlake.operators.dedup import newest
 from samples import values
 
 DDL = "k string, d int, v int"
@@ -33,139 +25,79 @@ def table(spark, folder, **options):
 
 def test_missing_table_is_empty_and_first_upsert_creates_it(spark, folder):
     assert table(spark, folder) == []
-    upsert(rows(spark, ("a", 1, 1)), folder, KEYS)
+    assert upsert(rows(spark, ("a", 1, 1)), folder, KEYS, 0) == 1
     assert table(spark, folder) == [("a", 1, 1)]
 
 
 def test_matches_are_replaced_others_kept_and_inserted(spark, folder):
-    upsert(rows(spark, ("a", 1, 1), ("b", 1, 1)), folder, KEYS)
-    upsert(rows(spark, ("b", 1, 2), ("c", 1, 2)), folder, KEYS)
+    upsert(rows(spark, ("a", 1, 1), ("b", 1, 1)), folder, KEYS, 0)
+    upsert(rows(spark, ("b", 1, 2), ("c", 1, 2)), folder, KEYS, 1)
     assert table(spark, folder) == [("a", 1, 1), ("b", 1, 2), ("c", 1, 2)]
 
 
-def test_rows_with_a_null_key_are_inserted_anew_by_each_batch(spark, folder):
-    upsert(rows(spark, ("a", None, 1)), folder, KEYS)
-    upsert(rows(spark, ("a", None, 1)), folder, KEYS)
-    assert table(spark, folder) == [("a", None, 1), ("a", None, 1)]
-    assert table(spark, folder, null_safe=True) == [("a", None, 1)]
-
-
-def test_equal_and_unequal_rows_with_a_null_key_all_stay(spark, folder):
+def test_rows_with_a_null_key_match_nothing_and_all_stay(spark, folder):
     batch = [("a", None, 1), ("a", None, 1), ("a", None, 2)]
-    upsert(rows(spark, *batch), folder, KEYS)
+    upsert(rows(spark, *batch), folder, KEYS, 0)
     assert table(spark, folder) == batch
-    upsert(rows(spark, ("z", 1, 1)), folder, KEYS)
-    assert table(spark, folder) == [*batch, ("z", 1, 1)]
+    upsert(rows(spark, ("a", None, 1), ("z", 1, 1)), folder, KEYS, 1)
+    assert table(spark, folder) == sorted([*batch, ("a", None, 1), ("z", 1, 1)], key=str)
 
 
-def test_a_replayed_batch_changes_nothing(spark, folder):
-    batch = rows(spark, ("a", 1, 1), ("b", None, 1), ("b", None, 1))
-    upsert(batch, folder, KEYS, change_id="day-1")
-    once = table(spark, folder)
-    upsert(batch, folder, KEYS, change_id="day-1")
-    assert table(spark, folder) == once
+def test_a_batch_that_runs_twice_replaces_itself(spark, folder):
+    upsert(rows(spark, ("a", 1, 1), ("a", None, 1)), folder, KEYS, 0)
+    upsert(rows(spark, ("b", 1, 1)), folder, KEYS, 1)
+    upsert(rows(spark, ("a", 1, 1), ("a", None, 1)), folder, KEYS, 0)
+    assert table(spark, folder) == [("a", 1, 1), ("a", None, 1), ("b", 1, 1)]
 
 
 def test_a_repeated_source_key_fails_and_leaves_the_table_alone(spark, folder):
-    upsert(rows(spark, ("a", 1, 1)), folder, KEYS)
-    with pytest.raises(PySparkException, match="several source rows"):
-        upsert(rows(spark, ("a", 1, 2), ("a", 1, 3)), folder, KEYS)
+    upsert(rows(spark, ("a", 1, 1)), folder, KEYS, 0)
+    with pytest.raises(Exception, match="several source rows for one key"):
+        upsert(rows(spark, ("a", 1, 2), ("a", 1, 3)), folder, KEYS, 1)
     assert table(spark, folder) == [("a", 1, 1)]
-    upsert(rows(spark, ("a", 1, 4)), folder, KEYS)
-    assert table(spark, folder) == [("a", 1, 4)]
 
 
-def test_a_change_set_without_its_success_mark_is_not_read(spark, folder):
-    upsert(rows(spark, ("a", 1, 1)), folder, KEYS)
-    rows(spark, ("a", 1, 9)).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{folder}/change_seq=1")
-    assert change_sets(spark, folder) == [0]
-    assert table(spark, folder) == [("a", 1, 1)]
-    assert upsert(rows(spark, ("a", 1, 2)), folder, KEYS) == 2
-    assert table(spark, folder) == [("a", 1, 2)]
-
-
-def test_compaction_keeps_the_table(spark, folder):
-    upsert(rows(spark, ("a", 1, 1), ("n", None, 1), ("n", None, 1)), folder, KEYS)
-    upsert(rows(spark, ("a", 1, 2), ("n", None, 1)), folder, KEYS)
-    before = table(spark, folder)
-    assert compact(spark, folder, DDL, KEYS) == 2
-    assert change_sets(spark, folder) == [2]
-    assert table(spark, folder) == before
-    assert compact(spark, folder, DDL, KEYS) is None
-    plan = current(spark, folder, DDL, KEYS)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-
-
-def test_old_sets_left_behind_by_a_crash_do_not_change_the_table(spark, folder):
-    upsert(rows(spark, ("a", 1, 1), ("n", None, 1)), folder, KEYS)
-    upsert(rows(spark, ("a", 1, 2)), folder, KEYS)
-    before = table(spark, folder)
-    both = spark.read.option("basePath", folder).parquet(f"{folder}/change_seq=0")
-    both = both.unionByName(spark.read.option("basePath", folder).parquet(f"{folder}/change_seq=1"))
-    kept = both.where("v = 2 or k = 'n'").drop("change_seq")
-    kept.write.parquet(f"{folder}/change_seq=2")
-    assert table(spark, folder) == before
-
-
-def test_folded_sets_stay_until_the_next_compaction(spark, folder):
-    for value in (1, 2):
-        upsert(rows(spark, ("a", 1, value)), folder, KEYS)
-    scanning = current(spark, folder, DDL, KEYS)
-    compact(spark, folder, DDL, KEYS)
-    assert values(scanning) == [("a", 1, 2)]
-    upsert(rows(spark, ("a", 1, 3)), folder, KEYS)
-    assert change_sets(spark, folder) == [2, 3]
-    assert compact(spark, folder, DDL, KEYS) == 4
-    assert sorted(files.child_names(spark, folder)) == [f"change_seq={n}" for n in (2, 3, 4)]
-    assert table(spark, folder) == [("a", 1, 3)]
-
-
-def test_compacting_a_missing_table_does_nothing(spark, folder):
-    assert compact(spark, folder, DDL, KEYS) is None
-
-
-def test_order_by_content_beats_arrival(spark, folder):
-    upsert(rows(spark, ("a", 1, 9)), folder, KEYS)
-    upsert(rows(spark, ("a", 1, 3)), folder, KEYS)
+def test_order_by_content_beats_the_number_of_the_batch(spark, folder):
+    upsert(rows(spark, ("a", 1, 9)), folder, KEYS, 0)
+    upsert(rows(spark, ("a", 1, 3)), folder, KEYS, 1)
     assert table(spark, folder) == [("a", 1, 3)]
     assert table(spark, folder, order_by=newest("v")) == [("a", 1, 9)]
 
 
-def test_a_source_known_to_be_unique_is_not_shuffled_again(spark, folder):
-    source = rows(spark, ("a", 1, 1), ("b", None, 1), ("c", None, 1))
-    upsert(latest_per_key(source, KEYS, newest("v")), folder, KEYS, "day-1", unique=True)
-    upsert(latest_per_key(source, KEYS, newest("v")), folder, KEYS, "day-1", unique=True)
-    assert table(spark, folder) == [("a", 1, 1), ("b", None, 1), ("c", None, 1)]
-    plan = _identified_unique(source, KEYS, "x")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+def test_marks_of_finished_jobs_play_no_part(spark, folder):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(name, "false")
+    try:
+        upsert(rows(spark, ("a", 1, 1)), folder, KEYS, 0)
+    finally:
+        conf.unset(name)
+    assert table(spark, folder) == [("a", 1, 1)]
 
 
 def test_merge_into_needs_a_table_with_row_level_merge(spark, folder):
-    spark.sql(f"CREATE TABLE plain (k string, d int, v int) USING parquet LOCATION '{folder}/t'")
+    spark.sql(f"CREATE TABLE plain (k string, v int) USING parquet LOCATION '{folder}/plain'")
     try:
-        with pytest.raises(PySparkException, match="MERGE"):
-            merge_into_table(rows(spark, ("a", 1, 1)), "plain", KEYS)
+        with pytest.raises(PySparkException):
+            merge_into_table(spark.sql("select 'a' k, 1 v"), "plain", ["k"])
     finally:
         spark.sql("DROP TABLE plain")
 
 
-BATCH = st.dictionaries(
-    st.tuples(st.sampled_from("abc"), st.integers(0, 2)), st.integers(0, 99), min_size=1, max_size=6
-)
+KEY = st.tuples(st.sampled_from("ab"), st.sampled_from([1, 2]))
+BATCH = st.dictionaries(KEY, st.integers(0, 9), max_size=4)
 
 
-@settings(max_examples=10, deadline=None)
-@given(batches=st.lists(BATCH, min_size=1, max_size=3), folding=st.booleans())
-def test_upserts_act_like_a_dictionary(spark, batches, folding):
-    folder, want = tempfile.mkdtemp(), {}
-    for batch in batches:
-        want |= batch
-        data = rows(spark, *[(*key, value) for key, value in batch.items()])
-        upsert(data, folder, KEYS)
-        if folding:
-            compact(spark, folder, DDL, KEYS)
+@settings(max_examples=6, deadline=None)
+@given(st.lists(BATCH, min_size=1, max_size=4), st.randoms(use_true_random=False))
+def test_upserts_act_like_a_dictionary_in_whatever_order_they_are_written(spark, batches, rng):
+    want = {}
+    numbered = list(enumerate(batches))
+    for _, batch in numbered:
+        want.update(batch)
+    rng.shuffle(numbered)
+    with tempfile.TemporaryDirectory() as folder:
+        for number, batch in numbered:
+            data = [(*key, value) for key, value in batch.items()]
+            upsert(rows(spark, *data), folder, KEYS, number)
         assert table(spark, folder) == sorted(((*k, v) for k, v in want.items()), key=str)
-    upsert(data, folder, KEYS)
-    assert table(spark, folder) == sorted(((*k, v) for k, v in want.items()), key=str)

@@ -39,16 +39,22 @@ def test_latest_event_stands_for_a_booking_whatever_its_kind(spark):
     assert values(clean_bookings(rows, created_only=True), "utm_source") == [("first",)]
 
 
-def test_ties_go_to_the_later_ingest_then_the_later_file(spark):
-    rows = bronze(
-        spark,
-        [
-            {"utm_source": "old"},
-            {"utm_source": "f2", "_ingested_at": datetime(2026, 3, 2), "_source_file": "2"},
-            {"utm_source": "f1", "_ingested_at": datetime(2026, 3, 2), "_source_file": "1"},
-        ],
-    )
-    assert values(clean_bookings(rows), "utm_source") == [("f2",)]
+def test_ties_go_to_the_later_arrival_then_the_later_file_then_the_later_ingest(spark):
+    later = datetime(2026, 3, 2)
+    ties = [
+        {"utm_source": "file 1", "_source_file": "1", "_ingested_at": later},
+        {"utm_source": "file 2", "_source_file": "2"},
+        {"utm_source": "file 2 later", "_source_file": "2", "_ingested_at": later},
+    ]
+    assert values(clean_bookings(bronze(spark, ties)), "utm_source") == [("file 2 later",)]
+    arrived = [*ties, {"utm_source": "s1", "sequence": 1}, {"utm_source": "s0", "sequence": 0}]
+    assert values(clean_bookings(bronze(spark, arrived)), "utm_source") == [("s1",)]
+
+
+def test_rules_may_name_channels_of_their_own(spark):
+    rows = bronze(spark, [{"event_type": "https://x/podcast"}])
+    rules = {"podcast": "podcast_ads"}
+    assert values(clean_bookings(rows, rules), "channel") == [("podcast_ads",)]
 
 
 def test_channel_filter_comes_after_the_choice_of_the_latest(spark):

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pytest
+
 from apptlake import schemas
 from apptlake.operators.clean import clean_bookings
 from apptlake.operators.conform import empty_frame, fields_of
@@ -111,3 +113,12 @@ def test_empty_silver_gives_empty_gold(spark):
     assert gold.booking_time_distribution(daily).isEmpty()
     assert gold.cpb_by_channel(none, empty_frame(spark, schemas.SILVER_SPENDS)).isEmpty()
     assert gold.employee_meeting_load(none).isEmpty()
+
+
+def test_amounts_out_of_range_fail_and_missing_ones_do_not_count(spark):
+    rows = silver(spark, [{"booking_id": "a"}])
+    spent = [("facebook_paid_ads", date(2026, 3, 1), amount) for amount in (5.0, float("nan"), None)]
+    assert gold.cpb_by_channel(rows, spends(spark, spent)).first().total_spend == 5.0
+    huge = [("facebook_paid_ads", date(2026, 3, 1), 1e23)]
+    with pytest.raises(Exception, match="amount out of range"):
+        gold.cpb_by_channel(rows, spends(spark, huge)).collect()

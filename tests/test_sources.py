@@ -160,12 +160,34 @@ def test_scratch_folder_must_be_named_on_a_cluster():
         session.scratch_root(Session())
 
 
-def test_shuffles_grow_with_the_input_and_never_shrink(spark):
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        assert session.size_shuffles(spark, 1) == before
-        assert session.size_shuffles(spark, 10 * 2**40) == 40960
-        assert session.size_shuffles(spark, 1) == 40960
-        assert session.size_shuffles(spark, 10**18) == session.MOST_PARTITIONS
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", str(before))
+def test_shuffles_grow_with_the_input_and_leave_the_session_as_it_was(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.sized_shuffles(spark, 1) as partitions:
+        assert partitions == int(before)
+    with session.sized_shuffles(spark, 100 * 2**40) as partitions:
+        assert partitions == 409600 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_bodies_without_day_or_id_all_stay(spark, folder):
+    landing.land(records(spark, [document(None), "{broken", "{broken", document("u/1")]), folder)
+    assert landing.latest_bodies(landing.stored(spark, folder)).count() == 4
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '[{"channel": "fb", "date": "2026-03-01", "spend": 3}, {"chan',
+        '{"channel": "fb", "date": "2026-03-01", "spend": "many"}',
+        '{"cost": {"fb": 3}}',
+    ],
+)
+def test_spend_that_cannot_be_read_fails(spark, folder, text):
+    Path(spend_file(folder, DAY)).write_text(text)
+    with pytest.raises(Exception, match="spend record that cannot be read"):
+        read_spend(spark, folder, DAY).collect()
+
+
+def test_amounts_may_be_written_as_text(spark, folder):
+    Path(spend_file(folder, DAY)).write_text('{"channel": "fb", "date": "d", "spend": "8.5"}')
+    assert values(read_spend(spark, folder, DAY)) == [("fb", "d", 8.5)]

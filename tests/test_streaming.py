@@ -1,27 +1,31 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 from datetime import date
 from pathlib import Path
 
-from apptlake import schemas
-from apptlake.operators.changes import change_sets
-from apptlake.plans import batch
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from apptlake.plans import batch, serving
 from apptlake.plans.batch import Layout
-from apptlake.sources import files, landing
+from apptlake.sources import landing
 from apptlake.sources.records import RECORD, body_lines, file_records
-from apptlake.sources.tables import load_or_empty, read_table
-from apptlake.streaming.ingest import append_bronze, start_bronze, start_tee
+from apptlake.sources.tables import read_table
+from apptlake.streaming.ingest import start_landing, start_tee
 from apptlake.streaming.live import (
-    compact_live,
+    latest_items,
     live_items,
     live_snapshot,
     live_table,
     start_dedup_append,
     start_live,
-    upsert_items,
+    typed_live,
 )
-from samples import TIKTOK, YOUTUBE, document, records, values
+from samples import FACEBOOK, TIKTOK, YOUTUBE, document, records, values
 
 
 def arrive(spark, folder, bodies, first=0):
@@ -61,10 +65,8 @@ def test_micro_batches_end_where_one_batch_would(spark, folder):
         "end_time",
     ]
     assert values(got, "booking_id", "utm_source") == [("u/1", "b"), ("u/2", "c"), ("u/5", "news")]
-    assert len(change_sets(spark, f"{folder}/live")) == 3
     everything = spark.read.schema(RECORD).parquet(inbox)
-    upsert_items(live_items(everything), f"{folder}/once", "all")
-    assert values(live_snapshot(spark, f"{folder}/once")) == values(got)
+    assert values(typed_live(latest_items(live_items(everything)))) == values(got)
 
 
 def test_a_restart_goes_on_from_the_checkpoint(spark, folder):
@@ -74,48 +76,39 @@ def test_a_restart_goes_on_from_the_checkpoint(spark, folder):
     arrive(spark, inbox, [document("u/1", **source("b")), document("u/2")], first=5)
     got = run_live(spark, inbox, folder)
     assert values(got, "booking_id", "utm_source") == [("u/1", "b"), ("u/2", "news")]
-    assert len(change_sets(spark, f"{folder}/live")) == 2
 
 
-def test_micro_batches_are_folded_when_there_are_many(spark, folder):
-    inbox = f"{folder}/in"
-    for number in range(4):
-        arrive(spark, inbox, [document("u/1", **source(f"s{number}"))], first=number)
-    stream = file_records(spark, inbox, max_files_per_batch=1)
-    table = f"{folder}/live"
-    start_live(
-        stream, table, f"{folder}/cp", pull_seconds=None, max_change_sets=2
-    ).awaitTermination()
-    assert len(change_sets(spark, table)) == 2
-    assert values(live_snapshot(spark, table), "booking_id", "utm_source") == [("u/1", "s3")]
+def test_a_stream_without_live_items_leaves_an_empty_table(spark, folder):
+    arrive(spark, f"{folder}/in", [document(event="other")])
+    assert run_live(spark, f"{folder}/in", folder).isEmpty()
+    assert live_snapshot(spark, f"{folder}/never").isEmpty()
 
 
-def test_a_replayed_batch_gives_the_same_table(spark, folder):
-    items = live_items(records(spark, [document("u/1"), document("u/2")]))
-    upsert_items(items, folder, "live-0")
-    before = values(live_snapshot(spark, folder))
-    upsert_items(items, folder, "live-0")
-    assert values(live_snapshot(spark, folder)) == before
+def test_the_order_of_arrival_decides_not_the_order_of_batches(spark, folder):
+    arrive(spark, f"{folder}/in", [document("u/1", **source("seq 9"))], first=9)
+    run_live(spark, f"{folder}/in", folder)
+    arrive(spark, f"{folder}/in", [document("u/1", **source("seq 0"))])
+    assert values(run_live(spark, f"{folder}/in", folder), "utm_source") == [("seq 9",)]
 
 
-def test_a_batch_without_live_items_writes_nothing(spark, folder):
-    upsert_items(live_items(records(spark, [document(event="other")])), folder, "live-0")
-    assert change_sets(spark, folder) == []
-    assert live_snapshot(spark, folder).isEmpty()
+def test_live_days_before_since_are_not_read(spark, folder):
+    old = document("u/1", created_at="2026-02-01T09:00:00Z")
+    arrive(spark, f"{folder}/in", [old, document("u/2")])
+    run_live(spark, f"{folder}/in", folder)
+    recent = live_table(spark, f"{folder}/live", since=date(2026, 2, 15))
+    assert values(recent, "booking_id") == [("u/2",)]
+    assert "PartitionFilters: [isnotnull(day" in recent._jdf.queryExecution().executedPlan().toString()
 
 
-def test_late_arrivals_win_unless_order_goes_by_sequence(spark, folder):
-    later = live_items(records(spark, [document(), document("u/1", **source("seq 1"))]))
-    earlier = live_items(records(spark, [document("u/1", **source("seq 0"))]))
-    upsert_items(later, folder, "live-0")
-    upsert_items(earlier, folder, "live-1")
-    by_arrival = live_table(spark, folder).where("booking_id = 'u/1'")
-    assert by_arrival.first().utm_source == "seq 0"
-    by_sequence = live_table(spark, folder, by_sequence=True).where("booking_id = 'u/1'")
-    assert by_sequence.first().utm_source == "seq 1"
-    before = values(live_table(spark, folder))
-    compact_live(spark, folder)
-    assert values(live_table(spark, folder)) == before
+def test_files_with_an_old_time_stamp_are_read(spark, folder):
+    arrive(spark, f"{folder}/in", [document("u/1")])
+    run_live(spark, f"{folder}/in", folder)
+    arrive(spark, f"{folder}/in", [document("u/2")], first=5)
+    new = max(Path(folder, "in").glob("*.parquet"), key=lambda p: p.stat().st_mtime)
+    month_ago = time.time() - 30 * 86400
+    os.utime(new, (month_ago, month_ago))
+    got = run_live(spark, f"{folder}/in", folder)
+    assert values(got, "booking_id") == [("u/1",), ("u/2",)]
 
 
 def test_append_only_stream_drops_replays(spark, folder):
@@ -130,6 +123,19 @@ def test_append_only_stream_drops_replays(spark, folder):
     assert values(read_table(spark, f"{folder}/out"), "booking_id") == [("u/1",), ("u/2",), ("u/3",)]
 
 
+def test_append_only_stream_without_a_delay_loses_nothing(spark, folder):
+    inbox = f"{folder}/in"
+    arrive(spark, inbox, [document("u/1"), document(None), document(None, **source("b"))])
+    late = document("u/2", created_at="2026-01-01T09:00:00Z")
+    arrive(spark, inbox, [late, document("u/1")], first=5)
+    items = live_items(file_records(spark, inbox, max_files_per_batch=1))
+    start_dedup_append(
+        items, f"{folder}/out", f"{folder}/cp", "booking_date", None
+    ).awaitTermination()
+    found = values(read_table(spark, f"{folder}/out"), "booking_id")
+    assert found == [("u/1",), ("u/2",), (None,), (None,)]
+
+
 def test_lines_of_bare_bodies_are_records_too(spark, folder):
     inbox = Path(folder, "in")
     inbox.mkdir()
@@ -140,32 +146,51 @@ def test_lines_of_bare_bodies_are_records_too(spark, folder):
     assert values(live_table(spark, f"{folder}/live"), "booking_id") == [("u/1",), ("u/2",)]
 
 
+def test_lines_of_a_booking_are_ordered_by_their_own_time(spark, folder):
+    inbox = Path(folder, "in")
+    inbox.mkdir()
+    made = [f"2026-03-01T09:00:0{n}Z" for n in (2, 4, 1, 3, 0)]
+    lines = [json.dumps(document("u/1", created_at=at, **source(at))) for at in made]
+    (inbox / "a.jsonl").write_text("\n".join(lines))
+    stream = body_lines(spark, str(inbox))
+    start_live(stream, f"{folder}/live", f"{folder}/cp", pull_seconds=None).awaitTermination()
+    assert values(live_table(spark, f"{folder}/live"), "utm_source") == [(made[1],)]
+
+
 def test_tee_feeds_landing_and_live_table(spark, folder):
     inbox = f"{folder}/in"
     arrive(spark, inbox, [document("u/1"), document("u/1", event="invitee.canceled"), "{broken"])
     stream = file_records(spark, inbox)
-    start_tee(stream, f"{folder}/land", f"{folder}/live", f"{folder}/cp").awaitTermination()
+    for query in start_tee(stream, f"{folder}/land", f"{folder}/live", f"{folder}/cp"):
+        query.awaitTermination()
     landed = landing.stored(spark, f"{folder}/land")
     assert values(landed, "sequence", "date") == [(0, "2026-03-01"), (1, "2026-03-01"), (2, None)]
     assert values(live_snapshot(spark, f"{folder}/live"), "booking_id") == [("u/1",)]
 
 
 def test_bronze_takes_each_landed_file_once(spark, folder):
-    places = [f"{folder}/{name}" for name in ("landing", "bronze", "quarantine", "cp")]
-    landing.land(records(spark, [document("u/1"), "{broken"]), places[0])
-    start_bronze(spark, *places).awaitTermination()
-    landing.land(records(spark, [document("u/2")]), places[0])
-    start_bronze(spark, *places).awaitTermination()
-    bronze = load_or_empty(spark, places[1], schemas.BRONZE)
-    assert values(bronze, "booking_id") == [("u/1",), ("u/2",)]
-    assert bronze.where("_source_file like '%landing%' and ingest_date is not null").count() == 2
-    assert values(read_table(spark, places[2]), "value") == [("{broken",)]
+    layout = Layout(folder)
+    landing.land(records(spark, [document("u/1"), "{broken"]), layout.path("landing"))
+    assert batch.ingest_bronze(spark, layout) == 2
+    landing.land(records(spark, [document("u/2")]), layout.path("landing"))
+    assert batch.ingest_bronze(spark, layout) == 1
+    rows = batch.bronze(spark, layout)
+    assert values(rows, "booking_id", "sequence") == [("u/1", 0), ("u/2", 0)]
+    assert rows.where("_source_file like '%landing%' and ingest_date is not null").count() == 2
+    assert values(batch.quarantine(spark, layout), "value") == [("{broken",)]
 
 
-def test_bronze_without_bad_bodies_starts_no_quarantine(spark, folder):
-    bodies = records(spark, [document()]).selectExpr("value", "'f' AS source_file")
-    assert append_bronze(bodies, f"{folder}/bronze", f"{folder}/quarantine") == 1
-    assert not files.exists(spark, f"{folder}/quarantine")
+def test_a_failed_run_leaves_no_row_twice(spark, folder):
+    layout = Layout(folder)
+    landing.land(records(spark, [document("u/1"), "{broken"]), layout.path("landing"))
+    batch.ingest_bronze(spark, layout)
+    # As if the job had died after its files were written and before the checkpoint said so.
+    for mark in Path(folder, "checkpoints/bronze/commits").iterdir():
+        if mark.is_file():
+            mark.unlink()
+    batch.ingest_bronze(spark, layout)
+    assert values(batch.bronze(spark, layout), "booking_id") == [("u/1",)]
+    assert batch.quarantine(spark, layout).count() == 1
 
 
 def spend_day(folder, day, rows):
@@ -175,7 +200,7 @@ def spend_day(folder, day, rows):
 
 
 def test_batch_run_end_to_end(spark, folder):
-    layout = Layout(folder, max_change_sets=1)
+    layout = Layout(folder)
     day = date(2026, 3, 1)
     landing.land(
         records(
@@ -186,6 +211,9 @@ def test_batch_run_end_to_end(spark, folder):
     )
     rows = batch.run_batch(spark, layout, day)
     assert rows == {
+        "bronze": 3,
+        "silver_events": 3,
+        "silver_spends": 0,
         "bookings_by_source_daily": 1,
         "booking_time_distribution": 1,
         "cpb_by_channel": 2,
@@ -209,7 +237,6 @@ def test_batch_run_end_to_end(spark, folder):
         ("u/2", "youtube_paid_ads"),
         ("u/4", "tiktok_paid_ads"),
     ]
-    assert len(change_sets(spark, layout.path("silver/bookings"))) == 1
     cost = read_table(spark, layout.path("gold/cpb_by_channel"))
     assert values(cost) == [
         ("facebook_paid_ads", 1, 8.0, 8.0),
@@ -220,27 +247,65 @@ def test_batch_run_end_to_end(spark, folder):
     assert values(daily) == [(date(2026, 3, 1), "news", 1), (date(2026, 3, 2), "news", 2)]
 
 
-def test_an_empty_batch_run_leaves_empty_gold_tables(spark, folder):
+def test_a_first_run_without_a_landing_is_quiet(spark, folder):
     layout = Layout(folder)
-    Path(folder, "landing").mkdir()
     assert set(batch.run_batch(spark, layout, date(2026, 3, 1)).values()) == {0}
     assert not batch.refresh_silver_bookings(spark, layout)
     assert not batch.refresh_silver_spends(spark, layout, date(2026, 3, 1))
+    inputs = batch.serving_inputs(spark, layout)
+    assert inputs.daily.isEmpty() and inputs.live.isEmpty()
 
 
-def test_a_broken_spend_file_does_not_hold_up_bookings(spark, folder):
+def test_a_broken_spend_file_fails_but_does_not_hold_up_bookings(spark, folder):
     layout, day = Layout(folder), date(2026, 3, 1)
     landing.land(records(spark, [document("u/1")]), layout.path("landing"))
     place = Path(folder, "spend")
     place.mkdir()
-    (place / f"spend_data_{day}.json").mkdir()
-    try:
+    (place / f"spend_data_{day}.json").write_text('[{"channel": "fb", "spe')
+    with pytest.raises(Exception, match="spend record that cannot be read"):
         batch.run_batch(spark, layout, day)
-    except Exception:
-        pass
     assert values(batch.silver_bookings(spark, layout), "booking_id") == [("u/1",)]
 
 
+def test_a_booking_leaves_silver_when_a_later_event_moves_it(spark, folder):
+    layout = Layout(folder)
+    moved = document("u/1", created_at="2026-03-04T09:00:00Z", event_type="other")
+    for body in (document("u/1"), moved):
+        landing.land(records(spark, [body]), layout.path("landing"))
+        batch.ingest_bronze(spark, layout)
+        batch.extend_silver_bookings(spark, layout)
+    assert batch.silver_bookings(spark, layout).isEmpty()
+
+
+EVENT = st.tuples(st.sampled_from(["u/1", "u/2"]), st.integers(1, 3), st.sampled_from([FACEBOOK, "other"]))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(EVENT, min_size=2, max_size=6), st.data())
+def test_silver_does_not_depend_on_how_events_fall_into_runs(spark, events, data):
+    import tempfile
+
+    bodies = [
+        document(uri, created_at=f"2026-03-0{day}T09:00:00Z", event_type=kind, **source(f"s{n}"))
+        for n, (uri, day, kind) in enumerate(events)
+    ]
+    rows = records(spark, bodies).collect()
+    order = data.draw(st.permutations(range(len(rows))))
+    cut = data.draw(st.integers(0, len(rows)))
+    found = []
+    for parts in ([range(len(rows))], [order[:cut], order[cut:]]):
+        with tempfile.TemporaryDirectory() as folder:
+            layout = Layout(folder)
+            for part in parts:
+                if part:
+                    chosen = spark.createDataFrame([rows[k] for k in part], RECORD)
+                    landing.land(chosen, layout.path("landing"))
+                    batch.ingest_bronze(spark, layout)
+                    batch.extend_silver_bookings(spark, layout)
+            found.append(values(batch.silver_bookings(spark, layout)))
+    assert found[0] == found[1]
+
+
 def test_silver_reads_only_new_bronze_and_keeps_the_latest_event(spark, folder):
     layout = Layout(folder)
     newer = document("u/1", created_at="2026-03-05T09:00:00Z", **source("newer"))
@@ -248,15 +313,42 @@ def test_silver_reads_only_new_bronze_and_keeps_the_latest_event(spark, folder):
     for body in (newer, older):
         landing.land(records(spark, [body]), layout.path("landing"))
         batch.ingest_bronze(spark, layout)
-        batch.extend_silver_bookings(spark, layout)
-    batch.extend_silver_bookings(spark, layout)
-    assert len(change_sets(spark, layout.path("silver/bookings"))) == 2
+        assert batch.extend_silver_bookings(spark, layout) == 1
+    assert batch.extend_silver_bookings(spark, layout) == 0
     step_by_step = values(batch.silver_bookings(spark, layout))
     assert values(batch.silver_bookings(spark, layout), "utm_source") == [("newer",)]
     assert batch.refresh_silver_bookings(spark, layout)
     assert values(batch.silver_bookings(spark, layout)) == step_by_step
 
 
+def test_from_a_folder_of_json_documents_to_the_key_figures(spark, folder):
+    layout, day = Layout(folder, landing_format="json"), date(2026, 3, 1)
+    inbox = Path(folder, "landing")
+    inbox.mkdir()
+    bodies = [document("u/1"), document("u/2", event_type=YOUTUBE), document("u/3", event_type="x")]
+    for n, body in enumerate(bodies):
+        (inbox / f"{n}.json").write_text(json.dumps(body, indent=2))
+    (inbox / "bad.json").write_text("{broken\n")
+    spend_day(folder, day, [{"channel": "facebook_paid_ads", "date": "2026-03-01", "spend": 8}])
+    assert batch.run_batch(spark, layout, day)["bronze"] == 4
+    assert batch.quarantine(spark, layout).count() == 1
+    arrive(spark, f"{folder}/in", [document("u/9", created_at="2026-03-02T09:00:00Z")])
+    stream = file_records(spark, f"{folder}/in")
+    start_live(stream, layout.path("live"), f"{folder}/cp", pull_seconds=None).awaitTermination()
+    inputs = batch.serving_inputs(spark, layout)
+    merged = serving.combined_daily(inputs.daily, inputs.live)
+    figures = serving.kpi_summary(merged, inputs.live, inputs.cpb, inputs.meeting_load).first()
+    assert (figures.total_bookings, figures.live_bookings, figures.total_spend) == (3, 1, 8.0)
+
+
+def test_what_the_landing_stream_wrote_is_ingested(spark, folder):
+    layout = Layout(folder)
+    arrive(spark, f"{folder}/in", [document("u/1")])
+    stream = file_records(spark, f"{folder}/in")
+    start_landing(stream, layout.path("landing"), f"{folder}/cp").awaitTermination()
+    assert batch.ingest_bronze(spark, layout) == 1
+
+
 def test_spend_of_the_same_day_is_replaced_by_a_rerun(spark, folder):
     layout, day = Layout(folder), date(2026, 3, 1)
     first = [{"channel": "fb", "date": "2026-03-01", "spend": 1}, {"channel": "fb", "spend": 2}]

@@ -1,7 +1,7 @@
 """The given ``events`` and ``orders`` tables as bookings, spend and webhook records.
 
 ``events`` stand for webhook events and ``orders`` for spend, by the rules of FIXTURES.md.
-Every row of a table is used.
+Views of one side, batch or live, take every row; where both sides meet, a cutoff day parts them.
 """
 
 from __future__ import annotations
@@ -119,11 +119,16 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _live_of(bronze(spark, sf_dir).where(F.to_date("booking_date") >= F.lit(CUTOFF)))
 
 
+def all_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from all events, for views of the live side alone."""
+    return _live_of(bronze(spark, sf_dir))
+
+
 def _live_of(rows: DataFrame) -> DataFrame:
     created = rows.where(F.col("event") == CREATED).withColumn(
         "channel", channel_of(F.col("event_type"), RULES)
     )
-    paid = created.where(is_paid(F.col("channel")))
+    paid = created.where(is_paid(F.col("channel"), RULES))
     return latest_per_key(paid, ["booking_id"], newest(*ORDER)).select(
         "booking_id",
         F.to_date("booking_date").alias("booking_date"),
@@ -174,6 +179,21 @@ def _iso(time: str) -> str:
     return f"concat(replace(cast({time} AS string), ' ', 'T'), 'Z')"
 
 
+# Further texts of a document, and when some are missing.
+TEXTS = {
+    "invitee_first_name": "concat('First ', user_id % 100)",
+    "invitee_last_name": "CASE WHEN user_id % 3 <> 0 THEN concat('Last ', user_id % 7) END",
+    "invitee_status": "CASE WHEN event_id % 7 = 0 THEN 'canceled' ELSE 'active' END",
+    "invitee_timezone": "CASE WHEN user_id % 2 = 0 THEN 'Europe/Paris' ELSE 'UTC' END",
+    "event_uri": "concat('ev/', event_id)",
+    "event_name": "concat('Meeting ', user_id % 20)",
+    "event_status": "CASE WHEN event_id % 7 = 0 THEN 'canceled' ELSE 'active' END",
+    "utm_medium": "CASE WHEN k % 3 <> 0 THEN concat('medium', k % 3) END",
+    "utm_campaign": "CASE WHEN k % 4 <> 0 THEN concat('campaign', k % 4) END",
+    "utm_content": "CASE WHEN k % 2 <> 0 THEN 'odd' END",
+    "utm_term": "CASE WHEN k % 5 <> 0 THEN concat('term', k) END",
+}
+
 # A booking event as the JSON document a webhook sends.
 DOCUMENT = f"""to_json(struct(
     {BOOKING["event"]} AS event,
@@ -181,9 +201,16 @@ DOCUMENT = f"""to_json(struct(
     struct(
         {BOOKING["booking_id"]} AS uri,
         {BOOKING["invitee_email"]} AS email,
+        {TEXTS["invitee_first_name"]} AS first_name,
+        {TEXTS["invitee_last_name"]} AS last_name,
+        {TEXTS["invitee_status"]} AS status,
+        {TEXTS["invitee_timezone"]} AS timezone,
         CASE WHEN value >= 50 THEN 'true' WHEN value >= 10 THEN 'false' END AS rescheduled,
         struct(
             concat('https://booking.example/event_types/', event_type) AS event_type,
+            {TEXTS["event_uri"]} AS uri,
+            {TEXTS["event_name"]} AS name,
+            {TEXTS["event_status"]} AS status,
             {_iso(BOOKING["start_time"])} AS start_time,
             {_iso(BOOKING["end_time"])} AS end_time,
             filter(
@@ -191,13 +218,29 @@ DOCUMENT = f"""to_json(struct(
                     {BOOKING["host_email"]} AS user_email,
                     {BOOKING["host_name"]} AS user_name)),
                 host -> host.user_email IS NOT NULL) AS event_memberships) AS scheduled_event,
-        struct({BOOKING["utm_source"]} AS utm_source) AS tracking,
+        struct(
+            {BOOKING["utm_source"]} AS utm_source,
+            {TEXTS["utm_medium"]} AS utm_medium,
+            {TEXTS["utm_campaign"]} AS utm_campaign,
+            {TEXTS["utm_content"]} AS utm_content,
+            {TEXTS["utm_term"]} AS utm_term) AS tracking,
         array(struct(
             'amount' AS question,
             cast(value AS string) AS answer,
             0 AS position)) AS questions_and_answers) AS payload)) AS value"""
 
 
+# Bodies as they come when senders fail: cut off in the middle.
+CUT_OFF = "CASE WHEN event_type = 'error' THEN substring(value, 1, 20) ELSE value END AS value"
+
+
+def rough_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records with the bodies of error events cut off."""
+    rows = events(spark, sf_dir).selectExpr(*WITH_NUMBER)
+    bodies = rows.selectExpr(f"{BOOKING['booking_id']} AS key", DOCUMENT, "event_id", "event_type")
+    return bodies.selectExpr("key", CUT_OFF, "event_id AS sequence")
+
+
 def as_records(rows: DataFrame) -> DataFrame:
     """Events as webhook records: key, JSON body and arrival number."""
     return rows.selectExpr(*WITH_NUMBER).selectExpr(

@@ -25,7 +25,7 @@ bk AS (
          CASE WHEN user_id % 20 <> 0 THEN 'host' || (user_id % 20) || '@example.com' END AS host_email,
          CASE WHEN user_id % 20 <> 0 THEN 'Host ' || (user_id % 20) END AS host_name,
          CASE WHEN k >= 10 THEN 'src' || (k % 5) END AS utm_source,
-         'user' || user_id || '@example.com' AS invitee_email, value
+         'user' || user_id || '@example.com' AS invitee_email, value, user_id, k
   FROM raw)"""
 
 SPEND = """
@@ -45,6 +45,18 @@ SILVER = f"""
 silver AS (
   SELECT * FROM (SELECT *, {LATEST} AS rn FROM bk) t WHERE rn = 1 AND channel IN {PAID})"""
 
+ONE_SIDED = f"""
+daily AS (
+  SELECT {DAY} AS booking_date, COALESCE(utm_source, '(no utm_source)') AS utm_source,
+         COUNT(booking_id) AS booking_count
+  FROM silver GROUP BY 1, 2),
+live AS (
+  SELECT booking_id, {DAY} AS booking_date, channel, utm_source, host_email, host_name,
+         start_time, end_time
+  FROM (SELECT *, {LATEST} AS rn FROM bk
+        WHERE event = 'invitee.created' AND channel IN {PAID}) t
+  WHERE rn = 1)"""
+
 BATCH_AND_LIVE = f"""
 silver AS (
   SELECT * FROM (SELECT *, {LATEST} AS rn FROM bk WHERE {DAY} <= {CUTOFF}) t
@@ -97,6 +109,10 @@ def batch(select: str) -> str:
     return on(EVENTS, SILVER, select=select)
 
 
+def one_sided(select: str) -> str:
+    return on(EVENTS, SILVER, ONE_SIDED, select=select)
+
+
 def serving(select: str) -> str:
     return on(EVENTS, BATCH_AND_LIVE, select=select)
 
@@ -115,6 +131,13 @@ LIVE_ROWS = f"event = 'invitee.created' AND channel IN {PAID}"
 BY_ARRIVAL = "row_number() OVER (PARTITION BY booking_id ORDER BY event_id DESC)"
 URI = "'https://booking.example/event_types/' || event_type"
 
+PARSED = (
+    "booking_date", "booking_id", "invitee_email", "invitee_first_name", "invitee_last_name",
+    "invitee_status", "invitee_timezone", "event_uri", "event_name", "start_time", "end_time",
+    "host_email", "host_name", "utm_source", "utm_medium", "utm_campaign", "utm_content",
+    "utm_term",
+)
+
 ORACLE = {
     "silver_bookings": batch(
         "SELECT booking_id, booking_date, channel, start_time, end_time, host_email, host_name,"
@@ -126,7 +149,11 @@ ORACLE = {
         select="SELECT booking_id, event_id, event_type, event"
         f" FROM (SELECT *, {LATEST} AS rn FROM bk) t WHERE rn = 1",
     ),
-    "classify_channel": on(EVENTS, select="SELECT event_id, channel FROM bk"),
+    "classify_channel": on(
+        EVENTS,
+        select="SELECT event_id, CASE WHEN event_type = 'view' THEN 'podcast_ads' ELSE channel END"
+        " AS channel, event_type IN ('view', 'click', 'signup', 'purchase') AS paid FROM bk",
+    ),
     "gold_bookings_by_source_daily": batch(
         f"SELECT {DAY} AS booking_date, utm_source, COUNT(booking_id) AS booking_count"
         " FROM silver GROUP BY 1, 2"
@@ -141,12 +168,12 @@ ORACLE = {
         " COUNT(booking_id) AS meeting_count FROM silver WHERE host_email IS NOT NULL GROUP BY 1, 2"
     ),
     "combined_daily": serving("SELECT * FROM comb"),
-    "time_distribution_filtered": serving(
+    "time_distribution_filtered": one_sided(
         "SELECT dayname(booking_date) AS day_of_week, booking_date, utm_source, booking_count"
         " FROM daily WHERE booking_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'"
     ),
-    "cpb_filtered": serving_cost("SELECT * FROM cpb"),
-    "channel_leaderboard": serving_cost("SELECT * FROM cpb"),
+    "cpb_filtered": on(EVENTS, SPEND, SILVER, CPB, select="SELECT * FROM cpb"),
+    "channel_leaderboard": on(EVENTS, SPEND, SILVER, CPB, select="SELECT * FROM cpb"),
     "kpi_summary": serving_cost(
         """SELECT total_bookings, live_bookings, total_spend, active_hosts,
        round(total_spend / total_bookings, 6) AS avg_cost_per_booking
@@ -155,12 +182,12 @@ FROM (SELECT (SELECT CAST(SUM(booking_count) AS BIGINT) FROM comb) AS total_book
              (SELECT SUM(total_spend) FROM cpb) AS total_spend,
              (SELECT COUNT(DISTINCT host_email) FROM gold_load) AS active_hosts) t"""
     ),
-    "live_by_channel": serving("SELECT channel, COUNT(*) AS count FROM live GROUP BY 1"),
-    "recent_live_bookings": serving(
+    "live_by_channel": one_sided("SELECT channel, COUNT(*) AS count FROM live GROUP BY 1"),
+    "recent_live_bookings": one_sided(
         "SELECT booking_id, channel, utm_source, host_name, start_time FROM live"
         " ORDER BY start_time DESC NULLS LAST, booking_id LIMIT 10"
     ),
-    "weekday_source_heatmap": serving(
+    "weekday_source_heatmap": one_sided(
         f"""SELECT d.day_of_week, {HEATMAP_COLUMNS}
 FROM (VALUES ('Monday'), ('Tuesday'), ('Wednesday'), ('Thursday'), ('Friday'), ('Saturday'),
              ('Sunday')) d(day_of_week)
@@ -168,7 +195,7 @@ LEFT JOIN daily ON dayname(daily.booking_date) = d.day_of_week
   AND booking_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
 GROUP BY 1"""
     ),
-    "weekday_source_totals": serving(
+    "weekday_source_totals": one_sided(
         "SELECT dayname(booking_date) AS day_of_week, utm_source,"
         " CAST(SUM(booking_count) AS BIGINT) AS booking_count FROM daily"
         " WHERE booking_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' GROUP BY 1, 2"
@@ -193,16 +220,33 @@ UNION ALL SELECT DISTINCT 'source', utm_source FROM daily
 UNION ALL SELECT DISTINCT 'channel', channel FROM cpb
 UNION ALL SELECT DISTINCT 'host', host_email FROM ml"""
     ),
-    "batch_freshness": serving(
+    "batch_freshness": one_sided(
         "SELECT COALESCE(CAST(max(booking_date) AS VARCHAR), 'N/A') AS batch_through FROM daily"
     ),
     "parse_webhook": on(
         EVENTS,
-        select=f"""SELECT event_id, booking_id, booking_date, invitee_email, {URI} AS event_type,
-       start_time, end_time, host_email, host_name, utm_source,
-       CASE WHEN value >= 50 THEN true WHEN value >= 10 THEN false END AS was_rescheduled,
-       value AS amount, true AS well_formed
-FROM bk""",
+        """
+docs AS (
+  SELECT *, 'First ' || (user_id % 100) AS invitee_first_name,
+         CASE WHEN user_id % 3 <> 0 THEN 'Last ' || (user_id % 7) END AS invitee_last_name,
+         CASE WHEN event_id % 7 = 0 THEN 'canceled' ELSE 'active' END AS invitee_status,
+         CASE WHEN user_id % 2 = 0 THEN 'Europe/Paris' ELSE 'UTC' END AS invitee_timezone,
+         'ev/' || event_id AS event_uri, 'Meeting ' || (user_id % 20) AS event_name,
+         CASE WHEN k % 3 <> 0 THEN 'medium' || (k % 3) END AS utm_medium,
+         CASE WHEN k % 4 <> 0 THEN 'campaign' || (k % 4) END AS utm_campaign,
+         CASE WHEN k % 2 <> 0 THEN 'odd' END AS utm_content,
+         CASE WHEN k % 5 <> 0 THEN 'term' || k END AS utm_term,
+         event_type <> 'error' AS ok
+  FROM bk)""",
+        select="SELECT event_id, "
+        + ", ".join(f"CASE WHEN ok THEN {name} END AS {name}" for name in PARSED)
+        + f""", CASE WHEN ok THEN {URI} END AS event_type,
+       CASE WHEN ok THEN invitee_status END AS event_status,
+       CASE WHEN ok AND value >= 50 THEN true WHEN ok AND value >= 10 THEN false END
+         AS was_rescheduled,
+       CASE WHEN ok THEN 1 END AS answers, CASE WHEN ok THEN value END AS amount,
+       ok AS well_formed
+FROM docs""",
     ),
     "first_host": on(EVENTS, select="SELECT event_id, host_email, host_name FROM bk"),
     "typed_times": """
@@ -244,35 +288,21 @@ FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1""",
         f" CAST({DAY} AS VARCHAR) AS landing_date FROM bk",
     ),
     "scan_spend": on(
-        SPEND, select="SELECT channel, CAST(date AS VARCHAR) AS date, spend FROM sp"
+        SPEND, select="SELECT channel, CAST(date AS VARCHAR) AS date, spend FROM sp0"
     ),
     "land_raw": on(
         EVENTS,
         select=f"""SELECT CAST({DAY} AS VARCHAR) AS date, split_part(booking_id, '/', 2) AS invitee_id,
        event_id AS sequence, event
 FROM (SELECT *, row_number() OVER (PARTITION BY {DAY}, booking_id ORDER BY event_id DESC) AS rn
-      FROM bk) t WHERE rn = 1""",
+      FROM bk WHERE event_type <> 'error') t WHERE rn = 1
+UNION ALL SELECT NULL, NULL, event_id, NULL FROM bk WHERE event_type = 'error'""",
     ),
     "bronze_append_evolve": on(
         EVENTS,
         select=f"SELECT booking_id, booking_date, event,"
-        f" CASE WHEN {DAY} > {CUTOFF} THEN utm_source END AS utm_source FROM bk",
-    ),
-    "upsert_bookings": on(
-        EVENTS,
-        f"""
-early AS (
-  SELECT * FROM (SELECT *, {LATEST} AS rn FROM bk WHERE {DAY} <= {CUTOFF}) t
-  WHERE rn = 1 AND channel IN {PAID}),
-late AS (
-  SELECT * FROM (SELECT *, {LATEST} AS rn FROM bk WHERE {DAY} >= {CUTOFF}) t
-  WHERE rn = 1 AND channel IN {PAID}),
-merged AS (
-  SELECT * FROM late
-  UNION ALL
-  SELECT * FROM early WHERE booking_id NOT IN (SELECT booking_id FROM late))""",
-        select="SELECT booking_id, booking_date, channel, start_time, end_time, host_email,"
-        " host_name, utm_source FROM merged",
+        f" CASE WHEN {DAY} > {CUTOFF} THEN utm_source END AS utm_source,"
+        " 'events' AS _source_file, true AS traced FROM bk",
     ),
     "upsert_spend": on(
         SPEND,
@@ -297,17 +327,20 @@ latest AS (
     ),
     "tee_landing_and_live": on(
         EVENTS,
-        select=f"""SELECT 'landing' AS sink, CAST({DAY} AS VARCHAR) AS date, COUNT(*) AS rows
-FROM bk GROUP BY 2
+        select=f"""SELECT 'landing' AS sink, CAST({DAY} AS VARCHAR) AS date, event_id AS sequence,
+       booking_id, event AS what
+FROM bk
 UNION ALL
-SELECT 'live', CAST({DAY} AS VARCHAR), COUNT(*)
-FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1 GROUP BY 2""",
+SELECT 'live', CAST({DAY} AS VARCHAR), event_id, booking_id, channel
+FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1""",
     ),
     "stream_dedup_append": on(
         EVENTS, select=f"SELECT DISTINCT booking_id FROM bk WHERE {LIVE_ROWS}"
     ),
 }
 
+ORACLE["upsert_bookings"] = ORACLE["silver_bookings"]
+
 ORACLE["live_snapshot"] = ORACLE["stream_live_bookings"] = on(
     EVENTS,
     select=f"""SELECT booking_id, CAST({DAY} AS VARCHAR) AS booking_date, channel, utm_source,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake import schemas
-from apptlake.functions.channels import channel_of
+from apptlake.functions.channels import channel_of, is_paid
 from apptlake.functions.times import instant, written_day
 from apptlake.functions.values import first_member
 from apptlake.operators import clean
@@ -31,7 +31,7 @@ from apptlake.sources.documents import read_documents, read_spend_files
 from apptlake.sources.tables import append, read_table, stored
 from apptlake.streaming import live as live_layer
 from apptlake.streaming.ingest import start_tee
-from apptlake.streaming.live import live_items, start_dedup_append, start_live, typed_live
+from apptlake.streaming.live import live_items, start_dedup_append, start_live
 from workload import frames
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,8 +75,11 @@ def dedup_bookings(spark, sf_dir):
 
 @query
 def classify_channel(spark, sf_dir):
-    channel = channel_of(F.col("event_type"), frames.RULES)
-    return frames.events(spark, sf_dir).select("event_id", channel.alias("channel"))
+    """By a caller's rules, which may know channels of their own."""
+    rules = frames.RULES | {"view": "podcast_ads"}
+    channel = channel_of(F.col("event_type"), rules)
+    rows = frames.events(spark, sf_dir).select("event_id", channel.alias("channel"))
+    return rows.withColumn("paid", is_paid(F.col("channel"), rules))
 
 
 # ---- gold ----
@@ -118,11 +121,11 @@ def _in_selection(df: DataFrame) -> DataFrame:
 
 
 def _batch_cpb(spark, sf_dir):
-    return frames.cpb(spark, sf_dir, frames.batch_silver(spark, sf_dir))
+    return frames.cpb(spark, sf_dir, frames.silver(spark, sf_dir))
 
 
 def _batch_distribution(spark, sf_dir):
-    return _in_selection(frames.distribution(frames.batch_silver(spark, sf_dir)))
+    return _in_selection(frames.distribution(frames.silver(spark, sf_dir)))
 
 
 def _meeting_load(spark, sf_dir):
@@ -168,12 +171,12 @@ def kpi_summary(spark, sf_dir):
 
 @query
 def live_by_channel(spark, sf_dir):
-    return serving.live_by_channel(frames.live(spark, sf_dir))
+    return serving.live_by_channel(frames.all_live(spark, sf_dir))
 
 
 @query
 def recent_live_bookings(spark, sf_dir):
-    return plain_times(serving.recent_live_bookings(frames.live(spark, sf_dir)))
+    return plain_times(serving.recent_live_bookings(frames.all_live(spark, sf_dir)))
 
 
 @query
@@ -219,7 +222,7 @@ def filter_domain(spark, sf_dir):
 
 @query
 def batch_freshness(spark, sf_dir):
-    return serving.batch_freshness(frames.daily(frames.batch_silver(spark, sf_dir)))
+    return serving.batch_freshness(frames.daily(frames.silver(spark, sf_dir)))
 
 
 # ---- documents ----
@@ -227,22 +230,16 @@ def batch_freshness(spark, sf_dir):
 
 @query
 def parse_webhook(spark, sf_dir):
-    parsed = parse_documents(frames.records(spark, sf_dir))
+    """All columns of bronze, some bodies being cut off."""
+    parsed = parse_documents(frames.rough_records(spark, sf_dir))
     flat = bronze_rows(parsed, keep=("sequence", "_corrupt_record"))
+    answers = F.get("questions_and_answers", 0)
     return plain_times(
         flat.select(
             F.col("sequence").alias("event_id"),
-            "booking_id",
-            "booking_date",
-            "invitee_email",
-            "event_type",
-            "start_time",
-            "end_time",
-            "host_email",
-            "host_name",
-            "utm_source",
-            "was_rescheduled",
-            F.col("questions_and_answers")[0]["answer"].cast("double").alias("amount"),
+            *[name for name in schemas.FLAT_COLUMNS if name != "questions_and_answers"],
+            F.size("questions_and_answers").alias("answers"),
+            answers["answer"].cast("double").alias("amount"),
             F.col("_corrupt_record").isNull().alias("well_formed"),
         )
     )
@@ -332,22 +329,28 @@ def scan_raw_json(spark, sf_dir):
 
 @query
 def scan_spend(spark, sf_dir):
-    """Spend delivered as files of one list each: a month of at most three channels a day."""
+    """Spend as it is delivered, some amounts as text: files of one list each, a thousand records
+    at most, so that no file holds more than a task can read."""
     folder = scratch_path(spark, "spend")
-    record = F.struct("channel", F.col("date").cast("string").alias("date"), "spend")
-    months = (
-        frames.spends(spark, sf_dir)
-        .groupBy(F.date_format("date", "yyyy-MM").alias("month"))
-        .agg(F.to_json(F.collect_list(record)).alias("value"))
+    rows = frames.raw_spend(spark, sf_dir)
+    written = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(F.struct("channel", "date", "spend")))
+    as_text = F.struct("channel", "date", F.col("spend").cast("string").alias("spend"))
+    record = F.coalesce(written, F.to_json(as_text))
+    lists = (
+        rows.withColumn("record", record)
+        .groupBy(F.substring("date", 1, 7).alias("month"), F.floor(F.col("o_orderkey") / 1000).alias("part"))
+        .agg(F.concat_ws(",", F.collect_list("record")).alias("records"))
+        .select("month", "part", F.concat(F.lit("["), "records", F.lit("]")).alias("value"))
     )
-    months.write.mode("overwrite").partitionBy("month").text(folder)
+    writer = lists.drop("part").write.mode("overwrite").partitionBy("month")
+    writer.option("maxRecordsPerFile", 1).text(folder)
     return read_spend_files(spark, folder).select("channel", "date", "spend")
 
 
 @query
 def land_raw(spark, sf_dir):
     folder = scratch_path(spark, "landing")
-    landing.land(frames.records(spark, sf_dir), folder)
+    landing.land(frames.rough_records(spark, sf_dir), folder)
     bodies = landing.latest_bodies(landing.stored(spark, folder))
     return bodies.select(
         "date", "invitee_id", "sequence", F.get_json_object("value", "$.event").alias("event")
@@ -356,7 +359,8 @@ def land_raw(spark, sf_dir):
 
 @query
 def bronze_append_evolve(spark, sf_dir):
-    """Two appends, the second with a column the first had not; no clock columns in the result."""
+    """Two appends, the second with a column the first had not; of the clock columns the result
+    has whether they are filled."""
     folder = scratch_path(spark, "bronze")
     rows = frames.bronze(spark, sf_dir).drop("event_id")
     early = rows.where(F.to_date("booking_date") <= F.lit(frames.CUTOFF)).drop("utm_source")
@@ -364,19 +368,28 @@ def bronze_append_evolve(spark, sf_dir):
     for part in (early, later):
         append(with_lineage(part, F.lit("events")), folder, "ingest_date")
     table = read_table(spark, folder, merge=True)
-    return plain_times(table.select("booking_id", "booking_date", "event", "utm_source"))
+    traced = F.col("_ingested_at").isNotNull() & F.col("ingest_date").isNotNull()
+    return plain_times(
+        table.select(
+            "booking_id", "booking_date", "event", "utm_source", "_source_file",
+            traced.alias("traced"),
+        )
+    )
 
 
 @query
 def upsert_bookings(spark, sf_dir):
-    """Events up to the cutoff, then those from it on, upserted by booking."""
+    """Events from the cutoff on, then those up to it, upserted by booking: as one pass would."""
     folder = scratch_path(spark, "bookings")
-    rows = frames.bronze(spark, sf_dir)
-    day = F.to_date("booking_date")
-    for part in (rows.where(day <= F.lit(frames.CUTOFF)), rows.where(day >= F.lit(frames.CUTOFF))):
-        silver = clean.clean_bookings(part, frames.RULES, frames.ORDER)
-        upsert(silver, folder, ["booking_id"], unique=True)
-    return plain_times(current(spark, folder, schemas.SILVER_BOOKINGS, ["booking_id"]))
+    rows = frames.bronze(spark, sf_dir).withColumnRenamed("event_id", "sequence")
+    day, order = F.to_date("booking_date"), ("booking_date", "sequence")
+    parts = (rows.where(day >= F.lit(frames.CUTOFF)), rows.where(day <= F.lit(frames.CUTOFF)))
+    for number, part in enumerate(parts):
+        events = clean.latest_events(part, frames.RULES, order)
+        upsert(events, folder, ["booking_id"], number, unique=True)
+    latest = current(spark, folder, schemas.BOOKING_CHANGES, ["booking_id"], newest(*order))
+    paid = latest.where(is_paid(F.col("channel"), frames.RULES))
+    return plain_times(paid.select(*clean.SILVER_COLUMNS))
 
 
 @query
@@ -387,8 +400,8 @@ def upsert_spend(spark, sf_dir):
     pending = F.col("o_orderstatus") == "P"
     rows = rows.withColumn("date", F.when(pending, "unknown").otherwise(F.col("date")))
     finished = F.col("o_orderstatus") == "F"
-    for part in (rows.where(finished), rows.where(pending), rows.where(~finished)):
-        upsert(clean.clean_spend(part, newest("o_orderkey")), folder, ["date", "channel"])
+    for number, part in enumerate((rows.where(finished), rows.where(pending), rows.where(~finished))):
+        upsert(clean.clean_spend(part, newest("o_orderkey")), folder, ["date", "channel"], number)
     return current(spark, folder, schemas.SILVER_SPENDS, ["date", "channel"])
 
 
@@ -399,30 +412,35 @@ def upsert_spend(spark, sf_dir):
 def stream_live_bookings(spark, sf_dir):
     table, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "checkpoint")
     stream = frames.record_stream(spark, sf_dir)
-    start_live(
-        stream, table, checkpoint, frames.RULES, pull_seconds=None, by_sequence=True
-    ).awaitTermination()
-    return _as_text(live_layer.live_snapshot(spark, table, by_sequence=True), "booking_date")
+    start_live(stream, table, checkpoint, frames.RULES, pull_seconds=None).awaitTermination()
+    return _as_text(live_layer.live_snapshot(spark, table), "booking_date")
 
 
 @query
 def live_snapshot(spark, sf_dir):
+    """A live table as written, several items to a booking."""
+    folder = scratch_path(spark, "live")
     items = live_items(frames.records(spark, sf_dir), frames.RULES)
-    stored = latest_per_key(items, ["booking_id"], newest("sequence"))
-    return _as_text(typed_live(stored), "booking_date")
+    append(items.withColumn("day", F.col("booking_date")), folder, "day")
+    return _as_text(live_layer.live_snapshot(spark, folder), "booking_date")
 
 
 @query
 def tee_landing_and_live(spark, sf_dir):
-    """What each of the two sinks holds, per day."""
+    """The rows that each of the two sinks holds."""
     sinks = scratch_path(spark, "landing"), scratch_path(spark, "live")
     stream = frames.record_stream(spark, sf_dir)
-    start_tee(stream, *sinks, scratch_path(spark, "checkpoint"), frames.RULES).awaitTermination()
-    landed = landing.stored(spark, sinks[0]).select(F.lit("landing").alias("sink"), "date")
-    live = live_layer.live_snapshot(spark, sinks[1], by_sequence=True).select(
-        F.lit("live").alias("sink"), F.col("booking_date").cast("string").alias("date")
-    )
-    return landed.unionByName(live).groupBy("sink", "date").agg(F.count(F.lit(1)).alias("rows"))
+    for query in start_tee(stream, *sinks, scratch_path(spark, "checkpoint"), frames.RULES):
+        query.awaitTermination()
+    landed = landing.stored(spark, sinks[0]).select(
+        F.lit("landing").alias("sink"), "date", "sequence", F.col("key").alias("booking_id"),
+        F.get_json_object("value", "$.event").alias("what"),
+    )
+    live = live_layer.live_table(spark, sinks[1]).select(
+        F.lit("live").alias("sink"), F.col("booking_date").alias("date"), "sequence", "booking_id",
+        F.col("channel").alias("what"),
+    )
+    return landed.unionByName(live)
 
 
 @query
@@ -432,6 +450,6 @@ def stream_dedup_append(spark, sf_dir):
     items = live_items(frames.record_stream(spark, sf_dir), frames.RULES)
     timed = items.withColumn("booked_on", F.to_timestamp("booking_date"))
     start_dedup_append(
-        timed, folder, scratch_path(spark, "checkpoint"), "booked_on", "31 days"
+        timed, folder, scratch_path(spark, "checkpoint"), "booked_on", None
     ).awaitTermination()
     return read_table(spark, folder).select("booking_id")
