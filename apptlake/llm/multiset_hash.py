@@ -170,7 +170,8 @@ def edited_fingerprints(
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_text"))
     ids = next_ids(rows)
     # Both sides below start from this one exchange, so texts move twice: by id, and by next id.
-    rows = rows.repartition("doc_id")
+    # The fence keeps a filter of one side from making two exchanges of it.
+    rows = fenced(rows.repartition("doc_id"))
     after = rows.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("_text").alias("_next_text"))
     rows = rows.join(ids, "doc_id", "left").join(after, "next_id", "left")
     half = F.floor(F.length("_text") / 2).cast("int")
