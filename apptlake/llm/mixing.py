@@ -84,7 +84,8 @@ def margin_targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
         power = (mix.temper or {}).get(margin, 1.0)
         want = have.select(margin, F.pow("_have", F.lit(power)).alias("_want"))
     else:
-        listed = cells.sparkSession.createDataFrame(list(given.items()), f"{margin} string, _want double")
+        listed = [(value, float(share)) for value, share in given.items()]
+        listed = cells.sparkSession.createDataFrame(listed, f"{margin} string, _want double")
         want = have.select(margin).join(listed, margin)
     whole = want.agg(F.sum("_want")).first()[0]
     return want.select(margin, (F.col("_want") / F.lit(whole)).alias("_target"))

@@ -2,13 +2,59 @@
 
 from __future__ import annotations
 
+from apptlake.llm.licenses import TEMPLATES, THRESHOLD
 from apptlake.llm.quality_rules import BOILERPLATE, SYMBOLS
 
 _PHRASES = " OR ".join(f"contains(lower(x), '{phrase}')" for phrase in BOILERPLATE)
 _SYMBOLS = "".join("\\" + c if c in "*$|" else c for c in SYMBOLS)
 _SPACES = "[ \\t-\\r]"
 
+_TEMPLATES = ", ".join(
+    "('{}', '{}')".format(name, text.replace("'", "''"))
+    for name, texts in TEMPLATES.items()
+    for text in texts
+)
+_BIGRAMS = "list_distinct(list_transform(range(1, len({0})), lambda k: {0}[k] || ' ' || {0}[k + 1]))"
+_WORDS = "list_transform(regexp_extract_all({}, '[A-Za-z0-9]+'), lambda w: lower(w))"
+
 ORACLE = {
+    "op10_license_scan": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+lines AS (
+  SELECT doc_id, k - 1 AS n, l[k] AS line, len(l) AS many
+  FROM (SELECT doc_id, string_split(t, chr(10)) AS l FROM d), unnest(range(1, len(l) + 1)) AS r(k)),
+sentences AS (
+  SELECT doc_id, n, k, parts[k] AS s
+  FROM (SELECT doc_id, n, line,
+          string_split(regexp_replace(line, '([.!?]) +', '\\1' || chr(10), 'g'), chr(10)) AS parts
+        FROM lines), unnest(range(1, len(parts) + 1)) AS r(k)
+  WHERE len(parts) > 1),
+blocks AS (
+  SELECT doc_id, k - 1 AS n, b[k] AS block
+  FROM (SELECT doc_id, string_split_regex(t, '\\n[ \\t\\r]*\\n') AS b FROM d),
+    unnest(range(1, len(b) + 1)) AS r(k)
+  WHERE len(b) > 1),
+units AS (
+  SELECT doc_id, 0 AS level, 'text' AS unit, 0 AS n, 0 AS k, t AS u FROM d
+  UNION ALL SELECT doc_id, 1, 'block', n, 0, block FROM blocks
+  UNION ALL SELECT doc_id, 2, 'line', n, 0, line FROM lines WHERE many > 1
+  UNION ALL SELECT doc_id, 3, 'sentence', n, k, s FROM sentences),
+words AS (SELECT * EXCLUDE (u), {_WORDS.format("u")} AS w FROM units),
+pairs AS (SELECT * EXCLUDE (w), {_BIGRAMS.format("w")} AS b FROM words WHERE len(w) BETWEEN 2 AND 2000),
+names AS (SELECT name AS license, {_WORDS.format("body")} AS w FROM (VALUES {_TEMPLATES}) v(name, body)),
+templates AS (SELECT license, {_BIGRAMS.format("w")} AS b FROM names),
+matched AS (
+  SELECT doc_id, level, unit, n, k, license,
+    2 * len(list_intersect(p.b, t.b)) / (len(p.b) + len(t.b)) AS dice,
+    200 * len(list_intersect(p.b, t.b)) >= {THRESHOLD} * (len(p.b) + len(t.b)) AS enough
+  FROM pairs p JOIN templates t
+    ON len(p.b) * {THRESHOLD} <= len(t.b) * {200 - THRESHOLD}
+    AND len(t.b) * {THRESHOLD} <= len(p.b) * {200 - THRESHOLD}),
+best AS (
+  SELECT * FROM matched WHERE enough
+  QUALIFY row_number() OVER (PARTITION BY doc_id, level, n, k ORDER BY dice DESC, license) = 1)
+SELECT doc_id, license, dice, unit, n::INTEGER AS position FROM best
+QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, level, n, k) = 1""",
     "op7_line_first": f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from apptlake.llm.chunk_dedup import Chunking, chunk_ends, dedup_substrings
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def pieces(text, how=Chunking()):
+    raw = text.encode()
+    ends = chunk_ends([raw], how)[0]
+    return list(zip([0, *ends], ends, strict=False)), raw
+
+
+def plain(rows, how=Chunking()):
+    """Texts by key with runs of later chunks cut, one text at a time in ascending order."""
+    first, result = {}, {}
+    for key, text in rows:
+        spans, raw = pieces(text, how)
+        for a, b in spans:
+            first.setdefault(raw[a:b], (key, a))
+    for key, text in rows:
+        spans, raw = pieces(text, how)
+        runs = []
+        for a, b in spans:
+            if first[raw[a:b]] != (key, a):
+                if runs and runs[-1][1] == a:
+                    runs[-1][1] = b
+                else:
+                    runs.append([a, b])
+        runs = [(a, b) for a, b in runs if len(raw[a:b].decode()) >= how.run_chars]
+        left = b"".join(raw[b:c] for b, c in zip([0, *(b for _, b in runs)], [*(a for a, _ in runs), len(raw)], strict=True))
+        result[key] = (left.decode(), len(runs))
+    return result
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab é\n漢🙂"), max_size=400), max_size=5), st.sampled_from([Chunking(), Chunking(most=50), Chunking(1, 2, 1, 9)]))
+def test_chunks_cover_texts_and_part_between_characters(texts, how):
+    for text, ends in zip(texts, chunk_ends([t.encode() for t in texts], how), strict=True):
+        raw, last = text.encode(), 0
+        for end in ends:
+            assert last < end <= last + how.most
+            raw[last:end].decode()
+            last = end
+        assert last == len(raw)
+        # What stands beside a text has no bearing on it.
+        assert ends == chunk_ends([raw], how)[0]
+
+
+def test_an_insertion_moves_only_the_chunks_it_touches():
+    text = " ".join(f"word{n * n % 1009}" for n in range(400))
+    before, raw = pieces(text)
+    after, changed = pieces(text[:900] + " some inserted words" + text[900:])
+    same = {raw[a:b] for a, b in before} & {changed[a:b] for a, b in after}
+    assert len(same) > 0.9 * len(before)
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(5)
+    want = plain(sorted((r.doc_id, r.text) for r in docs.collect()))
+    got = {r.doc_id: (r.text, len(r.spans)) for r in dedup_substrings(docs).collect()}
+    assert got == want
+    assert any(spans for _, spans in got.values())
+
+
+def test_later_copies_of_a_passage_go_and_the_first_stays(spark):
+    passage = " ".join(f"pass{n}" for n in range(60))
+    rows = [(n, f"{' '.join(f'own{n}x{k}' for k in range(30))} {passage} end{n}") for n in range(300)]
+    rows.append((1000, "no part of this is anywhere else"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = {r.doc_id: r for r in dedup_substrings(docs, carry=[]).collect()}
+    assert got[0].text == rows[0][1] and got[1000].n_removed == 0
+    assert all(got[n].n_removed > 0.5 * len(passage) for n in range(1, 300))
+    assert all(got[n].text.startswith(f"own{n}x0 ") and got[n].text.endswith(f"end{n}") for n in range(300))
+
+
+def test_odd_rows(spark, odd, nothing):
+    got = dedup_substrings(odd, carry=["_text", "score"]).collect()
+    assert len(got) == 12 and {r._text for r in got} == {"my _text"}
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.doc_id, []).append(r)
+    assert by_id[5][0].text == "" and by_id[7][0].text == " \t\n\x0b "
+    assert len({r.text for r in by_id[2]}) == 1
+    assert by_id[10][0].n_removed > 0.99 * len(odd.where("doc_id = 10").first().text)
+    assert {len(r.text) > 0 for r in by_id[12]} == {True}
+    assert dedup_substrings(nothing).collect() == []

@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from apptlake.llm.oracle import ORACLE
+from apptlake.llm.quality_rules import BOILERPLATE, SYMBOLS, line_first
+from tools.check import rows_of
+
+SF_DIR = "/root/testdata/sf0.001"
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def plain(text):
+    """The same rules, one text at a time."""
+    text = text or ""
+    words, lines = WORD.findall(text), text.split("\n")
+    windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    counts, covered = Counter(windows), set()
+    for k, window in enumerate(windows):
+        if counts[window] > 1:
+            covered.update(range(k, k + 5))
+    filled = [x for x in lines if WORD.search(x)]
+    symbols = lambda x: sum(map(x.count, SYMBOLS))
+    good = [
+        x for x in lines
+        if not WORD.search(x) or (
+            any(c in x for c in ".!?") and 100 * symbols(x) <= 10 * len(x)
+            and 200 * x.count("!!") <= 30 * len(x) and x.count("|") <= 2
+            and not any(p in x.lower() for p in BOILERPLATE)
+        )
+    ]
+    failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+    clean = "\n".join(good)
+    return (
+        len(words), sum(map(len, words)), symbols(text), len(filled) - len(set(filled)), len(covered),
+        failed, not failed and 100 * len(clean) >= 50 * len(text), clean,
+    )
+
+
+COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text")
+PIECES = st.sampled_from([
+    "one two three.", "one two three four five six", "A | B | C | D", "STOP!! NOW!!", "##$$ %%", "é ñ ü.",
+    "All rights reserved.", "", " \t", "x " * 30, "the end is near now. " * 3, "\x0b\x0c word",
+])
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=9).map("\n".join), min_size=10, max_size=20))
+def test_measures_and_verdicts(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in line_first(docs).collect():
+        assert tuple(row[c] for c in COLUMNS) == plain(texts[row.doc_id])
+
+
+def test_given_documents_agree_with_sql(spark):
+    got = line_first(spark.read.parquet(f"{SF_DIR}/documents.parquet")).drop("clean_text")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    cursor = db.execute(ORACLE["op7_line_first"])
+    names = [column[0] for column in cursor.description]
+    assert rows_of(got.columns, got.collect()) == rows_of(names, cursor.fetchall())
+
+
+def test_native_and_without_a_shuffle(spark):
+    plan = line_first(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    text = plan.where("kept")._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in text for x in ("Python", "Pandas", "Arrow", "Exchange"))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_clean_prose_stays_and_junk_goes(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").join(
+        spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id"
+    )
+    shares = {}
+    for row in line_first(rows, carry=["quality"]).where("n_words >= 10").collect():
+        shares.setdefault(row.quality, []).append(row.kept)
+    assert sum(shares[1]) / len(shares[1]) > 0.97
+    assert sum(shares[0]) / len(shares[0]) < 0.25
+
+
+def test_odd_rows(spark, odd, nothing):
+    texts = [r.text for r in odd.select("text").collect()]
+    got = [tuple(r[c] for c in COLUMNS) for r in line_first(odd).collect()]
+    assert sorted(map(str, got)) == sorted(str(plain(t)) for t in texts)
+    assert line_first(nothing).collect() == []
