@@ -146,6 +146,15 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(batch_silver(spark, sf_dir), scratch_path(spark, "silver"))
 
 
+def stored_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live bookings as a table, for views that look at them more than once."""
+    return stored(live(spark, sf_dir), scratch_path(spark, "live"))
+
+
+def stored_daily(spark: SparkSession, silver_rows: DataFrame) -> DataFrame:
+    return stored(daily(silver_rows), scratch_path(spark, "daily"))
+
+
 def daily(silver_rows: DataFrame) -> DataFrame:
     """The batch's daily table, labelled for serving."""
     return labelled(gold.bookings_by_source_daily(silver_rows))
@@ -160,10 +169,11 @@ def cpb(spark: SparkSession, sf_dir: str, silver_rows: DataFrame) -> DataFrame:
     return gold.cpb_by_channel(silver_rows, spends(spark, sf_dir))
 
 
-def meeting_load(spark: SparkSession, sf_dir: str, silver_rows: DataFrame) -> DataFrame:
-    return meeting_load_combined(
-        gold.employee_meeting_load(silver_rows), live(spark, sf_dir), TODAY
-    )
+def meeting_load(
+    spark: SparkSession, sf_dir: str, silver_rows: DataFrame, live_rows: DataFrame | None = None
+) -> DataFrame:
+    rows = live(spark, sf_dir) if live_rows is None else live_rows
+    return meeting_load_combined(gold.employee_meeting_load(silver_rows), rows, TODAY)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,8 +160,8 @@ def channel_leaderboard(spark, sf_dir):
 
 @query
 def kpi_summary(spark, sf_dir):
-    silver, live = frames.stored_silver(spark, sf_dir), frames.live(spark, sf_dir)
-    merged = serving.combined_daily(frames.daily(silver), live)
+    silver, live = frames.stored_silver(spark, sf_dir), frames.stored_live(spark, sf_dir)
+    merged = serving.combined_daily(frames.stored_daily(spark, silver), live)
     cpb = only_values(frames.cpb(spark, sf_dir, silver), "channel", frames.CHANNELS)
     figures = serving.kpi_summary(
         _in_selection(merged), live, cpb, gold.employee_meeting_load(silver)
