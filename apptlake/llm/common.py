@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from apptlake.session import scratch_path
+from apptlake.sources import files
 
 #: Characters that part words (fixed values of the word pattern).
 SPACES = " \t\n\x0b\f\r"
@@ -62,6 +63,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Steps of a job that go when its result is stored, so that they don't pile up on disk."""
+
+    def __init__(self) -> None:
+        self.made: list[tuple] = []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(df.sparkSession, name)
+        self.made.append((df.sparkSession, path))
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for spark, path in self.made:
+            files.delete(spark, path)
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch by the bytes of its texts, so that working memory does not follow row counts."""
     column = batch.column(batch.schema.get_field_index(text))

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apptlake.llm.common import stored
+from apptlake.llm.common import Scratch, stored
 
 
 def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """The links' components as a stored table; see ``_connected``."""
+    with Scratch() as steps:
+        return stored(_connected(links, most_rounds, steps), "roots")
+
+
+def _connected(links: DataFrame, most_rounds: int, steps: Scratch) -> DataFrame:
     """``_node`` and ``_root``, the smallest node reachable, of every linked node but the roots.
 
     ``links`` has columns ``_a`` and ``_b`` of one kind; neither order nor repeats matter. Every
@@ -16,7 +22,7 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     with partial minima before each shuffle. Links shrink to stars in about log2 of the longest
     path rounds; only sums over the links reach the driver.
     """
-    now = stored(
+    now = steps.stored(
         links.where("_a != _b")
         .select(F.greatest("_a", "_b").alias("_node"), F.least("_a", "_b").alias("_root"))
         .distinct(),
@@ -35,7 +41,7 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         )
         least = large.groupBy("_node").agg(F.min("_root").alias("_least"))
         small = large.join(least, "_node")
-        now = stored(
+        now = steps.stored(
             small.select(F.col("_root").alias("_node"), F.col("_least").alias("_root"))
             .where("_node != _root")
             .unionByName(least.select("_node", F.col("_least").alias("_root")))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apptlake.llm.common import kind_of, slices, stored, text_of
+from apptlake.llm.common import Scratch, kind_of, slices, stored, text_of
 from apptlake.llm.components import connected
 from apptlake.llm.shingles import exact_shingles, mixed, shingle_sets
 
@@ -148,7 +148,7 @@ def _signatures(rows: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _buckets(signatures: DataFrame) -> DataFrame:
+def _buckets(signatures: DataFrame, steps: Scratch) -> DataFrame:
     """``_key``, ``_doc``, ``_score``, ``_chosen``: the shared keys that some document relies on.
 
     The score of a document says how common its keys are; copies of one original lie around it.
@@ -168,7 +168,7 @@ def _buckets(signatures: DataFrame) -> DataFrame:
     )
     score = F.aggregate("_shared", F.lit(0).cast("long"), lambda s, x: s + x["_count"])
     own = own.select("_doc", lacking.alias("_lacking"), score.alias("_score"), "_shared")
-    own = stored(own.select("_doc", "_lacking", "_score", F.posexplode("_shared").alias("_n", "_s")).select(
+    own = steps.stored(own.select("_doc", "_lacking", "_score", F.posexplode("_shared").alias("_n", "_s")).select(
         F.col("_s")["_key"].alias("_key"), "_doc", "_score", (F.col("_n") < F.col("_lacking")).alias("_chosen")
     ), "shared-keys")
     relied = own.groupBy("_key").agg(F.max("_chosen").alias("_any"), F.count(F.lit(1)).alias("_count"))
@@ -287,6 +287,12 @@ def similarity_classes(
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id reachable by links) and
     ``class_id`` (the smallest id with the same set).
     """
+    with Scratch() as steps:
+        return stored(_classes(docs, rule, id_col, text_col, steps), "classes")
+
+
+def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scratch) -> DataFrame:
+    stored = steps.stored
     rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text"))
     signatures = stored(_signatures(rows, rule), "signatures")
     sized = signatures.where("_size > 0 AND _doc IS NOT NULL")
@@ -296,7 +302,7 @@ def similarity_classes(
     copies = copies.where("_doc != _class").select("_doc", "_high", "_low", "_class").distinct()
     copies = stored(copies, "copies")
     single = sized.join(copies, ["_doc", "_high", "_low"], "left_anti").select("_doc", "_parts")
-    buckets = stored(_buckets(single), "buckets")
+    buckets = stored(_buckets(single, steps), "buckets")
     involved = buckets.select("_doc").distinct()
     texts = stored(rows.join(involved, "_doc", "left_semi"), "texts")
 
@@ -308,7 +314,7 @@ def similarity_classes(
         every = links[0]
         for more in links[1:]:
             every = every.unionByName(more)
-        return stored(connected(every), "roots")
+        return connected(every)
 
     for round_ in range(rule.rounds):
         # Compare the members of every bucket with its hub.

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apptlake.llm.common import SPACE_CLASS, stored, text_of, trimmed
+from apptlake.llm.common import SPACE_CLASS, Scratch, stored, text_of, trimmed
 
 MARGINS = ("source", "lang", "topic")
 
@@ -91,13 +91,14 @@ def margin_targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
     return want.select(margin, (F.col("_want") / F.lit(whole)).alias("_target"))
 
 
-def rake(cells: DataFrame, mix: Mix) -> DataFrame:
+def rake(cells: DataFrame, mix: Mix, steps: Scratch) -> DataFrame:
     """Add ``weight``, the share of all tokens that each cell should have.
 
     Starts from the shares the cells have. Ends when no margin was off by more than the tolerance,
     or after the given rounds where targets contradict each other. Cells of a value without a
     target fall out with weight 0.
     """
+    stored = steps.stored
     cells = stored(cells, "cells")
     whole = cells.agg(F.sum("tokens")).first()[0]
     if not whole:
@@ -164,7 +165,9 @@ def mix_sources(
         also.alias("_carried"),
     )
     named = rows.na.fill("", list(MARGINS))
-    each = stored(probabilities(rake(cells_of(named), mix), mix), "cell-probabilities")
+    with Scratch() as steps:
+        weighted = rake(cells_of(named), mix, steps)
+        each = stored(probabilities(weighted, mix), "cell-probabilities")
     # 53 bits of a hash make a number below 1 that depends on the id and the seed alone.
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(mix.seed)), 11) / F.lit(float(1 << 53))
     probability = F.when(F.col("_tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from apptlake.llm.common import fenced, id_of, keyed, kind_of, slices, stored
+from apptlake.llm.common import Scratch, id_of, keyed, kind_of, slices, stored
 from apptlake.llm.shingles import mixed, word_hashes
 
 
@@ -224,6 +224,12 @@ def repeated_passages(
     Returns a row for each document that has some: ``doc_id``, ``spans`` (starts and ends in words)
     and ``n_words``, the words in them. Every passage of ``how.passage`` words or more is found.
     """
+    with Scratch() as steps:
+        return stored(_passages(docs, how, id_col, text_col, steps), "passages")
+
+
+def _passages(docs: DataFrame, how: Sparse, id_col: str, text_col: str, steps: Scratch) -> DataFrame:
+    stored = steps.stored
     rows = keyed(docs, id_col, text_col)
     # Heads that occur once match nothing; counted with partial sums before the shuffle.
     heads = _heads(rows, how)
@@ -265,4 +271,4 @@ def repeated_passages(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"),
         F.sum(F.col("end") - F.col("start")).alias("n_words"),
     )
-    return fenced(spans.select(id_of(spans).alias("doc_id"), "spans", "n_words"))
+    return spans.select(id_of(spans).alias("doc_id"), "spans", "n_words")
