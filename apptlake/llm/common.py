@@ -44,10 +44,6 @@ def words_of(trimmed_text: Column) -> Column:
     )
 
 
-def hex_lower(column: Column) -> Column:
-    return F.lower(F.hex(column))
-
-
 def fenced(df: DataFrame) -> DataFrame:
     """The same rows; later filters stay above, rather than take copies of every expression along
     on their way to the scan (nested expressions would grow without bound)."""

@@ -248,7 +248,8 @@ def _passages(docs: DataFrame, how: Sparse, id_col: str, text_col: str, steps: S
         seen = stored(_neighbours(ordered.sortWithinPartitions(*order), how), "neighbours")
         copies.append(seen.where("_copy").select("_key", "_at", "_before", "_after"))
         rest = seen.where("NOT _copy").select("_key", "_at", "_right", "_left")
-        found, n = seen.agg(F.count(F.when(F.col("_copy"), 1)), F.count(F.when(~F.col("_copy"), 1))).first()
+        copy, other = F.when(F.col("_copy"), 1), F.when(~F.col("_copy"), 1)
+        found, n = seen.agg(F.count(copy), F.count(other)).first()
         if not found and ranges == 1:
             break
     found = copies[0] if copies else rest.selectExpr("_key", "_at", "0 AS _before", "0 AS _after").limit(0)

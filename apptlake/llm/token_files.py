@@ -173,7 +173,8 @@ def write_token_files(
     blocks = spark.read.parquet(f"{path}/blocks").select("part", "number", "n_tokens")
     # One row per writing task meets the others; blocks only meet those of their task.
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("_all"))
-    before = parts.select("part", (F.sum("_all").over(Window.orderBy("part")) - F.col("_all")).alias("_before"))
+    up_to = F.sum("_all").over(Window.orderBy("part"))
+    before = parts.select("part", (up_to - F.col("_all")).alias("_before"))
     within = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("number"))
     blocks.withColumn("_within", within - F.col("n_tokens")).join(before, "part").select(
         "part", "number", (F.col("_before") + F.col("_within")).alias("start")
