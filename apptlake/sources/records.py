@@ -51,20 +51,22 @@ def body_lines(spark: SparkSession, path: str, max_files_per_batch: int = 1000)
 
 
 def kafka_records(
-    spark: SparkSession, servers: str, topic: str, max_offsets_per_batch: int = 1_000_000
+    spark: SparkSession, servers: str, topic: str, max_offsets_per_batch: int | None = None
 ) -> DataFrame:
     """Records of a Kafka topic keyed by booking URI; needs Spark's Kafka package.
 
     All partitions are read. A key stays in one partition, so its offsets order its records.
+    A pull takes all there is, so that a stream that pulls at intervals cannot fall behind for
+    good; ``max_offsets_per_batch`` bounds it, and with it the records per interval.
     """
     stream = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("maxOffsetsPerTrigger", max_offsets_per_batch)
-        .load()
     )
-    return stream.select(
+    if max_offsets_per_batch is not None:
+        stream = stream.option("maxOffsetsPerTrigger", max_offsets_per_batch)
+    return stream.load().select(
         F.col("key").cast("string"),
         F.col("value").cast("string"),
         F.col("offset").alias("sequence"),
