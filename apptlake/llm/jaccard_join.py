@@ -63,10 +63,10 @@ class Rule:
 
 
 def bands(rule: Rule) -> list[int]:
-    """Largest set size of each band: steps of 60 percent, so that partners are near."""
+    """Largest set size of each band: steps of 80 percent, so that few sets reach into the next."""
     tops = [4]
     while tops[-1] < 1 << 40:
-        tops.append(max(tops[-1] + 4, tops[-1] * 8 // 5))
+        tops.append(max(tops[-1] + 4, tops[-1] * 9 // 5))
     return tops
 
 
@@ -83,12 +83,17 @@ class Partition:
         return -(-worth * (100 + self.rule.spare) // 100)
 
     def keys(self, tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray, int]]:
-        """Band, keys and how many of them the set has to rely on (0: on all of them)."""
+        """Band, keys and how many of them the set has to rely on (0: on all of them).
+
+        In its own band, which is the index, a set has a key for every segment. In bands above,
+        where it only looks for partners, it has as many as it may rely on and some to spare,
+        those of the segments where it has most.
+        """
         n, rule = len(tokens), self.rule
         if not n:
             return
         reach = 100 * n // rule.percent
-        band = int(np.searchsorted(self.tops, n))
+        band = own = int(np.searchsorted(self.tops, n))
         spread = mixed(tokens, 1)
         while band == 0 or self.tops[band - 1] < reach:
             top = self.tops[band]
@@ -104,8 +109,11 @@ class Partition:
             if top <= rule.small:
                 less = mixed(subsets[of] - spread + mixed(place[of], 2), 3)
                 yield band, np.concatenate((whole, less)), 0
-            else:
+            elif band == own:
                 yield band, whole, needed
+            else:
+                fullest = np.argsort(edges[:-1] - edges[1:], kind="stable")
+                yield band, whole[fullest[: -(-needed * (100 + rule.spare) // 100)]], needed
             band += 1
             if self.tops[band - 1] >= reach:
                 return
@@ -148,23 +156,29 @@ def _signatures(rows: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _buckets(signatures: DataFrame, steps: Scratch) -> DataFrame:
+def _buckets(signatures: DataFrame, members: DataFrame, steps: Scratch) -> DataFrame:
     """``_key``, ``_doc``, ``_score``, ``_chosen``: the shared keys that some document relies on.
 
-    The score of a document says how common its keys are; copies of one original lie around it.
+    ``members`` has the documents of classes of several: the class and how many it has. Of these
+    only the first takes part, and a key that no other class has is not shared. The score of a
+    document says how common its keys are; copies of one original lie around it.
     """
+    # What a document has in a band goes along in one number, as there are many keys.
+    what = F.shiftleft(F.col("band").cast("long"), 48) + F.shiftleft(F.col("needed").cast("long"), 24)
     each = signatures.select("_doc", F.inline("_parts")).select(
-        "_doc", "band", "needed", F.size("keys").alias("_all"), F.explode("keys").alias("_key")
+        "_doc", (what + F.size("keys")).alias("_what"), F.explode("keys").alias("_key")
     )
     common = each.groupBy("_key").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1")
-    shared = each.join(common, "_key")
+    shared = each.join(common, "_key").join(members, "_doc", "left")
+    shared = shared.where("(_class IS NULL OR _class = _doc) AND _count > coalesce(_members, 1)")
     # What a document doesn't share it may rely on for nothing; it needs the rarest of the others.
-    own = shared.groupBy("_doc", "band", "needed", "_all").agg(
+    own = shared.groupBy("_doc", "_what").agg(
         F.sort_array(F.collect_list(F.struct("_count", "_key"))).alias("_shared")
     )
-    size = F.size("_shared")
-    lacking = F.when(F.col("needed") == 0, size).otherwise(
-        F.greatest(F.lit(0), F.col("needed") - (F.col("_all") - size))
+    size, mask = F.size("_shared"), F.lit((1 << 24) - 1)
+    needed = F.shiftright("_what", 24).bitwiseAND(mask)
+    lacking = F.when(needed == 0, size).otherwise(
+        F.greatest(F.lit(0), needed - (F.col("_what").bitwiseAND(mask) - size))
     )
     score = F.aggregate("_shared", F.lit(0).cast("long"), lambda s, x: s + x["_count"])
     own = own.select("_doc", lacking.alias("_lacking"), score.alias("_score"), "_shared")
@@ -295,18 +309,24 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
     stored = steps.stored
     rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text"))
     signatures = stored(_signatures(rows, rule), "signatures")
-    sized = signatures.where("_size > 0 AND _doc IS NOT NULL")
-    classes = sized.groupBy("_high", "_low", "_size").agg(F.min("_doc").alias("_class"))
     ids = signatures.select("_doc", "_size", "_high", "_low")
-    copies = sized.select("_doc", "_size", "_high", "_low").join(classes, ["_high", "_low", "_size"])
-    copies = copies.where("_doc != _class").select("_doc", "_high", "_low", "_class").distinct()
-    copies = stored(copies, "copies")
-    single = sized.join(copies, ["_doc", "_high", "_low"], "left_anti").select("_doc", "_parts")
-    buckets = stored(_buckets(single, steps), "buckets")
+    sized = ids.where("_size > 0 AND _doc IS NOT NULL")
+    classes = sized.groupBy("_high", "_low", "_size").agg(
+        F.min("_doc").alias("_class"), F.count(F.lit(1)).alias("_members")
+    )
+    # Stored by themselves, so that the join has an exchange on either side and may split a hot class.
+    classes = stored(classes.where("_members > 1"), "large-classes")
+    copies = stored(sized.join(classes, ["_high", "_low", "_size"]).drop("_size"), "copies")
+    # Ids that stand on several rows are no mere copies: what links one of their texts links all.
+    twice = stored(sized.groupBy("_doc").count().where("count > 1").select("_doc"), "repeated-ids")
+    members = copies.join(twice, "_doc", "left_anti").select("_doc", "_class", "_members")
+    buckets = signatures.where("_size > 0 AND _doc IS NOT NULL").select("_doc", "_parts")
+    buckets = stored(_buckets(buckets, members, steps), "buckets")
     involved = buckets.select("_doc").distinct()
     texts = stored(rows.join(involved, "_doc", "left_semi"), "texts")
 
-    links: list[DataFrame] = []
+    same = copies.join(twice, "_doc", "left_semi").where("_doc != _class")
+    links: list[DataFrame] = [same.select(F.col("_doc").alias("_a"), F.col("_class").alias("_b"))]
     roots: DataFrame | None = None
 
     def link(compared: DataFrame) -> DataFrame:
@@ -353,7 +373,8 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
         kept = wide.select("_key").distinct().join(hubs, "_key").select("_b").distinct()
         buckets = stored(_narrower(compared.where("size(_delta) > 0").join(kept, "_b"), rule), "buckets")
 
-    found = ids.join(copies, ["_doc", "_high", "_low"], "left")
+    of = copies.select("_doc", "_high", "_low", "_class").distinct()
+    found = ids.join(of, ["_doc", "_high", "_low"], "left")
     found = found.withColumn("_class", F.coalesce("_class", "_doc"))
     found = _rooted(found, roots, "_class", "_component")
     return found.select(
