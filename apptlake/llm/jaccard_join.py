@@ -51,7 +51,7 @@ class Rule:
     #: Up to this set size, bands use one-deletion neighbourhoods.
     small: int = 16
     #: Segments beyond those needed, in percent; they let a document pass over its common ones.
-    spare: int = 15
+    spare: int = 5
     #: Pairs of a bucket up to which it is paired, less those already joined.
     paired: int = 4096
     #: Times that buckets are narrowed; whatever is open after the last is paired.
@@ -236,6 +236,25 @@ def _rooted(rows: DataFrame, roots: DataFrame | None, doc: str, name: str) -> Da
     return rows.join(found, doc, "left").withColumn(name, F.coalesce(name, doc))
 
 
+def _hubs(buckets: DataFrame, rule: Rule) -> DataFrame:
+    """``_key``, ``_b``, ``_large``: what the members of every bucket are compared with.
+
+    That is the member whose keys are the most common. Large buckets of one family have different
+    ones, and a document would be compared with many; so they take the best hub of any bucket that
+    one of their members is in. Any document serves as a hub, whether of the bucket or not.
+    """
+    hubs = buckets.groupBy("_key").agg(
+        F.max(F.struct("_score", "_doc")).alias("_best"),
+        (F.count(F.lit(1)) * F.count(F.when(F.col("_chosen"), 1)) > rule.paired).alias("_large"),
+    )
+    large = buckets.select("_key", "_doc").join(hubs.where("_large"), "_key")
+    known = large.groupBy("_doc").agg(F.max("_best").alias("_known"))
+    shared = large.join(known, "_doc").groupBy("_key").agg(F.max("_known").alias("_known"))
+    return hubs.join(shared, "_key", "left").select(
+        "_key", F.coalesce("_known", "_best")["_doc"].alias("_b"), "_large"
+    )
+
+
 def _open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Buckets that span several components, with the pairs each would take."""
     rows = _rooted(buckets, roots, "_doc", "_component")
@@ -338,10 +357,7 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
 
     for round_ in range(rule.rounds):
         # Compare the members of every bucket with its hub.
-        hubs = buckets.groupBy("_key").agg(
-            F.max_by("_doc", F.struct("_score", "_doc")).alias("_b"),
-            (F.count(F.lit(1)) * F.count(F.when(F.col("_chosen"), 1)) > rule.paired).alias("_large"),
-        )
+        hubs = stored(_hubs(buckets, rule), "hubs")
         pairs = _rooted(buckets.join(hubs, "_key").where("_doc != _b"), roots, "_doc", "_ca")
         pairs = _rooted(pairs, roots, "_b", "_cb").where("_large OR _ca != _cb")
         pairs = pairs.groupBy(F.col("_doc").alias("_a"), "_b").agg(F.max("_large").alias("_large"))
