@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from apptlake.llm.common import fenced, id_of, keyed, kind_of, slices
+from apptlake.llm.common import fenced, id_of, keyed, kind_of, slices, stored
 
 _GEAR_SEED = 20_011
 #: Bytes that bear on a chunk's end.
@@ -158,6 +158,8 @@ def repeated_spans(pieces: DataFrame, how: Chunking = Chunking()) -> DataFrame:
         .where("_copies > 1")
         .select("_high", "_low", "_first")
     )
+    # Stored, so that the join has an exchange on either side and may split a hot digest.
+    firsts = stored(firsts, "repeated-digests")
     later = (
         pieces.join(firsts, ["_high", "_low"])
         .where(~F.struct("_key", "_start").eqNullSafe(F.col("_first")))
