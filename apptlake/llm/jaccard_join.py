@@ -105,14 +105,18 @@ class Partition:
             edges = np.searchsorted(of[order], np.arange(m + 1))
             subsets = sums[edges[1:]] - sums[edges[:-1]]
             place = np.uint64(band << 40) + np.arange(m, dtype=np.uint64)
-            whole = mixed(subsets + mixed(place, 2), 3)
+            sizes = edges[1:] - edges[:-1]
+            # The lowest bit says that a subset is empty, as those of unlike documents often are.
+            even = ~np.uint64(1)
+            whole = mixed(subsets + mixed(place, 2), 3) & even | (sizes == 0).astype(np.uint64)
             if top <= rule.small:
-                less = mixed(subsets[of] - spread + mixed(place[of], 2), 3)
+                less = mixed(subsets[of] - spread + mixed(place[of], 2), 3) & even
+                less |= (sizes[of] == 1).astype(np.uint64)
                 yield band, np.concatenate((whole, less)), 0
             elif band == own:
                 yield band, whole, needed
             else:
-                fullest = np.argsort(edges[:-1] - edges[1:], kind="stable")
+                fullest = np.argsort(-sizes, kind="stable")
                 yield band, whole[fullest[: -(-needed * (100 + rule.spare) // 100)]], needed
             band += 1
             if self.tops[band - 1] >= reach:
@@ -171,16 +175,18 @@ def _buckets(signatures: DataFrame, members: DataFrame, steps: Scratch) -> DataF
     common = each.groupBy("_key").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1")
     shared = each.join(common, "_key").join(members, "_doc", "left")
     shared = shared.where("(_class IS NULL OR _class = _doc) AND _count > coalesce(_members, 1)")
-    # What a document doesn't share it may rely on for nothing; it needs the rarest of the others.
+    # What a document doesn't share it may rely on for nothing; it needs the rarest of the others,
+    # and empty subsets last of all.
+    empty = F.col("_key").bitwiseAND(F.lit(1)).alias("_empty")
     own = shared.groupBy("_doc", "_what").agg(
-        F.sort_array(F.collect_list(F.struct("_count", "_key"))).alias("_shared")
+        F.sort_array(F.collect_list(F.struct(empty, "_count", "_key"))).alias("_shared")
     )
     size, mask = F.size("_shared"), F.lit((1 << 24) - 1)
     needed = F.shiftright("_what", 24).bitwiseAND(mask)
     lacking = F.when(needed == 0, size).otherwise(
         F.greatest(F.lit(0), needed - (F.col("_what").bitwiseAND(mask) - size))
     )
-    score = F.aggregate("_shared", F.lit(0).cast("long"), lambda s, x: s + x["_count"])
+    score = F.aggregate("_shared", F.lit(0).cast("long"), lambda s, x: s + x["_count"] * (1 - x["_empty"]))
     own = own.select("_doc", lacking.alias("_lacking"), score.alias("_score"), "_shared")
     own = steps.stored(own.select("_doc", "_lacking", "_score", F.posexplode("_shared").alias("_n", "_s")).select(
         F.col("_s")["_key"].alias("_key"), "_doc", "_score", (F.col("_n") < F.col("_lacking")).alias("_chosen")
