@@ -3,7 +3,9 @@
 Documents fall into cells of source, language and topic. The token weights of the cells are raked:
 in turn, the cells of each source, language and topic are scaled to that margin's target share,
 until all three margins hold. What a cell should weigh against the tokens it has gives the
-probability of its documents; documents are drawn by a hash of their id.
+expected number of copies of its documents: the whole part of it for sure, and one more by a hash of
+the id with the probability of the rest. Cells that have less than their share are so repeated, and
+the margins hold for the copies taken.
 
 The corpus is read once for the cells' sums, which are added up per task before they are shuffled,
 and once for the draw. Raking works on the table of cells alone, as DataFrame steps: three small
@@ -34,8 +36,8 @@ class Mix:
     """Target shares by margin; a margin without them gets its own shares, tempered.
 
     ``temper`` is the power that shares are taken to (1 leaves a margin as it is, 0 makes it even).
-    ``keep_share`` is the part of all tokens to draw. Cells that would have to give more than they
-    have give all, so that the mix then falls short of their share.
+    ``keep_share`` is the size of the mix as a part of all tokens. Cells that would have to give more
+    than they have give their documents several times.
     """
 
     targets: Mapping[str, Mapping[str, float]] | None = None
@@ -130,12 +132,14 @@ def rake(cells: DataFrame, mix: Mix, steps: Scratch) -> DataFrame:
 
 def probabilities(weighted: DataFrame, mix: Mix) -> DataFrame:
     """Turn ``weight`` into that of a token of the cell (1: as often as it is there) and add
-    ``probability``, scaled so that the mix takes ``keep_share`` of all tokens, and at most 1."""
+    ``_expected``, the copies of a document, scaled so that the mix has ``keep_share`` of all tokens,
+    and ``probability``, that of one copy at least."""
     tokens, shares = weighted.agg(F.sum("tokens"), F.sum("weight")).first()
     ratio = F.col("weight") * F.lit((tokens or 1.0) / (shares or 1.0)) / F.col("tokens")
     return weighted.select(
         *MARGINS,
         ratio.alias("weight"),
+        (F.lit(mix.keep_share) * ratio).alias("_expected"),
         F.least(F.lit(1.0), F.lit(mix.keep_share) * ratio).alias("probability"),
     )
 
@@ -151,8 +155,10 @@ def mix_sources(
     """Rake, then draw documents.
 
     Returns ``doc_id``, ``source``, ``lang``, ``topic``, ``n_tokens``, ``weight`` (of a token of the
-    document in the raked mix, 1 where nothing changes), ``probability`` and ``drawn`` of every
-    document, and the columns to ``carry`` along, which must not have one of these names.
+    document in the raked mix, 1 where nothing changes), ``probability`` and ``drawn`` (whether it is
+    in the mix at all) and ``copies`` (how often) of every document, and the columns to ``carry``
+    along, which must not have one of these names. The mix has a document as often as ``copies`` says;
+    taken once each, the drawn ones fall short in cells whose ``weight`` is above 1 / ``keep_share``.
     """
     text = text_of(text_col)
     also = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("int")
@@ -171,6 +177,8 @@ def mix_sources(
     # 53 bits of a hash make a number below 1 that depends on the id and the seed alone.
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(mix.seed)), 11) / F.lit(float(1 << 53))
     probability = F.when(F.col("_tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
+    expected = F.when(F.col("_tokens") > 0, F.coalesce("_expected", F.lit(0.0))).otherwise(0.0)
+    copies = F.floor(expected) + (chance < expected - F.floor(expected)).cast("int")
     return named.join(each, list(MARGINS), "left").select(
         "doc_id",
         *MARGINS,
@@ -178,5 +186,6 @@ def mix_sources(
         F.coalesce("weight", F.lit(0.0)).alias("weight"),
         probability.alias("probability"),
         (F.col("doc_id").isNotNull() & (chance < probability)).alias("drawn"),
+        F.when(F.col("doc_id").isNotNull(), copies).otherwise(0).cast("int").alias("copies"),
         *[F.col("_carried")[c].alias(c) for c in carry],
     )

@@ -65,6 +65,22 @@ def test_a_draw_is_the_same_again_and_changes_with_the_seed(spark):
     assert draws[0] == draws[1] != draws[2]
 
 
+def test_copies_of_the_drawn_documents_hold_the_margins(spark):
+    # A tenth of the tokens is to be half of the mix: each of them four times, the others in part.
+    rows = [(n, "one two three four", "small" if n % 10 == 0 else "large", f"l{n % 3}") for n in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    mix = Mix(targets={"source": {"small": 1, "large": 1}})
+    got = mix_sources(docs, mix).collect()
+    assert all(r.drawn == (r.copies > 0) for r in got)
+    taken = {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.n_tokens * r.copies
+    total = sum(taken.values())
+    assert total == pytest.approx(0.8 * 4 * 6000, rel=0.03)
+    assert taken["small"] / total == pytest.approx(0.5, abs=0.02)
+    assert {r.copies for r in got if r.source == "small"} <= {3, 4, 5}
+
+
 def test_tokens_and_topics_are_worked_out_without_python(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for r in docs.select("text", n_tokens(F.col("text")).alias("n"), topic_of(F.col("text")).alias("t")).limit(50).collect():
