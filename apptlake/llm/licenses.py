@@ -6,6 +6,12 @@ whole text. A unit is held against those templates alone whose number of bigrams
 coefficient at the threshold; the best template of a unit counts, and of a document the best unit
 for each licence.
 
+Notices wrapped over lines, with comment marks or inside a longer paragraph fill no unit. Licences that
+no unit gave are looked for in windows of the words of the whole text, whatever stands between them:
+all windows that start and end at a bigram of a template, of notices and of whole licences alike. A
+window counts as no shorter than its template, so that what it leaves out, such as another version,
+still counts against it. Of windows that overlap, the one that shares most bigrams stands.
+
 Defined results: null, empty and one-word texts match nothing; a repeated row is scanned as often
 as it stands there; ties between templates go to the first name; columns other than id and text
 are ignored. All work on a text stays in the task that reads it; nothing is shuffled.
@@ -15,12 +21,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apptlake.llm.common import slices, text_of
+from apptlake.llm.license_texts import BODIES
 
 #: Licence notices and texts (fixed values, as their publishers word them).
 TEMPLATES = {
@@ -110,7 +119,12 @@ def units(text: str) -> Iterator[tuple[str, int, str]]:
 class Scanner:
     """Templates by their bigrams; ``best`` finds the template nearest to a unit."""
 
-    def __init__(self, templates: dict[str, list[str]], threshold: int):
+    def __init__(
+        self,
+        templates: dict[str, list[str]],
+        threshold: int,
+        bodies: dict[str, list[str]] | None = None,
+    ):
         self.threshold = threshold
         self.sets = [(name, bigrams(t)) for name in sorted(templates) for t in templates[name]]
         self.known = frozenset().union(*(b for _, b in self.sets))
@@ -120,6 +134,16 @@ class Scanner:
             (-(-n * threshold // (200 - threshold)), n * (200 - threshold) // threshold)
             for n in sizes
         ]
+        # For windows: bigrams to share at least, most bigrams of a window, name and bigrams.
+        whole = self.sets + [(n, bigrams(t)) for n, texts in (bodies or {}).items() for t in texts]
+        self.wanted = sorted(
+            (
+                (-(-len(b) * threshold // 100), len(b) * (200 - threshold) // threshold, n, b)
+                for n, b in whole
+            ),
+            key=lambda x: (x[0], x[2]),
+        )
+        self.known_whole = frozenset().union(*(b for _, b in whole))
         self.least, self.most = min(b[0] for b in self.bounds), max(b[1] for b in self.bounds)
 
     def best(self, unit: str) -> tuple[float, str] | None:
@@ -152,6 +176,61 @@ class Scanner:
                 found[hit[1]] = hit[0], kind, number
         return found
 
+    def windows(self, text: str) -> dict[str, tuple[float, int]]:
+        """Best window for each licence: Dice coefficient, and number of its first word."""
+        low = [w.lower() for w in _WORD.findall(text)]
+        shared = self.known_whole.intersection(zip(low, low[1:]))
+        likely = []
+        for need, most, name, template in self.wanted:
+            if need > len(shared):
+                break
+            if len(shared & template) >= need:
+                likely.append((most, name, template))
+        if not likely:
+            return {}
+        pairs = list(zip(low, low[1:]))
+        last, before = {}, []
+        for k, pair in enumerate(pairs):
+            before.append(last.get(pair, -1))
+            last[pair] = k
+        before = np.array(before)
+        candidates = []
+        for most, name, template in likely:
+            hits = np.fromiter((p in template for p in pairs), bool, len(pairs))
+            n = len(template)
+            for start in np.flatnonzero(hits).tolist():
+                width = 2 * most + 16
+                while True:
+                    # A bigram counts where it stands first in the window.
+                    new = before[start : start + width] < start
+                    sizes = np.cumsum(new)
+                    if sizes[-1] > most or start + width >= len(pairs):
+                        break
+                    width *= 2
+                common = np.cumsum(new & hits[start : start + width])
+                total = n + np.maximum(sizes, n)
+                k = int(np.argmax(common / total))
+                if 200 * common[k] >= self.threshold * total[k]:
+                    dice = float(2 * common[k] / total[k])
+                    candidates.append((-int(common[k]), -dice, name, start, start + k + 1))
+        found: dict[str, tuple[float, int]] = {}
+        taken = bytearray(len(pairs))
+        for _, dice, name, start, end in sorted(candidates):
+            if 1 not in taken[start:end]:
+                taken[start:end] = b"\1" * (end - start)
+                if name not in found or -dice > found[name][0]:
+                    found[name] = -dice, start
+        return found
+
+    def find(self, text: str) -> dict[str, tuple[float, str, int]]:
+        """What units give, and further licences that windows give, by the line they start in."""
+        found = self.scan(text)
+        for name, (dice, word) in self.windows(text).items():
+            if name not in found:
+                at = next(islice(_WORD.finditer(text), word, None)).start()
+                found[name] = dice, "window", text.count("\n", 0, at)
+        return found
+
 
 def license_scan(
     docs: DataFrame,
@@ -159,19 +238,21 @@ def license_scan(
     text_col: str = "text",
     templates: dict[str, list[str]] = TEMPLATES,
     threshold: int = THRESHOLD,
+    bodies: dict[str, list[str]] = BODIES,
 ) -> DataFrame:
     """A row for each document and licence found: ``doc_id``, ``license``, ``dice``, and the
-    ``unit`` and ``position`` (number of the line or block) where it matches best."""
+    ``unit`` and ``position`` (number of the line or block) where it matches best. ``bodies`` are
+    further templates, for windows alone."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, threshold)
+        scanner = Scanner(templates, threshold, bodies)
         for batch in batches:
             for part in slices(batch, "_text"):
                 keys, hits = [], []
                 for k, text in enumerate(part.column("_text").to_pylist()):
-                    for name, (dice, unit, number) in sorted(scanner.scan(text).items()):
+                    for name, (dice, unit, number) in sorted(scanner.find(text).items()):
                         keys.append(k)
                         hits.append((name, dice, unit, number))
                 columns = list(zip(*hits, strict=True)) or [(), (), (), ()]

@@ -1,16 +1,20 @@
 from __future__ import annotations
 
+import textwrap
+
 import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from apptlake.llm.license_texts import BODIES
 from apptlake.llm.licenses import TEMPLATES, THRESHOLD, Scanner, bigrams, license_scan, units
 from apptlake.llm.oracle import ORACLE
 from tools.check import rows_of
 
 SF_DIR = "/root/testdata/sf0.01"
 SCANNER = Scanner(TEMPLATES, THRESHOLD)
+FULL = Scanner(TEMPLATES, THRESHOLD, BODIES)
 
 
 def plain(text):
@@ -49,6 +53,38 @@ def test_each_licence_is_found_in_running_text(name):
             assert SCANNER.scan(text)[name][0] == 1.0
 
 
+def wrapped(text, mark="", width=60):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_notices_wrapped_inside_a_paragraph_are_found():
+    for name, template in (("mit", TEMPLATES["mit"][2]), ("apache-2.0", TEMPLATES["apache-2.0"][2]), ("bsd-3-clause", BODIES["bsd-3-clause"][0])):
+        for mark in ("", "# ", " * "):
+            text = wrapped(" ".join(f"prose{n}" for n in range(300)) + " " + template + " And more of it.", mark)
+            assert SCANNER.scan(text) == {}
+            found = FULL.find(text)
+            assert set(found) == {name} and found[name][0] > 0.99 and found[name][1] == "window"
+
+
+@pytest.mark.parametrize("name", sorted(BODIES))
+def test_whole_licences_are_found_in_their_files(name):
+    for body in BODIES[name]:
+        text = f"#!/bin/sh\n# Copyright (c) 2020 Somebody\n#\n{wrapped(body, '# ')}\n#\nset -e\necho done\n"
+        assert FULL.find(text)[name][0] > 0.9
+
+
+def test_a_bsd_2_file_parted_by_blank_lines_is_that_alone():
+    body = BODIES["bsd-2-clause"][0].replace("1. Redis", "\n\n1. Redis").replace("2. Redis", "\n\n2. Redis").replace("THIS SOFT", "\n\nTHIS SOFT")
+    found = FULL.find("BSD 2-Clause License\n\nCopyright (c) 2020, Somebody\n\n" + body)
+    assert set(found) == {"bsd-2-clause"}
+
+
+def test_another_version_or_variant_is_not_the_licence():
+    assert FULL.find("Code here is licensed under the Apache License, Version 1.1, and that is that for now.") == {}
+    assert FULL.find("It so happens that\nthis work is licensed under\nCC BY 3.0 since a year ago") == {}
+    assert set(FULL.find("It so happens that this work is licensed\nunder CC BY-NC\n4.0 since a year ago")) == {"cc-by-nc-4.0"}
+
+
 def test_prose_has_no_licence():
     assert SCANNER.scan("The license of a driver. All the rights of the reader are reserved to them.") == {}
 
