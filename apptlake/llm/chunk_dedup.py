@@ -6,8 +6,10 @@ Chunks are deduplicated by a 128-bit digest: of equal chunks the first stays (by
 and a run of later copies in a row is cut out if it is long enough. Shorter repeats, such as
 common phrases and single short lines, are left alone.
 
-Ends lie after white space, so cuts fall between words. Text without white space gets rarer ends
-between characters, and a chunk never exceeds a maximum, wherever that falls.
+Ends lie after white space, so cuts fall between words. Where no white space stood for a while, as
+in Chinese, Japanese or Thai, ends lie between characters, about as many bytes apart. A chunk never
+exceeds a maximum; an end forced by that is the place of the least hash, so that it does not move
+with what stands before.
 
 Defined results: null texts are empty, and empty texts have no chunks and stay as they are. Rows
 alike in id and text are one document, and come back alike; rows with one id and different texts
@@ -39,7 +41,8 @@ WINDOW = 32
 
 @dataclass(frozen=True)
 class Chunking:
-    """Chunk ends: one in 2**word_bits blanks, one in 2**char_bits characters; sizes in bytes.
+    """Chunk ends: one in 2**word_bits blanks, one in 2**char_bits characters, one in 2**bare_bits of
+    those with no blank in the ``WINDOW`` bytes before; sizes in bytes.
 
     A run is cut out from ``run_chars`` characters on.
     """
@@ -49,6 +52,7 @@ class Chunking:
     least: int = 20
     most: int = 4096
     run_chars: int = 100
+    bare_bits: int = 4
 
 
 def gear_table() -> np.ndarray:
@@ -78,25 +82,37 @@ def chunk_ends(texts: list[bytes], how: Chunking = Chunking()) -> list[list[int]
     """Ends of the chunks of every text, the last one being its length; none for empty ones."""
     gap = bytes(WINDOW)
     data = np.frombuffer(gap.join([*texts, b""]), dtype=np.uint8)
-    bits = rolling_hash(data) >> np.uint32(31 - how.char_bits)
+    rolled = rolling_hash(data)
+    bits = rolled >> np.uint32(31 - max(how.char_bits, how.bare_bits))
     white = (data == 32) | ((data >= 9) & (data <= 13))
     starts_char = np.concatenate(((data[1:] & 0xC0) != 0x80, [True]))
     ends = white & (bits & np.uint32((1 << how.word_bits) - 1) == 0)
     ends |= starts_char & (bits & np.uint32((1 << how.char_bits) - 1) == 0)
+    # The last blank up to every byte; gaps between texts are wide enough to part them.
+    blank = np.maximum.accumulate(np.where(white | (data == 0), np.arange(len(data)), -1))
+    bare = np.arange(len(data)) - blank >= WINDOW
+    ends |= bare & starts_char & (bits & np.uint32((1 << how.bare_bits) - 1) == 0)
     places = np.flatnonzero(ends) + 1
+
+    def forced(base: int, last: int) -> int:
+        """The place of the least hash, the last of equal ones, in reach of an end."""
+        near = slice(base + last + min(how.least, how.most // 2) - 1, base + last + how.most)
+        values = np.where(starts_char[near], rolled[near].astype(np.int64), 1 << 32)[::-1]
+        return last + how.most - int(np.argmin(values))
+
     result, base = [], 0
     for text in texts:
         low, high = np.searchsorted(places, (base + 1, base + len(text)))
         found, last = [], 0
         for end in (places[low:high] - base).tolist():
             while end - last > how.most:
-                last = _char_start(text, last + how.most)
+                last = forced(base, last)
                 found.append(last)
             if end - last >= how.least:
                 found.append(end)
                 last = end
         while len(text) - last > how.most:
-            last = _char_start(text, last + how.most)
+            last = forced(base, last)
             found.append(last)
         if len(text) > last:
             found.append(len(text))
@@ -105,12 +121,6 @@ def chunk_ends(texts: list[bytes], how: Chunking = Chunking()) -> list[list[int]
     return result
 
 
-def _char_start(text: bytes, at: int) -> int:
-    while text[at] & 0xC0 == 0x80:
-        at -= 1
-    return at
-
-
 def chunks(rows: DataFrame, how: Chunking = Chunking()) -> DataFrame:
     """Every chunk of the rows' ``_text``: ``_key``, ``_start``, ``_end`` (in characters), and its
     digest in two halves."""

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import string
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -58,6 +61,47 @@ def test_an_insertion_moves_only_the_chunks_it_touches():
     assert len(same) > 0.9 * len(before)
 
 
+def caught(alphabet, least, size, trials=60):
+    """Share of a shared passage that stands in equal chunks of two texts without blanks."""
+    rng, share = random.Random(11), 0.0
+    for _ in range(trials):
+        passage = "".join(rng.choices(alphabet, k=size))
+        sides = [["".join(rng.choices(alphabet, k=rng.randrange(least))) for _ in range(2)] for _ in range(2)]
+        (one, a), (two, b) = (pieces(before + passage + after) for before, after in sides)
+        known = {a[i:j] for i, j in one}
+        share += sum(len(b[i:j].decode()) for i, j in two if b[i:j] in known) / size / trials
+    return share
+
+
+def test_passages_without_blanks_are_caught():
+    han = [chr(c) for c in range(0x4E00, 0x5E00)]
+    thai = [chr(c) for c in range(0x0E01, 0x0E2F)]
+    for alphabet in (han, thai, string.ascii_letters):
+        assert caught(alphabet, 1500, 200) > 0.6
+        assert caught(alphabet, 1500, 1000) > 0.9
+
+
+def test_forced_ends_do_not_move_with_what_stands_before():
+    # No end but forced ones: bits that never are all zero.
+    how = Chunking(char_bits=24, bare_bits=24, most=200)
+    rng = random.Random(5)
+    text = "".join(rng.choices(string.ascii_letters, k=20_000))
+    (before, raw), (after, changed) = pieces(text, how), pieces("an insertion" + text, how)
+    same = {raw[a:b] for a, b in before} & {changed[a:b] for a, b in after}
+    assert len(same) > 0.9 * len(before)
+
+
+def test_shared_passages_without_blanks_are_cut(spark):
+    rng = random.Random(8)
+    han = [chr(c) for c in range(0x4E00, 0x5E00)]
+    passage = "".join(rng.choices(han, k=400))
+    rows = [(n, "".join(rng.choices(han, k=300)) + passage + "".join(rng.choices(han, k=300))) for n in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in dedup_substrings(docs).collect()}
+    assert got[0].text == rows[0][1]
+    assert all(0.8 * 400 < got[n].n_removed <= 400 for n in range(1, 20))
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(5)
     want = plain(sorted((r.doc_id, r.text) for r in docs.collect()))
