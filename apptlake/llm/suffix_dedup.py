@@ -2,21 +2,23 @@
 
 Of every text only the suffixes at content-selected places are kept: the word that starts the least
 of a window's k-word hashes (a minimiser). Equal passages select the same places, so a passage of at
-least ``passage`` words has one of them in its first ``window`` words. Suffixes are sorted, each is
-compared with its neighbours, and matches are extended to the right and to the left.
+least ``passage`` words has one of them in its first ``window`` words. What stands right and left of
+the places is sorted, and of each place the greatest match with any earlier place is taken on either
+side.
 
 A suffix is carried as hashes: one of its first words, as many as a match needs at least, then one
-for each further word; and one for each word to its left, nearest first. In their order equal
-beginnings lie side by side. Both sides reach far enough to meet the next selected place, so that the
-matches of one passage overlap and their union is the passage.
+for each further word. A second row has the same head and one hash for each word to its left, nearest
+first. In their order equal beginnings lie side by side. Both sides reach far enough to meet the next
+selected place, so that the matches of one passage overlap and their union is the passage.
 
-A suffix is a copy if it matches a neighbour at an earlier place (by id, then position). Copies leave
-and the rest is sorted again, until no neighbours match; as each round at least halves what matches,
-a passage with n copies takes about log2(n) rounds. One place of every passage stays.
+In that order matches get shorter with distance, so the longest one with an earlier place (by id, then
+position) is that with the nearest earlier place before or after a row; a stack finds both in one pass.
+Rows equal to the one before them are done at once. One place of every passage stays.
 
 Sorting is by ranges over many tasks; a passage that a third of all rows hold is spread over ranges
-too, since id and position take part in the order. Neighbours that a range border parts meet in a
-later round: the first and last rows of a range stay in play, and ranges get fewer as rows do.
+too, since id and position take part in the order. What lies beyond a range's border matters only to
+rows with no earlier place between them and the border, and these alone are what rows beyond it look
+for: they go into a next round, with fewer ranges. Ranges get longer where rows do not get fewer.
 
 Defined results: null and empty texts, and those with fewer words than a match needs, have no
 repeats. Rows alike in id and text are one document and come back alike. Columns other than id and
@@ -115,13 +117,14 @@ def _heads(rows: DataFrame, how: Sparse) -> DataFrame:
 
 
 def _suffixes(rows: DataFrame, how: Sparse) -> DataFrame:
-    """``_key``, ``_at``, ``_right``, ``_left`` of the suffixes listed in ``_places``."""
+    """``_key``, ``_at`` and ``_side`` of the suffixes listed in ``_places``, two rows for each: a byte
+    (0 for right, 1 for left), the hash of the head, and the words on that side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", 2 << 20):
                 texts = part.column("_text").to_pylist()
-                of, at, rights, lefts = [], [], [], []
+                of, at, sides = [], [], []
                 for k, (words, places) in enumerate(
                     zip(_words(texts), part.column("_places").to_pylist(), strict=True)
                 ):
@@ -130,86 +133,101 @@ def _suffixes(rows: DataFrame, how: Sparse) -> DataFrame:
                     single = (words >> np.uint64(32)).astype(">u4")
                     for place in places:
                         end = place + how.head
-                        of.append(k)
-                        at.append(place)
-                        rights.append(
-                            heads[place : place + 1].astype(">u8").tobytes()
-                            + single[end : end + how.tail].tobytes()
-                        )
-                        lefts.append(single[max(0, place - how.window) : place][::-1].tobytes())
+                        head = heads[place : place + 1].astype(">u8").tobytes()
+                        left = single[max(0, place - how.window) : place][::-1]
+                        of += (k, k)
+                        at += (place, place)
+                        sides.append(b"\0" + head + single[end : end + how.tail].tobytes())
+                        sides.append(b"\1" + head + left.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("_key").take(pa.array(of, pa.int64())),
                         pa.array(at, pa.int32()),
-                        pa.array(rights, pa.binary()),
-                        pa.array(lefts, pa.binary()),
+                        pa.array(sides, pa.binary()),
                     ],
-                    names=["_key", "_at", "_right", "_left"],
+                    names=["_key", "_at", "_side"],
                 )
 
     return rows.select("_key", "_text", "_places").mapInArrow(
-        run, f"_key {kind_of(rows)}, _at int, _right binary, _left binary"
+        run, f"_key {kind_of(rows)}, _at int, _side binary"
     )
 
 
+#: Bytes before the words of a ``_side``.
+_FRONT = 9
+
+
 def _common(a: bytes, b: bytes) -> int:
-    """Items of four bytes that two sequences begin with in common."""
+    """Words of four bytes that two sides have in common, -1 where their heads differ."""
+    if a[:_FRONT] != b[:_FRONT]:
+        return -1
     n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n // 4
-    return next(k for k in range(n // 4) if a[4 * k : 4 * k + 4] != b[4 * k : 4 * k + 4])
+    differs = int.from_bytes(a[_FRONT:n]) ^ int.from_bytes(b[_FRONT:n])
+    return (n - _FRONT - (differs.bit_length() + 7) // 8) // 4
 
 
-def _neighbours(ordered: DataFrame, how: Sparse) -> DataFrame:
-    """Compare each sorted suffix with the one before and after it in its range.
+def _matches(ordered: DataFrame) -> DataFrame:
+    """Of each sorted row the longest match with an earlier place in its range.
 
-    Returns ``_copy`` rows (they match a neighbour at an earlier place) with the words of the match
-    ``_before`` and ``_after`` their place, and with their content the rows that go into the next
-    round: those that match later places only, or lie at the border of the range.
+    Returns ``_match`` (words beyond the head, -1 if there is none) and ``_left``, and the ``_side`` of
+    the rows that go into the next round, of which nothing earlier lies between them and a border.
     """
     key_kind = kind_of(ordered)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The row before: key, place, right, left, whether a copy, words before and after, stays.
-        held: list | None = None
+        # Rows that wait for an earlier one: key, place, side, order, match, words in common with the
+        # one below (the lowest: with the first row of the range), whether it stays.
+        stack: list[list] = []
+        before: bytes | None = None
+        last: tuple | None = None
         schema = None
 
         def emit(rows: list[list]) -> pa.RecordBatch:
-            rows = [r if not r[4] else [*r[:2], None, None, *r[4:]] for r in rows if r[4] or r[7]]
-            columns = list(zip(*rows, strict=True))[:7] or [()] * 7
-            kinds = [schema.field("_key").type, pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
-            kinds += [pa.int32(), pa.int32()]
-            names = ["_key", "_at", "_right", "_left", "_copy", "_before", "_after"]
-            arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=names)
+            rows = [r for r in rows if r[4] >= 0 or r[6]]
+            arrays = [
+                pa.array([r[0] for r in rows], schema.field("_key").type),
+                pa.array([r[1] for r in rows], pa.int32()),
+                pa.array([r[2] if r[6] else None for r in rows], pa.binary()),
+                pa.array([r[4] for r in rows], pa.int32()),
+                pa.array([r[2][0] == 1 for r in rows], pa.bool_()),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, names=["_key", "_at", "_side", "_match", "_left"])
 
         for batch in batches:
             schema, done = batch.schema, []
-            columns = [batch.column(k).to_pylist() for k in range(4)]
-            for key, at, right, left in zip(*columns, strict=True):
-                now = [key, at, right, left, False, 0, 0, held is None]
-                if held is not None:
-                    match = _common(held[2], right)
-                    if match >= 2:  # the hash of the head takes two items
-                        words, back = how.head + match - 2, _common(held[3], left)
-                        early, late = (held, now) if _order(held) < _order(now) else (now, held)
-                        early[7] = True
-                        late[4], late[5], late[6] = True, max(late[5], back), max(late[6], words)
-                    done.append(held)
-                held = now
+            columns = [batch.column(k).to_pylist() for k in range(3)]
+            for key, at, side in zip(*columns, strict=True):
+                order = _order((key, at))
+                if side == before:
+                    if order != last:  # else the same row of a repeated document
+                        done.append([key, at, side, order, (len(side) - _FRONT) // 4, 0, False])
+                        last = order
+                    continue
+                common = _common(before, side) if before is not None else len(side)
+                before, last = side, order
+                if common < 0:
+                    done += stack
+                    stack.clear()
+                while stack and stack[-1][3] > order:
+                    late = stack.pop()
+                    late[4] = max(late[4], common)
+                    common = min(common, late[5])
+                    done.append(late)
+                stays = not stack and common >= 0
+                stack.append([key, at, side, order, common if stack else -1, common, stays])
             if done:
                 yield emit(done)
-        if held is not None:
-            held[7] = True
-            yield emit([held])
+        if stack:
+            for row in stack:
+                row[6] = True
+            yield emit(stack)
 
     return ordered.mapInArrow(
-        run,
-        f"_key {key_kind}, _at int, _right binary, _left binary, _copy boolean, _before int, _after int",
+        run, f"_key {key_kind}, _at int, _side binary, _match int, _left boolean"
     )
 
 
-def _order(row: list) -> tuple:
+def _order(row: tuple) -> tuple:
     key = row[0]
     if isinstance(key, dict):  # an id and a hash; rows without an id come first
         return (key["doc_id"] is not None, key["doc_id"] or 0, key["_hash"], row[1])
@@ -240,24 +258,29 @@ def _passages(docs: DataFrame, how: Sparse, id_col: str, text_col: str, steps: S
     places = stored(places, "places")
     n = places.agg(F.sum(F.size("_places"))).first()[0] or 0
     rest = _suffixes(rows.join(places, "_key"), how)
-    copies: list[DataFrame] = []
-    order = ["_right", "_key", "_at"]
+    n *= 2
+    found: list[DataFrame] = []
+    order, length = ["_side", "_key", "_at"], how.range_rows
     while n > 1:
-        ranges = -(-n // how.range_rows)
+        ranges = -(-n // length)
         ordered = rest.repartitionByRange(ranges, *order) if ranges > 1 else rest.repartition(1)
-        seen = stored(_neighbours(ordered.sortWithinPartitions(*order), how), "neighbours")
-        copies.append(seen.where("_copy").select("_key", "_at", "_before", "_after"))
-        rest = seen.where("NOT _copy").select("_key", "_at", "_right", "_left")
-        copy, other = F.when(F.col("_copy"), 1), F.when(~F.col("_copy"), 1)
-        found, n = seen.agg(F.count(copy), F.count(other)).first()
-        if not found and ranges == 1:
+        seen = stored(_matches(ordered.sortWithinPartitions(*order)), "matches")
+        found.append(seen.where("_match >= 0").select("_key", "_at", "_match", "_left"))
+        if ranges == 1:
             break
-    found = copies[0] if copies else rest.selectExpr("_key", "_at", "0 AS _before", "0 AS _after").limit(0)
-    for more in copies[1:]:
-        found = found.unionByName(more)
+        rest = seen.where("_side IS NOT NULL").select("_key", "_at", "_side")
+        many, n = n, rest.count()
+        if 4 * n > 3 * many:
+            length *= 2
+    spans = found[0] if found else rest.selectExpr("_key", "_at", "0 AS _match", "true AS _left").limit(0)
+    for more in found[1:]:
+        spans = spans.unionByName(more)
     # Overlapping matches of a document become one span.
-    found = found.select(
-        "_key", (F.col("_at") - F.col("_before")).alias("start"), (F.col("_at") + F.col("_after")).alias("end")
+    reach = F.when(F.col("_left"), 0).otherwise(F.col("_match"))
+    found = spans.select(
+        "_key",
+        (F.col("_at") - F.col("_match") + reach).alias("start"),
+        (F.col("_at") + F.lit(how.head) + reach).alias("end"),
     )
     in_order = Window.partitionBy("_key").orderBy("start", "end")
     reached = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))

@@ -62,6 +62,24 @@ def test_passages_in_many_documents(spark, how):
     check(rows, docs, how)
 
 
+@pytest.mark.parametrize("how", [Sparse(range_rows=40), Sparse()])
+def test_no_word_is_missed_where_copies_share_parts_with_others(spark, how):
+    # Passages stand inside each other here, so that neighbours in order share one side alone.
+    rows = passages(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want, got = covered(rows, how.passage), {}
+    for row in repeated_passages(docs, how).collect():
+        got[row.doc_id] = {k for span in row.spans for k in range(span.start, span.end)}
+    missed = sum(w and k not in got.get(key, ()) for key, flags in want.items() for k, w in enumerate(flags))
+    assert missed == 0
+
+
+def test_a_document_on_two_rows_is_no_copy_of_itself(spark):
+    text = " ".join(f"own{n}" for n in range(80))
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    assert repeated_passages(docs).collect() == []
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     check(sorted((r.doc_id, r.text) for r in docs.collect()), docs, Sparse())
