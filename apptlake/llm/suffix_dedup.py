@@ -252,6 +252,8 @@ def _passages(docs: DataFrame, how: Sparse, id_col: str, text_col: str, steps: S
     # Heads that occur once match nothing; counted with partial sums before the shuffle.
     heads = _heads(rows, how)
     twice = heads.groupBy("_head").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_head")
+    # Stored, so that the join has an exchange on either side and may split a hot head.
+    twice = stored(twice, "repeated-heads")
     places = heads.join(twice, "_head").groupBy("_key").agg(
         F.array_distinct(F.collect_list("_at")).alias("_places")
     )

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from apptlake.llm.common import Scratch
 from apptlake.llm.shingles import WORD, _LOWER
 from apptlake.llm.suffix_dedup import Sparse, _window_minima, repeated_passages, selected
 
@@ -80,6 +81,14 @@ def test_a_document_on_two_rows_is_no_copy_of_itself(spark):
     assert repeated_passages(docs).collect() == []
 
 
+def test_repeated_heads_are_stored_before_their_join(spark, monkeypatch):
+    # An aggregate on one side of the join keeps Spark from splitting a hot head.
+    made, real = [], Scratch.stored
+    monkeypatch.setattr(Scratch, "stored", lambda self, df, name: made.append(name) or real(self, df, name))
+    repeated_passages(spark.createDataFrame(passages(3)[:20], "doc_id long, text string")).collect()
+    assert made.index("repeated-heads") < made.index("places")
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     check(sorted((r.doc_id, r.text) for r in docs.collect()), docs, Sparse())
