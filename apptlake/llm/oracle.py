@@ -16,8 +16,64 @@ _TEMPLATES = ", ".join(
 )
 _BIGRAMS = "list_distinct(list_transform(range(1, len({0})), lambda k: {0}[k] || ' ' || {0}[k + 1]))"
 _WORDS = "list_transform(regexp_extract_all({}, '[A-Za-z0-9]+'), lambda w: lower(w))"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLE = {
+    "op11_suffix_arrays": f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {_ITEM_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT item, least(len(w), 10) AS size, s AS pos, w[s:s + least(len(w), 10) - 1] AS words
+  FROM i, unnest(range(1, greatest(1, len(w) - 8))) AS r(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+spots AS (
+  SELECT doc_id, size, pos, w[pos:pos + size - 1] AS words
+  FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS r(pos)),
+met AS (SELECT DISTINCT doc_id, s.pos, s.size, item FROM spots s JOIN windows v USING (size, words)),
+hit AS (SELECT doc_id, count(DISTINCT pos + k) AS n FROM met, unnest(range(size)) AS r(k) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id),
+pairs AS (SELECT DISTINCT doc_id, item, s.pos, v.pos AS item_pos, s.size
+          FROM spots s JOIN windows v USING (size, words)),
+chains AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item, pos - item_pos ORDER BY pos) - pos AS chain FROM pairs),
+lengths AS (SELECT doc_id, max(size) + count(*) - 1 AS words FROM chains GROUP BY doc_id, item, pos - item_pos, chain),
+longest AS (SELECT doc_id, max(words) AS n FROM lengths GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+  coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AS contaminated, coalesce(longest.n, 0)::BIGINT AS longest
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)""",
+    "op13_collocations": f"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, {_LOWERED} AS t FROM documents),
+pieces AS (
+  SELECT lang, doc_id, k, regexp_extract_all(p[k], '[^ \\t]+') AS w
+  FROM (SELECT lang, doc_id, string_split_regex(t, '[.,;:!?\\x0A-\\x0D]') AS p FROM d),
+    unnest(range(1, len(p) + 1)) AS r(k)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS (
+  SELECT lang, w[s:s + size - 1] AS words, count(*) AS a
+  FROM pieces, unnest([1, 2, 3, 4]) AS z(size), unnest(range(1, len(w) - size + 2)) AS r(s)
+  GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.words, c.a, k, l.a AS l, r.a AS r, (2000000 * c.a::HUGEINT) // (l.a + r.a) AS score
+  FROM (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM f WHERE len(words) > 1) c
+  JOIN f l ON l.lang = c.lang AND l.words = c.words[:k]
+  JOIN f r ON r.lang = c.lang AND r.words = c.words[k + 1:]),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+covered AS (
+  SELECT DISTINCT c.lang, c.words
+  FROM (SELECT lang, a, words[s:s + size - 1] AS part
+        FROM f, unnest([2, 3]) AS z(size), unnest(range(1, len(words) - size + 2)) AS r(s)
+        WHERE len(words) > size) b
+  JOIN f c ON c.lang = b.lang AND c.words = b.part WHERE 100 * b.a >= 80 * c.a),
+ranked AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score::BIGINT AS score
+  FROM lowest ANTI JOIN covered USING (lang, words)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
+SELECT lang, rank, phrase, a, l, r, n, score FROM numbered JOIN totals USING (lang) WHERE rank <= 2000""",
     "op10_license_scan": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 lines AS (

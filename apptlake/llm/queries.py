@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from apptlake.llm.bpe import round_trip
 from apptlake.llm.chunk_dedup import dedup_substrings
+from apptlake.llm.collocations import collocations
+from apptlake.llm.decontaminate import contamination
 from apptlake.llm.jaccard_join import Rule, similarity_classes
 from apptlake.llm.licenses import license_scan
 from apptlake.llm.mixing import Mix, mix_sources
 from apptlake.llm.multiset_hash import edited_fingerprints
 from apptlake.llm.pu_quality import quality_scores
 from apptlake.llm.quality_rules import line_first
+from apptlake.llm.spelling import spelling_variants
 from apptlake.llm.suffix_dedup import repeated_passages
 from apptlake.llm.token_files import read_token_files, write_token_files
 from apptlake.session import scratch_path
@@ -92,3 +95,27 @@ def op1_jaccard_join(spark, sf_dir):
 @query
 def op5_sparse_suffixes(spark, sf_dir):
     return repeated_passages(documents(spark, sf_dir))
+
+
+@query
+def op11_suffix_arrays(spark, sf_dir):
+    rows = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+        F.col("longest").cast("bigint").alias("longest"),
+    )
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(documents(spark, sf_dir))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations(documents(spark, sf_dir))

@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from apptlake.llm.spelling import spelling_variants
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def plain(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(x) + 32) if "A" <= x <= "Z" else x for x in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            counts[run[: h % len(run)] + run[h % len(run) + 1 :] if h % 31 == 0 else run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+    near, words = defaultdict(list), list(counts)
+    for i, a in enumerate(words):
+        for b in words[:i]:
+            if one_edit(a, b):
+                near[a].append(b)
+                near[b].append(a)
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best and counts[best] >= 10 * counts[w] else None
+    result = []
+    for w in words:
+        root = w
+        while form[root]:
+            root = form[root]
+        result.append((w, form[w], root, counts[w], len(near[w]), counts.get(form[w])))
+    return sorted(result)
+
+
+def found(docs, **how):
+    return sorted(tuple(r) for r in spelling_variants(docs, **how).collect())
+
+
+def test_equals_comparing_all_pairs_for_any_size_of_tile(spark):
+    rng = random.Random(1)
+    base = ["".join(rng.choices("abé", k=rng.randint(6, 10))) for _ in range(60)] + ["b" * 7, "b" * 8, "b" * 9]
+    rows = []
+    for doc_id in range(300):
+        text = []
+        for _ in range(60):
+            word = base[int(len(base) * rng.random() ** 4)]
+            if rng.random() < 0.3:
+                k, x = rng.randrange(len(word)), rng.choice("abéÿ")
+                word = rng.choice([word[:k] + word[k + 1 :], word[:k] + x + word[k:], word[:k] + x + word[k + 1 :]])
+            text.append(word)
+        rows.append((doc_id if doc_id % 50 else None, " ".join(text)))
+    docs, expected = spark.createDataFrame(rows, "doc_id long, text string"), plain(rows)
+    assert any(row[1] and row[2] != row[1] for row in expected)
+    for tile_rows in (1024, 20, 3):
+        assert found(docs, tile_rows=tile_rows) == expected
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert found(docs) == plain([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_long_chains_of_forms_reach_the_last(spark):
+    chain = ["a" * 7 + "bcdef"[:k] for k in range(6)]
+    rows = [(k * 10**6 + n, w) for k, w in enumerate(chain) for n in range(2 * 10 ** min(k, 3))]
+    rows = [(i, " ".join([w] * (10 ** max(0, chain.index(w) - 3)))) for i, w in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert found(docs) == plain([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_odd_rows(spark, odd, nothing):
+    # Two runs of a hundred thousand letters, one code point apart, and each of them twice.
+    long = [(n, "x" * 100_000 + "y" * (n % 2)) for n in range(100, 140)]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(long, "doc_id long, text string"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    few = [(i, t) for i, t in rows if t is None or len(t) < 200_000]
+    assert found(docs.where(F.length("text").isNull() | (F.length("text") < 200_000))) == plain(few)
+    assert {w for w, *_ in found(odd)} == {w for w, *_ in plain([(r.doc_id, r.text) for r in odd.collect()])}
+    assert found(nothing) == []
