@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType, StructField, StructType, VariantType
 
 from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE, channel_of, is_paid
 from apptlake.functions.times import clock_stamp, instant, written_day
 from apptlake.functions.values import first_member
+from apptlake.operators.conform import fields_of
 from apptlake.schemas import FLAT_COLUMNS, WEBHOOK
 
 CORRUPT = "_corrupt_record"
@@ -52,6 +54,41 @@ def parse_documents(records: DataFrame, ddl: str = WEBHOOK, body: str = "value")
     return records.select(*others, F.inline(document))
 
 
+def declared_names(fields: Sequence[StructField], path: str = "") -> dict[str, list[str]]:
+    """The declared fields of a document and of every structure in it, by the structure's path."""
+    names = {path: [field.name for field in fields]}
+    for field in fields:
+        if isinstance(field.dataType, StructType):
+            inner = f"{path}.{field.name}" if path else field.name
+            names |= declared_names(field.dataType.fields, inner)
+    return names
+
+
+def undeclared_fields(body: Column, ddl: str = WEBHOOK) -> Column:
+    """What a JSON text has beyond the declared fields, as a VARIANT; null if there is nothing.
+
+    It is an object whose keys are the fields' paths: a new field of the payload is read by
+    ``variant_get(extra, "$['payload.referrer']", 'string')``. The text is parsed once, and a
+    structure is looked into one level at a time.
+    """
+    kind = MapType(StringType(), VariantType())
+    declared = declared_names(fields_of(ddl))
+
+    def beyond(level: Column, path: str) -> list[Column]:
+        known, prefix = declared[path], f"{path}." if path else ""
+        rest = F.map_filter(level, lambda name, _: ~name.isin(known))
+        found = [F.transform_keys(rest, lambda name, _: F.concat(F.lit(prefix), name))]
+        for name in known:
+            if prefix + name in declared:
+                found += beyond(F.try_element_at(level, F.lit(name)).try_cast(kind), prefix + name)
+        return found
+
+    nothing = F.create_map().cast(kind)
+    parts = [F.coalesce(part, nothing) for part in beyond(F.try_parse_json(body).try_cast(kind), "")]
+    extra = F.map_concat(*parts)
+    return F.when(F.size(extra) > 0, F.to_variant_object(extra))
+
+
 def is_unreadable() -> Column:
     """True of a body that gave no payload. A document with one misfit field is not lost for
     it: the field is null and the rest is used."""

@@ -79,8 +79,9 @@ BRONZE = """
 # The bronze columns that come from the document itself, in order.
 FLAT_COLUMNS = tuple(line.split()[0] for line in BRONZE.strip().splitlines()[:-4])
 
-# Bronze as stored: bodies that gave no payload are kept beside the readable ones.
-BRONZE_STORED = f"{BRONZE}, _corrupt_record string, readable boolean"
+# Bronze as stored: bodies that gave no payload are kept beside the readable ones, and what a
+# document has beyond the declared fields as one VARIANT.
+BRONZE_STORED = f"{BRONZE}, _corrupt_record string, readable boolean, extra variant"
 
 SILVER_BOOKINGS = """
     booking_id string,

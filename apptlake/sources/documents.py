@@ -44,10 +44,12 @@ def read_spend_files(spark: SparkSession, path: str) -> DataFrame:
     faulty = F.col("_corrupt_record").isNotNull() | unknown | unread
     text = F.coalesce("_corrupt_record", F.to_json(F.struct("channel", "date", "spend")))
     message = F.concat(F.lit("spend record that cannot be read: "), F.substring(text, 1, 200))
-    checked = rows.where(
-        F.when(faulty, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    # In the values themselves, as a later filter on them might otherwise come before the check.
+    values = {"channel": F.col("channel"), "date": F.col("date"), "spend": amount}
+    failed = F.raise_error(message)
+    return rows.where(F.when(faulty, failed.cast("boolean")).otherwise(F.lit(True))).select(
+        *[F.when(faulty, failed).otherwise(value).alias(name) for name, value in values.items()]
     )
-    return checked.select("channel", "date", amount.alias("spend"))
 
 
 def read_spend(spark: SparkSession, folder: str, day: date | None = None) -> DataFrame:

@@ -29,12 +29,6 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Make an empty file."""
-    fs, hadoop_path = _fs(spark, path)
-    fs.create(hadoop_path, True).close()
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, True)

@@ -25,12 +25,17 @@ def landing_rows(records: DataFrame) -> DataFrame:
 
 
 def land(records: DataFrame, path: str) -> int:
-    """Append records below ``date=``, many to a file; returns how many.
+    """Append records below ``date=``, many to a file; returns how many."""
+    return land_rows(landing_rows(records), path)
+
+
+def land_rows(rows: DataFrame, path: str) -> int:
+    """The same for rows that know where they land.
 
     Bodies are the widest data there is, so they are not shuffled: records of a batch are of
     one day or two, and a task writes one file for each.
     """
-    return append(landing_rows(records), path, "date")
+    return append(rows, path, "date")
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:

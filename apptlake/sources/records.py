@@ -15,16 +15,20 @@ MAX_FILE_AGE = "36500d"
 
 
 def file_records(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_batch: int = 1000
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    max_files_per_batch: int = 1000,
+    max_bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """Records that arrive as files in a folder, at most so many files per micro-batch."""
-    return (
-        spark.readStream.format(fmt)
-        .schema(RECORD)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .load(path)
-    )
+    """Records that arrive as files in a folder, at most so many files per micro-batch, or so many
+    bytes of files (always one file at least, as files cannot be parted)."""
+    stream = spark.readStream.format(fmt).schema(RECORD).option("maxFileAge", MAX_FILE_AGE)
+    if max_bytes_per_batch is not None:
+        stream = stream.option("maxBytesPerTrigger", max_bytes_per_batch)
+    else:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_batch)
+    return stream.load(path)
 
 
 def body_lines(spark: SparkSession, path: str, max_files_per_batch: int = 1000) -> DataFrame:

@@ -1,15 +1,16 @@
-"""Path tables: full reads, tolerant reads, appends and full refreshes."""
+"""Path tables: full reads, tolerant reads, appends, and tables published as a whole."""
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from apptlake.operators.conform import conform, empty_frame
+from apptlake.operators.conform import conform, empty_frame, fields_of
 from apptlake.sources import files
 
 log = logging.getLogger(__name__)
@@ -40,11 +41,21 @@ def load_if_present(spark: SparkSession, path: str, ddl: str, fmt: str = "parque
         return empty_frame(spark, ddl)
 
 
-def load_or_empty(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet") -> DataFrame:
+def load_declared(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Read a Parquet table by its declared columns: files that lack one, written before it was
+    added, give null there, and no footer is read to find the columns. A missing table is empty."""
+    if not files.exists(spark, path):
+        return empty_frame(spark, ddl)
+    return spark.read.schema(ddl).parquet(path).select(*[field.name for field in fields_of(ddl)])
+
+
+def load_or_empty(
+    spark: SparkSession, path: str, ddl: str, load: Callable[..., DataFrame] = load_if_present
+) -> DataFrame:
     """The same for serving views, which show what they can: any table that does not open is
     empty, with a warning."""
     try:
-        return load_if_present(spark, path, ddl, fmt)
+        return load(spark, path, ddl)
     except (PySparkException, Py4JJavaError) as error:
         log.warning("table at %s cannot be read, taken as empty: %s", path, error)
         return empty_frame(spark, ddl)
@@ -71,8 +82,42 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def refresh(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Replace a whole table and return its new row count."""
-    rows, seen = counted(df, f"refresh {path}")
-    rows.write.format(fmt).mode("overwrite").save(path)
+RUN = "run="
+#: How Spark's writer says that a folder is whole; it writes this last.
+WHOLE = "_SUCCESS"
+
+
+def whole_runs(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a published table that were written to the end, oldest first."""
+    names = sorted(name for name in files.child_names(spark, path) if name.startswith(RUN))
+    return [f"{path}/{name}" for name in names if files.exists(spark, f"{path}/{name}/{WHOLE}")]
+
+
+def publish(df: DataFrame, path: str, table: str | None = None, kept: int = 2) -> int:
+    """Replace a whole table and return its new row count; readers see the old one or the new one.
+
+    Every run writes a folder of its own below ``path``. ``published`` reads the last that is whole,
+    so a run that fails changes nothing. With ``table``, a catalog table is made or switched to the
+    new folder as well. The run before stays for those who are reading it; older ones go.
+    """
+    spark = df.sparkSession
+    before = whole_runs(spark, path)
+    number = int(before[-1].rsplit(RUN, 1)[1]) + 1 if before else 0
+    folder = f"{path}/{RUN}{number:010d}"
+    rows, seen = counted(df, f"publish {path}")
+    rows.write.mode("overwrite").parquet(folder)
+    if table is not None:
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.catalog.createTable(table, folder, "parquet", df.schema)
+    for old in before[: len(before) + 1 - kept]:
+        files.delete(spark, old)
     return seen.get["rows"]
+
+
+def published(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """The last whole run of a published table in its expected shape; empty before the first."""
+    runs = whole_runs(spark, path)
+    return load_if_present(spark, runs[-1] if runs else path, ddl)

@@ -1,7 +1,8 @@
 """Streams that land raw records, feed the live table, and fill bronze from the landing.
 
-All append through Spark's file sink, whose log makes each batch count once however often it runs.
-Only the sink writes to its folder: readers go by its log and would not see other files.
+Landing and bronze are appended to by Spark's file sink, whose log makes each batch count once
+however often it runs. Only the sink writes to its folder: readers go by its log and would not see
+other files.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from apptlake.functions.channels import CHANNEL_BY_EVENT_TYPE
 from apptlake.operators.flatten import (
@@ -19,19 +19,14 @@ from apptlake.operators.flatten import (
     bronze_rows,
     is_unreadable,
     parse_documents,
+    undeclared_fields,
     with_lineage,
 )
 from apptlake.schemas import LANDING
 from apptlake.sources.landing import landing_rows
 from apptlake.sources.records import MAX_FILE_AGE
 from apptlake.streaming.live import start_live
-
-
-def started(writer: DataStreamWriter, pull_seconds: int | None) -> StreamingQuery:
-    """Start a query that pulls at an interval, or with None takes what is there and stops."""
-    if pull_seconds is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{pull_seconds} seconds").start()
+from apptlake.streaming.progress import observed, started
 
 
 def start_landing(
@@ -41,9 +36,10 @@ def start_landing(
 
     Bodies are the widest data there is, so they are not shuffled.
     """
+    rows, name = observed(landing_rows(records), landed=F.count(F.lit(1)))
     writer = (
-        landing_rows(records)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
+        .queryName(name)
         .option("path", landing)
         .option("checkpointLocation", checkpoint)
         .partitionBy("date")
@@ -91,9 +87,11 @@ def landed_bodies(
 
 def bronze_of(bodies: DataFrame) -> DataFrame:
     """Flat rows of bodies, static or streaming. Those without a readable payload are marked and
-    keep their text; of the others a misfit field is null and the rest is used."""
-    parsed = parse_documents(bodies).withColumn("readable", ~is_unreadable())
-    flat = bronze_rows(parsed, keep=("sequence", "source_file", CORRUPT, "readable"))
+    keep their text; of the others a misfit field is null and the rest is used. ``extra`` holds what
+    a document has beyond the declared fields."""
+    named = bodies.withColumn("extra", undeclared_fields(F.col("value")))
+    parsed = parse_documents(named).withColumn("readable", ~is_unreadable())
+    flat = bronze_rows(parsed, keep=("sequence", "source_file", CORRUPT, "readable", "extra"))
     kept = F.when(~F.col("readable"), F.col(CORRUPT))
     return with_lineage(flat, F.col("source_file")).drop("source_file").withColumn(CORRUPT, kept)
 
@@ -111,8 +109,10 @@ def start_bronze(
     The checkpoint remembers the files taken, so landing is not read again from the start.
     """
     rows = bronze_of(landed_bodies(spark, landing, fmt, max_files_per_batch))
+    rows, name = observed(rows, kept=F.count_if("readable"), quarantined=F.count_if(~F.col("readable")))
     writer = (
         rows.writeStream.format("parquet")
+        .queryName(name)
         .option("path", bronze)
         .option("checkpointLocation", checkpoint)
         .partitionBy("readable", "ingest_date")

@@ -1,11 +1,11 @@
-"""The live layer: records as they arrive, appended as items, read as one row per booking."""
+"""The live layer: records as they arrive, kept as one item per booking."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,8 +14,11 @@ from apptlake.functions.times import instant, written_day
 from apptlake.operators.conform import conform
 from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.flatten import live_rows, parse_documents
+from apptlake.operators.keyed import BUCKET, NUMBER, append_new, upsert_within
 from apptlake.schemas import LIVE_ITEMS, LIVE_SERVING, LIVE_WEBHOOK
-from apptlake.sources.tables import load_if_present
+from apptlake.session import ROCKSDB
+from apptlake.sources.tables import load_declared
+from apptlake.streaming.progress import observed, started
 
 # Fixed value: seconds between two pulls of the live stream.
 PULL_SECONDS = 120
@@ -24,6 +27,9 @@ LIVE_KEY = ["booking_id"]
 # What orders the items of a booking, for every reader of the table.
 LIVE_ORDER = ("sequence", "ingested_at")
 LIVE_TABLE = f"{LIVE_ITEMS}, sequence bigint"
+# Parts of a day that are rewritten by themselves, for a new table.
+LIVE_BUCKETS = 8
+NO_DAY = "unknown"
 
 
 def live_items(
@@ -35,48 +41,90 @@ def live_items(
     return live_rows(parsed, rules, keep=("sequence",))
 
 
+def last_items(items: DataFrame) -> DataFrame:
+    """The last item of each booking, and the ``days`` that its items were booked on.
+
+    On a stream this is its state: the item that later ones are held against, and the days below
+    which the booking may lie in the table. Each task sums up its own items first, so a booking with
+    much of the traffic costs its state partition one row a task.
+    """
+    others = [F.col(name) for name in items.columns if name not in (*LIVE_ORDER, *LIVE_KEY)]
+    last = F.max(F.struct(*LIVE_ORDER, *others)).alias("_last")
+    days = F.collect_set(_day(F.col("booking_date"))).alias("days")
+    keyed = items.where(F.col("booking_id").isNotNull()).groupBy(*LIVE_KEY).agg(last, days)
+    return keyed.select(*[F.col("_last")[c].alias(c) if c not in LIVE_KEY else c for c in items.columns], "days")
+
+
+def _day(booking_date: Column) -> Column:
+    """The folder of an item; items without a readable day have one too."""
+    return F.coalesce(booking_date, F.lit(NO_DAY))
+
+
 def start_live(
     records: DataFrame,
     table: str,
     checkpoint: str,
     rules: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     pull_seconds: int | None = PULL_SECONDS,
+    buckets: int = LIVE_BUCKETS,
 ) -> StreamingQuery:
     """Keep the live table up to date; ``pull_seconds=None`` takes what is there and stops.
 
-    Items are appended by Spark's file sink, below the day they were booked; nothing is shuffled
-    or rewritten, and its log counts a batch once however often it runs. A restart goes on from
-    the checkpoint.
+    The stream keeps the last item of each booking as state, on disk (RocksDB). What a micro-batch
+    changed is upserted into the table, one row per booking below the day it was booked, of which
+    only the days and buckets that changed are rewritten. A batch that runs twice ends where it
+    ended before; a restart goes on from the checkpoint. Items without an id cannot be kept by booking
+    and are left out.
     """
+    spark = records.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    items, counts = observed(live_items(records, rules), live=F.count(F.lit(1)))
+    order = newest(*LIVE_ORDER)
+
+    def write(batch: DataFrame, _: int) -> None:
+        placed = batch.withColumn("day", _day(F.col("booking_date")))
+        upsert_within(placed, table, LIVE_KEY, "day", "days", order, buckets)
+
     writer = (
-        live_items(records, rules)
-        .withColumn("day", F.col("booking_date"))
-        .writeStream.format("parquet")
-        .option("path", table)
+        last_items(items)
+        .writeStream.queryName(counts)
+        .outputMode("update")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("day")
     )
-    if pull_seconds is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{pull_seconds} seconds").start()
+    return started(writer, pull_seconds)
 
 
 def latest_items(items: DataFrame) -> DataFrame:
-    """The last item of each booking. A table by booking cannot hold items without an id."""
+    """The last item of each booking, of a static frame. Items without an id are left out."""
     return latest_per_key(items.where(F.col("booking_id").isNotNull()), LIVE_KEY, newest(*LIVE_ORDER))
 
 
+def _stored_items(spark: SparkSession, table: str) -> DataFrame:
+    """The table's rows, with ``day``. Rows without an id only hold the place of a folder."""
+    items = load_declared(spark, table, f"{LIVE_TABLE}, {NUMBER} int, day string, {BUCKET} int")
+    return items.where(F.col("booking_id").isNotNull()).drop(NUMBER, BUCKET)
+
+
 def live_table(spark: SparkSession, table: str, since: date | None = None) -> DataFrame:
-    """Live items, one per booking; empty if missing. ``since`` reads no items booked before."""
-    items = load_if_present(spark, table, f"{LIVE_TABLE}, day string")
+    """Live items, one per booking as stored; empty if missing. ``since`` reads no items booked
+    before."""
+    items = _stored_items(spark, table)
     if since is not None:
         items = items.where(F.col("day") >= F.lit(since.isoformat()))
-    return latest_items(items).drop("day")
+    return items.drop("day")
 
 
 def live_snapshot(spark: SparkSession, table: str, since: date | None = None) -> DataFrame:
-    """The live table as the serving views want it, with its times typed; empty if missing."""
-    return typed_live(live_table(spark, table, since))
+    """The live table as the serving views want it, with its times typed; empty if missing.
+
+    The booking day is taken from the folder, so a filter on it, also by a value that another query
+    finds, leaves folders of other days unread.
+    """
+    items = _stored_items(spark, table)
+    if since is not None:
+        items = items.where(F.col("day") >= F.lit(since.isoformat()))
+    return typed_live(items.withColumn("booking_date", F.col("day")))
 
 
 def typed_live(items: DataFrame) -> DataFrame:
@@ -91,35 +139,27 @@ def typed_live(items: DataFrame) -> DataFrame:
 
 
 def start_dedup_append(
-    items: DataFrame, path: str, checkpoint: str, time_column: str, delay: str | None
+    items: DataFrame, path: str, checkpoint: str, pull_seconds: int | None = None, buckets: int = LIVE_BUCKETS
 ) -> StreamingQuery:
-    """Append-only variant: of each booking the stream keeps the first record.
+    """Append-only variant: items are added as they come, and replays are not.
 
-    With a ``delay``, state is kept per booking until the watermark passes, so it is bounded; the
-    price is that the stream takes no item more than the delay behind the newest, first or not.
-    Choose it longer than any backlog, or None to keep state of every booking and lose nothing.
-    Items without an id are not known to be replays of one another and all stay.
-
-    A stream cannot drop replays before its shuffle. So a first step drops them per booking and
-    share of the sequence numbers, which spreads a booking with much of the traffic over as many
-    tasks as a shuffle has, and the second step meets at most one row of each share.
+    A micro-batch keeps the last item of each booking and meets what is stored: an item is appended
+    unless one of its booking as new or newer is there. The stream has no state to outgrow and no
+    watermark that drops late items, so an item counts however late it comes. The last item of a
+    booking is what ``appended`` reads.
     """
-    shares = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = F.coalesce("booking_id", F.concat(F.lit("no id/"), F.xxhash64(*items.columns)))
-    rows = items.withColumn("_known", known).withColumn("_share", F.pmod("sequence", F.lit(shares)))
-    if delay is None:
-        rows = rows.dropDuplicates(["_known", "_share"]).dropDuplicates(["_known"])
-    else:
-        rows = (
-            rows.withWatermark(time_column, delay)
-            .dropDuplicatesWithinWatermark(["_known", "_share"])
-            .dropDuplicatesWithinWatermark(["_known"])
-        )
-    return (
-        rows.drop("_known", "_share")
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def write(batch: DataFrame, _: int) -> None:
+        content = [name for name in batch.columns if name not in LIVE_ORDER]
+        known = F.coalesce("booking_id", F.concat(F.lit("no id/"), F.xxhash64(*content)))
+        single = latest_per_key(batch, [known], newest(*LIVE_ORDER))
+        append_new(single, path, LIVE_KEY, ["sequence"], buckets)
+
+    writer = items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return started(writer, pull_seconds)
+
+
+def appended(spark: SparkSession, path: str) -> DataFrame:
+    """The last item of each booking of an append-only table, and all items without an id."""
+    items = load_declared(spark, path, f"{LIVE_TABLE}, _known string")
+    return latest_per_key(items, ["_known"], newest(*LIVE_ORDER)).drop("_known")

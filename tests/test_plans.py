@@ -6,10 +6,13 @@ import pytest
 
 from apptlake import schemas
 from apptlake.operators.clean import clean_bookings
+from apptlake.operators.dedup import newest
+from apptlake.operators.keyed import upsert_within
 from apptlake.plans import batch, gold, serving
 from apptlake.plans.batch import Layout
 from apptlake.sources.tables import load_or_empty
 from apptlake.streaming.ingest import bronze_of
+from apptlake.streaming.live import LIVE_KEY, LIVE_ORDER, last_items, live_items, live_snapshot
 from samples import bronze, document, records
 from workload import frames
 from workload.queries import REGISTERED
@@ -33,6 +36,7 @@ LAZY = sorted(
         "upsert_bookings",
         "upsert_spend",
         "stream_live_bookings",
+        "stream_bounded_pulls",
         "tee_landing_and_live",
         "stream_dedup_append",
     }
@@ -72,25 +76,39 @@ def test_gold_reads_only_its_columns(spark, folder):
     assert "partial_count" in plan and plan.count("Exchange") == 1
 
 
-def test_last_batch_day_reaches_the_live_filter(spark, folder):
-    load_or_empty(spark, f"{folder}/none", schemas.LIVE_SERVING).write.parquet(f"{folder}/live")
-    live = spark.read.schema(schemas.LIVE_SERVING).parquet(f"{folder}/live")
+def test_last_batch_day_prunes_the_live_table(spark, folder):
+    bodies = [document(f"u/{n}", created_at=f"2026-03-0{1 + n % 5}T09:00:00Z") for n in range(20)]
+    items = last_items(live_items(records(spark, bodies)))
+    placed = items.selectExpr("*", "booking_date AS day")
+    upsert_within(placed, f"{folder}/live", LIVE_KEY, "day", "days", newest(*LIVE_ORDER), 2)
+    live = live_snapshot(spark, f"{folder}/live")
+    assert "Window" not in plan_of(live) and "Exchange" not in plan_of(live)
     daily = load_or_empty(spark, f"{folder}/none", schemas.GOLD_BOOKINGS_BY_SOURCE_DAILY)
-    daily.write.parquet(f"{folder}/daily")
+    first = spark.sql("select date'2026-03-03' booking_date, 'news' utm_source, 1L booking_count")
+    daily.unionByName(first).write.parquet(f"{folder}/daily")
     daily = spark.read.schema(schemas.GOLD_BOOKINGS_BY_SOURCE_DAILY).parquet(f"{folder}/daily")
-    plan = plan_of(serving.combined_daily(daily, live))
-    assert "booking_date#" in plan and "> Subquery subquery" in plan
-    assert "Join" not in plan
-
-
-def test_gold_shuffles_silver_by_key_once(spark, folder, monkeypatch):
-    layout, written = Layout(folder), []
-    batch._upsert_bookings(layout, bronze(spark, [{"sequence": 1}]), 0)
-    batch._upsert_bookings(layout, bronze(spark, [{"sequence": 2}]), 1)
-    for name in ("stored", "refresh"):
+    merged = serving.combined_daily(daily, live)
+    plan = plan_of(merged)
+    scan = next(line for line in plan.split("\n") if "PartitionFilters" in line and "day#" in line)
+    pruned = scan[scan.index("PartitionFilters") : scan.index("PushedFilters")]
+    assert "day#" in pruned and "> Subquery subquery" in pruned
+    assert "Join" not in plan and "Window" not in plan
+    assert {str(r.booking_date): r.booking_count for r in merged.collect()} == {
+        "2026-03-03": 1, "2026-03-04": 4, "2026-03-05": 4,
+    }
+
+
+def test_gold_reads_silver_once_and_shuffles_it_by_no_key(spark, folder, monkeypatch):
+    layout, written = Layout(folder, buckets=2), []
+    for sequence in (1, 2):
+        batch._upsert_bookings(layout, bronze(spark, [{"sequence": sequence}]))
+    for name in ("stored", "publish"):
         kept = getattr(batch, name)
         monkeypatch.setattr(
-            batch, name, lambda df, path, kept=kept: (written.append(plan_of(df)), kept(df, path))[1]
+            batch, name, lambda df, *to, kept=kept: (written.append(df), kept(df, *to))[1]
         )
     assert batch.refresh_gold(spark, layout)["cpb_by_channel"] == 1
-    assert sum("WindowGroupLimit" in plan and "booking_id#" in plan for plan in written) == 1
+    plans = [plan_of(df) for df in written if any("silver/bookings" in name for name in df.inputFiles())]
+    assert len(written) == 5 and len(plans) == 1
+    assert plans[0].count("FileScan") == 1 and "Expand" in plans[0] and "partial_count" in plans[0]
+    assert "Window" not in plans[0] and plans[0].count("Exchange") == 1

@@ -15,8 +15,9 @@ from apptlake.sources.tables import (
     append,
     load_if_present,
     load_or_empty,
+    publish,
+    published,
     read_table,
-    refresh,
     stored,
 )
 from samples import document, records, values
@@ -92,10 +93,18 @@ def test_appending_nothing_adds_no_rows(spark, folder):
     assert read_table(spark, folder).count() == 3
 
 
-def test_refresh_replaces_the_table_and_counts_once(spark, folder):
-    assert refresh(spark.range(5), folder) == 5
-    assert refresh(spark.range(2), folder) == 2
-    assert read_table(spark, folder).count() == 2
+def test_publish_replaces_the_table_and_keeps_the_run_before(spark, folder):
+    assert published(spark, folder, "id long").isEmpty()
+    assert publish(spark.range(5), folder) == 5
+    reader = published(spark, folder, "id long")
+    assert publish(spark.range(2), folder) == 2
+    assert published(spark, folder, "id long").count() == 2 and reader.count() == 5
+    with pytest.raises(Exception, match="half way"):
+        publish(spark.range(9).selectExpr("if(id = 8, raise_error('half way'), id) id"), folder)
+    assert published(spark, folder, "id long").count() == 2
+    assert publish(spark.range(3), folder) == 3
+    assert published(spark, folder, "id long, more string").columns == ["id", "more"]
+    assert len(list(Path(folder).glob("run=*"))) == 2
 
 
 def test_stored_frame_equals_its_source(spark, folder):

@@ -14,9 +14,10 @@ from apptlake.plans import batch, serving
 from apptlake.plans.batch import Layout
 from apptlake.sources import landing
 from apptlake.sources.records import RECORD, body_lines, file_records
-from apptlake.sources.tables import read_table
+from apptlake.sources.tables import load_declared, published
 from apptlake.streaming.ingest import start_landing, start_tee
 from apptlake.streaming.live import (
+    appended,
     latest_items,
     live_items,
     live_snapshot,
@@ -25,6 +26,7 @@ from apptlake.streaming.live import (
     start_live,
     typed_live,
 )
+from apptlake.streaming.progress import BatchCounts
 from samples import FACEBOOK, TIKTOK, YOUTUBE, document, records, values
 
 
@@ -111,29 +113,108 @@ def test_files_with_an_old_time_stamp_are_read(spark, folder):
     assert values(got, "booking_id") == [("u/1",), ("u/2",)]
 
 
+def run_append(spark, inbox, folder):
+    items = live_items(file_records(spark, inbox, max_files_per_batch=1))
+    start_dedup_append(items, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    return appended(spark, f"{folder}/out")
+
+
 def test_append_only_stream_drops_replays(spark, folder):
     inbox = f"{folder}/in"
-    arrive(spark, inbox, [document("u/1"), document("u/2"), document("u/1")])
+    arrive(spark, inbox, [document("u/1"), document("u/2"), document("u/1", **source("b"))])
+    first = values(run_append(spark, inbox, folder).drop('ingested_at'))
+    arrive(spark, inbox, [document("u/1"), document("u/2"), document("u/1", **source("b"))])
+    assert values(run_append(spark, inbox, folder).drop('ingested_at')) == first
     arrive(spark, inbox, [document("u/2"), document("u/3")], first=5)
-    items = live_items(file_records(spark, inbox, max_files_per_batch=1))
-    timed = items.selectExpr("*", "to_timestamp(booking_date) AS booked_on")
-    start_dedup_append(
-        timed, f"{folder}/out", f"{folder}/cp", "booked_on", "7 days"
-    ).awaitTermination()
-    assert values(read_table(spark, f"{folder}/out"), "booking_id") == [("u/1",), ("u/2",), ("u/3",)]
+    found = run_append(spark, inbox, folder)
+    assert values(found, "booking_id", "sequence") == [("u/1", 2), ("u/2", 5), ("u/3", 6)]
+    # A replay was stored once, a newer item beside the one before.
+    assert spark.read.schema("sequence long").parquet(f"{folder}/out").count() == 4
 
 
-def test_append_only_stream_without_a_delay_loses_nothing(spark, folder):
+def test_append_only_stream_loses_nothing_however_late_it_comes(spark, folder):
     inbox = f"{folder}/in"
-    arrive(spark, inbox, [document("u/1"), document(None), document(None, **source("b"))])
-    late = document("u/2", created_at="2026-01-01T09:00:00Z")
-    arrive(spark, inbox, [late, document("u/1")], first=5)
-    items = live_items(file_records(spark, inbox, max_files_per_batch=1))
-    start_dedup_append(
-        items, f"{folder}/out", f"{folder}/cp", "booking_date", None
-    ).awaitTermination()
-    found = values(read_table(spark, f"{folder}/out"), "booking_id")
-    assert found == [("u/1",), ("u/2",), (None,), (None,)]
+    bodies = [
+        document(f"u/{n % 4}", created_at=f"2026-03-{1 + n:02}T09:00:00Z", **source(f"s{n}")) for n in range(8)
+    ]
+    numbered = list(enumerate(bodies)) + [(20, document(None)), (21, document(None, **source("b")))]
+    straggler = (30, document("late", created_at="2026-02-09T09:00:00Z"))
+    for number, body in [*numbered[::-1], straggler, numbered[0]]:
+        arrive(spark, inbox, [body], first=number)
+    found = run_append(spark, inbox, folder)
+    everything = live_items(spark.read.schema(RECORD).parquet(inbox))
+    expected = values(latest_items(everything).drop("ingested_at"))
+    assert values(found.where("booking_id IS NOT NULL").drop("ingested_at")) == expected
+    assert found.where("booking_id IS NULL").count() == 2
+    assert ("late",) in values(found, "booking_id")
+
+
+def test_ten_micro_batches_leave_one_row_of_a_booking(spark, folder):
+    inbox = f"{folder}/in"
+    for n in range(10):
+        day = f"2026-03-{1 + n % 3:02}T09:00:00Z"
+        arrive(spark, inbox, [document("u/1", created_at=day, **source(f"s{n}")), document(f"v/{n}")], first=10 * n)
+    got = run_live(spark, inbox, folder)
+    assert values(got.where("booking_id = 'u/1'"), "utm_source", "booking_date") == [("s9", date(2026, 3, 1))]
+    assert got.count() == 11
+    stored = load_declared(spark, f"{folder}/live", "booking_id string, sequence long")
+    assert stored.where("booking_id IS NOT NULL").count() == 11
+    plan = live_table(spark, f"{folder}/live")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+
+
+def test_a_restart_by_wider_rules_keeps_the_state_it_had(spark, folder):
+    """What the checkpoint holds is read through the state data source before and after."""
+    inbox = f"{folder}/in"
+    arrive(spark, inbox, [document("u/1"), document("u/2", event_type="podcast")])
+
+    def state():
+        rows = spark.read.format("statestore").load(f"{folder}/cp")
+        return values(rows.select("key.booking_id"))
+
+    run_live(spark, inbox, folder)
+    assert state() == [("u/1",)]
+    arrive(spark, inbox, [document("u/3", event_type="podcast")], first=5)
+    rules = {FACEBOOK: "facebook_paid_ads", "podcast": "podcast_ads"}
+    stream = file_records(spark, inbox)
+    start_live(stream, f"{folder}/live", f"{folder}/cp", rules, pull_seconds=None).awaitTermination()
+    assert state() == [("u/1",), ("u/3",)]
+    assert values(live_snapshot(spark, f"{folder}/live"), "booking_id") == [("u/1",), ("u/3",)]
+
+
+def test_pulls_at_an_interval_take_so_many_bytes_each(spark, folder):
+    inbox = f"{folder}/in"
+    for n in range(3):
+        arrive(spark, inbox, [document(f"u/{n}")], first=n)
+    stream = file_records(spark, inbox, max_bytes_per_batch=1)
+    query = start_live(stream, f"{folder}/live", f"{folder}/cp", pull_seconds=1)
+    try:
+        query.processAllAvailable()
+        arrive(spark, inbox, [document("u/9")], first=9)
+        query.processAllAvailable()
+        pulls = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    assert pulls == [1, 1, 1, 1]
+    assert len(values(live_snapshot(spark, f"{folder}/live"), "booking_id")) == 4
+
+
+def test_running_streams_count_what_they_take_and_write(spark, folder):
+    layout, counts = Layout(folder), BatchCounts()
+    spark.streams.addListener(counts)
+    try:
+        landing.land(records(spark, [document("u/1"), document("u/2"), "{broken"]), layout.path("landing"))
+        batch.ingest_bronze(spark, layout)
+        arrive(spark, f"{folder}/in", [document("u/1"), document("u/2", event_type="x"), document("u/3")])
+        run_live(spark, f"{folder}/in", folder)
+        for _ in range(50):
+            totals = {name.rsplit("-", 1)[0]: counts.total(name) for name in list(counts.batches)}
+            if len(totals) == 2:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(counts)
+    assert totals == {"kept-quarantined": {"read": 3, "kept": 2, "quarantined": 1}, "live": {"read": 3, "live": 2}}
 
 
 def test_lines_of_bare_bodies_are_records_too(spark, folder):
@@ -237,13 +318,13 @@ def test_batch_run_end_to_end(spark, folder):
         ("u/2", "youtube_paid_ads"),
         ("u/4", "tiktok_paid_ads"),
     ]
-    cost = read_table(spark, layout.path("gold/cpb_by_channel"))
+    cost = batch.gold_table(spark, layout, "cpb_by_channel")
     assert values(cost) == [
         ("facebook_paid_ads", 1, 8.0, 8.0),
         ("tiktok_paid_ads", 1, 0.0, 0.0),
         ("youtube_paid_ads", 1, 0.0, 0.0),
     ]
-    daily = read_table(spark, layout.path("gold/bookings_by_source_daily"))
+    daily = batch.gold_table(spark, layout, "bookings_by_source_daily")
     assert values(daily) == [(date(2026, 3, 1), "news", 1), (date(2026, 3, 2), "news", 2)]
 
 
@@ -349,15 +430,82 @@ def test_what_the_landing_stream_wrote_is_ingested(spark, folder):
     assert batch.ingest_bronze(spark, layout) == 1
 
 
-def test_spend_of_the_same_day_is_replaced_by_a_rerun(spark, folder):
-    layout, day = Layout(folder), date(2026, 3, 1)
-    first = [{"channel": "fb", "date": "2026-03-01", "spend": 1}, {"channel": "fb", "spend": 2}]
-    spend_day(folder, day, first)
-    assert batch.refresh_silver_spends(spark, layout, day)
-    spend_day(folder, day, [*first[1:], {"channel": "fb", "date": "2026-03-01", "spend": 5}])
-    assert batch.refresh_silver_spends(spark, layout, day)
-    table = batch.silver_spends(spark, layout)
-    assert values(table, "date", "spend") == [(None, 2.0), (date(2026, 3, 1), 5.0)]
+def test_a_spend_file_that_comes_again_replaces_what_it_names_and_deletes_nothing(spark, folder):
+    layout, day, other = Layout(folder), date(2026, 3, 1), date(2026, 3, 2)
+    spend_day(folder, day, [{"channel": c, "date": "2026-03-01", "spend": n} for n, c in enumerate("ab")])
+    assert batch.refresh_silver_spends(spark, layout, day) == 2
+    spend_day(folder, other, [{"channel": "a", "date": "2026-03-02", "spend": 7}])
+    assert batch.refresh_silver_spends(spark, layout, other) == 1
+    spend_day(folder, day, [{"channel": "a", "date": "2026-03-01", "spend": 5}])
+    assert batch.refresh_silver_spends(spark, layout, day) == 1
+    found = values(batch.silver_spends(spark, layout), "channel", "date", "spend")
+    assert found == [("a", day, 5.0), ("a", other, 7.0), ("b", day, 1.0)]
+    # Without a readable day nothing says that two rows are the same.
+    for _ in range(2):
+        spend_day(folder, day, [{"channel": "c", "spend": 2}])
+        batch.refresh_silver_spends(spark, layout, day)
+    assert values(batch.silver_spends(spark, layout).where("date IS NULL"), "spend") == [(2.0,), (2.0,)]
+
+
+def test_a_repair_of_some_days_deletes_no_booking(spark, folder):
+    layout = Layout(folder)
+    for n in (1, 2):
+        landing.land(records(spark, [document(f"u/{n}")]), layout.path("landing"))
+        batch.ingest_bronze(spark, layout)
+    assert batch.refresh_silver_bookings(spark, layout)
+    everything = values(batch.silver_bookings(spark, layout))
+    # Bronze that a later run added, below a later day.
+    later = Path(folder, "later")
+    bronze = load_declared(spark, layout.path("bronze"), batch.schemas.BRONZE_STORED)
+    bronze.where("booking_id = 'u/2'").selectExpr(
+        "* EXCEPT (ingest_date, utm_source)", "'newer' utm_source", "date'2999-01-01' ingest_date"
+    ).write.partitionBy("readable", "ingest_date").parquet(f"{later}/bronze")
+    repaired = Layout(str(later))
+    batch._upsert_bookings(repaired, batch.bronze(spark, layout))
+    assert batch.refresh_silver_bookings(spark, repaired, since=date(2999, 1, 1))
+    assert len(everything) == 2
+    assert values(batch.silver_bookings(spark, repaired), "booking_id") == [("u/1",), ("u/2",)]
+
+
+def test_fields_that_nobody_declared_are_kept_from_the_file_that_has_them(spark, folder):
+    layout = Layout(folder)
+    landing.land(records(spark, [document("u/1")]), layout.path("landing"))
+    batch.ingest_bronze(spark, layout)
+    newer = document("u/2", payload={"referrer": {"site": "web"}}) | {"version": 3}
+    newer["payload"]["scheduled_event"]["location"] = "room 4"
+    landing.land(records(spark, [newer]), layout.path("landing"))
+    batch.ingest_bronze(spark, layout)
+    read = batch.bronze(spark, layout).selectExpr(
+        "booking_id",
+        "variant_get(extra, '$.version', 'int') version",
+        "variant_get(extra, \"$['payload.referrer'].site\", 'string') site",
+        "variant_get(extra, \"$['payload.scheduled_event.location']\", 'string') location",
+    )
+    assert values(read) == [("u/1", None, None, None), ("u/2", 3, "web", "room 4")]
+
+
+def test_gold_of_a_run_that_fails_leaves_the_last_one_readable(spark, folder):
+    spark.sql("CREATE DATABASE marts")
+    layout = Layout(folder, database="marts")
+    try:
+        landing.land(records(spark, [document("u/1")]), layout.path("landing"))
+        batch.run_batch(spark, layout, date(2026, 3, 1))
+        before = values(batch.gold_table(spark, layout, "cpb_by_channel"))
+        assert values(spark.table("marts.cpb_by_channel")) == before
+        spend_day(folder, date(2026, 3, 2), [{"channel": "facebook_paid_ads", "date": "2026-03-02", "spend": 1e30}])
+        with pytest.raises(Exception, match="amount out of range"):
+            batch.run_batch(spark, layout, date(2026, 3, 2))
+        assert values(batch.gold_table(spark, layout, "cpb_by_channel")) == before
+        assert values(spark.table("marts.cpb_by_channel")) == before
+        spend_day(folder, date(2026, 3, 2), [{"channel": "facebook_paid_ads", "date": "2026-03-02", "spend": 4}])
+        for _ in range(3):
+            batch.run_batch(spark, layout, date(2026, 3, 2))
+        after = values(batch.gold_table(spark, layout, "cpb_by_channel"))
+        assert after == [("facebook_paid_ads", 1, 4.0, 4.0)] == values(spark.table("marts.cpb_by_channel"))
+        assert len(list(Path(folder, "gold/cpb_by_channel").glob("run=*"))) == 2
+        assert published(spark, f"{folder}/gold/none", "a int").isEmpty()
+    finally:
+        spark.sql("DROP DATABASE marts CASCADE")
 
 
 def test_bronze_days_before_since_are_not_read(spark, folder):

@@ -16,10 +16,12 @@ from apptlake.operators.clean import clean_bookings, clean_spend
 from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.filters import Selection
 from apptlake.operators.flatten import CREATED
+from apptlake.operators.keyed import BUCKET, NUMBER, in_buckets
 from apptlake.plans import gold
 from apptlake.plans.serving import labelled, meeting_load_combined
 from apptlake.session import pin_utc, scratch_path
 from apptlake.sources.tables import stored
+from apptlake.streaming.live import live_snapshot
 
 # Declared, so that no job has to read footers before the query starts.
 EVENTS = """
@@ -48,6 +50,8 @@ ORDER = ("booking_date", "event_id")
 
 CUTOFF = date(2024, 1, 24)
 TODAY = date(2024, 1, 31)
+# Parts of the keyed tables, and files that wait for the stream.
+BUCKETS, PULLS = 4, 4
 SOURCES = ["(no utm_source)", "src0", "src1", "src2", "src3", "src4"]
 CHANNELS = ["facebook_paid_ads", "tiktok_paid_ads", "youtube_paid_ads"]
 CHOSEN = Selection(date(2024, 1, 1), date(2024, 1, 31), SOURCES, CHANNELS)
@@ -151,6 +155,16 @@ def stored_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(live(spark, sf_dir), scratch_path(spark, "live"))
 
 
+def live_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live bookings from a table of the live layer's layout, a folder for each day."""
+    folder = scratch_path(spark, "live-table")
+    text = {name: F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for name in ("start_time", "end_time")}
+    day = F.col("booking_date").cast("string")
+    rows = live(spark, sf_dir).withColumns(text | {"booking_date": day, "day": day})
+    in_buckets(rows, ["booking_id"], 1).write.partitionBy(NUMBER, "day", BUCKET).mode("overwrite").parquet(folder)
+    return live_snapshot(spark, folder)
+
+
 def stored_daily(spark: SparkSession, silver_rows: DataFrame) -> DataFrame:
     return stored(daily(silver_rows), scratch_path(spark, "daily"))
 

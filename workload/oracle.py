@@ -269,7 +269,7 @@ FROM events""",
         select=f"""SELECT booking_id, CAST({DAY} AS VARCHAR) AS booking_date, {URI} AS event_type,
        replace(CAST(start_time AS VARCHAR), ' ', 'T') || 'Z' AS start_time,
        replace(CAST(end_time AS VARCHAR), ' ', 'T') || 'Z' AS end_time,
-       host_email, host_name, utm_source, channel, event_id AS sequence
+       host_email, host_name, utm_source, channel, event_id AS sequence, true AS stamped
 FROM bk WHERE {LIVE_ROWS}""",
     ),
     "live_items_json": on(
@@ -300,9 +300,8 @@ UNION ALL SELECT NULL, NULL, event_id, NULL FROM bk WHERE event_type = 'error'""
     ),
     "bronze_append_evolve": on(
         EVENTS,
-        select=f"SELECT booking_id, booking_date, event,"
-        f" CASE WHEN {DAY} > {CUTOFF} THEN utm_source END AS utm_source,"
-        " 'events' AS _source_file, true AS traced FROM bk",
+        select=f"SELECT booking_id, booking_date, utm_source, event_id AS sequence, true AS traced,"
+        f" CASE WHEN {DAY} > {CUTOFF} THEN 'web' END AS referrer FROM bk",
     ),
     "upsert_spend": on(
         SPEND,
@@ -335,7 +334,12 @@ SELECT 'live', CAST({DAY} AS VARCHAR), event_id, booking_id, channel
 FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1""",
     ),
     "stream_dedup_append": on(
-        EVENTS, select=f"SELECT DISTINCT booking_id FROM bk WHERE {LIVE_ROWS}"
+        EVENTS,
+        select=f"""SELECT booking_id, CAST({DAY} AS VARCHAR) AS booking_date, {URI} AS event_type,
+       replace(CAST(start_time AS VARCHAR), ' ', 'T') || 'Z' AS start_time,
+       replace(CAST(end_time AS VARCHAR), ' ', 'T') || 'Z' AS end_time,
+       host_email, host_name, utm_source, channel, event_id AS sequence
+FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1""",
     ),
 }
 
@@ -347,3 +351,5 @@ ORACLE["live_snapshot"] = ORACLE["stream_live_bookings"] = on(
        host_email, host_name, start_time, end_time
 FROM (SELECT *, {BY_ARRIVAL} AS rn FROM bk WHERE {LIVE_ROWS}) t WHERE rn = 1""",
 )
+
+ORACLE["stream_bounded_pulls"] = f"SELECT *, true AS bounded FROM ({ORACLE['live_snapshot']})"

@@ -12,7 +12,6 @@ from apptlake.functions.channels import channel_of, is_paid
 from apptlake.functions.times import instant, written_day
 from apptlake.functions.values import first_member
 from apptlake.operators import clean
-from apptlake.operators.changes import current, upsert
 from apptlake.operators.conform import conform
 from apptlake.operators.dedup import latest_per_key, newest
 from apptlake.operators.filters import only_values, typed_days
@@ -22,16 +21,18 @@ from apptlake.operators.flatten import (
     item_documents,
     live_rows,
     parse_documents,
-    with_lineage,
 )
+from apptlake.operators.keyed import current, upsert, upsert_within
 from apptlake.plans import gold, serving
+from apptlake.plans.batch import GOLD
 from apptlake.session import scratch_path
 from apptlake.sources import landing
 from apptlake.sources.documents import read_documents, read_spend_files
-from apptlake.sources.tables import append, read_table, stored
+from apptlake.sources.records import file_records
+from apptlake.sources.tables import load_declared, publish, published, stored
 from apptlake.streaming import live as live_layer
-from apptlake.streaming.ingest import start_tee
-from apptlake.streaming.live import live_items, start_dedup_append, start_live
+from apptlake.streaming.ingest import start_bronze, start_tee
+from apptlake.streaming.live import appended, last_items, live_items, start_dedup_append, start_live
 from workload import frames
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,28 +86,35 @@ def classify_channel(spark, sf_dir):
 # ---- gold ----
 
 
+def _published(spark, table: DataFrame, name: str) -> DataFrame:
+    """The table as readers get it, once written."""
+    folder = scratch_path(spark, "gold")
+    publish(table, folder)
+    return published(spark, folder, GOLD[name])
+
+
 @query
 def gold_bookings_by_source_daily(spark, sf_dir):
-    return gold.bookings_by_source_daily(frames.silver(spark, sf_dir))
+    daily = gold.bookings_by_source_daily(frames.silver(spark, sf_dir))
+    return _published(spark, daily, "bookings_by_source_daily")
 
 
 @query
 def gold_booking_time_distribution(spark, sf_dir):
     daily = gold.bookings_by_source_daily(frames.silver(spark, sf_dir))
-    return gold.booking_time_distribution(daily)
+    return _published(spark, gold.booking_time_distribution(daily), "booking_time_distribution")
 
 
 @query
 def gold_cpb_by_channel(spark, sf_dir):
-    return _rounded(
-        gold.cpb_by_channel(frames.silver(spark, sf_dir), frames.spends(spark, sf_dir)),
-        "cost_per_booking",
-    )
+    cost = gold.cpb_by_channel(frames.silver(spark, sf_dir), frames.spends(spark, sf_dir))
+    return _rounded(_published(spark, cost, "cpb_by_channel"), "cost_per_booking")
 
 
 @query
 def gold_employee_meeting_load(spark, sf_dir):
-    return gold.employee_meeting_load(frames.silver(spark, sf_dir))
+    load = gold.employee_meeting_load(frames.silver(spark, sf_dir))
+    return _published(spark, load, "employee_meeting_load")
 
 
 # ---- serving ----
@@ -137,7 +145,7 @@ def combined_daily(spark, sf_dir):
     daily = stored(
         frames.daily(frames.batch_silver(spark, sf_dir)), scratch_path(spark, "daily")
     )
-    merged = serving.combined_daily(daily, frames.live(spark, sf_dir))
+    merged = serving.combined_daily(daily, frames.live_by_folder(spark, sf_dir))
     return serving.daily_trend(_in_selection(merged))
 
 
@@ -291,8 +299,11 @@ def conform_missing_columns(spark, sf_dir):
 
 @query
 def live_transform(spark, sf_dir):
-    """Live items before any upsert, every created event of a paid channel; no clock column."""
-    return live_items(frames.records(spark, sf_dir), frames.RULES).drop("ingested_at")
+    """Live items before any upsert, every created event of a paid channel; of the clock column the
+    result has whether it is a time as it should be written."""
+    items = live_items(frames.records(spark, sf_dir), frames.RULES)
+    stamped = F.col("ingested_at").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$")
+    return items.withColumn("stamped", stamped).drop("ingested_at")
 
 
 @query
@@ -311,10 +322,17 @@ def live_items_json(spark, sf_dir):
 
 @query
 def scan_raw_json(spark, sf_dir):
+    """Documents written over many lines, in files of a list each, a thousand documents at most, so
+    that no file holds more than a task can read."""
     folder = scratch_path(spark, "raw-json")
     landed = landing.landing_rows(frames.records(spark, sf_dir))
-    landed.select("value", "date").write.mode("overwrite").partitionBy("date").text(folder)
-    documents = read_documents(spark, folder, one_per_file=False)
+    lines = F.replace("value", F.lit(',"'), F.lit(',\n  "'))
+    lists = landed.groupBy("date", F.floor(F.col("sequence") / 1000).alias("part")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(lines), ",\n"), F.lit("\n]")).alias("value")
+    )
+    writer = lists.drop("part").write.mode("overwrite").partitionBy("date")
+    writer.option("maxRecordsPerFile", 1).text(folder)
+    documents = read_documents(spark, folder)
     return plain_times(
         bronze_rows(documents, keep=("date",)).select(
             "booking_id",
@@ -359,20 +377,26 @@ def land_raw(spark, sf_dir):
 
 @query
 def bronze_append_evolve(spark, sf_dir):
-    """Two appends, the second with a column the first had not; of the clock columns the result
-    has whether they are filled."""
-    folder = scratch_path(spark, "bronze")
-    rows = frames.bronze(spark, sf_dir).drop("event_id")
-    early = rows.where(F.to_date("booking_date") <= F.lit(frames.CUTOFF)).drop("utm_source")
-    later = rows.where(F.to_date("booking_date") > F.lit(frames.CUTOFF))
-    for part in (early, later):
-        append(with_lineage(part, F.lit("events")), folder, "ingest_date")
-    table = read_table(spark, folder, merge=True)
+    """Bronze filled by the job in two runs, the documents of the second having a field that nobody
+    declared; of the clock columns the result has whether they are filled."""
+    inbox, folder, checkpoint = (scratch_path(spark, name) for name in ("landed", "bronze", "checkpoint"))
+    rows = landing.landing_rows(frames.records(spark, sf_dir))
+    early = F.col("date") <= F.lit(frames.CUTOFF.isoformat())
+    gained = F.concat(F.lit('{"payload":{"referrer":"web",'), F.substring_index("value", '"payload":{', -1))
+    event = F.get_json_object("value", "$.event")
+    created_at = F.get_json_object("value", "$.created_at")
+    head = F.concat(F.lit('{"event":"'), event, F.lit('","created_at":"'), created_at, F.lit('",'))
+    newer = F.concat(head, F.substring(gained, 2, 1 << 30))
+    for part in (rows.where(early), rows.where(~early).withColumn("value", newer)):
+        landing.land_rows(part, inbox)
+        start_bronze(spark, inbox, folder, checkpoint).awaitTermination()
+    table = load_declared(spark, folder, schemas.BRONZE_STORED)
     traced = F.col("_ingested_at").isNotNull() & F.col("ingest_date").isNotNull()
     return plain_times(
-        table.select(
-            "booking_id", "booking_date", "event", "utm_source", "_source_file",
-            traced.alias("traced"),
+        table.where("readable").select(
+            "booking_id", "booking_date", "utm_source", "sequence",
+            (traced & F.col("_source_file").isNotNull()).alias("traced"),
+            F.expr("variant_get(extra, \"$['payload.referrer']\", 'string')").alias("referrer"),
         )
     )
 
@@ -383,11 +407,10 @@ def upsert_bookings(spark, sf_dir):
     folder = scratch_path(spark, "bookings")
     rows = frames.bronze(spark, sf_dir).withColumnRenamed("event_id", "sequence")
     day, order = F.to_date("booking_date"), ("booking_date", "sequence")
-    parts = (rows.where(day >= F.lit(frames.CUTOFF)), rows.where(day <= F.lit(frames.CUTOFF)))
-    for number, part in enumerate(parts):
+    for part in (rows.where(day >= F.lit(frames.CUTOFF)), rows.where(day <= F.lit(frames.CUTOFF))):
         events = clean.latest_events(part, frames.RULES, order)
-        upsert(events, folder, ["booking_id"], number, unique=True)
-    latest = current(spark, folder, schemas.BOOKING_CHANGES, ["booking_id"], newest(*order))
+        upsert(events, folder, ["booking_id"], newest(*order), frames.BUCKETS)
+    latest = current(spark, folder, schemas.BOOKING_CHANGES)
     paid = latest.where(is_paid(F.col("channel"), frames.RULES))
     return plain_times(paid.select(*clean.SILVER_COLUMNS))
 
@@ -400,9 +423,10 @@ def upsert_spend(spark, sf_dir):
     pending = F.col("o_orderstatus") == "P"
     rows = rows.withColumn("date", F.when(pending, "unknown").otherwise(F.col("date")))
     finished = F.col("o_orderstatus") == "F"
-    for number, part in enumerate((rows.where(finished), rows.where(pending), rows.where(~finished))):
-        upsert(clean.clean_spend(part, newest("o_orderkey")), folder, ["date", "channel"], number)
-    return current(spark, folder, schemas.SILVER_SPENDS, ["date", "channel"])
+    for part in (rows.where(finished), rows.where(pending), rows.where(~finished)):
+        cleaned = clean.clean_spend(part, newest("o_orderkey"))
+        upsert(cleaned, folder, ["date", "channel"], buckets=frames.BUCKETS)
+    return current(spark, folder, schemas.SILVER_SPENDS)
 
 
 # ---- streams ----
@@ -416,12 +440,28 @@ def stream_live_bookings(spark, sf_dir):
     return _as_text(live_layer.live_snapshot(spark, table), "booking_date")
 
 
+@query
+def stream_bounded_pulls(spark, sf_dir):
+    """Records that wait in several files, pulled by so many bytes at a time: a micro-batch a file."""
+    inbox, table, checkpoint = (scratch_path(spark, name) for name in ("inbox", "live", "checkpoint"))
+    waiting = frames.records(spark, sf_dir).repartitionByRange(frames.PULLS, "sequence")
+    waiting.write.mode("overwrite").parquet(inbox)
+    stream = file_records(spark, inbox, max_bytes_per_batch=1)
+    query = start_live(stream, table, checkpoint, frames.RULES, pull_seconds=None)
+    query.awaitTermination()
+    pulls = sum(progress["numInputRows"] > 0 for progress in query.recentProgress)
+    rows = _as_text(live_layer.live_snapshot(spark, table), "booking_date")
+    return rows.withColumn("bounded", F.lit(pulls >= min(3, frames.PULLS)))
+
+
 @query
 def live_snapshot(spark, sf_dir):
-    """A live table as written, several items to a booking."""
+    """A live table as the stream's sink writes it."""
     folder = scratch_path(spark, "live")
-    items = live_items(frames.records(spark, sf_dir), frames.RULES)
-    append(items.withColumn("day", F.col("booking_date")), folder, "day")
+    items = last_items(live_items(frames.records(spark, sf_dir), frames.RULES))
+    placed = items.withColumn("day", F.col("booking_date"))
+    order = newest(*live_layer.LIVE_ORDER)
+    upsert_within(placed, folder, live_layer.LIVE_KEY, "day", "days", order, frames.BUCKETS)
     return _as_text(live_layer.live_snapshot(spark, folder), "booking_date")
 
 
@@ -445,11 +485,8 @@ def tee_landing_and_live(spark, sf_dir):
 
 @query
 def stream_dedup_append(spark, sf_dir):
-    """Each booking once; the stream keeps its first record, so only the keys are compared."""
+    """The last item of each booking from an append-only table, in all its columns but the clock's."""
     folder = scratch_path(spark, "appended")
     items = live_items(frames.record_stream(spark, sf_dir), frames.RULES)
-    timed = items.withColumn("booked_on", F.to_timestamp("booking_date"))
-    start_dedup_append(
-        timed, folder, scratch_path(spark, "checkpoint"), "booked_on", None
-    ).awaitTermination()
-    return read_table(spark, folder).select("booking_id")
+    start_dedup_append(items, folder, scratch_path(spark, "checkpoint")).awaitTermination()
+    return appended(spark, folder).drop("ingested_at")
