@@ -95,8 +95,13 @@ def upsert(
     the source fails the job.
     """
     spark, ddl = source.sparkSession, source.schema.toDDL()
-    count = bucket_count(spark, path) or buckets
-    rows, seen = counted(in_buckets(source, keys, count, null_safe), f"upsert {path}")
+    made = bucket_count(spark, path)
+    rows, seen = counted(in_buckets(source, keys, made or buckets, null_safe), f"upsert {path}")
+    if made is None:
+        rows = _dealt(rows.withColumn("_new", F.lit(1)))
+        _overwrite(_one_per_key(rows, keys, order_by, null_safe), path, NUMBER, BUCKET)
+        # A plan that turns out empty is cut short, with what counts its rows.
+        return seen.get["rows"] if bucket_count(spark, path) else 0
     scratch = scratch_path(spark, "upsert")
     rows = stored(rows, scratch)
     touched = [row[0] for row in rows.select(BUCKET).distinct().collect()]
@@ -125,9 +130,14 @@ def upsert_within(
     that nothing is written to; readers leave such rows out, and source rows without a key go.
     """
     spark = source.sparkSession
-    count = bucket_count(spark, path) or buckets
+    made = bucket_count(spark, path)
+    rows = in_buckets(source.where(~keyless(keys)), keys, made or buckets)
+    if made is None:
+        rows = _dealt(rows.drop(earlier).withColumn("_new", F.lit(1)))
+        _overwrite(_one_per_key(rows, keys, order_by, False), path, NUMBER, within, BUCKET)
+        return
     scratch = scratch_path(spark, "upsert")
-    rows = stored(in_buckets(source.where(~keyless(keys)), keys, count), scratch)
+    rows = stored(rows, scratch)
     days = F.explode(F.array_union(F.array(within), earlier)).alias(within)
     touched = rows.select(days, NUMBER, BUCKET).distinct()
     places = touched.collect()

@@ -50,8 +50,8 @@ ORDER = ("booking_date", "event_id")
 
 CUTOFF = date(2024, 1, 24)
 TODAY = date(2024, 1, 31)
-# Parts of the keyed tables, and files that wait for the stream.
-BUCKETS, PULLS = 4, 4
+# Parts of the keyed tables and of each day of the live table, and files that wait for the stream.
+BUCKETS, LIVE_BUCKETS, PULLS = 4, 4, 4
 SOURCES = ["(no utm_source)", "src0", "src1", "src2", "src3", "src4"]
 CHANNELS = ["facebook_paid_ads", "tiktok_paid_ads", "youtube_paid_ads"]
 CHOSEN = Selection(date(2024, 1, 1), date(2024, 1, 31), SOURCES, CHANNELS)
@@ -161,7 +161,8 @@ def live_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = {name: F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for name in ("start_time", "end_time")}
     day = F.col("booking_date").cast("string")
     rows = live(spark, sf_dir).withColumns(text | {"booking_date": day, "day": day})
-    in_buckets(rows, ["booking_id"], 1).write.partitionBy(NUMBER, "day", BUCKET).mode("overwrite").parquet(folder)
+    placed = in_buckets(rows, ["booking_id"], 1).repartition("day")
+    placed.write.partitionBy(NUMBER, "day", BUCKET).mode("overwrite").parquet(folder)
     return live_snapshot(spark, folder)
 
 

@@ -436,7 +436,9 @@ def upsert_spend(spark, sf_dir):
 def stream_live_bookings(spark, sf_dir):
     table, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "checkpoint")
     stream = frames.record_stream(spark, sf_dir)
-    start_live(stream, table, checkpoint, frames.RULES, pull_seconds=None).awaitTermination()
+    start_live(
+        stream, table, checkpoint, frames.RULES, pull_seconds=None, buckets=frames.LIVE_BUCKETS
+    ).awaitTermination()
     return _as_text(live_layer.live_snapshot(spark, table), "booking_date")
 
 
@@ -447,7 +449,9 @@ def stream_bounded_pulls(spark, sf_dir):
     waiting = frames.records(spark, sf_dir).repartitionByRange(frames.PULLS, "sequence")
     waiting.write.mode("overwrite").parquet(inbox)
     stream = file_records(spark, inbox, max_bytes_per_batch=1)
-    query = start_live(stream, table, checkpoint, frames.RULES, pull_seconds=None)
+    query = start_live(
+        stream, table, checkpoint, frames.RULES, pull_seconds=None, buckets=frames.LIVE_BUCKETS
+    )
     query.awaitTermination()
     pulls = sum(progress["numInputRows"] > 0 for progress in query.recentProgress)
     rows = _as_text(live_layer.live_snapshot(spark, table), "booking_date")
@@ -461,7 +465,7 @@ def live_snapshot(spark, sf_dir):
     items = last_items(live_items(frames.records(spark, sf_dir), frames.RULES))
     placed = items.withColumn("day", F.col("booking_date"))
     order = newest(*live_layer.LIVE_ORDER)
-    upsert_within(placed, folder, live_layer.LIVE_KEY, "day", "days", order, frames.BUCKETS)
+    upsert_within(placed, folder, live_layer.LIVE_KEY, "day", "days", order, frames.LIVE_BUCKETS)
     return _as_text(live_layer.live_snapshot(spark, folder), "booking_date")
 
 
