@@ -33,6 +33,7 @@ GOLD = {
     "booking_time_distribution": schemas.GOLD_BOOKING_TIME_DISTRIBUTION,
     "cpb_by_channel": schemas.GOLD_CPB_BY_CHANNEL,
     "employee_meeting_load": schemas.GOLD_EMPLOYEE_MEETING_LOAD,
+    "active_hosts_daily": schemas.GOLD_ACTIVE_HOSTS_DAILY,
 }
 
 
@@ -190,7 +191,7 @@ def refresh_silver_spends(spark: SparkSession, layout: Layout, day: date | None
 def refresh_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Recompute the gold tables whole; returns the rows of each.
 
-    Silver is read once, for the counts that three tables are made from; the time distribution is
+    Silver is read once, for the counts that all tables are made from; the time distribution is
     made from the daily table. Each table is published when it is whole.
     """
     scratch = scratch_path(spark, "counts")
@@ -202,6 +203,7 @@ def refresh_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
         "booking_time_distribution": gold.booking_time_distribution(daily),
         "cpb_by_channel": gold.cost_of(counts, silver_spends(spark, layout)),
         "employee_meeting_load": gold.load_of(counts),
+        "active_hosts_daily": gold.hosts_of(counts),
     }
     rows = {}
     for name, table in tables.items():
@@ -236,6 +238,7 @@ class ServingInputs:
     cpb: DataFrame
     meeting_load: DataFrame
     live: DataFrame
+    hosts: DataFrame
 
 
 def serving_inputs(spark: SparkSession, layout: Layout) -> ServingInputs:
@@ -250,4 +253,5 @@ def serving_inputs(spark: SparkSession, layout: Layout) -> ServingInputs:
         table("cpb_by_channel"),
         table("employee_meeting_load"),
         live_snapshot(spark, layout.path("live")),
+        table("active_hosts_daily"),
     )

@@ -1,7 +1,6 @@
-"""The four gold aggregates over silver bookings and spend.
+"""The gold aggregates over silver bookings and spend.
 
-Three of them count bookings by different columns, so one pass over silver counts them all, as
-grouping sets. All group on few, small values: Spark sums per map task before the shuffle, so a hot
+All count bookings by some columns, so one pass over silver counts them all, as grouping sets. All group on few, small values: Spark sums per map task before the shuffle, so a hot
 source or host costs its reducer one row per map task.
 """
 
@@ -17,13 +16,17 @@ from apptlake.functions.values import money_sum, ratio_or_zero
 DAILY = ("booking_date", "utm_source")
 WEEKLY = ("host_email", "week_start_date")
 CHANNEL = ("channel",)
+HOSTS = ("booking_date", "host_email")
+
+# Size of a sketch of distinct hosts (log2 of its cells): within 0.6 % in two of three cases.
+SKETCH_SIZE = 15
 
 
 def booking_counts(silver: DataFrame, *sets: tuple[str, ...]) -> DataFrame:
     """Bookings counted by each of the sets of columns, in one pass: ``counted_by`` says by which
     (names joined by a comma), the columns of other sets are null. All sets by default."""
-    sets = sets or (DAILY, WEEKLY, CHANNEL)
-    names = [name for columns in sets for name in columns]
+    sets = sets or (DAILY, WEEKLY, CHANNEL, HOSTS)
+    names = list(dict.fromkeys(name for columns in sets for name in columns))
     places = {
         "booking_date": F.to_date("booking_date"),
         "week_start_date": week_start(F.col("start_time")),
@@ -100,3 +103,14 @@ def load_of(counts: DataFrame) -> DataFrame:
 
 def employee_meeting_load(silver: DataFrame) -> DataFrame:
     return load_of(booking_counts(silver, WEEKLY))
+
+
+def hosts_of(counts: DataFrame) -> DataFrame:
+    """Hosts with bookings per day as a sketch, from which the distinct hosts of any days follow."""
+    hosted = _counted_by(counts, HOSTS).where(F.col("host_email").isNotNull())
+    sketch = F.hll_sketch_agg("host_email", F.lit(SKETCH_SIZE)).alias("hosts")
+    return hosted.groupBy("booking_date").agg(sketch)
+
+
+def active_hosts_daily(silver: DataFrame) -> DataFrame:
+    return hosts_of(booking_counts(silver, HOSTS))

@@ -111,6 +111,9 @@ GOLD_CPB_BY_CHANNEL = (
     "channel string, total_bookings bigint, total_spend double, cost_per_booking double"
 )
 
+# Distinct hosts per day as mergeable sketches.
+GOLD_ACTIVE_HOSTS_DAILY = "booking_date date, hosts binary"
+
 GOLD_EMPLOYEE_MEETING_LOAD = "host_email string, week_start_date date, meeting_count bigint"
 
 # The live table keeps times as ISO text; the serving form below types them.

@@ -3,11 +3,12 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from apptlake import schemas
 from apptlake.operators.clean import clean_bookings
 from apptlake.operators.conform import empty_frame, fields_of
-from apptlake.plans import gold
+from apptlake.plans import gold, serving
 from samples import TIKTOK, YOUTUBE, bronze, values
 
 
@@ -106,6 +107,39 @@ def test_meeting_load_goes_by_start_week_and_known_hosts(spark):
     ]
 
 
+def test_sketches_of_days_add_up_to_the_hosts_of_a_range(spark):
+    rows = spark.range(20_000).selectExpr(
+        "string(id) booking_id", "timestamp'2026-03-01 09:00:00' + make_interval(0, 0, 0, int(id % 20)) booking_date",
+        "'c' channel", "current_timestamp() start_time", "current_timestamp() end_time",
+        "if(id % 7 = 0, null, concat('host', id % 6000)) host_email", "'h' host_name", "'s' utm_source",
+    )
+    daily = gold.active_hosts_daily(rows)
+    assert daily.count() == 20
+    for first, last in ((1, 1), (3, 9), (1, 20)):
+        days = date(2026, 3, first), date(2026, 3, last)
+        exact = rows.where(F.to_date("booking_date").between(*map(F.lit, days))).agg(F.count_distinct("host_email"))
+        found = serving.active_hosts(daily, *days).first().active_hosts
+        assert abs(found - exact.first()[0]) <= 0.02 * exact.first()[0]
+    assert serving.active_hosts(daily, date(2027, 1, 1)).first().active_hosts == 0
+
+
+def test_counts_by_all_columns_in_one_pass_equal_those_of_each(spark):
+    rows = silver(
+        spark,
+        [
+            {"booking_id": str(n), "utm_source": "ab"[n % 2] if n % 5 else None, "event_type": (TIKTOK, YOUTUBE)[n % 2],
+             "host_email": f"h{n % 4}" if n % 4 else None, "start_time": datetime(2026, 3, 1 + n % 9) if n % 3 else None}
+            for n in range(40)
+        ],
+    )
+    spent = spends(spark, [("tiktok_paid_ads", date(2026, 3, 1), 3.0)])
+    counts = gold.booking_counts(rows)
+    assert values(gold.daily_of(counts)) == values(gold.bookings_by_source_daily(rows))
+    assert values(gold.load_of(counts)) == values(gold.employee_meeting_load(rows))
+    assert values(gold.cost_of(counts, spent)) == values(gold.cpb_by_channel(rows, spent))
+    assert sum(r.booking_count for r in gold.daily_of(counts).collect()) == 40
+
+
 def test_empty_silver_gives_empty_gold(spark):
     none = empty_frame(spark, schemas.SILVER_BOOKINGS)
     daily = gold.bookings_by_source_daily(none)

@@ -29,6 +29,7 @@ LAZY = sorted(
     - {
         *(name for name in REGISTERED if name.startswith("op") or name == "pipeline"),
         "live_snapshot",
+        "active_hosts_in_ranges",
         "scan_raw_json",
         "scan_spend",
         "land_raw",
@@ -109,6 +110,6 @@ def test_gold_reads_silver_once_and_shuffles_it_by_no_key(spark, folder, monkeyp
         )
     assert batch.refresh_gold(spark, layout)["cpb_by_channel"] == 1
     plans = [plan_of(df) for df in written if any("silver/bookings" in name for name in df.inputFiles())]
-    assert len(written) == 5 and len(plans) == 1
+    assert len(written) == 6 and len(plans) == 1
     assert plans[0].count("FileScan") == 1 and "Expand" in plans[0] and "partial_count" in plans[0]
     assert "Window" not in plans[0] and plans[0].count("Exchange") == 1

@@ -299,6 +299,7 @@ def test_batch_run_end_to_end(spark, folder):
         "booking_time_distribution": 1,
         "cpb_by_channel": 2,
         "employee_meeting_load": 1,
+        "active_hosts_daily": 1,
     }
     spend_day(folder, day, [{"channel": "facebook_paid_ads", "date": "2026-03-01", "spend": 8}])
     landing.land(

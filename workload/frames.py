@@ -50,6 +50,7 @@ ORDER = ("booking_date", "event_id")
 
 CUTOFF = date(2024, 1, 24)
 TODAY = date(2024, 1, 31)
+RANGES = [(date(2024, 1, 1), date(2024, 1, 7)), (date(2024, 1, 5), date(2024, 1, 20)), (date(2024, 1, 1), TODAY)]
 # Parts of the keyed tables and of each day of the live table, and files that wait for the stream.
 BUCKETS, LIVE_BUCKETS, PULLS = 4, 4, 4
 SOURCES = ["(no utm_source)", "src0", "src1", "src2", "src3", "src4"]

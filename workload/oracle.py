@@ -167,6 +167,17 @@ ORACLE = {
         "SELECT host_email, CAST(date_trunc('week', start_time) AS DATE) AS week_start_date,"
         " COUNT(booking_id) AS meeting_count FROM silver WHERE host_email IS NOT NULL GROUP BY 1, 2"
     ),
+    "active_hosts_in_ranges": on(
+        EVENTS,
+        SILVER,
+        select=" UNION ALL ".join(
+            f"SELECT '{start}' AS start, count(DISTINCT coalesce(host_email, booking_id)) AS hosts, true AS near"
+            f" FROM silver WHERE {DAY} BETWEEN DATE '{start}' AND DATE '{end}'"
+            for start, end in (
+                ("2024-01-01", "2024-01-07"), ("2024-01-05", "2024-01-20"), ("2024-01-01", "2024-01-31"),
+            )
+        ),
+    ),
     "combined_daily": serving("SELECT * FROM comb"),
     "time_distribution_filtered": one_sided(
         "SELECT dayname(booking_date) AS day_of_week, booking_date, utm_source, booking_count"

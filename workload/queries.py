@@ -117,6 +117,24 @@ def gold_employee_meeting_load(spark, sf_dir):
     return _published(spark, load, "employee_meeting_load")
 
 
+@query
+def active_hosts_in_ranges(spark, sf_dir):
+    """Distinct bookers' hosts over three ranges of days, from one sketch a day."""
+    silver = frames.silver(spark, sf_dir).withColumn("host_email", F.coalesce("host_email", "booking_id"))
+    hosts = _published(spark, gold.active_hosts_daily(silver), "active_hosts_daily")
+    exact = silver.select(F.to_date("booking_date").alias("booking_date"), "host_email").distinct()
+    exact = stored(exact, scratch_path(spark, "hosts"))
+    rows = None
+    for start, end in frames.RANGES:
+        days = F.col("booking_date").between(F.lit(start), F.lit(end))
+        counted = exact.where(days).agg(F.count_distinct("host_email").alias("hosts"))
+        about = serving.active_hosts(hosts, start, end).select("active_hosts")
+        near = F.abs(F.col("hosts") - about.scalar()) <= 0.02 * F.col("hosts")
+        row = counted.select(F.lit(start.isoformat()).alias("start"), "hosts", near.alias("near"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 # ---- serving ----
 
 
