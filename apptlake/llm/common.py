@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptlake.session import scratch_path
@@ -67,15 +68,29 @@ class Scratch:
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(df.sparkSession, name)
-        self.made.append((df.sparkSession, path))
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        step = df.sparkSession.read.schema(df.schema).parquet(path)
+        self.made.append((df.sparkSession, path, step))
+        return step
+
+    def done(self, *steps: DataFrame | None, sweep: SparkSession | None = None) -> None:
+        """Delete steps that nothing will read again; a None or any other frame is passed over.
+
+        Spark keeps the shuffle files of a query until the driver's memory is swept, which may take
+        half an hour; with ``sweep`` it is done now.
+        """
+        for made in [m for m in self.made if any(m[2] is step for step in steps)]:
+            files.delete(made[0], made[1])
+            self.made.remove(made)
+        if sweep is not None:
+            gc.collect()
+            sweep.sparkContext._jvm.System.gc()
 
     def __enter__(self) -> Scratch:
         return self
 
     def __exit__(self, *_) -> None:
-        for spark, path in self.made:
+        for spark, path, _ in self.made:
             files.delete(spark, path)
 
 

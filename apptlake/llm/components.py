@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from apptlake.llm.common import Scratch, stored
 
 
-def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """The links' components as a stored table; see ``_connected``."""
+def connected(links: DataFrame, keep: Scratch | None = None, most_rounds: int = 60) -> DataFrame:
+    """The links' components as a stored table; see ``_connected``. With ``keep`` it is one of the
+    steps there."""
     with Scratch() as steps:
-        return stored(_connected(links, most_rounds, steps), "roots")
+        return (keep.stored if keep else stored)(_connected(links, most_rounds, steps), "roots")
 
 
 def _connected(links: DataFrame, most_rounds: int, steps: Scratch) -> DataFrame:
@@ -41,13 +42,14 @@ def _connected(links: DataFrame, most_rounds: int, steps: Scratch) -> DataFrame:
         )
         least = large.groupBy("_node").agg(F.min("_root").alias("_least"))
         small = large.join(least, "_node")
-        now = steps.stored(
+        last, now = now, steps.stored(
             small.select(F.col("_root").alias("_node"), F.col("_least").alias("_root"))
             .where("_node != _root")
             .unionByName(least.select("_node", F.col("_least").alias("_root")))
             .distinct(),
             "stars",
         )
+        steps.done(last)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("_node", "_root") % 1_000_003)).first()
         if state == before:
             return now

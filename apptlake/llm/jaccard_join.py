@@ -10,7 +10,8 @@ shingle may be missing on either side (the one-deletion neighbourhood).
   of small sets, where segments are few, their one-deletion neighbourhoods as well.
 * Allocation by cost: a document relies on the segments whose subsets are rarest. Those that nobody
   shares cost nothing; one that can rely on them alone has no partner and drops out.
-* Verification compares the shingles themselves.
+* Verification compares the shingles themselves, of pairs whose sizes and parities (how many of the
+  shingles in each part of the universe, modulo 2) differ no more than those of similar sets can.
 
 Documents of equal sets are one class, represented by its smallest id. What is asked for are the
 classes and the components that links make, so a bucket needs no pairs of documents that are already
@@ -123,6 +124,41 @@ class Partition:
                 return
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Whether the tokens in each of many parts of the universe are odd in number, as bits of 64-bit
+    numbers. There are at least two parts a token; their number is a power of two, and folding the
+    numbers in halves gives those of half as many parts.
+
+    Sets differ in at least as many tokens as their parities do.
+    """
+    parts = max(64, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount((mixed(tokens, 21) & np.uint64(parts - 1)).astype(np.int64), minlength=parts) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs that may be links: neither the sizes nor the parities of the sets differ by more
+    than those of similar sets can. Far shorter than the texts, these spare most pairs theirs."""
+    side = lambda doc, n: sketches.select(
+        F.col("_doc").alias(doc), F.col("_size").alias(f"_size_{n}"), F.col("_parities").alias(f"_parities_{n}")
+    )
+    both = F.col("_size_1") + F.col("_size_2")
+    near = 100 * F.least("_size_1", "_size_2") >= rule.percent * F.greatest("_size_1", "_size_2")
+    most = F.floor((100 - rule.percent) * both / (100 + rule.percent))
+    xor = lambda a, b: F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+
+    def half(a):
+        n = F.size(a) / 2
+        return xor(F.slice(a, 1, n.cast("int")), F.slice(a, n.cast("int") + 1, n.cast("int")))
+
+    # Sets of similar sizes have as many parts or twice as many.
+    one, two = F.col("_parities_1"), F.col("_parities_2")
+    one, two = (F.when(F.size(a) > F.size(b), half(a)).otherwise(a) for a, b in ((one, two), (two, one)))
+    apart = F.aggregate(xor(one, two), F.lit(0), lambda n, x: n + F.bit_count(x))
+    found = pairs.join(side("_a", 1), "_a").join(side("_b", 2), "_b")
+    return found.where(near).where(apart <= most).select(*pairs.columns)
+
+
 def _signatures(rows: DataFrame, rule: Rule) -> DataFrame:
     """``_doc``, size, hash of the set, and for each band its keys."""
 
@@ -130,14 +166,16 @@ def _signatures(rows: DataFrame, rule: Rule) -> DataFrame:
         partition = Partition(rule)
         for batch in batches:
             for part in slices(batch, "_text", 2 << 20):
-                sets = shingle_sets([t.encode() for t in part.column("_text").to_pylist()], rule.width)
+                texts = [t.encode() for t in part.column("_text").to_pylist()]
+                sets, again = shingle_sets(texts, rule.width)
                 parts = [
                     [{"band": b, "needed": k, "keys": keys.view(np.int64)} for b, keys, k in partition.keys(s)]
                     for s in sets
                 ]
+                # Of independent hashes, so that sets of one shingle have all 128 bits as well.
                 halves = [
-                    np.array([mixed(s, salt).sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
-                    for salt in (11, 12)
+                    np.array([mixed(s, 11).sum(dtype=np.uint64) for s in each], dtype=np.uint64).view(np.int64)
+                    for each in (sets, again)
                 ]
                 kind = pa.list_(
                     pa.struct([("band", pa.int32()), ("needed", pa.int32()), ("keys", pa.list_(pa.int64()))])
@@ -145,23 +183,25 @@ def _signatures(rows: DataFrame, rule: Rule) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("_doc"),
+                        pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(halves[0]),
                         pa.array(halves[1]),
                         pa.array(parts, kind),
                     ],
-                    names=["_doc", "_size", "_high", "_low", "_parts"],
+                    names=["_doc", "_parities", "_size", "_high", "_low", "_parts"],
                 )
 
     return rows.mapInArrow(
         run,
-        f"_doc {kind_of(rows, '_doc')}, _size bigint, _high bigint, _low bigint, "
+        f"_doc {kind_of(rows, '_doc')}, _parities array<bigint>, _size bigint, _high bigint, _low bigint, "
         "_parts array<struct<band:int,needed:int,keys:array<bigint>>>",
     )
 
 
-def _buckets(signatures: DataFrame, members: DataFrame, steps: Scratch) -> DataFrame:
-    """``_key``, ``_doc``, ``_score``, ``_chosen``: the shared keys that some document relies on.
+def _shared_keys(signatures: DataFrame, members: DataFrame, steps: Scratch) -> DataFrame:
+    """``_key``, ``_doc``, ``_score``, ``_chosen``: the keys that documents share, and whether the
+    document relies on them.
 
     ``members`` has the documents of classes of several: the class and how many it has. Of these
     only the first takes part, and a key that no other class has is not shared. The score of a
@@ -188,9 +228,13 @@ def _buckets(signatures: DataFrame, members: DataFrame, steps: Scratch) -> DataF
     )
     score = F.aggregate("_shared", F.lit(0).cast("long"), lambda s, x: s + x["_count"] * (1 - x["_empty"]))
     own = own.select("_doc", lacking.alias("_lacking"), score.alias("_score"), "_shared")
-    own = steps.stored(own.select("_doc", "_lacking", "_score", F.posexplode("_shared").alias("_n", "_s")).select(
+    return steps.stored(own.select("_doc", "_lacking", "_score", F.posexplode("_shared").alias("_n", "_s")).select(
         F.col("_s")["_key"].alias("_key"), "_doc", "_score", (F.col("_n") < F.col("_lacking")).alias("_chosen")
     ), "shared-keys")
+
+
+def _relied_on(own: DataFrame) -> DataFrame:
+    """The shared keys that some document relies on."""
     relied = own.groupBy("_key").agg(F.max("_chosen").alias("_any"), F.count(F.lit(1)).alias("_count"))
     return own.join(relied.where("_any AND _count > 1").select("_key"), "_key")
 
@@ -331,10 +375,11 @@ def similarity_classes(
 
 
 def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scratch) -> DataFrame:
-    stored = steps.stored
+    stored, spark = steps.stored, docs.sparkSession
     rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text"))
     signatures = stored(_signatures(rows, rule), "signatures")
-    ids = signatures.select("_doc", "_size", "_high", "_low")
+    ids = stored(signatures.select("_doc", "_size", "_high", "_low"), "sets")
+    sketches = signatures.where("_size > 0 AND _doc IS NOT NULL").select("_doc", "_size", "_parities")
     sized = ids.where("_size > 0 AND _doc IS NOT NULL")
     classes = sized.groupBy("_high", "_low", "_size").agg(
         F.min("_doc").alias("_class"), F.count(F.lit(1)).alias("_members")
@@ -346,20 +391,25 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
     twice = stored(sized.groupBy("_doc").count().where("count > 1").select("_doc"), "repeated-ids")
     members = copies.join(twice, "_doc", "left_anti").select("_doc", "_class", "_members")
     buckets = signatures.where("_size > 0 AND _doc IS NOT NULL").select("_doc", "_parts")
-    buckets = stored(_buckets(buckets, members, steps), "buckets")
+    shared = _shared_keys(buckets, members, steps)
+    buckets = stored(_relied_on(shared), "buckets")
     involved = buckets.select("_doc").distinct()
     texts = stored(rows.join(involved, "_doc", "left_semi"), "texts")
+    sketches = stored(sketches.join(involved, "_doc", "left_semi").distinct(), "sketches")
+    steps.done(signatures, shared, sweep=spark)
 
     same = copies.join(twice, "_doc", "left_semi").where("_doc != _class")
-    links: list[DataFrame] = [same.select(F.col("_doc").alias("_a"), F.col("_class").alias("_b"))]
+    links = same.select(F.col("_doc").alias("_a"), F.col("_class").alias("_b"))
     roots: DataFrame | None = None
 
     def link(compared: DataFrame) -> DataFrame:
-        links.append(compared.where("_linked").select("_a", "_b"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        return connected(every)
+        """The components with the links found now, joined to those of all found before."""
+        nonlocal links
+        found = compared.where("_linked").select("_a", "_b")
+        roots_now = connected(links.unionByName(found), steps)
+        steps.done(roots)
+        links = roots_now.select(F.col("_node").alias("_a"), F.col("_root").alias("_b"))
+        return roots_now
 
     for round_ in range(rule.rounds):
         # Compare the members of every bucket with its hub.
@@ -368,7 +418,7 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
         pairs = _rooted(pairs, roots, "_b", "_cb").where("_large OR _ca != _cb")
         pairs = pairs.groupBy(F.col("_doc").alias("_a"), "_b").agg(F.max("_large").alias("_large"))
         pairs = stored(pairs, "hub-pairs")
-        small = _compared(pairs.where("NOT _large"), texts, rule, False)
+        small = _compared(_likely(pairs.where("NOT _large"), sketches, rule), texts, rule, False)
         large = _compared(pairs.where("_large"), texts, rule, True)
         compared = stored(small.unionByName(large), "compared")
         roots = link(compared)
@@ -384,16 +434,21 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
             .select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b"))
             .distinct()
         )
-        seen = compared.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b"))
+        seen = pairs.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b"))
         rest = stored(rest.join(seen, ["_a", "_b"], "left_anti"), "rest-pairs")
         if not rest.isEmpty():
-            roots = link(stored(_compared(rest, texts, rule, False), "compared"))
+            again = stored(_compared(_likely(rest, sketches, rule), texts, rule, False), "compared")
+            roots = link(again)
+            steps.done(again)
+        steps.done(pairs, rest, sweep=spark)
         wide = left.where(F.col("_pairs") > rule.paired)
         if last or wide.isEmpty():
             break
         # Large ones give way to narrower ones by the differences from the hub.
         kept = wide.select("_key").distinct().join(hubs, "_key").select("_b").distinct()
-        buckets = stored(_narrower(compared.where("size(_delta) > 0").join(kept, "_b"), rule), "buckets")
+        narrower = stored(_narrower(compared.where("size(_delta) > 0").join(kept, "_b"), rule), "buckets")
+        steps.done(buckets, hubs, compared, left, sweep=spark)
+        buckets = narrower
 
     of = copies.select("_doc", "_high", "_low", "_class").distinct()
     found = ids.join(of, ["_doc", "_high", "_low"], "left")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from apptlake.llm.licenses import TEMPLATES, THRESHOLD
-from apptlake.llm.quality_rules import BOILERPLATE, SYMBOLS
+from apptlake.llm.quality_rules import BLANK_PARTED, BOILERPLATE, SENTENCE_ENDS, SYMBOLS
 
 _PHRASES = " OR ".join(f"contains(lower(x), '{phrase}')" for phrase in BOILERPLATE)
 _SYMBOLS = "".join("\\" + c if c in "*$|" else c for c in SYMBOLS)
@@ -120,7 +120,7 @@ WITH d AS (
 f AS (
   SELECT *, list_filter(l, lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS filled,
     list_filter(l, lambda x: NOT regexp_matches(x, '[^ \\t-\\r]') OR (
-      regexp_matches(x, '[.!?]')
+      regexp_matches(x, '[.!?{SENTENCE_ENDS}{BLANK_PARTED}]')
       AND 100 * len(regexp_extract_all(x, '[{_SYMBOLS}]')) <= 10 * length(x)
       AND 200 * len(regexp_extract_all(x, '!!')) <= 30 * length(x)
       AND len(regexp_extract_all(x, '\\|')) <= 2

@@ -28,6 +28,13 @@ BOILERPLATE = (
 )
 
 
+#: What ends a sentence beside ".", "!" and "?", in all scripts (fixed values of Unicode), and the
+#: scripts that part sentences by blanks alone (Thai, Lao), a letter of which will do.
+SENTENCE_ENDS = "…‼⁇⁈⁉。．｡！？﹒﹖﹗︒؟۔؞।॥։።፧፨།༎༏།။၊។៕᠃᠉᥄᥅᭟⸮⸼꓿꘎꘏꛳꛷"
+BLANK_PARTED = "\u0e00-\u0eff"
+_OTHER_ENDS = f"[{SENTENCE_ENDS}{BLANK_PARTED}]"
+
+
 @dataclass(frozen=True)
 class LineRules:
     """Shares are in percent, so that comparisons are between whole numbers."""
@@ -52,6 +59,7 @@ def passes(line: Column, low: Column, rules: LineRules) -> Column:
     body = F.length(line)
     symbols = F.length(line) - F.length(without(line, SYMBOLS))
     ends = F.contains(line, F.lit(".")) | F.contains(line, F.lit("!")) | F.contains(line, F.lit("?"))
+    ends = ends | line.rlike(_OTHER_ENDS)
     punctuation = (
         ends
         & (100 * symbols <= rules.symbol_share * body)

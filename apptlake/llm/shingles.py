@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from apptlake.llm.byte_words import GAP, split_words
+
 #: Words of a text (fixed value of the contract), after A-Z are lowered.
 WORD = re.compile("[^\x20\x09-\x0d]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
-_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_NUMBERS = np.random.default_rng(4_099).integers(1, 1 << 63, (3, 256), dtype=np.uint64)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
+#: Bytes between words; A-Z are lowered as words are split.
+KINDS = np.zeros(256, dtype=np.uint8)
+KINDS[[9, 10, 11, 12, 13, 32]] = GAP
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -27,34 +26,17 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, _BASE), np.full(size, _INVERSE)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes for every word of all texts in a row, as two rows, and how many words
+    each text has. They are halves of a cryptographic hash, so no words are known to share one."""
+    words = split_words(texts, KINDS)
+    coded = words.values.dictionary_encode()
+    digests = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in coded.dictionary.to_pylist())
+    hashes = np.frombuffer(digests, dtype="<u8").reshape(-1, 2)
+    return hashes.T[:, coded.indices.to_numpy()], np.bincount(words.text_of, minlength=len(texts))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for every word of all texts in a row, and how many words each text has.
-
-    A word is a polynomial over its bytes modulo 2**64: a difference of two running sums.
-    """
-    data = _FOLD[np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)]
-    up, down = _powers(1 << int(len(data)).bit_length())
-    sums = np.cumsum(_NUMBERS[0][data] * up[: len(data)])
-    space = _SPACE[data]
-    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
-    ends = np.flatnonzero(~space[:-1] & space[1:])
-    raw = (sums[ends] - sums[starts - 1]) * down[starts]
-    hashes = mixed(raw + (ends - starts).astype(np.uint64))
-    edges = np.cumsum([1, *(len(t) + 1 for t in texts)])
-    return hashes, np.diff(np.searchsorted(starts, edges))
-
-
-def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
-    """Distinct shingles of each text as sorted 64-bit numbers. Texts with fewer words than the
-    width have their whole sequence as one; texts without words have none."""
-    words, counts = word_hashes(texts)
+def _sets(words: np.ndarray, counts: np.ndarray, width: int) -> list[np.ndarray]:
     spans = np.zeros(max(0, len(words) - width + 1), dtype=np.uint64)
     factors = mixed(np.arange(1, width + 1, dtype=np.uint64))
     for k in range(width):
@@ -73,6 +55,13 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     return found
 
 
+def shingle_sets(texts: list[bytes], width: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct shingles of each text as sorted 64-bit numbers, twice, by independent hashes. Texts
+    with fewer words than the width have their whole sequence as one; those without words none."""
+    hashes, counts = word_hashes(texts)
+    return _sets(hashes[0], counts, width), _sets(hashes[1], counts, width)
+
+
 def exact_shingles(text: str, width: int) -> frozenset[str]:
     """The same sets as the shingles themselves, for exact comparison."""
     words = WORD.findall(text.translate(_LOWER))

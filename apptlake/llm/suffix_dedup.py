@@ -89,7 +89,7 @@ def selected(words: np.ndarray, how: Sparse) -> tuple[np.ndarray, np.ndarray]:
 
 def _words(texts: list[str]) -> list[np.ndarray]:
     hashes, counts = word_hashes([t.encode() for t in texts])
-    return np.split(hashes, np.cumsum(counts)[:-1])
+    return np.split(hashes[0], np.cumsum(counts)[:-1])
 
 
 def _heads(rows: DataFrame, how: Sparse) -> DataFrame:

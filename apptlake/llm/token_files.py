@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 from apptlake.llm.bpe import byte_symbols
 from apptlake.llm.common import slices, text_of
 
-#: The dictionary is trained on so many documents of at most so many characters, and has so many bytes.
+#: The dictionary is trained on so many documents, a stretch of at most so many characters of each,
+#: and has so many bytes.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 16_000, 64 << 10
 #: A block ends with the document that brings it to one of these.
 BLOCK_DOCUMENTS, BLOCK_BYTES = 1024, 1 << 20
@@ -69,7 +70,10 @@ class TextEncoder:
     def encode(self, text: str) -> list[int]:
         if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text)):
             return self.library.encode(text, add_special_tokens=False).ids
-        return self.fast.encode(text, allowed_special="all")
+        try:
+            return self.fast.encode(text, allowed_special="all")
+        except ValueError:  # its pattern gives up on very long runs, such as a million blanks
+            return self.library.encode(text, add_special_tokens=False).ids
 
 
 @lru_cache(maxsize=2)
@@ -94,11 +98,14 @@ def _compression(dictionary: bytes) -> dict:
 
 
 def _sample(rows: DataFrame, file_text: str, end_id: int) -> list[bytes]:
-    """Serialized ids of a bounded sample: the documents whose ids hash lowest."""
-    short = rows.where(F.length("_text") <= SAMPLE_CHARS)
-    chosen = short.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+    """Serialized ids of a bounded sample: the documents whose ids hash lowest, of a long one a
+    stretch at a place that the hash says."""
+    chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+    places = F.greatest(F.length("_text") - SAMPLE_CHARS, F.lit(0)) + 1
+    stretch = F.substring("_text", F.pmod(F.xxhash64("doc_id"), places).cast("int") + 1, F.lit(SAMPLE_CHARS))
     texts = (
-        short.join(F.broadcast(chosen.distinct()), "doc_id")
+        rows.join(F.broadcast(chosen.distinct()), "doc_id")
+        .select("doc_id", stretch.alias("_text"))
         .orderBy(F.xxhash64("doc_id"), "_text")
         .limit(SAMPLE_DOCUMENTS)
         .collect()

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from apptlake.llm.components import connected
-from apptlake.llm.jaccard_join import Partition, Rule, similarity_classes
+from apptlake.llm.jaccard_join import Partition, Rule, _likely, parities, similarity_classes
 from apptlake.llm.shingles import exact_shingles, shingle_sets
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -84,7 +84,7 @@ def test_similar_sets_share_a_key_on_which_they_rely():
         tokens = [f"t{k}" for k in range(rng.randrange(4, 200))]
         other = tokens[rng.randrange(0, len(tokens) // 5 + 1) :]
         other += [f"new{k}" for k in range(rng.randrange(0, len(tokens) // 8 + 1))]
-        sets = shingle_sets([" ".join(tokens).encode(), " ".join(other).encode()], 1)
+        sets, _ = shingle_sets([" ".join(tokens).encode(), " ".join(other).encode()], 1)
         a, b = sorted(sets, key=len)
         common = len(set(a.tolist()) & set(b.tolist()))
         if 100 * common < rule.percent * (len(a) + len(b) - common):
@@ -99,6 +99,41 @@ def test_similar_sets_share_a_key_on_which_they_rely():
     assert similar > 100
 
 
+def test_parities_never_tell_similar_sets_apart(spark):
+    rng, rows = random.Random(8), []
+    rule = Rule(1, 80)
+    for n in range(400):
+        tokens = [f"t{k}" for k in range(rng.choice([1, 2, 5, 30, 33, 60, 64, 66, 300]))]
+        cut = rng.randrange(0, len(tokens) // 3 + 1)
+        other = tokens[cut:] + [f"new{k}" for k in range(rng.randrange(0, len(tokens) // 4 + 1))]
+        rows += [(2 * n, " ".join(tokens)), (2 * n + 1, " ".join(other))]
+    sets, _ = shingle_sets([text.encode() for _, text in rows], 1)
+    kind = "_doc long, _size long, _parities array<long>"
+    sketches = spark.createDataFrame([(k, len(s), parities(s).tolist()) for k, s in enumerate(sets)], kind)
+    pairs = spark.createDataFrame([(2 * n, 2 * n + 1) for n in range(400)] + [(0, 2 * n) for n in range(1, 400)], "_a long, _b long")
+    likely = {tuple(r) for r in _likely(pairs, sketches, rule).collect()}
+    own = [set(s.tolist()) for s in sets]
+    similar = {(a, b) for a, b in map(tuple, pairs.collect()) if 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b])}
+    assert similar <= likely and 100 < len(similar) and len(likely) < 1.3 * len(similar)
+
+
+def test_words_that_break_polynomial_hashes_stay_apart(spark):
+    # The Thue-Morse word and its complement: equal under any polynomial modulo 2**64.
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1 << 12))
+    other = word.translate({97: "b", 98: "a"})
+    rows = [(1, word), (2, other), (3, word), (4, f"{word} x y"), (5, f"{other} x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for rule in (Rule(3, 90), Rule(1, 20)):
+        assert found(docs, rule) == brute(rows, rule)
+
+
+def test_families_with_a_single_round(spark):
+    rows = families(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rule = Rule(3, 90, paired=4, rounds=1)
+    assert found(docs, rule) == brute(rows, rule)
+
+
 def test_odd_rows(spark, odd, nothing):
     rows = similarity_classes(odd, Rule(3, 90)).collect()
     component = {2: 1, 10: 9}

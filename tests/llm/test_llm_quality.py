@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from apptlake.llm.oracle import ORACLE
-from apptlake.llm.quality_rules import BOILERPLATE, SYMBOLS, line_first
+from apptlake.llm.quality_rules import BOILERPLATE, SENTENCE_ENDS, SYMBOLS, line_first
 from tools.check import rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -29,7 +29,7 @@ def plain(text):
     good = [
         x for x in lines
         if not WORD.search(x) or (
-            any(c in x for c in ".!?") and 100 * symbols(x) <= 10 * len(x)
+            any(c in ".!?" + SENTENCE_ENDS or "\u0e00" <= c <= "\u0eff" for c in x) and 100 * symbols(x) <= 10 * len(x)
             and 200 * x.count("!!") <= 30 * len(x) and x.count("|") <= 2
             and not any(p in x.lower() for p in BOILERPLATE)
         )
@@ -42,10 +42,28 @@ def plain(text):
     )
 
 
+def test_lines_of_all_scripts_may_stay(spark):
+    """A text of twelve lines that each end as sentences do in their script."""
+    lines = {
+        "hindi": "यह {} एक लंबा वाक्य है जिसमें बारह शब्द हैं और अंत है।",
+        "arabic": "هل هذه جملة طويلة رقم {} فيها كلمات كثيرة وتنتهي بعلامة سؤال؟",
+        "urdu": "یہ جملہ نمبر {} کافی لمبا ہے اور یہاں پر ختم ہوتا ہے۔",
+        "chinese": "这 是 第 {} 行 文字 它 有 很多 词 并且 在 这里 结束。",
+        "armenian": "Սա {} երկար նախադասություն է որն այստեղ ավարտվում է հիմա։",
+        "amharic": "ይህ {} ረጅም ዓረፍተ ነገር ነው እዚህ ያበቃል አሁን።",
+        "thai": "นี่ คือ ประโยค ที่ {} ซึ่ง ยาว พอ สำหรับ การ ทดสอบ นี้",
+        "none": "this is line number {} of a long text that never ends its sentences",
+    }
+    texts = {name: "\n".join(line.format(f"{name}{k}") for k in range(12)) for name, line in lines.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    found = {r.doc_id: r.n_lines_kept for r in line_first(docs).collect()}
+    assert found == {name: 12 if name != "none" else 0 for name in lines}
+
+
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text")
 PIECES = st.sampled_from([
     "one two three.", "one two three four five six", "A | B | C | D", "STOP!! NOW!!", "##$$ %%", "é ñ ü.",
-    "All rights reserved.", "", " \t", "x " * 30, "the end is near now. " * 3, "\x0b\x0c word",
+    "All rights reserved.", "", " \t", "x " * 30, "यह वाक्य है।", "这里结束。", "ประโยค ที่", "the end is near now. " * 3, "\x0b\x0c word",
 ])
 
 

@@ -35,6 +35,21 @@ def test_every_character_is_encoded_as_the_library_does():
             assert list(encoder.encode(text)) == library_ids(text)
 
 
+LONG_RUNS = [c * 1_000_001 for c in " \n\ta.é\u0301"] + [f"a{' ' * 1_200_000}b\n" * 2]
+
+
+@pytest.mark.parametrize("text", LONG_RUNS, ids=[*"bntl.em", "two"])
+def test_very_long_runs_are_encoded_as_the_library_does(text):
+    encoder = token_files._encoder(open(FILE, encoding="utf-8").read())
+    assert list(encoder.encode(text)) == library_ids(text)
+
+
+def test_long_runs_come_back_from_the_files(spark, folder):
+    rows = list(enumerate([LONG_RUNS[0], "short", LONG_RUNS[1]]))
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), folder, FILE)
+    assert sorted(rows_of(read_token_files(spark, folder))) == expected(rows)
+
+
 def rows_of(df):
     return [(r.doc_id, r.start, r.n_tokens, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in df.collect()]
 
