@@ -6,7 +6,7 @@ last return the columns of documents, whatever further ones they have.
 
 Null and empty texts fail the base rules of the first stage; an empty table stays empty throughout.
 Rows without an id pass the stages that tell documents apart by id, but are never drawn. Rows that
-repeat an id count as one document: one of them stays.
+repeat an id are told apart by their texts; of rows alike in both one stays.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from apptlake.llm.bpe import round_trip
 from apptlake.llm.chunk_dedup import dedup_substrings
-from apptlake.llm.common import stored
+from apptlake.llm.common import Scratch, stored
 from apptlake.llm.jaccard_join import Rule, similarity_classes
 from apptlake.llm.mixing import Mix, mix_sources
 from apptlake.llm.quality_rules import line_first
+from apptlake.operators.dedup import latest_per_key
 
 NEAR = Rule(width=5, percent=80)
 MIX = Mix(temper={"source": 0.7, "lang": 0.7, "topic": 0.8})
@@ -50,14 +51,23 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of documents joined by links the one with the smallest id stays."""
-    classes = similarity_classes(docs, NEAR)
-    repeats = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").limit(1)
-    if not repeats.isEmpty():
-        named = docs.where("doc_id IS NULL")
-        docs = named.unionByName(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
-    others = classes.where("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Of documents joined by links the one with the smallest id stays.
+
+    Where ids are missing or stand on several rows, a document is an id with a hash of the text, and
+    one without an id comes after all that have one. Rows alike in both are one document.
+    """
+    odd = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1)
+    if odd.isEmpty():
+        classes = similarity_classes(docs, NEAR)
+        others = classes.where("component_id != doc_id").select("doc_id").distinct()
+        return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.xxhash64(text).alias("hash"))
+    rows = docs.select(key.alias("_key"), text.alias("_text"), F.struct("*").alias("_row"))
+    classes = similarity_classes(rows, NEAR, "_key", "_text")
+    others = classes.where("component_id != doc_id").select(F.col("doc_id").alias("_key")).distinct()
+    single = latest_per_key(rows, ["_key"], [F.xxhash64("_row")])
+    return single.join(others, "_key", "left_anti").select("_row.*")
 
 
 def substring_dedup(spark, docs, sf_dir):
@@ -68,9 +78,11 @@ def substring_dedup(spark, docs, sf_dir):
 
 
 def source_mix(spark, docs, sf_dir):
-    """Documents are drawn so that sources, languages and topics weigh what they should."""
+    """Documents are drawn so that sources, languages and topics weigh what they should; a document
+    that has to weigh more than it does stands in the mix several times."""
     rows = docs.select("doc_id", "text", "source", "lang", F.struct("*").alias("_row"))
-    return mix_sources(rows, MIX, carry=["_row"]).where("drawn").select("_row.*")
+    mixed = mix_sources(rows, MIX, carry=["_row"]).where("copies > 0")
+    return mixed.select(F.explode(F.sequence(F.lit(1), "copies")), "_row").select("_row.*")
 
 
 def encoding(spark, docs, sf_dir):
@@ -99,6 +111,8 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with Scratch() as steps:
+        for name, stage in STAGES[:-1]:
+            before, docs = docs, steps.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            steps.done(before)
+        return stored(STAGES[-1][1](spark, docs, sf_dir), "encoded")
