@@ -15,11 +15,12 @@ shingle may be missing on either side (the one-deletion neighbourhood).
 
 Documents of equal sets are one class, represented by its smallest id. What is asked for are the
 classes and the components that links make, so a bucket needs no pairs of documents that are already
-joined: its members are first compared with one of them, the hub. What is left of small buckets is
-paired. Members of a large bucket are told apart by their differences from the hub: two that are not
-joined by it differ less from one another than their differences add up to, hence have one of the
-rarer differences in common; those make new, narrower buckets. No pair that could be a link is left
-out, and no bucket is paired in full.
+joined: its members are first compared with one of them, the hub. What is left is paired across the
+components known so far, each member outside the bucket's greatest component with all others, where
+that makes few pairs for its members. Members of other buckets are told apart by their differences
+from the hub: two that are not joined by it differ less from one another than their differences add
+up to, hence have one of the rarer differences in common; those make new, narrower buckets. No pair
+that could be a link is left out.
 
 Defined results: null texts and texts without words have no shingles and are linked with nothing,
 each its own class and component. Rows that share an id are one document as far as classes and
@@ -53,9 +54,11 @@ class Rule:
     small: int = 16
     #: Segments beyond those needed, in percent; they let a document pass over its common ones.
     spare: int = 5
-    #: Pairs of a bucket up to which it is paired, less those already joined.
+    #: Pairs across components up to which a bucket is paired.
     paired: int = 4096
-    #: Times that buckets are narrowed; whatever is open after the last is paired.
+    #: The same for each of its members, so that pairs grow in proportion to members.
+    paired_each: int = 64
+    #: Times that buckets are narrowed; whatever is open after the last is paired across components.
     rounds: int = 6
 
     def distance(self, total: int) -> int:
@@ -287,7 +290,7 @@ def _rooted(rows: DataFrame, roots: DataFrame | None, doc: str, name: str) -> Da
 
 
 def _hubs(buckets: DataFrame, rule: Rule) -> DataFrame:
-    """``_key``, ``_b``, ``_large``: what the members of every bucket are compared with.
+    """``_key`` and ``_b``: what the members of every bucket are compared with.
 
     That is the member whose keys are the most common. Large buckets of one family have different
     ones, and a document would be compared with many; so they take the best hub of any bucket that
@@ -300,24 +303,41 @@ def _hubs(buckets: DataFrame, rule: Rule) -> DataFrame:
     large = buckets.select("_key", "_doc").join(hubs.where("_large"), "_key")
     known = large.groupBy("_doc").agg(F.max("_best").alias("_known"))
     shared = large.join(known, "_doc").groupBy("_key").agg(F.max("_known").alias("_known"))
-    return hubs.join(shared, "_key", "left").select(
-        "_key", F.coalesce("_known", "_best")["_doc"].alias("_b"), "_large"
-    )
+    return hubs.join(shared, "_key", "left").select("_key", F.coalesce("_known", "_best")["_doc"].alias("_b"))
 
 
 def _open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Buckets that span several components, with the pairs each would take."""
+    """Buckets that span several components, how many members each has and how many pairs it would
+    take across components, and whether a member is in the greatest of these (``_inner``)."""
     rows = _rooted(buckets, roots, "_doc", "_component")
-    spans = rows.groupBy("_key").agg(
-        F.min("_component").alias("_least"),
-        F.max("_component").alias("_most"),
-        (F.count(F.lit(1)) * F.count(F.when(F.col("_chosen"), 1))).alias("_pairs"),
+    parts = rows.groupBy("_key", "_component").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_chosen"), 1)).alias("_k")
+    )
+    spans = parts.groupBy("_key").agg(
+        F.max(F.struct("_n", "_component"))["_component"].alias("_main"),
+        F.sum("_n").alias("_members"),
+        (F.sum("_n") * F.sum("_k") - F.sum(F.col("_n") * F.col("_k"))).alias("_pairs"),
+    )
+    rows = rows.join(spans.where("_pairs > 0"), "_key")
+    return rows.withColumn("_inner", F.col("_component") == F.col("_main")).drop("_main")
+
+
+def _across(buckets: DataFrame) -> DataFrame:
+    """``_a`` and ``_b``: the pairs of open buckets across components. One of the two is outside the
+    greatest component, so that two of one component are met no more often than there are pairs."""
+    one = buckets.where("_chosen").select(
+        "_key", F.col("_doc").alias("_x"), F.col("_component").alias("_cx"), F.col("_inner").alias("_ix")
+    )
+    two = buckets.select(
+        "_key", F.col("_doc").alias("_y"), F.col("_component").alias("_cy"), F.col("_inner").alias("_iy")
     )
-    spans = spans.where("_least != _most AND _pairs > 0").select("_key", "_pairs")
-    return rows.join(spans, "_key")
+    outer = one.where("NOT _ix").join(two, "_key").where("_cx != _cy")
+    inner = one.where("_ix").join(two.where("NOT _iy"), "_key")
+    pair = [F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")]
+    return outer.select(*pair).unionByName(inner.select(*pair)).distinct()
 
 
-def _narrower(compared: DataFrame, rule: Rule) -> DataFrame:
+def _narrower(compared: DataFrame, rule: Rule, steps: Scratch) -> DataFrame:
     """Buckets by the rarer differences of documents from their hub.
 
     Two documents with d and e differences from it that are similar, hence at most H apart, share at
@@ -332,7 +352,7 @@ def _narrower(compared: DataFrame, rule: Rule) -> DataFrame:
         F.col("_b").alias("_hub"), F.col("_a").alias("_doc"), "_linked", "_delta", most.alias("_h"),
         F.size("_delta").cast("long").alias("_d"),
     )
-    each = rows.select("_hub", "_doc", F.explode("_delta").alias("_item"))
+    each = steps.stored(rows.select("_hub", "_doc", F.explode("_delta").alias("_item")), "differences")
     counts = each.groupBy("_hub", "_item").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1")
     # Differences that nobody else has come first and make no bucket.
     ranked = each.join(counts, ["_hub", "_item"]).groupBy("_hub", "_doc").agg(
@@ -415,39 +435,31 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
         # Compare the members of every bucket with its hub.
         hubs = stored(_hubs(buckets, rule), "hubs")
         pairs = _rooted(buckets.join(hubs, "_key").where("_doc != _b"), roots, "_doc", "_ca")
-        pairs = _rooted(pairs, roots, "_b", "_cb").where("_large OR _ca != _cb")
-        pairs = pairs.groupBy(F.col("_doc").alias("_a"), "_b").agg(F.max("_large").alias("_large"))
-        pairs = stored(pairs, "hub-pairs")
-        small = _compared(_likely(pairs.where("NOT _large"), sketches, rule), texts, rule, False)
-        large = _compared(pairs.where("_large"), texts, rule, True)
-        compared = stored(small.unionByName(large), "compared")
+        pairs = _rooted(pairs, roots, "_b", "_cb").where("_ca != _cb")
+        pairs = stored(pairs.select(F.col("_doc").alias("_a"), "_b").distinct(), "hub-pairs")
+        compared = stored(_compared(_likely(pairs, sketches, rule), texts, rule, False), "compared")
         roots = link(compared)
         left = stored(_open(buckets, roots), "open-buckets")
-        # Small buckets are paired, less what is joined or was compared already.
+        # Buckets with few pairs across components are paired, less what was compared already.
+        few = F.col("_pairs") <= F.greatest(F.lit(rule.paired), rule.paired_each * F.col("_members"))
         last = round_ == rule.rounds - 1
-        few = left if last else left.where(F.col("_pairs") <= rule.paired)
-        one = few.where("_chosen").select("_key", F.col("_doc").alias("_x"), F.col("_component").alias("_cx"))
-        two = few.select("_key", F.col("_doc").alias("_y"), F.col("_component").alias("_cy"))
-        rest = (
-            one.join(two, "_key")
-            .where("_cx != _cy")
-            .select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b"))
-            .distinct()
-        )
         seen = pairs.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b"))
-        rest = stored(rest.join(seen, ["_a", "_b"], "left_anti"), "rest-pairs")
+        rest = _across(left if last else left.where(few)).join(seen, ["_a", "_b"], "left_anti")
+        rest = stored(_likely(rest, sketches, rule), "rest-pairs")
         if not rest.isEmpty():
-            again = stored(_compared(_likely(rest, sketches, rule), texts, rule, False), "compared")
+            again = stored(_compared(rest, texts, rule, False), "compared")
             roots = link(again)
             steps.done(again)
-        steps.done(pairs, rest, sweep=spark)
-        wide = left.where(F.col("_pairs") > rule.paired)
+        steps.done(pairs, compared, rest, sweep=spark)
+        wide = left.where(~few)
         if last or wide.isEmpty():
             break
-        # Large ones give way to narrower ones by the differences from the hub.
-        kept = wide.select("_key").distinct().join(hubs, "_key").select("_b").distinct()
-        narrower = stored(_narrower(compared.where("size(_delta) > 0").join(kept, "_b"), rule), "buckets")
-        steps.done(buckets, hubs, compared, left, sweep=spark)
+        # The others give way to narrower ones by the differences of their members from the hub.
+        apart = wide.join(hubs.select("_key", "_b"), "_key").where("_doc != _b")
+        apart = apart.select(F.col("_doc").alias("_a"), "_b").distinct()
+        apart = stored(_compared(apart, texts, rule, True), "apart")
+        narrower = stored(_narrower(apart.where("size(_delta) > 0"), rule, steps), "buckets")
+        steps.done(buckets, hubs, left, apart, sweep=spark)
         buckets = narrower
 
     of = copies.select("_doc", "_high", "_low", "_class").distinct()

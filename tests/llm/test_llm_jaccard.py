@@ -6,7 +6,15 @@ from collections import Counter, defaultdict
 import pytest
 
 from apptlake.llm.components import connected
-from apptlake.llm.jaccard_join import Partition, Rule, _likely, parities, similarity_classes
+from apptlake.llm.jaccard_join import (
+    Partition,
+    Rule,
+    _across,
+    _likely,
+    _open,
+    parities,
+    similarity_classes,
+)
 from apptlake.llm.shingles import exact_shingles, shingle_sets
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -59,9 +67,9 @@ def families(seed):
 
 
 @pytest.mark.parametrize(("rule", "seed"), [
-    (Rule(3, 90, paired=64), 1),
-    (Rule(5, 80, paired=64), 2),
-    (Rule(2, 70, paired=16, rounds=2), 3),
+    (Rule(3, 90, paired=64, paired_each=2), 1),
+    (Rule(5, 80, paired=64, paired_each=2), 2),
+    (Rule(2, 70, paired=16, paired_each=1, rounds=2), 3),
 ])
 def test_components_of_large_families_are_exact(spark, rule, seed):
     rows = families(seed)
@@ -130,7 +138,34 @@ def test_words_that_break_polynomial_hashes_stay_apart(spark):
 def test_families_with_a_single_round(spark):
     rows = families(4)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    rule = Rule(3, 90, paired=4, rounds=1)
+    rule = Rule(3, 90, paired=4, paired_each=1, rounds=1)
+    assert found(docs, rule) == brute(rows, rule)
+
+
+def test_pairs_across_components_are_all_and_only_those(spark):
+    rng = random.Random(9)
+    rows = list({(key, doc): (key, doc, 0, rng.random() < 0.6) for key in range(12) for doc in rng.choices(range(40), k=25)}.values())
+    # Two documents in three are in the component of 0, some in that of 1, the rest alone.
+    roots = {d: 0 if d % 3 else 1 for d in range(2, 40) if d % 3 or d % 2}
+    buckets = spark.createDataFrame(rows, "_key long, _doc long, _score long, _chosen boolean")
+    found = _open(buckets, spark.createDataFrame(sorted(roots.items()), "_node long, _root long"))
+    want, per_key = set(), Counter()
+    for key, x, _, chosen in rows:
+        for other, y, _, _ in rows:
+            if key == other and chosen and roots.get(x, x) != roots.get(y, y):
+                want.add((max(x, y), min(x, y)))
+                per_key[key] += 1
+    assert {tuple(r) for r in _across(found).collect()} == want
+    members = Counter(key for key, *_ in rows)
+    got = {r._key: (r._members, r._pairs) for r in found.collect()}
+    assert got == {key: (members[key], n) for key, n in per_key.items()}
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_families_whose_buckets_are_all_narrowed(spark, seed):
+    rows = families(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rule = Rule(3, 85, paired=4, paired_each=1, rounds=3)
     assert found(docs, rule) == brute(rows, rule)
 
 
