@@ -17,7 +17,8 @@ Documents of equal sets are one class, represented by its smallest id. What is a
 classes and the components that links make, so a bucket needs no pairs of documents that are already
 joined: its members are first compared with one of them, the hub. What is left is paired across the
 components known so far, each member outside the bucket's greatest component with all others, where
-that makes few pairs for its members. Members of other buckets are told apart by their differences
+that makes few pairs for its members. These are met in blocks, and only those whose sizes and
+parities allow a link become rows. Members of other buckets are told apart by their differences
 from the hub: two that are not joined by it differ less from one another than their differences add
 up to, hence have one of the rarer differences in common; those make new, narrower buckets. No pair
 that could be a link is left out.
@@ -57,7 +58,7 @@ class Rule:
     #: Pairs across components up to which a bucket is paired.
     paired: int = 4096
     #: The same for each of its members, so that pairs grow in proportion to members.
-    paired_each: int = 64
+    paired_each: int = 1024
     #: Times that buckets are narrowed; whatever is open after the last is paired across components.
     rounds: int = 6
 
@@ -139,6 +140,17 @@ def parities(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+#: Numbers of 64 parities that blocks of a bucket compare, and most documents a side of a block.
+SIEVE, BLOCK = 512, 512
+
+
+def _folded(bits: np.ndarray, numbers: int) -> np.ndarray:
+    """Parities of fewer parts: folded in halves until there are so many numbers."""
+    while len(bits) > numbers:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def _likely(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
     """The pairs that may be links: neither the sizes nor the parities of the sets differ by more
     than those of similar sets can. Far shorter than the texts, these spare most pairs theirs."""
@@ -163,7 +175,7 @@ def _likely(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _signatures(rows: DataFrame, rule: Rule) -> DataFrame:
-    """``_doc``, size, hash of the set, and for each band its keys."""
+    """``_doc``, parities (and folded ones), size, hash of the set, and for each band its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition = Partition(rule)
@@ -180,24 +192,26 @@ def _signatures(rows: DataFrame, rule: Rule) -> DataFrame:
                     np.array([mixed(s, 11).sum(dtype=np.uint64) for s in each], dtype=np.uint64).view(np.int64)
                     for each in (sets, again)
                 ]
+                bits = [parities(s) for s in sets]
                 kind = pa.list_(
                     pa.struct([("band", pa.int32()), ("needed", pa.int32()), ("keys", pa.list_(pa.int64()))])
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("_doc"),
-                        pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
+                        pa.array(bits, pa.list_(pa.int64())),
+                        pa.array([_folded(b, SIEVE).tobytes() for b in bits], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(halves[0]),
                         pa.array(halves[1]),
                         pa.array(parts, kind),
                     ],
-                    names=["_doc", "_parities", "_size", "_high", "_low", "_parts"],
+                    names=["_doc", "_parities", "_sieve", "_size", "_high", "_low", "_parts"],
                 )
 
     return rows.mapInArrow(
         run,
-        f"_doc {kind_of(rows, '_doc')}, _parities array<bigint>, _size bigint, _high bigint, _low bigint, "
+        f"_doc {kind_of(rows, '_doc')}, _parities array<bigint>, _sieve binary, _size bigint, _high bigint, _low bigint, "
         "_parts array<struct<band:int,needed:int,keys:array<bigint>>>",
     )
 
@@ -308,33 +322,117 @@ def _hubs(buckets: DataFrame, rule: Rule) -> DataFrame:
 
 def _open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Buckets that span several components, how many members each has and how many pairs it would
-    take across components, and whether a member is in the greatest of these (``_inner``)."""
+    take across components, and whether a member is in the greatest of these (``_inner``). With
+    ``_n_outer``, ``_k_outer`` and ``_k_inner``: members, and chosen ones, outside it and inside."""
     rows = _rooted(buckets, roots, "_doc", "_component")
     parts = rows.groupBy("_key", "_component").agg(
         F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_chosen"), 1)).alias("_k")
     )
     spans = parts.groupBy("_key").agg(
-        F.max(F.struct("_n", "_component"))["_component"].alias("_main"),
+        F.max(F.struct("_n", "_component", "_k")).alias("_main"),
         F.sum("_n").alias("_members"),
+        F.sum("_k").alias("_k_all"),
         (F.sum("_n") * F.sum("_k") - F.sum(F.col("_n") * F.col("_k"))).alias("_pairs"),
     )
-    rows = rows.join(spans.where("_pairs > 0"), "_key")
-    return rows.withColumn("_inner", F.col("_component") == F.col("_main")).drop("_main")
+    main = F.col("_main")
+    rows = rows.join(spans.where("_pairs > 0"), "_key").withColumns({
+        "_inner": F.col("_component") == main["_component"],
+        "_n_outer": F.col("_members") - main["_n"],
+        "_k_outer": F.col("_k_all") - main["_k"],
+        "_k_inner": main["_k"],
+    })
+    return rows.drop("_main", "_k_all")
+
+
+def _in_block(left: list[tuple], right: list[tuple], rule: Rule) -> Iterator[tuple]:
+    """Pairs of documents of different components whose sizes and parities allow a link."""
+    numbers = min(len(r[3]) for r in (*left, *right)) // 8
+    bits = lambda r: _folded(np.frombuffer(r[3] or b"", dtype=np.uint64), numbers)
+    code: dict[str, int] = {}
+    components = np.array([code.setdefault(r[1], len(code)) for r in right])
+    sizes = np.array([r[2] for r in right], dtype=np.int64)
+    table = np.stack([bits(r) for r in right])
+    for x in left:
+        apart = np.bitwise_count(table ^ bits(x)).sum(axis=1, dtype=np.int64)
+        near = 100 * np.minimum(sizes, x[2]) >= rule.percent * np.maximum(sizes, x[2])
+        near &= apart * (100 + rule.percent) <= (100 - rule.percent) * (sizes + x[2])
+        near &= components != code.get(x[1], -1)
+        yield from ((x[0], right[k][0]) for k in np.flatnonzero(near))
+
+
+def _across(buckets: DataFrame, sketches: DataFrame | None = None, rule: Rule = Rule()) -> DataFrame:
+    """``_a`` and ``_b``: the pairs of open buckets across components that may be links, or all of
+    them without ``sketches``. One of the two is outside the greatest component, so that two of one
+    component are met no more often than there are pairs.
+
+    The chosen outside meet all, those inside meet what is outside. Both sides are cut into blocks by
+    a hash, and each block of one side meets each of the other in a group of its own: a large bucket
+    takes many small groups, and its rows are copied once and for each ``BLOCK`` pairs of theirs.
+    """
+    if sketches is None:
+        rows = buckets.withColumns({"_size": F.lit(0).cast("long"), "_sieve": F.lit(b"")})
+    else:
+        rows = buckets.join(sketches.select("_doc", "_size", "_sieve"), "_doc")
+    hashed = F.xxhash64("_doc")
+
+    def copies(met: int, right: bool, here, own, other):
+        """The groups of a document that is on one side of a meeting: its block with each other."""
+        mine = F.pmod(hashed, F.ceil(own / BLOCK)).cast("int")
+        theirs = F.sequence(F.lit(0), (F.ceil(other / BLOCK) - 1).cast("int"))
+        groups = F.transform(
+            theirs,
+            lambda k: F.struct(
+                F.lit(met).alias("_met"),
+                (k if right else mine).alias("_i"),
+                (mine if right else k).alias("_j"),
+                F.lit(right).alias("_right"),
+            ),
+        )
+        kind = "array<struct<_met:int,_i:int,_j:int,_right:boolean>>"
+        none = F.array().cast(kind)
+        return F.when(here & (own > 0) & (other > 0), groups.cast(kind)).otherwise(none)
+
+    chosen, inner = F.col("_chosen"), F.col("_inner")
+    n, n_outer, k_outer, k_inner = (F.col(c) for c in ("_members", "_n_outer", "_k_outer", "_k_inner"))
+    groups = F.concat(
+        copies(0, False, chosen & ~inner, k_outer, n),
+        copies(0, True, F.lit(True), n, k_outer),
+        copies(1, False, chosen & inner, k_inner, n_outer),
+        copies(1, True, ~inner, n_outer, k_inner),
+    )
+    # A component is only told from others, for which its text does, whatever kind ids are of.
+    group = ["_key", "_met", "_i", "_j"]
+    rows = rows.withColumn("_component", F.col("_component").cast("string"))
+    rows = rows.select("_key", "_doc", "_component", "_size", "_sieve", F.inline(groups))
+    rows = rows.repartition(*group).sortWithinPartitions(*group)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(found: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in found], ids) for k in (0, 1)], names=["_x", "_y"]
+            )
 
-def _across(buckets: DataFrame) -> DataFrame:
-    """``_a`` and ``_b``: the pairs of open buckets across components. One of the two is outside the
-    greatest component, so that two of one component are met no more often than there are pairs."""
-    one = buckets.where("_chosen").select(
-        "_key", F.col("_doc").alias("_x"), F.col("_component").alias("_cx"), F.col("_inner").alias("_ix")
-    )
-    two = buckets.select(
-        "_key", F.col("_doc").alias("_y"), F.col("_component").alias("_cy"), F.col("_inner").alias("_iy")
-    )
-    outer = one.where("NOT _ix").join(two, "_key").where("_cx != _cy")
-    inner = one.where("_ix").join(two.where("NOT _iy"), "_key")
-    pair = [F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")]
-    return outer.select(*pair).unionByName(inner.select(*pair)).distinct()
+        now, sides, ids, found = None, ([], []), None, []
+        for batch in batches:
+            ids = batch.schema.field("_doc").type
+            columns = [batch.column(c).to_pylist() for c in (*group, "_right", "_doc", "_component", "_size", "_sieve")]
+            for *of, right, doc, component, size, sieve in zip(*columns, strict=True):
+                if of != now:
+                    if sides[0] and sides[1]:
+                        found += _in_block(*sides, rule)
+                    if len(found) > 10_000:
+                        yield made(found)
+                        found = []
+                    now, sides = of, ([], [])
+                sides[right].append((doc, component, size, sieve))
+        if sides[0] and sides[1]:
+            found += _in_block(*sides, rule)
+        if found:
+            yield made(found)
+
+    kind = kind_of(rows, "_doc")
+    pairs = rows.mapInArrow(run, f"_x {kind}, _y {kind}")
+    return pairs.select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")).distinct()
 
 
 def _narrower(compared: DataFrame, rule: Rule, steps: Scratch) -> DataFrame:
@@ -399,7 +497,7 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
     rows = docs.select(F.col(id_col).alias("_doc"), text_of(text_col).alias("_text"))
     signatures = stored(_signatures(rows, rule), "signatures")
     ids = stored(signatures.select("_doc", "_size", "_high", "_low"), "sets")
-    sketches = signatures.where("_size > 0 AND _doc IS NOT NULL").select("_doc", "_size", "_parities")
+    sketches = signatures.where("_size > 0 AND _doc IS NOT NULL").select("_doc", "_size", "_parities", "_sieve")
     sized = ids.where("_size > 0 AND _doc IS NOT NULL")
     classes = sized.groupBy("_high", "_low", "_size").agg(
         F.min("_doc").alias("_class"), F.count(F.lit(1)).alias("_members")
@@ -444,7 +542,7 @@ def _classes(docs: DataFrame, rule: Rule, id_col: str, text_col: str, steps: Scr
         few = F.col("_pairs") <= F.greatest(F.lit(rule.paired), rule.paired_each * F.col("_members"))
         last = round_ == rule.rounds - 1
         seen = pairs.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b"))
-        rest = _across(left if last else left.where(few)).join(seen, ["_a", "_b"], "left_anti")
+        rest = _across(left if last else left.where(few), sketches, rule).join(seen, ["_a", "_b"], "left_anti")
         rest = stored(_likely(rest, sketches, rule), "rest-pairs")
         if not rest.isEmpty():
             again = stored(_compared(rest, texts, rule, False), "compared")
