@@ -142,7 +142,9 @@ def test_families_with_a_single_round(spark):
     assert found(docs, rule) == brute(rows, rule)
 
 
-def test_pairs_across_components_are_all_and_only_those(spark):
+@pytest.mark.parametrize("block", [2, 512])
+def test_pairs_across_components_are_all_and_only_those(spark, monkeypatch, block):
+    monkeypatch.setattr("apptlake.llm.jaccard_join.BLOCK", block)
     rng = random.Random(9)
     rows = list({(key, doc): (key, doc, 0, rng.random() < 0.6) for key in range(12) for doc in rng.choices(range(40), k=25)}.values())
     # Two documents in three are in the component of 0, some in that of 1, the rest alone.
