@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
+import numpy as np
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from apptlake.llm.multiset_hash import (
@@ -22,6 +26,43 @@ def prints(spark, *texts):
     return [r.fingerprint for r in sorted(fingerprints(docs).collect())]
 
 
+def plain(text):
+    """Lane sums and number of paragraphs, one number at a time."""
+    parts = [p for p in re.split(r"\n|(?<=[.!?]) ", text) if p]
+    sums = [[0, 0] for _ in range(64)]
+    for p in parts:
+        h = xxhash.xxh64_intdigest(p.encode(), 42).to_bytes(8, "little")
+        for k, pair in enumerate(sums):
+            x = xxhash.xxh64_intdigest(k.to_bytes(4, "little"), xxhash.xxh64_intdigest(h, 42))
+            pair[0] = (pair[0] + (x & 0xFFF)) % 2**30
+            pair[1] = (pair[1] + (x >> 32 & 0xFFF)) % 2**30
+    return sums, len(parts)
+
+
+def plain_print(text):
+    sums, count = plain(text)
+    return "".join(f"{high << 32 | low:016x}" for low, high in sums) + f"{count:08x}"
+
+
+def plain_likeness(one, other):
+    if plain_print(one) == plain_print(other):
+        return 1.0
+    a, b = (np.array(sums).ravel() - n * 0xFFF / 2 for sums, n in (plain(one), plain(other)))
+    size = np.linalg.norm(a) * np.linalg.norm(b)
+    return min(1.0, max(0.0, a @ b / size)) if size else 0.0
+
+
+def test_fingerprints_and_likeness_equal_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    got = sorted(edited_fingerprints(docs).collect())
+    for k, (row, text, new) in enumerate(zip(got, texts, edited(texts), strict=True)):
+        after = texts[(k + 1) % len(texts)]
+        assert (row.fingerprint, row.edited_fingerprint) == (plain_print(text), plain_print(new))
+        assert row.near_edited == pytest.approx(plain_likeness(text, new), abs=1e-9)
+        assert row.near_next == pytest.approx(plain_likeness(text, after), abs=1e-9)
+
+
 def test_order_plays_no_part_and_number_does(spark):
     a, b, c, d = prints(spark, "One.\nTwo is here. And three.", "And three.\nOne.\nTwo is here.", "One.\nOne.", "One.")
     assert a == b
