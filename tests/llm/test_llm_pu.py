@@ -52,6 +52,34 @@ def test_the_prior_is_near_the_share_of_positives():
         assert abs(estimated_prior(_bins(positives, cuts), _bins(mixed, cuts)) - share) < 0.06
 
 
+def plain_risk(model, positives, unlabelled, weights, decay=1e-3):
+    """The unbiased risk, text by text; its part on negatives; decay of the weights besides."""
+
+    def output(x):
+        indicators = [float(v > c) for v, cuts in zip(x, model.cuts, strict=True) for c in cuts] + [1.0]
+        return sum(a * b for a, b in zip(indicators, weights, strict=True))
+
+    def mean_loss(rows, sign):
+        return sum(float(np.logaddexp(0, -sign * output(x))) for x in rows) / len(rows)
+
+    negative = mean_loss(unlabelled, -1) - model.prior * mean_loss(positives, -1)
+    whole = model.prior * mean_loss(positives, 1) + max(0.0, negative)
+    return whole + decay / 2 * float(np.square(weights).sum()), negative
+
+
+def test_the_fit_is_a_minimum_of_the_plain_risk():
+    rng = np.random.default_rng(4)
+    positives = rng.normal(0.5, 1, (300, 2))  # alike enough that no risk is driven to zero
+    unlabelled = np.where(rng.random((400, 1)) < 0.5, rng.normal(0.5, 1, (400, 2)), rng.normal(-0.5, 1, (400, 2)))
+    model = fit(positives, unlabelled, prior=0.4)
+    least, negative = plain_risk(model, positives, unlabelled, model.weights)
+    assert negative > 0
+    assert least < plain_risk(model, positives, unlabelled, np.zeros_like(model.weights))[0] - 0.05
+    for _ in range(30):
+        other = model.weights + rng.normal(0, 0.1, len(model.weights))
+        assert plain_risk(model, positives, unlabelled, other)[0] > least - 1e-4
+
+
 def test_fit_without_examples_is_no_model(spark, odd, nothing):
     assert fit(np.empty((0, 16)), np.ones((3, 16))) is None
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
