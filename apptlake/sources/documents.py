@@ -36,8 +36,10 @@ def read_spend_files(spark: SparkSession, path: str) -> DataFrame:
     Amounts may be written as numbers or as text. A file that cannot be read, a record of another
     shape and an amount that is no number fail the job, so that no spend is lost unseen.
     """
-    schema = "channel string, date string, spend string, _corrupt_record string"
+    # A number that is declared as text would be read again from the file, one seek for each.
+    schema = "channel string, date string, spend variant, _corrupt_record string"
     rows = spark.read.schema(schema).option("multiLine", "true").json(path)
+    rows = rows.withColumn("spend", F.col("spend").cast("string"))
     amount = F.col("spend").try_cast("double")
     unknown = F.coalesce("channel", "date", "spend").isNull()
     unread = F.col("spend").isNotNull() & amount.isNull()

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload import frames
 from workload.queries import REGISTERED
 from tools.check import rows_of
 
@@ -59,3 +60,20 @@ def test_headline_figures(spark, sf):
         row.avg_cost_per_booking,
         row.active_hosts,
     ) == KPI[sf]
+
+
+def test_files_follow_from_rows_and_not_from_keys(spark):
+    """Keys a thousand apart, over ten places, one of which has most rows."""
+    rows = spark.range(0, 3_000_000, 1000).selectExpr("id AS key", "greatest(id / 1000 % 20 - 10, 0) AS place")
+    files = frames.in_files(rows, "place", "key", 100).groupBy("place", "slice", "part").count().collect()
+    assert sum(row["count"] for row in files) == 3000
+    assert max(row["count"] for row in files) <= 100
+    assert len(files) <= 17 + 9 * 2
+
+
+def test_a_place_is_numbered_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(frames, "ROWS_PER_SLICE", 500)
+    files = frames.in_files(spark.range(3000).selectExpr("id", "0 AS place"), "place", "id", 100)
+    counts = files.groupBy("slice", "part").count().collect()
+    assert len({row.slice for row in counts}) == 6
+    assert (sum(row["count"] for row in counts), max(row["count"] for row in counts)) == (3000, 100)

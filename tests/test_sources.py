@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from apptlake import schemas, session
 from apptlake.operators.flatten import bronze_rows
 from apptlake.sources import files, landing
-from apptlake.sources.documents import read_documents, read_spend, spend_file
+from apptlake.sources.documents import read_documents, read_spend, read_spend_files, spend_file
 from apptlake.sources.tables import (
     append,
     load_if_present,
@@ -200,3 +200,29 @@ def test_spend_that_cannot_be_read_fails(spark, folder, text):
 def test_amounts_may_be_written_as_text(spark, folder):
     Path(spend_file(folder, DAY)).write_text('{"channel": "fb", "date": "d", "spend": "8.5"}')
     assert values(read_spend(spark, folder, DAY)) == [("fb", "d", 8.5)]
+
+
+def test_amounts_read_the_same_however_they_are_written(spark, folder):
+    amounts = ["12.5", '"12.5"', "7", "1e3", "-0.25", "123456789012345678901234567890", "NaN", "null"]
+    text = ",".join(f'{{"channel": "c{n}", "date": "2024-01-01", "spend": {a}}}' for n, a in enumerate(amounts))
+    Path(folder, "spend.json").write_text(f"[{text}]")
+    rows = {r.channel: r.spend for r in read_spend_files(spark, folder).collect()}
+    assert [repr(rows[f"c{n}"]) for n in range(8)] == [
+        "12.5", "12.5", "7.0", "1000.0", "-0.25", "1.2345678901234568e+29", "nan", "None"
+    ]
+
+
+@pytest.mark.parametrize("amount", ["true", '{"a": 1}', "[1]", '"much"'])
+def test_amounts_that_are_no_numbers_fail(spark, folder, amount):
+    Path(folder, "spend.json").write_text(f'{{"channel": "c", "date": "2024-01-01", "spend": {amount}}}')
+    with pytest.raises(Exception, match="cannot be read"):
+        read_spend_files(spark, folder).collect()
+
+
+def test_numbers_are_not_read_from_the_file_again(spark, folder):
+    """A number that is declared as text would be, one seek for each."""
+    Path(folder, "spend.json").write_text('{"channel": "c", "date": "2024-01-01", "spend": 1.5}')
+    read = read_spend_files(spark, folder)
+    scan = read._jdf.queryExecution().analyzed().collectLeaves().head()
+    assert "variant" in scan.schema().toDDL().lower()
+    assert read.schema["spend"].dataType.simpleString() == "double"

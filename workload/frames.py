@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from apptlake.functions.channels import channel_of, is_paid
@@ -94,6 +94,22 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_bookings(bronze(spark, sf_dir), RULES, ORDER)
 
 
+# Rows of a folder that are numbered in one task, and records of a file.
+ROWS_PER_SLICE, RECORDS_PER_FILE = 1_000_000, 1_000
+
+
+def in_files(rows: DataFrame, place: str, key: str, records: int = RECORDS_PER_FILE) -> DataFrame:
+    """Deal the rows of each ``place`` to files of so many records, all full but the last of a slice.
+
+    ``slice`` and ``part`` name the file. Files follow from the number of rows, whatever their keys
+    are, and a place with many rows is numbered in slices, so that no task has it whole.
+    """
+    slices = -(-rows.count() // ROWS_PER_SLICE) or 1
+    sliced = rows.withColumn("slice", F.pmod(F.xxhash64(key), F.lit(slices)))
+    nth = F.row_number().over(Window.partitionBy(place, "slice").orderBy(key))
+    return sliced.withColumn("part", F.floor((nth - 1) / records))
+
+
 def raw_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend records; some priorities have no channel."""
     channel = """CASE o_orderpriority

@@ -345,10 +345,10 @@ def scan_raw_json(spark, sf_dir):
     folder = scratch_path(spark, "raw-json")
     landed = landing.landing_rows(frames.records(spark, sf_dir))
     lines = F.replace("value", F.lit(',"'), F.lit(',\n  "'))
-    lists = landed.groupBy("date", F.floor(F.col("sequence") / 1000).alias("part")).agg(
+    lists = frames.in_files(landed, "date", "sequence").groupBy("date", "slice", "part").agg(
         F.concat(F.lit("[\n"), F.array_join(F.collect_list(lines), ",\n"), F.lit("\n]")).alias("value")
     )
-    writer = lists.drop("part").write.mode("overwrite").partitionBy("date")
+    writer = lists.drop("slice", "part").write.mode("overwrite").partitionBy("date")
     writer.option("maxRecordsPerFile", 1).text(folder)
     documents = read_documents(spark, folder)
     return plain_times(
@@ -372,13 +372,14 @@ def scan_spend(spark, sf_dir):
     written = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(F.struct("channel", "date", "spend")))
     as_text = F.struct("channel", "date", F.col("spend").cast("string").alias("spend"))
     record = F.coalesce(written, F.to_json(as_text))
+    records = rows.select(F.substring("date", 1, 7).alias("month"), "o_orderkey", record.alias("record"))
     lists = (
-        rows.withColumn("record", record)
-        .groupBy(F.substring("date", 1, 7).alias("month"), F.floor(F.col("o_orderkey") / 1000).alias("part"))
+        frames.in_files(records, "month", "o_orderkey")
+        .groupBy("month", "slice", "part")
         .agg(F.concat_ws(",", F.collect_list("record")).alias("records"))
-        .select("month", "part", F.concat(F.lit("["), "records", F.lit("]")).alias("value"))
+        .select("month", F.concat(F.lit("["), "records", F.lit("]")).alias("value"))
     )
-    writer = lists.drop("part").write.mode("overwrite").partitionBy("month")
+    writer = lists.write.mode("overwrite").partitionBy("month")
     writer.option("maxRecordsPerFile", 1).text(folder)
     return read_spend_files(spark, folder).select("channel", "date", "spend")
 
