@@ -22,9 +22,12 @@ from apptlake.session import scratch_path
 from apptlake.sources import files
 from apptlake.sources.tables import counted, load_declared, stored
 
-#: Buckets of a new table. One is rewritten in a task, so a table of terabytes wants thousands.
+#: Buckets of a new table. One is rewritten as a whole, so a table of terabytes wants thousands.
 BUCKETS = 64
 NUMBER, BUCKET = "buckets", "bucket"
+#: Rows of a bucket that one task ranks and writes; of a larger one several do.
+ROWS_PER_TASK = 300_000
+SLICE = "_slice"
 
 
 def keyless(keys: Sequence[str]) -> Column:
@@ -58,7 +61,7 @@ def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     Both sides come with one row per key, so a group has two rows at most.
     """
     alone = F.when(keyless(keys), F.xxhash64(*rows.columns)) if not null_safe else F.lit(None)
-    alike = Window.partitionBy(BUCKET, *keys, alone)
+    alike = Window.partitionBy(BUCKET, SLICE, *keys, alone)
     message = F.concat(F.lit("several source rows for one key: "), F.to_json(F.struct(*keys)))
     repeated = F.when(F.col("_news") > 1, F.raise_error(message).cast("boolean"))
     first = F.col("_nth") == 1
@@ -66,12 +69,22 @@ def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     if not null_safe:
         kept = keyless(keys) | kept
     ranked = rows.withColumn("_nth", F.row_number().over(alike.orderBy(*order_by, F.desc("_new"))))
-    return ranked.withColumn("_news", F.sum("_new").over(alike)).where(kept).drop("_new", "_nth", "_news")
+    return ranked.withColumn("_news", F.sum("_new").over(alike)).where(kept).drop("_new", "_nth", "_news", SLICE)
 
 
-def _dealt(both: DataFrame) -> DataFrame:
-    """Rows of a bucket in one task, which writes them as one file."""
-    return both.repartition(BUCKET)
+def _dealt(both: DataFrame, keys: Sequence[str], parts: int, count: int, null_safe: bool) -> DataFrame:
+    """Rows of ``parts`` buckets, ``count`` in all, in tasks of some ``ROWS_PER_TASK``, however few the
+    buckets are: a large bucket is dealt in slices of its keys, each a file."""
+    slices = -(-count // (parts * ROWS_PER_TASK)) or 1
+    place = F.xxhash64(*keys)
+    if not null_safe:
+        place = F.when(keyless(keys), F.xxhash64(*both.columns)).otherwise(place)
+    # The bucket is a remainder of the same hash, so slices go by its other half.
+    sliced = both.withColumn(SLICE, F.pmod(F.shiftright(place, 32), F.lit(slices)))
+    if slices == 1:
+        return sliced.repartition(BUCKET)
+    # Some spare partitions, so that few slices meet in one.
+    return sliced.repartition(2 * parts * slices, BUCKET, SLICE)
 
 
 def _overwrite(rows: DataFrame, path: str, *partitions: str) -> None:
@@ -96,21 +109,20 @@ def upsert(
     """
     spark, ddl = source.sparkSession, source.schema.toDDL()
     made = bucket_count(spark, path)
-    rows, seen = counted(in_buckets(source, keys, made or buckets, null_safe), f"upsert {path}")
-    if made is None:
-        rows = _dealt(rows.withColumn("_new", F.lit(1)))
-        _overwrite(_one_per_key(rows, keys, order_by, null_safe), path, NUMBER, BUCKET)
-        # A plan that turns out empty is cut short, with what counts its rows.
-        return seen.get["rows"] if bucket_count(spark, path) else 0
     scratch = scratch_path(spark, "upsert")
-    rows = stored(rows, scratch)
-    touched = [row[0] for row in rows.select(BUCKET).distinct().collect()]
-    if touched:
-        old = load_declared(spark, path, f"{ddl}, {NUMBER} int, {BUCKET} int").where(F.col(BUCKET).isin(touched))
-        both = old.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
-        _overwrite(_one_per_key(_dealt(both), keys, order_by, null_safe), path, NUMBER, BUCKET)
+    rows = stored(in_buckets(source, keys, made or buckets, null_safe), scratch)
+    news = {row[0]: row["count"] for row in rows.groupBy(BUCKET).count().collect()}
+    seen = count = sum(news.values())
+    if news:
+        both = rows.withColumn("_new", F.lit(1))
+        if made is not None:
+            old = load_declared(spark, path, f"{ddl}, {NUMBER} int, {BUCKET} int").where(F.col(BUCKET).isin([*news]))
+            count += old.count()
+            both = old.withColumn("_new", F.lit(0)).unionByName(both)
+        both = _dealt(both, keys, len(news), count, null_safe)
+        _overwrite(_one_per_key(both, keys, order_by, null_safe), path, NUMBER, BUCKET)
     files.delete(spark, scratch)
-    return seen.get["rows"]
+    return seen
 
 
 def upsert_within(
@@ -131,25 +143,26 @@ def upsert_within(
     """
     spark = source.sparkSession
     made = bucket_count(spark, path)
-    rows = in_buckets(source.where(~keyless(keys)), keys, made or buckets)
-    if made is None:
-        rows = _dealt(rows.drop(earlier).withColumn("_new", F.lit(1)))
-        _overwrite(_one_per_key(rows, keys, order_by, False), path, NUMBER, within, BUCKET)
-        return
     scratch = scratch_path(spark, "upsert")
-    rows = stored(rows, scratch)
-    days = F.explode(F.array_union(F.array(within), earlier)).alias(within)
-    touched = rows.select(days, NUMBER, BUCKET).distinct()
-    places = touched.collect()
-    if places:
-        rows = rows.drop(earlier)
-        ddl = rows.schema.toDDL()
+    rows = stored(in_buckets(source.where(~keyless(keys)), keys, made or buckets), scratch)
+    count = rows.count()
+    both = rows.drop(earlier).withColumn("_new", F.lit(1))
+    if count and made is None:
+        both = _dealt(both, keys, buckets, count, False)
+        _overwrite(_one_per_key(both, keys, order_by, False), path, NUMBER, within, BUCKET)
+    elif count:
+        days = F.explode(F.array_union(F.array(within), earlier)).alias(within)
+        touched = rows.select(days, NUMBER, BUCKET).distinct()
+        places = touched.collect()
+        parts = {place[BUCKET] for place in places}
+        ddl = rows.drop(earlier).schema.toDDL()
         old = load_declared(spark, path, ddl).where(
-            F.col(within).isin(sorted({p[0] for p in places})) & F.col(BUCKET).isin(sorted({p[2] for p in places}))
+            F.col(within).isin(sorted({p[0] for p in places})) & F.col(BUCKET).isin(sorted(parts))
         )
         old = old.where(~keyless(keys)).join(touched, [within, NUMBER, BUCKET], "left_semi")
-        both = old.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
-        merged = _one_per_key(_dealt(both), keys, order_by, False)
+        count += old.count()
+        both = _dealt(old.withColumn("_new", F.lit(0)).unionByName(both), keys, len(parts), count, False)
+        merged = _one_per_key(both, keys, order_by, False)
         holders = spark.createDataFrame(places).select(within, F.col(NUMBER).cast("int"), F.col(BUCKET).cast("int"))
         holders = holders.repartition(BUCKET)
         _overwrite(merged.unionByName(holders, allowMissingColumns=True), path, NUMBER, within, BUCKET)

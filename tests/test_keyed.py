@@ -6,9 +6,11 @@ from pathlib import Path
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyarrow.parquet import ParquetFile
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from apptlake.operators import keyed
 from apptlake.operators.dedup import newest
 from apptlake.operators.keyed import (
     append_new,
@@ -166,3 +168,29 @@ def test_appends_take_what_is_newer_than_all_stored(spark, folder):
     found = add(("a", 2, "x"), ("b", 4, "old"), ("c", 1, "x"), (None, 1, "x"), (None, 1, "y"))
     assert found == [("a", 2, "x"), ("b", 5, "x"), ("c", 1, "x"), (None, 1, "x"), (None, 1, "y")]
     assert ("a", 3, "z") in add(("a", 3, "z"))
+
+
+def largest_file(folder):
+    return max(ParquetFile(path).metadata.num_rows for path in files_of(folder))
+
+
+def test_a_large_bucket_is_dealt_to_several_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(keyed, "ROWS_PER_TASK", 50)
+    source = [(f"k{n}", 1, n) for n in range(400)]
+    assert upsert(rows(spark, *source), folder, KEYS, buckets=1) == 400
+    assert table(spark, folder) == sorted(source, key=str) and largest_file(folder) < 200
+    newer = [(f"k{n}", 1, -n) for n in range(200, 600)]
+    assert upsert(rows(spark, *newer, (None, 1, 1), (None, 1, 1)), folder, KEYS) == 402
+    assert table(spark, folder) == sorted([*source[:200], *newer, (None, 1, 1), (None, 1, 1)], key=str)
+    assert largest_file(folder) < 200
+    with pytest.raises(Exception, match="several source rows for one key"):
+        upsert(rows(spark, *newer, ("k7", 1, 1), ("k7", 1, 2)), folder, KEYS)
+
+
+def test_a_large_bucket_below_days_is_dealt_to_several_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(keyed, "ROWS_PER_TASK", 50)
+    within(spark, folder, *[(f"k{n}", "d1", 1, ["d1"]) for n in range(600)])
+    assert largest_file(folder) < 200
+    found = within(spark, folder, *[(f"k{n}", "d2", 2, ["d1"]) for n in range(300)])
+    assert found == sorted([(f"k{n}", "d2", 2) if n < 300 else (f"k{n}", "d1", 1) for n in range(600)], key=str)
+    assert largest_file(folder) < 200
