@@ -77,3 +77,18 @@ def test_a_place_is_numbered_in_slices(spark, monkeypatch):
     counts = files.groupBy("slice", "part").count().collect()
     assert len({row.slice for row in counts}) == 6
     assert (sum(row["count"] for row in counts), max(row["count"] for row in counts)) == (3000, 100)
+
+
+def test_waiting_records_lie_in_more_files_as_they_grow(spark, db, monkeypatch):
+    """Documents are made after the shuffle, and pulls stay few."""
+    name = "stream_bounded_pulls"
+    monkeypatch.setattr(frames, "RECORDS_WAITING", 20)
+    waiting = frames.waiting_records(spark, SF_DIR)
+    total = waiting.count()
+    assert waiting.rdd.getNumPartitions() == frames.PULLS * -(-total // (frames.PULLS * 20)) > frames.PULLS
+    plan = waiting._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [event_id" in plan
+    got = queries()[name](spark, SF_DIR)
+    cursor = db.execute(oracle_sql()[name])
+    names = [column[0] for column in cursor.description]
+    assert rows_of(got.columns, got.collect()) == rows_of(names, cursor.fetchall())

@@ -51,8 +51,10 @@ ORDER = ("booking_date", "event_id")
 CUTOFF = date(2024, 1, 24)
 TODAY = date(2024, 1, 31)
 RANGES = [(date(2024, 1, 1), date(2024, 1, 7)), (date(2024, 1, 5), date(2024, 1, 20)), (date(2024, 1, 1), TODAY)]
-# Parts of the keyed tables and of each day of the live table, and files that wait for the stream.
+# Parts of the keyed tables and of each day of the live table, and pulls that the waiting files make.
 BUCKETS, LIVE_BUCKETS, PULLS = 4, 4, 4
+# Records of a waiting file, of which a pull has as many as its share of the records needs.
+RECORDS_WAITING = 250_000
 SOURCES = ["(no utm_source)", "src0", "src1", "src2", "src3", "src4"]
 CHANNELS = ["facebook_paid_ads", "tiktok_paid_ads", "youtube_paid_ads"]
 CHOSEN = Selection(date(2024, 1, 1), date(2024, 1, 31), SOURCES, CHANNELS)
@@ -212,6 +214,14 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_records(events(spark, sf_dir))
 
 
+def waiting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records by ranges of arrival, a file to each. Rows are dealt before documents are made
+    of them, so that neither the search for the ranges nor the shuffle handles these."""
+    rows = events(spark, sf_dir)
+    files = PULLS * (-(-rows.count() // (PULLS * RECORDS_WAITING)) or 1)
+    return as_records(rows.repartitionByRange(files, "event_id"))
+
+
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records, arriving file by file."""
     return as_records(pin_utc(spark).readStream.schema(EVENTS).parquet(f"{sf_dir}/events*.parquet"))

@@ -26,7 +26,7 @@ from apptlake.operators.keyed import current, upsert, upsert_within
 from apptlake.plans import gold, serving
 from apptlake.plans.batch import GOLD
 from apptlake.session import scratch_path
-from apptlake.sources import landing
+from apptlake.sources import files, landing
 from apptlake.sources.documents import read_documents, read_spend_files
 from apptlake.sources.records import file_records
 from apptlake.sources.tables import load_declared, publish, published, stored
@@ -463,11 +463,11 @@ def stream_live_bookings(spark, sf_dir):
 
 @query
 def stream_bounded_pulls(spark, sf_dir):
-    """Records that wait in several files, pulled by so many bytes at a time: a micro-batch a file."""
+    """Records that wait in several files, pulled by so many bytes at a time: a file or some."""
     inbox, table, checkpoint = (scratch_path(spark, name) for name in ("inbox", "live", "checkpoint"))
-    waiting = frames.records(spark, sf_dir).repartitionByRange(frames.PULLS, "sequence")
-    waiting.write.mode("overwrite").parquet(inbox)
-    stream = file_records(spark, inbox, max_bytes_per_batch=1)
+    frames.waiting_records(spark, sf_dir).write.mode("overwrite").parquet(inbox)
+    pull = -(-files.size_bytes(spark, inbox) // frames.PULLS)
+    stream = file_records(spark, inbox, max_bytes_per_batch=pull)
     query = start_live(
         stream, table, checkpoint, frames.RULES, pull_seconds=None, buckets=frames.LIVE_BUCKETS
     )
