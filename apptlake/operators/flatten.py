@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,20 +73,28 @@ def undeclared_fields(body: Column, ddl: str = WEBHOOK) -> Column:
     """
     kind = MapType(StringType(), VariantType())
     declared = declared_names(fields_of(ddl))
+    nothing = F.create_map().cast(kind)
+
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        # Functions on maps do not share what they are given, so each use of an expression would work
+        # it out again, from the text on; a variable is worked out once.
+        return F.get(F.transform(F.array(value), use), 0)
 
-    def beyond(level: Column, path: str) -> list[Column]:
+    def beyond_in(path: str) -> Callable[[Column], Column]:
+        return lambda level: beyond(level, path)
+
+    def beyond(level: Column, path: str) -> Column:
         known, prefix = declared[path], f"{path}." if path else ""
         rest = F.map_filter(level, lambda name, _: ~name.isin(known))
         found = [F.transform_keys(rest, lambda name, _: F.concat(F.lit(prefix), name))]
         for name in known:
             if prefix + name in declared:
-                found += beyond(F.try_element_at(level, F.lit(name)).try_cast(kind), prefix + name)
-        return found
+                inner = F.try_element_at(level, F.lit(name)).try_cast(kind)
+                found.append(once(inner, beyond_in(prefix + name)))
+        return F.map_concat(*[F.coalesce(part, nothing) for part in found])
 
-    nothing = F.create_map().cast(kind)
-    parts = [F.coalesce(part, nothing) for part in beyond(F.try_parse_json(body).try_cast(kind), "")]
-    extra = F.map_concat(*parts)
-    return F.when(F.size(extra) > 0, F.to_variant_object(extra))
+    extra = once(F.try_parse_json(body).try_cast(kind), beyond_in(""))
+    return once(extra, lambda found: F.when(F.size(found) > 0, F.to_variant_object(found)))
 
 
 def is_unreadable() -> Column:

@@ -14,6 +14,7 @@ from apptlake.operators.flatten import (
     item_documents,
     live_rows,
     parse_documents,
+    undeclared_fields,
     with_lineage,
 )
 from apptlake.schemas import BRONZE, FLAT_COLUMNS
@@ -154,3 +155,8 @@ def test_lineage_columns(spark):
 def test_item_documents_leave_out_nulls(spark):
     df = spark.createDataFrame([("a", None, "x")], "booking_id string, b string, c string")
     assert item_documents(df).first().item == '{"booking_id":"a","c":"x"}'
+
+
+def test_undeclared_fields_parse_a_text_once(spark):
+    rows = spark.range(1).selectExpr("concat('{', id) AS value").select(undeclared_fields(F.col("value")))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson(") == 1

@@ -399,14 +399,16 @@ def bronze_append_evolve(spark, sf_dir):
     """Bronze filled by the job in two runs, the documents of the second having a field that nobody
     declared; of the clock columns the result has whether they are filled."""
     inbox, folder, checkpoint = (scratch_path(spark, name) for name in ("landed", "bronze", "checkpoint"))
-    rows = landing.landing_rows(frames.records(spark, sf_dir))
-    early = F.col("date") <= F.lit(frames.CUTOFF.isoformat())
+    # Parted by the day before documents are made, so that each is made once.
+    events = frames.events(spark, sf_dir)
+    early = F.to_date("ts") <= F.lit(frames.CUTOFF)
+    rows, late = (landing.landing_rows(frames.as_records(events.where(part))) for part in (early, ~early))
     gained = F.concat(F.lit('{"payload":{"referrer":"web",'), F.substring_index("value", '"payload":{', -1))
     event = F.get_json_object("value", "$.event")
     created_at = F.get_json_object("value", "$.created_at")
     head = F.concat(F.lit('{"event":"'), event, F.lit('","created_at":"'), created_at, F.lit('",'))
     newer = F.concat(head, F.substring(gained, 2, 1 << 30))
-    for part in (rows.where(early), rows.where(~early).withColumn("value", newer)):
+    for part in (rows, late.withColumn("value", newer)):
         landing.land_rows(part, inbox)
         start_bronze(spark, inbox, folder, checkpoint).awaitTermination()
     table = load_declared(spark, folder, schemas.BRONZE_STORED)
