@@ -33,17 +33,18 @@ class Words:
 
 def split_words(texts: list[bytes], kinds: np.ndarray) -> Words:
     """Words of all texts, A-Z lowered; ``kinds`` says what each byte is, a line feed no word's."""
-    data = np.frombuffer(b"\n".join([b"", *texts, b""]), dtype=np.uint8)
-    kind = kinds[data]
-    outside = kind != INSIDE
-    starts = np.flatnonzero(outside[:-1] & ~outside[1:]) + 1
-    ends = np.flatnonzero(~outside[:-1] & outside[1:]) + 1
+    joined = b"\n".join([b"", *texts, b""])
+    kind = np.frombuffer(joined.translate(kinds.tobytes()), dtype=np.uint8)
+    inside = kind == INSIDE
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = turns[::2], turns[1::2]
     offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int32)
-    kept = lowered()[data[~outside]]
-    values = pa.Array.from_buffers(
-        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept))]
-    )
+    outside = np.flatnonzero(kinds != INSIDE).astype(np.uint8).tobytes()
+    kept = joined.translate(lowered().tobytes(), outside)
+    values = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     edges = np.cumsum([1, *(len(t) + 1 for t in texts)])
-    text_of = np.searchsorted(edges, starts, side="right") - 1
+    text_of = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, edges)))
     # Texts are parted by a line feed, so pieces of different texts differ where that is an edge.
-    return Words(values, text_of, np.cumsum(kind == EDGE, dtype=np.int64)[starts])
+    before = np.searchsorted(starts, np.flatnonzero(kind == EDGE))
+    piece_of = np.repeat(np.arange(len(before) + 1), np.diff(before, prepend=0, append=len(starts)))
+    return Words(values, text_of, piece_of)

@@ -2,7 +2,8 @@
 
 Prefix polynomials over the word values of many texts, modulo a prime, give the fingerprint of any
 n-gram as a difference of two of them. Tasks sum up fingerprints of their own n-grams, and a shuffle
-sums these. A phrase is no more frequent than its parts, so longer n-grams are counted only where
+deals these by ranges of fingerprints, as arrays in ascending order, to tasks that merge one range at a
+time. There are as many ranges as the texts need, so that none outgrows a task's memory. A phrase is no more frequent than its parts, so longer n-grams are counted only where
 each pair of words in them may be frequent: a bit table of fixed size, with the frequent
 fingerprints' bits set, says so in every task. A full table only saves less work; it drops nothing.
 
@@ -17,9 +18,8 @@ often as they stand; ids are not looked at.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from apptlake.llm.byte_words import EDGE, GAP, Words, split_words
 from apptlake.llm.common import Scratch, slices, stored, text_of
+from apptlake.llm.shingles import mixed
 
 # What parts pieces and words, and which phrases count.
 KINDS = np.zeros(256, dtype=np.uint8)
@@ -42,7 +43,9 @@ SCORE_SCALE = 2_000_000
 #: Bits of the table of frequent fingerprints, 16 MB; it goes to all tasks whatever the data.
 TABLE_BITS = 1 << 27
 #: Distinct fingerprints a task sums up before it passes them on.
-FINGERPRINTS_AT_ONCE = 1 << 22
+FINGERPRINTS_AT_ONCE = 1 << 20
+#: Bytes of text to a range of fingerprints; of one size, two bytes give one fingerprint at most.
+RANGE_BYTES = 8 << 20
 
 PRIME = (1 << 61) - 1
 _BASE = 0x1A2B3C4D5E6F7081 % PRIME
@@ -90,9 +93,25 @@ def fingerprints(polynomials: np.ndarray, n: int, salt: np.ndarray) -> np.ndarra
     return _reduced(product(spans, inverse[:count]) + salt[:count])
 
 
-def value_of(word: bytes) -> int:
-    """A number for a word, from a cryptographic hash, so that no two words are known to share one."""
-    return 1 + int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") % (PRIME - 1)
+def values_of(words: pa.Array) -> np.ndarray:
+    """A number below the prime for each word: its bytes by eights, mixed with their place and added up.
+    Words that share a number only cost work: phrases are told apart by their text later."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, offsets, data = words.buffers()
+    edges = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    starts, lengths = edges[:-1], np.diff(edges)
+    data = np.frombuffer(bytes(data) + bytes(8), np.uint8)
+    eights = (lengths + 7) // 8
+    first = np.cumsum(eights) - eights
+    place = np.arange(int(eights.sum())) - np.repeat(first, eights)
+    at = np.repeat(starts, eights) + 8 * place
+    read = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[at]
+    # Of the last eight of a word, the bytes that are its own.
+    spare = np.zeros(len(at), np.uint64)
+    spare[first + eights - 1] = 8 * (8 * eights - lengths)
+    read = (read << spare) ^ mixed(place.astype(np.uint64), 31)
+    return _reduced(mixed(np.add.reduceat(mixed(read, 32), first) + lengths.astype(np.uint64), 33))
 
 
 class Grams:
@@ -100,16 +119,19 @@ class Grams:
 
     def __init__(self, texts: list[bytes], langs: pa.Array) -> None:
         self.words: Words = split_words(texts, KINDS)
-        coded = self.words.values.dictionary_encode()
-        self.codes = coded.indices.to_numpy()
-        values = np.array([value_of(w) for w in coded.dictionary.to_pylist()], dtype=np.uint64)
-        self.polynomials = prefix_polynomials(values[self.codes] if len(self.codes) else np.zeros(0, np.uint64))
+        self.polynomials = prefix_polynomials(values_of(self.words.values))
         langs = langs.dictionary_encode()
         self.langs = langs.dictionary.to_pylist()
         self.lang_of = langs.indices.to_numpy()[self.words.text_of]
-        salts = np.array([value_of(b"language " + x.encode()) for x in self.langs], dtype=np.uint64)
+        names = pa.array([b"language " + x.encode() for x in self.langs], pa.binary())
+        salts = values_of(names)
         self.salt = salts[self.lang_of] if len(self.lang_of) else np.zeros(0, np.uint64)
 
+    @cached_property
+    def codes(self) -> np.ndarray:
+        """A number for each word, the same for equal words."""
+        return self.words.values.dictionary_encode().indices.to_numpy()
+
     def at(self, n: int) -> np.ndarray:
         """First words of the n-grams."""
         piece = self.words.piece_of
@@ -148,41 +170,74 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
             yield Grams([t.encode() for t in part.column("_text").to_pylist()], part.column("_lang"))
 
 
-def _counted(rows: DataFrame, sizes: tuple[int, ...], table=None) -> DataFrame:
+def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in ascending order, and the sum of the counts of each."""
+    order = np.argsort(values, kind="stable")  # runs in order are merged
+    values = values[order]
+    first = _firsts(values)
+    return values[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Places where sorted values differ from the one before."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
+
+
+def _range_of(prints: np.ndarray, ranges: int) -> np.ndarray:
+    """Which of so many equal ranges below the prime a fingerprint lies in."""
+    return ((prints >> 30) * ranges >> 31).astype(np.int32)
+
+
+def _counted(rows: DataFrame, sizes: tuple[int, ...], ranges: int, table=None) -> DataFrame:
     """``_print`` and ``_count`` of frequent n-grams of some sizes, by fingerprint, with ``_size``.
     With a table, only n-grams are looked at whose pairs of words it may hold."""
 
-    def summed(prints: list[np.ndarray], counts: list[np.ndarray]):
-        values, at = np.unique(np.concatenate(prints), return_inverse=True)
-        return values, np.bincount(at, np.concatenate(counts), len(values)).astype(np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {n: ([], []) for n in sizes}
 
         def passed_on(n):
-            values, counts = summed(*held[n])
+            values, counts = (np.concatenate(x) for x in held[n])
             held[n] = ([], [])
+            values, counts = _summed(values, counts)
             for k in range(0, len(values), 1 << 16):
-                part = slice(k, k + (1 << 16))
-                size = np.full(len(values[part]), n, dtype=np.int32)
+                part, count = values[k : k + (1 << 16)], counts[k : k + (1 << 16)]
+                of = _range_of(part, ranges)
+                first = _firsts(of)
+                ends = pa.array(np.append(first, len(of)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values[part]), pa.array(size), pa.array(counts[part])], names=["_print", "_size", "_count"]
+                    [
+                        pa.array(of[first]),
+                        pa.array(np.full(len(first), n, dtype=np.int32)),
+                        pa.ListArray.from_arrays(ends, pa.array(part)),
+                        pa.ListArray.from_arrays(ends, pa.array(count)),
+                    ],
+                    names=["_range", "_size", "_prints", "_counts"],
                 )
 
         for grams in _batches(batches):
             for n in sizes:
                 first = grams.at(n) if table is None else in_frequent_pairs(grams, n, table.value)
-                values, counts = np.unique(grams.prints(n)[first], return_counts=True)
-                held[n][0].append(values)
-                held[n][1].append(counts)
+                prints = np.sort(grams.prints(n)[first])
+                at = _firsts(prints)
+                held[n][0].append(prints[at])
+                held[n][1].append(np.diff(at, append=len(prints)))
                 if sum(map(len, held[n][0])) >= FINGERPRINTS_AT_ONCE:
                     yield from passed_on(n)
         for n in sizes:
             if held[n][0]:
                 yield from passed_on(n)
 
-    prints = rows.mapInArrow(run, "_print bigint, _size int, _count bigint")
-    return prints.groupBy("_print", "_size").agg(F.sum("_count").alias("_count")).where(F.col("_count") >= LEAST_COUNT)
+    def merged(key: tuple, runs: pa.Table) -> pa.Table:
+        values, counts = (
+            np.concatenate([c.flatten().to_numpy() for c in runs.column(x).chunks]) for x in ("_prints", "_counts")
+        )
+        values, counts = _summed(values, counts)
+        often = counts >= LEAST_COUNT
+        size = np.full(int(often.sum()), key[1].as_py(), dtype=np.int32)
+        return pa.table({"_print": values[often], "_size": size, "_count": counts[often]})
+
+    runs = rows.mapInArrow(run, "_range int, _size int, _prints array<bigint>, _counts array<bigint>")
+    return runs.groupBy("_range", "_size").applyInArrow(merged, "_print bigint, _size int, _count bigint")
 
 
 def bit_table(prints: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
@@ -252,10 +307,12 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     rows = docs.select(lang.alias("_lang"), text_of(text_col).alias("_text"))
     send = rows.sparkSession.sparkContext.broadcast
+    n_bytes = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    ranges = n_bytes // RANGE_BYTES + 1
     with Scratch() as steps:
-        short = steps.stored(_counted(rows, (1, 2)), "short-prints")
+        short = steps.stored(_counted(rows, (1, 2), ranges), "short-prints")
         tables = {n: send(bit_table(short.where(F.col("_size") == n))) for n in (1, 2)}
-        long = steps.stored(_counted(rows, (3, 4), tables[2]), "long-prints")
+        long = steps.stored(_counted(rows, (3, 4), ranges, tables[2]), "long-prints")
         tables |= {n: send(bit_table(long.where(F.col("_size") == n))) for n in (3, 4)}
         counts = stored(_verified(rows, tables), "phrase-counts")
     for table in tables.values():

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from apptlake.llm import collocations as module
@@ -92,6 +93,26 @@ def test_tasks_may_sum_up_in_parts(spark, rows, monkeypatch):
     assert found(docs) == plain(rows * 2)
 
 
+def test_fingerprints_are_merged_by_ranges_outside_the_heap(spark, rows, monkeypatch):
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(7)
+    plain_rows = docs.selectExpr("coalesce(lang, 'und') AS _lang", "coalesce(text, '') AS _text")
+    one, many = (module._counted(plain_rows, (1, 2), ranges) for ranges in (1, 50))
+    counted = sorted(map(tuple, one.collect()))
+    assert len(counted) > 50 and sorted(map(tuple, many.collect())) == counted
+    # No task holds a hash map of fingerprints in its heap, and a range is bounded by the bytes of text.
+    assert "HashAggregate" not in many._jdf.queryExecution().toString()
+    monkeypatch.setattr(module, "RANGE_BYTES", 500)
+    assert found(docs) == plain(rows)
+
+
+def test_words_get_values_of_their_own():
+    words = [b"a", b"a\0", b"\0", b"a" * 8, b"a" * 9, b"a" * 8 + b"b" * 8, b"b" * 8 + b"a" * 8, *(b"%d" % n for n in range(5000))]
+    values = module.values_of(pa.array(words, pa.binary()))
+    assert len(set(values.tolist())) == len(words) and max(values.tolist()) < PRIME
+    assert module.values_of(pa.array(words, pa.binary())[3:]).tolist() == values[3:].tolist()
+    assert module.values_of(pa.array([], pa.binary())).tolist() == []
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert found(docs) == plain([(r.lang, r.text) for r in docs.collect()])
