@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 
 from apptlake.llm.byte_words import GAP, split_words
 
@@ -26,12 +28,22 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _cut(words: pa.Array) -> list[bytes]:
+    """Words as Python bytes, cut out of their buffer: several times as fast as to_pylist()."""
+    if not len(words):
+        return []
+    _, offsets, data = words.buffers()
+    edges = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    data = bytes(data)
+    return [data[start:end] for start, end in pairwise(edges)]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes for every word of all texts in a row, as two rows, and how many words
     each text has. They are halves of a cryptographic hash, so no words are known to share one."""
     words = split_words(texts, KINDS)
     coded = words.values.dictionary_encode()
-    digests = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in coded.dictionary.to_pylist())
+    digests = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in _cut(coded.dictionary))
     hashes = np.frombuffer(digests, dtype="<u8").reshape(-1, 2)
     return hashes.T[:, coded.indices.to_numpy()], np.bincount(words.text_of, minlength=len(texts))
 

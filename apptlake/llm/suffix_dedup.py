@@ -60,12 +60,20 @@ class Sparse:
         return self.window
 
 
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the (rightmost) least value of each window, from windows half as long."""
+    places, reach = np.arange(len(values)), 1
+    while reach < width and len(places):
+        step = min(reach, width - reach)
+        left, right = places[: max(0, len(places) - step)], places[step:]
+        places = np.where(values[right] <= values[left], right, left)
+        reach += step
+    return places
+
+
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     """Places of the (rightmost) least value of every window."""
-    if len(values) < width:
-        return np.empty(0, dtype=np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(values[::-1], width)
-    return np.unique(len(values) - 1 - (np.argmin(views, axis=1) + np.arange(len(views))))
+    return np.unique(_least(values, width))
 
 
 def _polynomial(words: np.ndarray, width: int, salt: int) -> np.ndarray:
@@ -79,17 +87,24 @@ def _polynomial(words: np.ndarray, width: int, salt: int) -> np.ndarray:
 
 def selected(words: np.ndarray, how: Sparse) -> tuple[np.ndarray, np.ndarray]:
     """Selected places of a text that have a whole head to their right, and the heads' hashes."""
-    heads = _polynomial(words, how.head, 22)
-    if not len(heads):
-        return np.empty(0, dtype=np.int64), heads
-    places = _window_minima(_polynomial(words, how.kgram, 21), how.window)
-    places = places[places < len(heads)]
-    return places, heads[places]
+    return selected_of_all(words, np.array([len(words)]), how)
+
 
+def selected_of_all(words: np.ndarray, counts: np.ndarray, how: Sparse) -> tuple[np.ndarray, np.ndarray]:
+    """The same of texts in a row, which have so many words each; places are counted from the first text's
+    beginning. A window or head that reaches into the next text is none."""
+    ends = np.repeat(np.cumsum(counts), counts)
+    least = _least(_polynomial(words, how.kgram, 21), how.window)
+    whole = np.arange(len(least)) + (how.window + how.kgram - 1) <= ends[: len(least)]
+    places = np.unique(least[whole])
+    places = places[places + how.head <= ends[places]]
+    return places, _polynomial(words, how.head, 22)[places]
 
-def _words(texts: list[str]) -> list[np.ndarray]:
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in a row, and how many words each text has."""
     hashes, counts = word_hashes([t.encode() for t in texts])
-    return np.split(hashes[0], np.cumsum(counts)[:-1])
+    return hashes[0], counts
 
 
 def _heads(rows: DataFrame, how: Sparse) -> DataFrame:
@@ -98,10 +113,10 @@ def _heads(rows: DataFrame, how: Sparse) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", 2 << 20):
-                found = [selected(w, how) for w in _words(part.column("_text").to_pylist())]
-                of = np.repeat(np.arange(len(found)), [len(p) for p, _ in found])
-                places = np.concatenate([p for p, _ in found])
-                heads = np.concatenate([h for _, h in found])
+                words, counts = _words(part.column("_text").to_pylist())
+                places, heads = selected_of_all(words, counts, how)
+                of = np.repeat(np.arange(len(counts)), counts)[places]
+                places = places - (np.cumsum(counts) - counts)[of]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("_key").take(pa.array(of, pa.int64())),
@@ -116,6 +131,32 @@ def _heads(rows: DataFrame, how: Sparse) -> DataFrame:
     )
 
 
+#: Bytes before the words of a ``_side``.
+_FRONT = 9
+
+
+def _sides(
+    words: np.ndarray, heads: np.ndarray, counts: np.ndarray, of: np.ndarray, at: np.ndarray, how: Sparse
+) -> pa.Array:
+    """The right and the left ``_side`` of each place ``at`` in text ``of``, one after the other."""
+    ends = np.cumsum(counts)
+    place = (ends - counts)[of] + at
+    right, left = place + how.head, place - 1
+    widest = max(how.tail, how.window)
+    rows = np.zeros((len(at), 2, _FRONT + 4 * widest), dtype=np.uint8)
+    rows[:, 1, 0] = 1
+    # Big-endian bytes, so that the order of bytes is an order of suffixes.
+    rows[:, :, 1:_FRONT] = heads[place].astype(">u8").view(np.uint8).reshape(-1, 1, 8)
+    for side, (first, step, reach) in enumerate(((right, 1, how.tail), (left, -1, how.window))):
+        near = first[:, None] + step * np.arange(reach)
+        near = words[np.clip(near, 0, max(0, len(words) - 1))] >> np.uint64(32)
+        rows[:, side, _FRONT : _FRONT + 4 * reach] = near.astype(">u4").view(np.uint8)
+    n = np.stack((np.minimum(how.tail, ends[of] - right), np.minimum(how.window, at)), axis=1)
+    held = np.arange(_FRONT + 4 * widest) < _FRONT + 4 * n[:, :, None]
+    offsets = np.concatenate(([0], np.cumsum(_FRONT + 4 * n.ravel()))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), 2 * len(at), [None, pa.py_buffer(offsets), pa.py_buffer(rows[held])])
+
+
 def _suffixes(rows: DataFrame, how: Sparse) -> DataFrame:
     """``_key``, ``_at`` and ``_side`` of the suffixes listed in ``_places``, two rows for each: a byte
     (0 for right, 1 for left), the hash of the head, and the words on that side."""
@@ -123,39 +164,28 @@ def _suffixes(rows: DataFrame, how: Sparse) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", 2 << 20):
-                texts = part.column("_text").to_pylist()
-                of, at, sides = [], [], []
-                for k, (words, places) in enumerate(
-                    zip(_words(texts), part.column("_places").to_pylist(), strict=True)
-                ):
-                    heads = _polynomial(words, how.head, 22)
-                    # Big-endian bytes, so that the order of bytes is an order of suffixes.
-                    single = (words >> np.uint64(32)).astype(">u4")
-                    for place in places:
-                        end = place + how.head
-                        head = heads[place : place + 1].astype(">u8").tobytes()
-                        left = single[max(0, place - how.window) : place][::-1]
-                        of += (k, k)
-                        at += (place, place)
-                        sides.append(b"\0" + head + single[end : end + how.tail].tobytes())
-                        sides.append(b"\1" + head + left.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("_key").take(pa.array(of, pa.int64())),
-                        pa.array(at, pa.int32()),
-                        pa.array(sides, pa.binary()),
-                    ],
-                    names=["_key", "_at", "_side"],
-                )
+                words, counts = _words(part.column("_text").to_pylist())
+                heads = _polynomial(words, how.head, 22)
+                listed = part.column("_places")
+                of = np.repeat(np.arange(len(counts)), listed.value_lengths().to_numpy())
+                at = listed.flatten().to_numpy()
+                # So many at a time, since of one long text there may be a great many.
+                for k in range(0, len(at), 1 << 16):
+                    some, there = of[k : k + (1 << 16)], at[k : k + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("_key").take(pa.array(np.repeat(some, 2), pa.int64())),
+                            pa.array(np.repeat(there, 2), pa.int32()),
+                            _sides(words, heads, counts, some, there, how),
+                        ],
+                        names=["_key", "_at", "_side"],
+                    )
 
     return rows.select("_key", "_text", "_places").mapInArrow(
         run, f"_key {kind_of(rows)}, _at int, _side binary"
     )
 
 
-#: Bytes before the words of a ``_side``.
-_FRONT = 9
-
 
 def _common(a: bytes, b: bytes) -> int:
     """Words of four bytes that two sides have in common, -1 where their heads differ."""

@@ -7,6 +7,7 @@ import pytest
 
 from apptlake.llm.common import Scratch
 from apptlake.llm.shingles import WORD, _LOWER
+from apptlake.llm import suffix_dedup
 from apptlake.llm.suffix_dedup import Sparse, _window_minima, repeated_passages, selected
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -102,6 +103,34 @@ def test_minima_of_windows():
         assert set(_window_minima(values, 4).tolist()) == want
 
 
+@pytest.mark.parametrize("how", [Sparse(), Sparse(passage=30, window=13, kgram=5)])
+def test_texts_in_a_row_are_worked_on_at_once(monkeypatch, how):
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 1 << 62, n, dtype=np.uint64) for n in (0, 3, 34, 35, 36, 50, 90, 400, 0)] * 30
+    texts += [np.zeros(120, dtype=np.uint64)]
+    alone = [selected(t, how) for t in texts]
+    words, counts = np.concatenate(texts), np.array([len(t) for t in texts])
+    calls, real = [], suffix_dedup._polynomial
+    monkeypatch.setattr(suffix_dedup, "_polynomial", lambda *a: calls.append(a[1]) or real(*a))
+    places, heads = suffix_dedup.selected_of_all(words, counts, how)
+    assert len(calls) == 2  # however many texts there are
+    of = np.repeat(np.arange(len(texts)), counts)[places]
+    at = places - (np.cumsum(counts) - counts)[of]
+    assert of.tolist() == [k for k, (p, _) in enumerate(alone) for _ in p]
+    assert at.tolist() == [int(x) for p, _ in alone for x in p]
+    assert heads.tolist() == [int(x) for _, h in alone for x in h]
+    want = []
+    for k, (found, hashes) in enumerate(alone):
+        single = (texts[k] >> np.uint64(32)).astype(">u4")
+        for place, head in zip(found.tolist(), hashes, strict=True):
+            front = int(head).to_bytes(8, "big")
+            end = place + how.head
+            want.append(b"\0" + front + single[end : end + how.tail].tobytes())
+            want.append(b"\1" + front + single[max(0, place - how.window) : place][::-1].tobytes())
+    all_heads = real(words, how.head, 22)
+    assert suffix_dedup._sides(words, all_heads, counts, of, at, how).to_pylist() == want
+
+
 def test_a_passage_selects_the_same_places_wherever_it_stands():
     how, rng = Sparse(), np.random.default_rng(4)
     passage = rng.integers(0, 1 << 62, 50, dtype=np.uint64)
