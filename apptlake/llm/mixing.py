@@ -30,6 +30,10 @@ from apptlake.llm.common import SPACE_CLASS, Scratch, stored, text_of, trimmed
 
 MARGINS = ("source", "lang", "topic")
 
+#: Rounds of raking after which the driver's memory is swept. Every round leaves plans, broadcast factors
+#: and task binaries there; Spark sooner lets the heap grow up to its limit than it lets go of them.
+SWEEP_AFTER = 3
+
 
 @dataclass(frozen=True)
 class Mix:
@@ -105,29 +109,34 @@ def rake(cells: DataFrame, mix: Mix, steps: Scratch) -> DataFrame:
     whole = cells.agg(F.sum("tokens")).first()[0]
     if not whole:
         return cells.withColumn("weight", F.lit(0.0))
-    targets = {m: stored(margin_targets(cells, m, mix), f"target-{m}") for m in MARGINS}
+    # Each cell has its three targets with it, so that no round has to join them again.
+    wanted = [f"_target_{margin}" for margin in MARGINS]
     weighted = cells.withColumn("weight", F.col("tokens") / F.lit(whole))
-    for _ in range(mix.rounds):
+    for margin, target in zip(MARGINS, wanted, strict=True):
+        targets = stored(margin_targets(cells, margin, mix), f"target-{margin}")
+        weighted = weighted.join(targets.withColumnRenamed("_target", target), margin, "left")
+    weighted = stored(weighted, "shares")
+    for round_ in range(mix.rounds):
+        before = weighted
         weighted = weighted.withColumn("_off", F.lit(0.0))
-        for margin in MARGINS:
-            now = weighted.groupBy(margin).agg(F.sum("weight").alias("_now"))
-            factor = F.coalesce(F.try_divide("_target", "_now"), F.lit(0.0))
-            factors = now.join(targets[margin], margin).select(margin, factor.alias("_factor"))
+        for margin, target in zip(MARGINS, wanted, strict=True):
+            now = weighted.groupBy(margin).agg(F.sum("weight").alias("_now"), F.max(target).alias("_target"))
+            factors = now.select(margin, F.try_divide("_target", "_now").alias("_factor"))
             factor = F.coalesce("_factor", F.lit(0.0))
             off = F.when(F.col("weight") > 0, F.abs(factor - 1)).otherwise(0.0)
             weighted = weighted.join(factors, margin, "left").select(
                 *MARGINS,
                 "tokens",
                 "documents",
+                *wanted,
                 (F.col("weight") * factor).alias("weight"),
                 F.greatest("_off", off).alias("_off"),
             )
         weighted = stored(weighted, "raked")
-        worst = weighted.agg(F.max("_off")).first()[0]
-        weighted = weighted.drop("_off")
-        if worst <= mix.tolerance:
+        steps.done(before, sweep=cells.sparkSession if round_ % SWEEP_AFTER == 0 else None)
+        if weighted.agg(F.max("_off")).first()[0] <= mix.tolerance:
             break
-    return weighted
+    return weighted.drop("_off", *wanted)
 
 
 def probabilities(weighted: DataFrame, mix: Mix) -> DataFrame:

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from apptlake.llm.mixing import MARGINS, Mix, mix_sources, n_tokens, topic_of
+from apptlake.llm.common import Scratch
+from apptlake.llm.mixing import MARGINS, SWEEP_AFTER, Mix, mix_sources, n_tokens, topic_of
 
 SF_DIR = "/root/testdata/sf0.01"
 MIX = Mix(temper={"source": 0.5, "lang": 0.7, "topic": 0.8}, targets={"lang": {"en": 2, "de": 1, "fr": 1, "xx": 5}})
@@ -87,6 +88,27 @@ def test_tokens_and_topics_are_worked_out_without_python(spark):
         assert r.n == len(r.text.split()) and r.t is not None
 
 
+def test_a_round_joins_the_cells_with_one_table_a_margin(spark, monkeypatch):
+    plans, kept = [], Scratch.stored
+
+    def noted(self, df, name):
+        if name == "raked":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(self, df, name)
+
+    def full_collections():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    monkeypatch.setattr(Scratch, "stored", noted)
+    before = full_collections()
+    mix_sources(spark.read.parquet(f"{SF_DIR}/documents.parquet"), MIX)
+    # Each margin's sums read what the margins before it have made: 1 + 2 + 4 joins, none with targets.
+    assert plans and all(plan.count("Join ") <= 7 for plan in plans)
+    # The driver's heap is swept now and then on the way.
+    assert full_collections() - before >= len(plans) // SWEEP_AFTER >= 2
+
+
 def test_odd_rows(spark, odd, nothing):
     rows = mix_sources(odd, Mix(keep_share=1.0), carry=["_key"]).collect()
     assert len(rows) == 12 and {r._key for r in rows} == {"my _key"}
